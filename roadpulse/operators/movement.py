@@ -42,8 +42,10 @@ def moves(positions: DataFrame, slice_ticks: int = SLICE_TICKS) -> DataFrame:
     points = (positions.groupBy("uuid", "tick").agg(F.min("edge_id").alias("edge_id"))
               .withColumn("slice", F.floor(F.col("tick") / slice_ticks)))
     by_slice = Window.partitionBy("uuid").orderBy("slice")
-    carried = (points.groupBy("uuid", "slice").agg(F.max("tick").alias("last"))
-               .select("uuid", "slice", F.lag("last").over(by_slice).alias("tick"))
+    # The whole last point is named, so that both uses of `points` share one shuffle.
+    last = F.max(F.struct("tick", "edge_id")).alias("last")
+    carried = (points.groupBy("uuid", "slice").agg(last)
+               .select("uuid", "slice", F.lag("last.tick").over(by_slice).alias("tick"))
                .where(F.col("tick").isNotNull())
                .withColumns({"edge_id": F.lit(None).cast("bigint"), "carried": F.lit(True)}))
     rows = points.withColumn("carried", F.lit(False)).unionByName(carried)

@@ -17,16 +17,21 @@ from pyspark.sql import functions as F
 SLICE_WIDTH = 65536
 
 
-def _with_state_before(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add `state`, the tick in force before each row, and `state_after`."""
+def _with_state(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add `state`, the tick in force before each row, and `state_after`.
+
+    `start` is the tick in force before the first row of the keys, or NULL.
+    """
     to_here = (Window.unboundedPreceding, Window.currentRow)
-    in_order = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*to_here)
-    in_run = Window.partitionBy(*keys, "_run").orderBy(*order).rowsBetween(*to_here)
+    in_order = Window.partitionBy(*keys).orderBy(order).rowsBetween(*to_here)
+    in_run = Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(*to_here)
+    in_runs = Window.partitionBy(*keys).orderBy("_run", order)
+    lowest = F.min("tick").over(in_run)
     return (df
             .withColumn("_run", F.sum(F.col("known").cast("int")).over(in_order))
-            .withColumn("state_after", F.min("tick").over(in_run))
-            .withColumn("state", F.lag("state_after").over(
-                Window.partitionBy(*keys).orderBy("_run", *order)))
+            .withColumn("state_after", F.when(F.col("_run") == 0, F.least("start", lowest))
+                        .otherwise(lowest))
+            .withColumn("state", F.coalesce(F.lag("state_after").over(in_runs), "start"))
             .drop("_run"))
 
 
@@ -36,24 +41,24 @@ def replay_speeds(arrivals: DataFrame, edges: DataFrame,
 
     `arrivals` holds uuid, seq (arrival order, unique per vehicle), tick and
     edge_id. Each slice of arrivals is first summarised alone; the summaries,
-    which obey the same rule, give the state each slice starts with.
+    which obey the same rule, give the state each slice starts with. Both
+    passes share one shuffle of the arrivals by vehicle and slice.
     """
+    unset = F.lit(None).cast("bigint")
+    keys = ["uuid", "slice"]
     rows = (arrivals.select("uuid", "seq", "tick", "edge_id")
             .join(edges.select("edge_id", "length"), "edge_id", "left")
-            .withColumns({"known": F.col("length").isNotNull(),
-                          "slice": F.floor(F.col("seq") / slice_width)}))
-    keys = ["uuid", "slice"]
-    alone = _with_state_before(rows.drop("length", "edge_id"), keys, ["seq"])
-    summaries = alone.groupBy(*keys).agg(
-        F.max("known").alias("known"), F.max_by("state_after", "seq").alias("tick"))
-    starts = (_with_state_before(summaries, ["uuid"], ["slice"])
-              .where(F.col("state").isNotNull())
-              .select("uuid", "slice", F.col("state").alias("tick"), F.lit(True).alias("known"),
-                      (F.col("slice") * slice_width - 1).alias("seq"),
-                      F.lit(True).alias("carried")))
-    whole = rows.withColumn("carried", F.lit(False)).unionByName(starts, allowMissingColumns=True)
-    return (_with_state_before(whole, keys, ["seq"])
-            .where(~F.col("carried") & F.col("length").isNotNull()
-                   & (F.col("tick") > F.col("state")))
+            .withColumn("slice", F.floor(F.col("seq") / slice_width))
+            .repartition(*keys)
+            .withColumn("known", F.col("length").isNotNull()))
+    # Naming all columns keeps this pass from pruning some and so needing its own shuffle.
+    last = F.max_by(F.struct("state_after", "edge_id", "length"), "seq")
+    summaries = (_with_state(rows.withColumn("start", unset), keys, "seq")
+                 .groupBy(*keys).agg(F.max("known").alias("known"), last.alias("last"))
+                 .select(*keys, "known", F.col("last.state_after").alias("tick")))
+    starts = (_with_state(summaries.withColumn("start", unset), ["uuid"], "slice")
+              .select(*keys, F.col("state").alias("start")))
+    return (_with_state(rows.join(starts, keys), keys, "seq")
+            .where(F.col("length").isNotNull() & (F.col("tick") > F.col("state")))
             .select("uuid", "seq", "tick", "edge_id",
                     (F.col("length") / (F.col("tick") - F.col("state"))).alias("avg_speed")))

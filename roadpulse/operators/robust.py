@@ -1,10 +1,11 @@
 """Exact medians and median-absolute-deviation bounds of any group size.
 
 `F.median` gathers a whole group in one task, which a hot key does not allow.
-Here rows are first combined into (key, value, count), then the middle of each
-group is located by histogram: a bin's size is an ordinary map-side combined
-sum, the running total over a group's bins has a fixed maximum length, and only
-the rows of the bin that holds the middle rank go on to the next, finer step.
+Here rows are first combined to (key, value, n) and written once. If every key
+then has few distinct values, a running count per key finds the middle.
+Otherwise the middle is closed in on: a histogram tells which bin of each key
+holds it, only that bin's rows go on, and they are divided again until no group
+exceeds the limit. Bin sizes combine map-side, so no step gathers a hot key.
 """
 
 from __future__ import annotations
@@ -13,13 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators.lookup import join_on
+from roadpulse.session import settle
 
 # Fixed value: makes the MAD of a normal distribution equal its standard deviation.
 MAD_SCALE = 1.4826
 
-# Bins per unit of log(1 + |value|); a double spans at most 2 * 710 such units.
+# Most distinct values one task may order for one key.
+GROUP_LIMIT = 1_000_000
+# First bins, per unit of log(1 + |value|); a double spans at most 2 * 710 units.
 _LOG_BINS = 4096
-# Equal-width bins inside one of those.
+# Equal-width bins of any later division.
 _EVEN_BINS = 4096
 
 
@@ -29,54 +33,71 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _holds_middle(before: Column, through: Column, total: Column) -> Column:
-    """Do the ranks (before, through] include one of the two middle ranks of 1..total?"""
-    return (through >= F.floor((total + 1) / 2)) & (before < F.floor(total / 2) + 1)
+def _largest_group(rows: DataFrame, group: list[str]) -> int:
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("size"))
+    return sizes.agg(F.max("size")).first()[0] or 0
 
 
-def _narrow(rows: DataFrame, group: list[str], name: str, bins: Column) -> DataFrame:
-    """Keep the rows of the bins that hold a middle rank, with the bin's own range."""
-    binned = rows.withColumn(name, bins).drop("lo", "hi")
-    sizes = binned.groupBy(*group, name).agg(
+def _middle_ranks(total: Column) -> tuple[Column, Column]:
+    return F.floor((total + 1) / 2), F.floor(total / 2) + 1
+
+
+def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> DataFrame:
+    """The rows of the bins that hold a middle rank, with the bin's range lo..hi.
+
+    `before` counts the values of the key below the bin and, being different
+    for each, tells the one or two bins kept per key apart.
+    """
+    group = [*keys, "before"]
+    binned = rows.withColumn("bin", bins).drop("lo", "hi")
+    sizes = binned.groupBy(*group, "bin").agg(
         F.sum("n").alias("size"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.min("before").alias("start"), F.min("total").alias("total"))
+        F.min("total").alias("total"))
     whole = Window.partitionBy(*group)
+    running = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    low, high = _middle_ranks(F.col("total"))
     kept = (
         sizes
         .withColumn("total", F.coalesce("total", F.sum("size").over(whole)))
-        .withColumn("through", F.col("start") + F.sum("size").over(whole.orderBy(name)))
-        .withColumn("before", F.col("through") - F.col("size"))
-        .where(_holds_middle(F.col("before"), F.col("through"), F.col("total")))
-        .select(*group, name, "before", "total", "lo", "hi")
+        .withColumn("through", F.col("before") + F.sum("size").over(running))
+        .withColumn("below", F.col("through") - F.col("size"))
+        .where((F.col("through") >= low) & (F.col("below") < high))
+        .select(*group, "bin", "below", "total", "lo", "hi")
     )
-    return join_on(binned.drop("before", "total"), kept, [*group, name])
+    return (join_on(binned.drop("total"), kept, [*group, "bin"])
+            .drop("before", "bin").withColumnRenamed("below", "before"))
 
 
-def weighted_median(counts: DataFrame, keys: list[str]) -> DataFrame:
+def weighted_median(counts: DataFrame, keys: list[str], largest: int | None = None,
+                    limit: int = GROUP_LIMIT) -> DataFrame:
     """keys, median: the exact median of `value` with multiplicity `n`.
 
     NULL and NaN values are ignored; a key with no other value is absent.
+    `largest`, if known, bounds the rows of any key. `counts` is read several
+    times, so it should be settled.
     """
     value = F.col("value")
-    log_bin = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_BINS)
-    even_bin = F.when(
-        F.col("hi") > F.col("lo"),
-        F.floor((value - F.col("lo")) / (F.col("hi") - F.col("lo")) * _EVEN_BINS)
-    ).otherwise(F.lit(0))
-
     rows = (counts.where(value.isNotNull() & ~F.isnan(value))
             .select(*keys, "value", "n", F.lit(0).cast("bigint").alias("before"),
                     F.lit(None).cast("bigint").alias("total")))
-    rows = _narrow(rows, keys, "_coarse", log_bin)
-    rows = _narrow(rows, [*keys, "_coarse"], "_fine", even_bin)
-
-    in_order = Window.partitionBy(*keys, "_coarse", "_fine").orderBy("value")
-    running = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.withColumn("through", F.col("before") + F.sum("n").over(running))
-    reaches = F.col("through")
-    starts = F.col("through") - F.col("n")
-    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    middle = [F.max(F.when((starts < rank) & (reaches >= rank), value)) for rank in (lower, upper)]
+    if largest is None:
+        largest = _largest_group(rows, keys)
+    bins = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_BINS)
+    low, high = F.col("lo"), F.col("hi")
+    while largest > limit:
+        rows = settle(_narrow(rows, keys, bins), "middle-bins")
+        largest = _largest_group(rows, [*keys, "before"])
+        bins = F.when(high > low, F.floor((value - low) / (high - low) * _EVEN_BINS)
+                      ).otherwise(F.lit(0))
+
+    # `before` is one value per key unless bins were kept.
+    whole = Window.partitionBy(*keys)
+    running = (whole.orderBy("before", "value")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (rows.withColumn("total", F.coalesce("total", F.sum("n").over(whole)))
+              .withColumn("through", F.min("before").over(whole) + F.sum("n").over(running)))
+    middle = [F.max(F.when((F.col("through") - F.col("n") < rank) & (F.col("through") >= rank),
+                           value)) for rank in _middle_ranks(F.col("total"))]
     return ranked.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias("median"))
 
 
@@ -88,7 +109,8 @@ def deviation_counts(counts: DataFrame, medians: DataFrame, keys: list[str]) ->
 
 
 def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
-                       scale: float = MAD_SCALE, single_precision: bool = False) -> DataFrame:
+                       scale: float = MAD_SCALE, single_precision: bool = False,
+                       limit: int = GROUP_LIMIT) -> DataFrame:
     """keys, n, mean, median, mad, upper_threshold, lower_threshold.
 
     A key whose values are all NULL keeps its row, with NULL bounds; so does a
@@ -97,13 +119,20 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
     """
     rounded = (lambda c: c.cast("float").cast("double")) if single_precision else (lambda c: c)
     value, n = F.col("value"), F.col("n")
+    counts = settle(counts, "value-counts")
+    largest = _largest_group(counts, keys)
     totals = counts.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("n"),
         F.try_divide(F.sum(value * n), F.sum(F.when(value.isNotNull(), n))).alias("mean"),
         F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"))
-    medians = (weighted_median(counts, keys)
+    medians = (weighted_median(counts, keys, largest, limit)
                .withColumn("median", rounded(F.col("median"))))
-    deviations = (weighted_median(deviation_counts(counts, medians, keys), keys)
+    off = deviation_counts(counts, medians, keys)
+    if largest > limit:
+        medians = settle(medians, "medians")
+        off = settle(deviation_counts(counts, medians, keys), "deviation-counts")
+    # Deviations merge values and never split them: `largest` bounds them too.
+    deviations = (weighted_median(off, keys, largest, limit)
                   .withColumn("mad", rounded(F.col("median")) * scale).drop("median"))
     known = lambda c: F.when(~F.col("_nan"), c)
     joined = join_on(join_on(totals, medians, keys, "left"), deviations, keys, "left")
@@ -116,9 +145,11 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
 
 
 def mad_bounds(df: DataFrame, keys: list[str], value: str, k: float = 3.0,
-               scale: float = MAD_SCALE, single_precision: bool = False) -> DataFrame:
+               scale: float = MAD_SCALE, single_precision: bool = False,
+               limit: int = GROUP_LIMIT) -> DataFrame:
     """Outlier bounds, median -/+ k * MAD, of one numeric column per key."""
-    return bounds_from_counts(value_counts(df, keys, value), keys, k, scale, single_precision)
+    return bounds_from_counts(value_counts(df, keys, value), keys, k, scale, single_precision,
+                              limit)
 
 
 def deviations(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -127,6 +158,6 @@ def deviations(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     The rows themselves take the place of an array of values per key, which
     would have to fit in one task.
     """
-    medians = weighted_median(value_counts(df, keys, value), keys)
-    return (join_on(df, medians, keys, "left")
+    counts = settle(value_counts(df, keys, value), "value-counts")
+    return (join_on(df, weighted_median(counts, keys), keys, "left")
             .withColumn("deviation", F.abs(F.col(value) - F.col("median"))))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE turns small shuffled joins into broadcast joins by their measured size
 # and splits the partitions of a hot key; the operators give no join hints.
@@ -33,18 +34,34 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, for checkpoints and hand-over tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local master, as in
-    tests, may fall back to a temporary folder; it is then kept for the session.
+    tests, may fall back to a temporary folder, which lasts as long as the
+    Python process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="roadpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="roadpulse-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and go on from there.
+
+    For results that several later steps read, or that must not change when a
+    task is repeated. The lineage ends here, so a lost executor costs no
+    recomputation of what lies before.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

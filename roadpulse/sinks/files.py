@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.operators.catalog import absent
+from roadpulse.session import settle
+from roadpulse.sources.files import read_catalog
 
 # Fixed value: root element of trip files.
 TRIPS_ROOT = "scsimulator_matrix"
@@ -46,14 +48,8 @@ def write_vehicles_csv(vehicles: DataFrame, path: str) -> None:
 def register(wanted: DataFrame, catalog_path: str) -> None:
     """Append the rows the catalog lacks; running it again adds nothing.
 
-    The new rows depend on the folder they go to, so they are settled in a
-    checkpoint first: a task retried after an executor loss must not see the
-    files other tasks have meanwhile added.
+    The new rows depend on the folder they go to, so they are settled first: a
+    task repeated after an executor loss must not see rows added meanwhile.
     """
-    from roadpulse.session import shared_folder
-    from roadpulse.sources.files import read_catalog
-
-    spark = wanted.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    fresh = absent(wanted, read_catalog(spark, catalog_path)).checkpoint()
-    fresh.write.mode("append").parquet(catalog_path)
+    fresh = absent(wanted, read_catalog(wanted.sparkSession, catalog_path))
+    settle(fresh, "absent").write.mode("append").parquet(catalog_path)
