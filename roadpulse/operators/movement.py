@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from roadpulse.functions.messages import to_id
 from roadpulse.operators.lookup import split_rejects
 
-# Ticks per slice of a vehicle's history. A slice holds one row per tick at
-# most, so no task ever sorts more than this many rows of one vehicle.
-SLICE_TICKS = 65536
+# A vehicle's history is cut into slices of 2^20 ticks. A slice holds one row per
+# tick at most, so no task ever orders more than that many rows of one vehicle.
+SLICE_BITS = 20
 
 
 def flatten_histories(histories: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def clean_positions(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select("uuid", "tick", "edge_id"), bad
 
 
-def moves(positions: DataFrame, slice_ticks: int = SLICE_TICKS) -> DataFrame:
+def moves(positions: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     """uuid, tick, edge_id, tick_diff: each advance of a vehicle to its next point.
 
     Points are ordered by (tick, edge_id) and the reached point names the edge.
@@ -39,8 +39,8 @@ def moves(positions: DataFrame, slice_ticks: int = SLICE_TICKS) -> DataFrame:
     tick, so they combine to one row beforehand. A vehicle's history is cut into
     slices; the last tick of a slice is carried into the vehicle's next one.
     """
-    points = (positions.groupBy("uuid", "tick").agg(F.min("edge_id").alias("edge_id"))
-              .withColumn("slice", F.floor(F.col("tick") / slice_ticks)))
+    points = (positions.groupBy("uuid", F.col("tick").cast("bigint").alias("tick")).agg(F.min("edge_id").alias("edge_id"))
+              .withColumn("slice", F.shiftright("tick", slice_bits)))
     by_slice = Window.partitionBy("uuid").orderBy("slice")
     # The whole last point is named, so that both uses of `points` share one shuffle.
     last = F.max(F.struct("tick", "edge_id")).alias("last")

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of an arrival slice in sequence numbers. They are unique per vehicle,
-# so a task sorts at most this many points of one vehicle at a time.
-SLICE_WIDTH = 65536
+# Arrivals are cut into slices of 2^20 sequence numbers. These are unique per
+# vehicle, so no task ever orders more than that many points of one vehicle.
+SLICE_BITS = 20
 
 
 def _with_state(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -36,7 +36,7 @@ def _with_state(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def replay_speeds(arrivals: DataFrame, edges: DataFrame,
-                  slice_width: int = SLICE_WIDTH) -> DataFrame:
+                  slice_bits: int = SLICE_BITS) -> DataFrame:
     """uuid, seq, tick, edge_id, avg_speed of every accepted point.
 
     `arrivals` holds uuid, seq (arrival order, unique per vehicle), tick and
@@ -48,10 +48,12 @@ def replay_speeds(arrivals: DataFrame, edges: DataFrame,
     keys = ["uuid", "slice"]
     rows = (arrivals.select("uuid", "seq", "tick", "edge_id")
             .join(edges.select("edge_id", "length"), "edge_id", "left")
-            .withColumn("slice", F.floor(F.col("seq") / slice_width))
+            .withColumn("slice", F.shiftright("seq", slice_bits))
+            .where(F.col("uuid").isNotNull() & F.col("slice").isNotNull())
             .repartition(*keys)
             .withColumn("known", F.col("length").isNotNull()))
-    # Naming all columns keeps this pass from pruning some and so needing its own shuffle.
+    # The null checks above (which the join below would add on its side only) and
+    # naming all columns here make the shuffle of both passes the same.
     last = F.max_by(F.struct("state_after", "edge_id", "length"), "seq")
     summaries = (_with_state(rows.withColumn("start", unset), keys, "seq")
                  .groupBy(*keys).agg(F.max("known").alias("known"), last.alias("last"))

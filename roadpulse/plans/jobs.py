@@ -1,14 +1,64 @@
-"""The jobs, as functions of tables; `roadpulse.__main__` gives them commands."""
+"""The jobs, as functions of tables and paths; `roadpulse.__main__` gives them commands."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.operators.movement import speed_counts
+from roadpulse.functions.geo import with_latlon
+from roadpulse.operators import catalog, compare, movement, trips
 from roadpulse.operators.robust import bounds_from_counts
+from roadpulse.sinks import files as out
+from roadpulse.sources import files as src
 
 
 def train(positions: DataFrame, edges: DataFrame, single_precision: bool = False) -> DataFrame:
     """Thresholds per edge from vehicle positions (uuid, tick, edge_id)."""
-    return bounds_from_counts(speed_counts(positions, edges), ["edge_id"],
+    return bounds_from_counts(movement.speed_counts(positions, edges), ["edge_id"],
                               single_precision=single_precision)
+
+
+def train_model(spark: SparkSession, histories: str, road_map: str, model: str,
+                rejects: str | None = None, single_precision: bool = False) -> None:
+    """Histories (JSON lines) and the road map (XML) -> model (CSV)."""
+    points = movement.flatten_histories(src.read_histories(spark, histories))
+    good, bad = movement.clean_positions(points)
+    out.write_model(train(good, src.read_links(spark, road_map), single_precision), model)
+    if rejects:
+        bad.write.mode("overwrite").json(rejects)
+
+
+def split_trip_file(spark: SparkSession, path: str, begin: int, end: int, target: str) -> None:
+    out.write_trips_xml(trips.split_trips(src.read_trips(spark, path), begin, end), target)
+
+
+def expand_trip_file(spark: SparkSession, path: str, target: str, seed: str | None = None) -> None:
+    out.write_vehicles_csv(trips.expand_trips(src.read_trips(spark, path), seed), target)
+
+
+def register_cars(spark: SparkSession, vehicles: str, resources: str, capabilities: str) -> None:
+    """Add every vehicle of an expanded trip file that the catalog lacks."""
+    register_capability(spark, capabilities, catalog.LOCATION)
+    out.register(catalog.cars(src.read_vehicles(spark, vehicles)), resources)
+
+
+def register_capability(spark: SparkSession, path: str, name: str) -> None:
+    rows = [row for row in catalog.CAPABILITY_ROWS if row[0] == name]
+    out.register(spark.createDataFrame(rows, catalog.CAPABILITIES), path, "name")
+
+
+def publish_board(spark: SparkSession, node_id: str, x: float, y: float,
+                  resources: str, capabilities: str) -> None:
+    """Add the board at a node's UTM coordinates, unless the catalog has it."""
+    register_capability(spark, capabilities, catalog.BOARD)
+    site = spark.createDataFrame([(node_id, x, y)], "node_id string, x double, y double")
+    out.register(catalog.boards(with_latlon(site)), resources)
+
+
+def convert_nodes(spark: SparkSession, road_map: str, target: str) -> None:
+    """Nodes of the road map with latitude and longitude."""
+    out.write_nodes_xml(with_latlon(src.read_nodes(spark, road_map)), target)
+
+
+def compare_trip_logs(spark: SparkSession, baseline: str, events: str) -> DataFrame:
+    return compare.overlay(compare.compare(src.read_trip_log(spark, baseline),
+                                           src.read_trip_log(spark, events)))

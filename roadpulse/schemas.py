@@ -34,4 +34,3 @@ POSITION = "uuid string, tick bigint, nodeID double"
 # Resource catalog.
 CATALOG = ("uuid string, description string, capabilities array<string>, status string, "
            "lat double, lon double")
-CAPABILITIES = "name string, description string, capability_type string"

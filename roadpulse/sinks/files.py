@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators.catalog import absent
 from roadpulse.session import settle
-from roadpulse.sources.files import read_catalog
 
 # Fixed value: root element of trip files.
 TRIPS_ROOT = "scsimulator_matrix"
@@ -45,11 +44,12 @@ def write_vehicles_csv(vehicles: DataFrame, path: str) -> None:
     vehicles.write.mode("overwrite").option("sep", ";").csv(path)
 
 
-def register(wanted: DataFrame, catalog_path: str) -> None:
-    """Append the rows the catalog lacks; running it again adds nothing.
+def register(wanted: DataFrame, path: str, key: str = "uuid") -> None:
+    """Append the rows whose key the table at `path` lacks; a second run adds nothing.
 
     The new rows depend on the folder they go to, so they are settled first: a
     task repeated after an executor loss must not see rows added meanwhile.
     """
-    fresh = absent(wanted, read_catalog(wanted.sparkSession, catalog_path))
-    settle(fresh, "absent").write.mode("append").parquet(catalog_path)
+    wanted.limit(0).write.mode("ignore").parquet(path)
+    present = wanted.sparkSession.read.schema(wanted.schema).parquet(path)
+    settle(absent(wanted, present, key), "absent").write.mode("append").parquet(path)
