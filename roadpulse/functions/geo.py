@@ -63,74 +63,59 @@ def central_meridian(zone: int) -> float:
     return 6.0 * zone - 183.0
 
 
-def _harmonics(rows, term) -> Column:
-    total = None
-    for order, coefficient in enumerate(series(rows), start=1):
-        part = F.lit(coefficient) * term(2 * order)
-        total = part if total is None else total + part
-    return total
+def _harmonics(rows: list[list[float]], term: str) -> str:
+    """SQL text of the sum of coefficient * term, `{k}` being 2, 4, 6, ..."""
+    return " + ".join(f"{coefficient!r}D * {term.format(k=2 * order)}"
+                      for order, coefficient in enumerate(series(rows), start=1))
+
+
+def _add(df: DataFrame, steps: list[dict[str, str]], keep: list[str]) -> DataFrame:
+    """Add columns in steps, each one projection, so that shared terms are computed once."""
+    columns = [f"`{c}`" for c in df.columns if c not in keep]
+    for step in steps:
+        df = df.withColumns({name: F.expr(text) for name, text in step.items()})
+    return df.select(*columns, *keep)
 
 
 def with_latlon(df: DataFrame, x: str = "x", y: str = "y", lat: str = "lat", lon: str = "lon",
                 zone: int = 19, south: bool = True) -> DataFrame:
     """Add WGS84 latitude and longitude of UTM coordinates (default: zone 19 south)."""
     grid = SCALE_ON_MERIDIAN * _RECTIFYING_RADIUS
-    northing = F.col(y) - F.lit(FALSE_NORTHING_SOUTH if south else 0.0)
-    xi, eta = F.col("_xi"), F.col("_eta")
-    chi = F.col("_chi")
-    # One projection per step, so that shared terms are computed once.
-    return (
-        df
-        .withColumns({"_xi": northing / grid, "_eta": (F.col(x) - FALSE_EASTING) / grid})
-        .withColumns({
-            "_xi0": xi - _harmonics(GRID_TO_GEODETIC, lambda k: F.sin(k * xi) * F.cosh(k * eta)),
-            "_eta0": eta - _harmonics(GRID_TO_GEODETIC, lambda k: F.cos(k * xi) * F.sinh(k * eta)),
-        })
-        .withColumns({
-            "_chi": F.asin(F.sin("_xi0") / F.cosh("_eta0")),
-            lon: F.lit(central_meridian(zone))
-            + F.degrees(F.atan2(F.sinh("_eta0"), F.cos("_xi0"))),
-        })
-        .withColumn(lat, F.degrees(chi + _harmonics(CONFORMAL_TO_LATITUDE,
-                                                    lambda k: F.sin(k * chi))))
-        .select(*[F.col(f"`{c}`") for c in df.columns if c not in (lat, lon)], lat, lon)
-    )
+    return _add(df, [
+        {"_xi": f"(`{y}` - {FALSE_NORTHING_SOUTH if south else 0.0}D) / {grid!r}D",
+         "_eta": f"(`{x}` - {FALSE_EASTING}D) / {grid!r}D"},
+        {"_xi0": f"_xi - ({_harmonics(GRID_TO_GEODETIC, 'sin({k} * _xi) * cosh({k} * _eta)')})",
+         "_eta0": f"_eta - ({_harmonics(GRID_TO_GEODETIC, 'cos({k} * _xi) * sinh({k} * _eta)')})"},
+        {"_chi": "asin(sin(_xi0) / cosh(_eta0))",
+         lon: f"{central_meridian(zone)}D + degrees(atan2(sinh(_eta0), cos(_xi0)))"},
+        {lat: f"degrees(_chi + {_harmonics(CONFORMAL_TO_LATITUDE, 'sin({k} * _chi)')})"},
+    ], [lat, lon])
 
 
 def with_grid(df: DataFrame, lat: str = "lat", lon: str = "lon", x: str = "x", y: str = "y",
               zone: int = 19, south: bool = True) -> DataFrame:
     """Add UTM coordinates of WGS84 latitude and longitude (inverse of `with_latlon`)."""
     grid = SCALE_ON_MERIDIAN * _RECTIFYING_RADIUS
-    phi = F.radians(F.col(lat))
-    east = F.radians(F.col(lon) - central_meridian(zone))
-    xi, eta = F.col("_xi"), F.col("_eta")
-    conformal = F.sinh(F.atanh(F.sin(phi))
-                       - _ECCENTRICITY * F.atanh(_ECCENTRICITY * F.sin(phi)))
-    return (
-        df
-        .withColumns({"_tau": conformal, "_east": east})
-        .withColumns({
-            "_xi": F.atan2(F.col("_tau"), F.cos("_east")),
-            "_eta": F.asinh(F.sin("_east")
-                            / F.sqrt(F.col("_tau") * F.col("_tau")
-                                     + F.cos("_east") * F.cos("_east"))),
-        })
-        .withColumns({
-            x: FALSE_EASTING + grid * (
-                eta + _harmonics(GEODETIC_TO_GRID, lambda k: F.cos(k * xi) * F.sinh(k * eta))),
-            y: (FALSE_NORTHING_SOUTH if south else 0.0) + grid * (
-                xi + _harmonics(GEODETIC_TO_GRID, lambda k: F.sin(k * xi) * F.cosh(k * eta))),
-        })
-        .select(*[F.col(f"`{c}`") for c in df.columns if c not in (x, y)], x, y)
-    )
-
-
-def great_circle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Haversine distance in metres."""
-    half_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    half_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return 2 * EARTH_RADIUS * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return _add(df, [
+        {"_phi": f"radians(`{lat}`)", "_east": f"radians(`{lon}` - {central_meridian(zone)}D)"},
+        {"_tau": f"sinh(atanh(sin(_phi))"
+                 f" - {_ECCENTRICITY!r}D * atanh({_ECCENTRICITY!r}D * sin(_phi)))"},
+        {"_xi": "atan2(_tau, cos(_east))",
+         "_eta": "asinh(sin(_east) / sqrt(_tau * _tau + cos(_east) * cos(_east)))"},
+        {x: f"{FALSE_EASTING}D + {grid!r}D * (_eta"
+            f" + {_harmonics(GEODETIC_TO_GRID, 'cos({k} * _xi) * sinh({k} * _eta)')})",
+         y: f"{FALSE_NORTHING_SOUTH if south else 0.0}D + {grid!r}D * (_xi"
+            f" + {_harmonics(GEODETIC_TO_GRID, 'sin({k} * _xi) * cosh({k} * _eta)')})"},
+    ], [x, y])
+
+
+def great_circle(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Haversine distance in metres between two places given by column names."""
+    return F.expr(f"""
+        2 * {EARTH_RADIUS}D * asin(sqrt(least(1D,
+          pow(sin(radians({lat2} - {lat1}) / 2), 2)
+          + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))
+    """)
 
 
 def degrees_of_latitude(metres: float) -> float:

@@ -120,17 +120,17 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
     rounded = (lambda c: c.cast("float").cast("double")) if single_precision else (lambda c: c)
     value, n = F.col("value"), F.col("n")
     counts = settle(counts, "value-counts")
-    largest = _largest_group(counts, keys)
-    totals = counts.groupBy(*keys).agg(
+    totals = settle(counts.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("n"),
         F.try_divide(F.sum(value * n), F.sum(F.when(value.isNotNull(), n))).alias("mean"),
-        F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"))
-    medians = (weighted_median(counts, keys, largest, limit)
-               .withColumn("median", rounded(F.col("median"))))
+        F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"),
+        F.count(F.lit(1)).alias("_distinct")), "totals")
+    largest = totals.agg(F.max("_distinct")).first()[0] or 0
+    medians = settle(weighted_median(counts, keys, largest, limit)
+                     .withColumn("median", rounded(F.col("median"))), "medians")
     off = deviation_counts(counts, medians, keys)
     if largest > limit:
-        medians = settle(medians, "medians")
-        off = settle(deviation_counts(counts, medians, keys), "deviation-counts")
+        off = settle(off, "deviation-counts")
     # Deviations merge values and never split them: `largest` bounds them too.
     deviations = (weighted_median(off, keys, largest, limit)
                   .withColumn("mad", rounded(F.col("median")) * scale).drop("median"))

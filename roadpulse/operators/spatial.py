@@ -18,26 +18,25 @@ _SLACK = 1.0001
 _NO_POINT, _NO_SITE = -(2**40), 2**40
 
 
-def _band(lat: Column, radius: float) -> Column:
-    return F.floor(lat / (degrees_of_latitude(radius) * _SLACK))
+def _band(lat: str, radius: float) -> str:
+    return f"floor({lat} / {degrees_of_latitude(radius) * _SLACK!r}D)"
 
 
-def _cells_around(band: Column, radius: float) -> Column:
+def _cells_around(band: str, radius: float) -> str:
     """How many equal cells circle the earth in a latitude band, each at least a radius wide.
 
     Two points within the radius, one of them in the band, have latitudes up to
     one band beyond it; the widest longitude difference follows from that.
     """
     step = degrees_of_latitude(radius) * _SLACK
-    farthest = F.least(F.greatest(F.abs(band - 1), F.abs(band + 2)) * step, F.lit(90.0))
-    half = F.lit(sin(radius / EARTH_RADIUS / 2)) / F.greatest(F.cos(F.radians(farthest)),
-                                                            F.lit(1e-12))
-    width = F.degrees(2 * F.asin(F.least(half, F.lit(1.0)))) * _SLACK
-    return F.greatest(F.floor(360.0 / width), F.lit(1))
+    farthest = f"least(greatest(abs({band} - 1), abs({band} + 2)) * {step!r}D, 90D)"
+    half = f"{sin(radius / EARTH_RADIUS / 2)!r}D / greatest(cos(radians({farthest})), 1e-12D)"
+    width = f"degrees(2 * asin(least({half}, 1D))) * {_SLACK}D"
+    return f"greatest(floor(360D / ({width})), 1L)"
 
 
-def _cell(lon: Column, cells: Column) -> Column:
-    return F.floor((lon + 180.0) / 360.0 * cells)
+def _cell(lon: str) -> str:
+    return f"floor(({lon} + 180D) / 360D * _cells)"
 
 
 def within_radius(points: DataFrame, sites: DataFrame, radius: float = 1000.0) -> DataFrame:
@@ -47,27 +46,27 @@ def within_radius(points: DataFrame, sites: DataFrame, radius: float = 1000.0) -
     Sites, the smaller side, are entered into their own and the eight
     neighbouring cells, so each pair meets exactly once, in the point's cell.
     """
+    neighbours = ", ".join(f"coalesce(pmod(_own + {k}, _cells), -1L)" for k in (-1, 0, 1))
     near = (
         sites.withColumnsRenamed({"lat": "site_lat", "lon": "site_lon"})
-        .withColumn("_band", F.coalesce(_band(F.col("site_lat"), radius), F.lit(_NO_SITE)))
-        .withColumn("_band", F.explode(F.array(*[F.col("_band") + k for k in (-1, 0, 1)])))
-        .withColumn("_cells", _cells_around(F.col("_band"), radius))
-        .withColumn("_own", _cell(F.col("site_lon"), F.col("_cells")))
-        .withColumn("_cell", F.explode(F.array_distinct(F.array(*[
-            F.coalesce(F.pmod(F.col("_own") + k, F.col("_cells")), F.lit(-1))
-            for k in (-1, 0, 1)]))))
+        .withColumn("_band", F.expr(f"coalesce({_band('site_lat', radius)}, {_NO_SITE}L)"))
+        .withColumn("_band", F.expr("explode(array(_band - 1, _band, _band + 1))"))
+        .withColumn("_cells", F.expr(_cells_around("_band", radius)))
+        .withColumn("_own", F.expr(_cell("site_lon")))
+        .withColumn("_cell", F.expr(f"explode(array_distinct(array({neighbours})))"))
         .drop("_cells", "_own")
     )
+    # A point may meet many sites: spread the points over all tasks beforehand.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        points.withColumn("_band", F.coalesce(_band(F.col("lat"), radius), F.lit(_NO_POINT)))
-        .withColumn("_cells", _cells_around(F.col("_band"), radius))
-        .withColumn("_cell", F.coalesce(F.pmod(_cell(F.col("lon"), F.col("_cells")),
-                                               F.col("_cells")), F.lit(-2)))
+        points.repartition(tasks, *points.columns)
+        .withColumn("_band", F.expr(f"coalesce({_band('lat', radius)}, {_NO_POINT}L)"))
+        .withColumn("_cells", F.expr(_cells_around("_band", radius)))
+        .withColumn("_cell", F.expr(f"coalesce(pmod({_cell('lon')}, _cells), -2L)"))
         .drop("_cells")
     )
     return (placed.join(near, ["_band", "_cell"])
-            .withColumn("distance", great_circle(F.col("lat"), F.col("lon"),
-                                                 F.col("site_lat"), F.col("site_lon")))
+            .withColumn("distance", great_circle("lat", "lon", "site_lat", "site_lon"))
             .where(F.col("distance") <= radius)
             .drop("_band", "_cell", "site_lat", "site_lon"))
 
