@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geo import with_latlon
@@ -20,68 +20,66 @@ def parse_anomalies(messages: DataFrame, value: str = "value") -> DataFrame:
     return messages.select(F.col(value).alias("value"), to_id(text).alias("edge_id"))
 
 
-def sign_sites(edges: DataFrame, nodes: DataFrame, boards: DataFrame,
-               radius: float = RADIUS_METRES) -> tuple[DataFrame, DataFrame]:
-    """(edge_id, from_node, to_node, node_known per edge; node, board, distance pairs).
+def locate_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """edge_id, from_node, to_node, node_known (NULL if the map lacks the from node)."""
+    known = nodes.select(F.col("node_id").alias("from_node"), F.lit(True).alias("node_known"))
+    return (edges.select("edge_id", "from_node", "to_node")
+            .join(known.distinct(), "from_node", "left"))
 
-    The geometry is done once per node that starts an edge, not per anomaly.
+
+def boards_near(edges: DataFrame, nodes: DataFrame, boards: DataFrame,
+                radius: float = RADIUS_METRES) -> DataFrame:
+    """from_node, board, distance for each node that starts an edge.
+
+    The geometry is done once per node, not per anomaly.
     """
     starts = edges.select(F.col("from_node").alias("node_id")).distinct()
     placed = with_latlon(nodes.join(starts, "node_id", "left_semi")).select(
         F.col("node_id").alias("from_node"), "lat", "lon")
     sites = boards.select(F.col("description").alias("board"), "lat", "lon")
-    near = within_radius(placed, sites, radius).select("from_node", "board", "distance")
-    known = (edges.select("edge_id", "from_node", "to_node")
-             .join(nodes.select(F.col("node_id").alias("from_node"),
-                                F.lit(True).alias("node_known")).distinct(),
-                   "from_node", "left"))
-    return known, near
+    return within_radius(placed, sites, radius).select("from_node", "board", "distance")
 
 
-def _why_rejected() -> Column:
-    return (F.when(F.col("edge_id").isNull(), "no edge id")
-            .when(F.col("from_node").isNull(), "unknown edge")
-            .when(F.col("node_known").isNull(), "unknown node"))
+def _with_reason(found: DataFrame, located: DataFrame) -> DataFrame:
+    """Anomalies with their edge's nodes and, where that fails, a `reason`."""
+    reason = (F.when(F.col("edge_id").isNull(), "no edge id")
+              .when(F.col("from_node").isNull(), "unknown edge")
+              .when(F.col("node_known").isNull(), "unknown node"))
+    return found.join(located, "edge_id", "left").withColumn("reason", reason)
 
 
-def located_anomalies(found: DataFrame, known: DataFrame) -> DataFrame:
-    """Anomalies with their edge's nodes and, where that fails, a `reason`."""
-    return (found.join(known, "edge_id", "left")
-            .withColumn("reason", _why_rejected()))
+def sign_rows(found: DataFrame, located: DataFrame, near: DataFrame,
+              strict: bool = True) -> DataFrame:
+    """edge_id, routing_key, body from the results of `locate_edges` and `boards_near`."""
+    judged = _with_reason(found, located)
+    if strict:
+        complaint = F.raise_error(F.concat(
+            F.col("reason"), F.lit(": "), F.coalesce(F.col("edge_id").cast("string"), F.lit(""))))
+        judged = judged.withColumn("from_node", F.when(
+            F.col("reason").isNull(), F.col("from_node")).otherwise(complaint.cast("bigint")))
+        near = near.withColumn("board", F.coalesce(
+            F.col("board"), F.raise_error(F.lit("board without description")).cast("string")))
+    else:
+        judged = judged.where(F.col("reason").isNull())
+        near = near.where(F.col("board").isNotNull())
+    return (judged.join(near, "from_node")
+            .select("edge_id", F.lit(SIGN_ROUTING_KEY).alias("routing_key"),
+                    sign_text(F.col("board"), F.col("from_node"), F.col("to_node")).alias("body")))
 
 
 def sign_messages(found: DataFrame, edges: DataFrame, nodes: DataFrame, boards: DataFrame,
                   radius: float = RADIUS_METRES, strict: bool = True) -> DataFrame:
-    """routing_key, body: one message per anomaly and board near the edge's start.
+    """edge_id, routing_key, body: one message per anomaly and board near the edge's start.
 
     `found` holds edge_id. Strict mode fails on an anomaly without a known edge
     and node and on a board without a description; otherwise such rows are left
     out here and `rejected_anomalies` lists them.
     """
-    known, near = sign_sites(edges, nodes, boards, radius)
-    located = located_anomalies(found, known)
-    if strict:
-        located = located.withColumn("from_node", F.when(F.col("reason").isNull(),
-                                                         F.col("from_node"))
-                                     .otherwise(F.raise_error(F.concat(
-                                         F.col("reason"), F.lit(": "),
-                                         F.coalesce(F.col("edge_id").cast("string"), F.lit("")))))
-                                     .cast("bigint"))
-        near = near.withColumn("board", F.coalesce(
-            F.col("board"), F.raise_error(F.lit("board without description")).cast("string")))
-    else:
-        located = located.where(F.col("reason").isNull())
-        near = near.where(F.col("board").isNotNull())
-    return (located.join(near, "from_node")
-            .select("edge_id", F.lit(SIGN_ROUTING_KEY).alias("routing_key"),
-                    sign_text(F.col("board"), F.col("from_node"), F.col("to_node")).alias("body")))
+    return sign_rows(found, locate_edges(edges, nodes),
+                     boards_near(edges, nodes, boards, radius), strict)
 
 
 def rejected_anomalies(found: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edge_id and other input columns of unusable anomalies, with the reason."""
-    known = (edges.select("edge_id", "from_node", "to_node")
-             .join(nodes.select(F.col("node_id").alias("from_node"),
-                                F.lit(True).alias("node_known")).distinct(),
-                   "from_node", "left"))
-    return (located_anomalies(found, known).where(F.col("reason").isNotNull())
+    """The columns of unusable anomalies, with the reason."""
+    return (_with_reason(found, locate_edges(edges, nodes)).where(F.col("reason").isNotNull())
             .drop("from_node", "to_node", "node_known"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geo import EARTH_RADIUS, degrees_of_latitude, great_circle
+from roadpulse.session import settle
 
 # Keeps cells a little larger than the radius, against rounding.
 _SLACK = 1.0001
@@ -84,6 +85,8 @@ def nearest_node(points: DataFrame, nodes: DataFrame, leaf: float = 8.0) -> Data
     possible node is no farther than the nearest node known so far, which is
     exact and leaves a few cells per point however the nodes are clustered.
     """
+    nodes = settle(nodes.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+                   .groupBy("x", "y").agg(F.min("node_id").alias("node_id")), "places")
     extent = nodes.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     if extent[0] is None:
         return points.withColumns({"node_id": F.lit(None).cast("bigint"),
@@ -94,19 +97,24 @@ def nearest_node(points: DataFrame, nodes: DataFrame, leaf: float = 8.0) -> Data
     parts = 8 ** levels
 
     def index(value: Column, origin: float) -> Column:
-        return F.least(F.floor((value - origin) / side * parts), F.lit(parts - 1))
+        return F.least(F.greatest(F.floor((value - origin) / side * parts), F.lit(0)),
+                       F.lit(parts - 1))
 
-    located = (nodes.groupBy("x", "y").agg(F.min("node_id").alias("node_id"))
-               .withColumns({"cx": index(F.col("x"), left), "cy": index(F.col("y"), bottom)}))
+    def cell(value: Column, origin: float, level: int) -> Column:
+        return F.shiftright(index(value, origin), 3 * (levels - level))
+
+    # The top level is one cell; at the last, cells are no wider than `leaf`.
+    located = nodes.withColumns({"cx": cell(F.col("x"), left, levels),
+                                 "cy": cell(F.col("y"), bottom, levels)})
     px, py = F.col("px"), F.col("py")
     per_point = Window.partitionBy("px", "py")
     frontier = (points.select(F.col("x").alias("px"), F.col("y").alias("py"))
                 .where(F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
-                .withColumns({"cx": F.lit(0).cast("bigint"), "cy": F.lit(0).cast("bigint")}))
+                .withColumns({"cx": cell(px, left, 0), "cy": cell(py, bottom, 0)}))
     for level in range(1, levels + 1):
-        down = 3 * (levels - level)
-        cells = (located
-                 .groupBy(F.shiftright("cx", down).alias("kx"), F.shiftright("cy", down).alias("ky"))
+        cells = (nodes
+                 .groupBy(cell(F.col("x"), left, level).alias("kx"),
+                          cell(F.col("y"), bottom, level).alias("ky"))
                  .agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
                       F.min("y").alias("y0"), F.max("y").alias("y1"),
                       F.min(F.struct("x", "y")).alias("some"))

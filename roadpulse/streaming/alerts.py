@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.detect import anomalies, anomaly_messages, parse_speeds
-from roadpulse.operators.signs import RADIUS_METRES, parse_anomalies, sign_messages
+from roadpulse.operators.signs import (
+    RADIUS_METRES,
+    boards_near,
+    locate_edges,
+    parse_anomalies,
+    sign_rows,
+)
+from roadpulse.session import settle
 from roadpulse.sinks.streams import sign_records, to_console
 
 
 def detect(messages: DataFrame, model: DataFrame) -> DataFrame:
-    """Speed messages -> anomalous speeds. The model is read when the query starts."""
-    return anomalies(parse_speeds(messages), model)
+    """Speed messages -> anomalous speeds, by the model as it is when the query starts."""
+    usable = settle(model.select("edge_id", "lower_threshold"), "model")
+    return anomalies(parse_speeds(messages), usable)
 
 
 def start_alerts(messages: DataFrame, model: DataFrame, send, checkpoint: str,
@@ -31,5 +39,7 @@ def start_alerts(messages: DataFrame, model: DataFrame, send, checkpoint: str,
 def signs(messages: DataFrame, edges: DataFrame, nodes: DataFrame, boards: DataFrame,
           radius: float = RADIUS_METRES, strict: bool = True) -> DataFrame:
     """Anomaly messages -> key, value of sign messages, one per board nearby."""
-    return sign_records(sign_messages(parse_anomalies(messages), edges, nodes, boards,
-                                      radius, strict))
+    # Every micro-batch reads these two; the road map and the geometry are done once.
+    located = settle(locate_edges(edges, nodes), "located-edges")
+    near = settle(boards_near(edges, nodes, boards, radius), "boards-near")
+    return sign_records(sign_rows(parse_anomalies(messages), located, near, strict))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from roadpulse.functions.messages import speed_message
+from roadpulse.session import settle
 
 SPEEDS = "uuid string, seq bigint, tick bigint, edge_id bigint, avg_speed double"
 
@@ -48,7 +49,9 @@ def speed_stream(positions: DataFrame, edges: DataFrame) -> DataFrame:
 
     Needs the RocksDB state store (`roadpulse.session.DEFAULTS`).
     """
-    located = positions.join(edges.select("edge_id", "length"), "edge_id", "left")
+    # Every micro-batch reads the lengths; the road map is parsed once.
+    lengths = settle(edges.select("edge_id", "length"), "lengths")
+    located = positions.join(lengths, "edge_id", "left")
     return located.groupBy("uuid").transformWithState(
         statefulProcessor=LastTick(), outputStructType=SPEEDS,
         outputMode="Append", timeMode="None")
