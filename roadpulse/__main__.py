@@ -1,4 +1,4 @@
-"""Commands: spark-submit --py-files roadpulse.zip -m ... or python -m roadpulse <command>."""
+"""Commands: python -m roadpulse <command>, or spark-submit of this file."""
 
 from __future__ import annotations
 
@@ -31,7 +31,8 @@ def _send(args, topic: str):
 
 
 def train_model(spark, args):
-    jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32)
+    jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32,
+                     args.inspect)
 
 
 def derive_speeds(spark, args):
@@ -64,11 +65,12 @@ def health_check(spark, args):
 
 
 def split_trips(spark, args):
-    jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target)
+    names = args.attributes.split(",") if args.attributes else None
+    jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target, names)
 
 
 def expand_trips(spark, args):
-    jobs.expand_trip_file(spark, args.trips, args.target, args.seed)
+    jobs.expand_trip_file(spark, args.trips, args.target, args.seed, args.parallel)
 
 
 def register_cars(spark, args):
@@ -111,6 +113,7 @@ def parser() -> argparse.ArgumentParser:
     sub = command(train_model, "histories", "map", "model")
     sub.add_argument("--rejects")
     sub.add_argument("--float32", action="store_true", help="round medians to 32-bit floats")
+    sub.add_argument("--inspect", action="store_true", help="print the first rows of each step")
     sub = command(derive_speeds, "map")
     sub.add_argument("--position-topic", default="positions")
     streaming(sub)
@@ -124,7 +127,10 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("begin", type=int)
     sub.add_argument("end", type=int)
     sub.add_argument("target")
-    command(expand_trips, "trips", "target").add_argument("--seed")
+    sub.add_argument("--attributes", help="comma-separated; read a large file in parallel")
+    sub = command(expand_trips, "trips", "target")
+    sub.add_argument("--seed")
+    sub.add_argument("--parallel", action="store_true", help="read a large file in parallel")
     command(register_cars, "vehicles", "resources", "capabilities")
     sub = command(publish_board, "node_id")
     sub.add_argument("x", type=float)

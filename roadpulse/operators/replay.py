@@ -35,15 +35,10 @@ def _with_state(df: DataFrame, keys: list[str], order: str) -> DataFrame:
             .drop("_run"))
 
 
-def replay_speeds(arrivals: DataFrame, edges: DataFrame,
-                  slice_bits: int = SLICE_BITS) -> DataFrame:
-    """uuid, seq, tick, edge_id, avg_speed of every accepted point.
-
-    `arrivals` holds uuid, seq (arrival order, unique per vehicle), tick and
-    edge_id. Each slice of arrivals is first summarised alone; the summaries,
-    which obey the same rule, give the state each slice starts with. Both
-    passes share one shuffle of the arrivals by vehicle and slice.
-    """
+def _slices(arrivals: DataFrame, edges: DataFrame,
+            slice_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(arrivals by vehicle and slice; per slice its `state`, the tick it starts
+    with, and `state_after`)."""
     unset = F.lit(None).cast("bigint")
     keys = ["uuid", "slice"]
     rows = (arrivals.select("uuid", "seq", "tick", "edge_id")
@@ -52,15 +47,34 @@ def replay_speeds(arrivals: DataFrame, edges: DataFrame,
             .where(F.col("uuid").isNotNull() & F.col("slice").isNotNull())
             .repartition(*keys)
             .withColumn("known", F.col("length").isNotNull()))
-    # The null checks above (which the join below would add on its side only) and
-    # naming all columns here make the shuffle of both passes the same.
+    # The null checks above (which a join on the keys would add on its side only)
+    # and naming all columns here make the shuffle of both passes the same.
     last = F.max_by(F.struct("state_after", "edge_id", "length"), "seq")
     summaries = (_with_state(rows.withColumn("start", unset), keys, "seq")
                  .groupBy(*keys).agg(F.max("known").alias("known"), last.alias("last"))
                  .select(*keys, "known", F.col("last.state_after").alias("tick")))
-    starts = (_with_state(summaries.withColumn("start", unset), ["uuid"], "slice")
-              .select(*keys, F.col("state").alias("start")))
+    return rows, _with_state(summaries.withColumn("start", unset), ["uuid"], "slice")
+
+
+def replay_speeds(arrivals: DataFrame, edges: DataFrame,
+                  slice_bits: int = SLICE_BITS) -> DataFrame:
+    """uuid, seq, tick, edge_id, avg_speed of every accepted point.
+
+    `arrivals` holds uuid, seq (arrival order, unique per vehicle), tick and
+    edge_id. Each slice of arrivals is first summarised alone; the summaries,
+    which obey the same rule, give the state each slice starts with. Both
+    passes share one shuffle of the arrivals by vehicle and slice.
+    """
+    rows, slices = _slices(arrivals, edges, slice_bits)
+    keys = ["uuid", "slice"]
+    starts = slices.select(*keys, F.col("state").alias("start"))
     return (_with_state(rows.join(starts, keys), keys, "seq")
             .where(F.col("length").isNotNull() & (F.col("tick") > F.col("state")))
             .select("uuid", "seq", "tick", "edge_id",
                     (F.col("length") / (F.col("tick") - F.col("state"))).alias("avg_speed")))
+
+
+def last_ticks(arrivals: DataFrame, edges: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
+    """uuid, tick: the state the arrivals leave each vehicle in."""
+    _, slices = _slices(arrivals, edges, slice_bits)
+    return slices.groupBy("uuid").agg(F.max_by("state_after", "slice").alias("tick"))

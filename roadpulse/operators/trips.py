@@ -7,9 +7,10 @@ import secrets
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TRIP_ATTRIBUTES = ["name", "origin", "destination", "link_origin", "count", "start", "mode"]
 JITTER_TICKS = 25
 # Vehicles one row generates at a time; larger trips are spread over tasks.
-CHUNK = 4096
+CHUNK = 1 << 18
 
 
 def split_trips(trips: DataFrame, begin: int, end: int) -> DataFrame:
@@ -31,7 +32,8 @@ def _as_uuid(digest: Column) -> Column:
                     F.lit("-"), F.substring(digest, 21, 12))
 
 
-def expand_trips(trips: DataFrame, seed: str | None = None, tasks: int | None = None) -> DataFrame:
+def expand_trips(trips: DataFrame, seed: str | None = None, tasks: int | None = None,
+                 chunk: int = CHUNK) -> DataFrame:
     """One row per vehicle: the trip's attributes, count 1, a start delayed by 0 to 25
     ticks and an own uuid.
 
@@ -43,16 +45,16 @@ def expand_trips(trips: DataFrame, seed: str | None = None, tasks: int | None =
     spark = trips.sparkSession
     seed = secrets.token_hex(8) if seed is None else seed
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    attributes = ["name", "origin", "destination", "link_origin", "start", "mode"]
+    attributes = [a for a in TRIP_ATTRIBUTES if a != "count"]
     count = F.greatest(F.col("count").cast("bigint"), F.lit(0))
     merged = trips.groupBy(*attributes).agg(F.sum(count).alias("vehicles"))
     # A fixed number of partitions: the rows grow manyfold after this exchange.
     chunks = (merged.where(F.col("vehicles") > 0)
               .withColumn("chunk", F.explode(F.sequence(
-                  F.lit(0).cast("bigint"), F.floor((F.col("vehicles") - 1) / CHUNK))))
+                  F.lit(0).cast("bigint"), F.floor((F.col("vehicles") - 1) / chunk))))
               .repartition(tasks, *attributes, "chunk"))
-    first = F.col("chunk") * CHUNK
-    last = F.least(first + CHUNK, F.col("vehicles")) - 1
+    first = F.col("chunk") * chunk
+    last = F.least(first + chunk, F.col("vehicles")) - 1
     digest = F.col("_digest")
     return (chunks
             .withColumn("vehicle", F.explode(F.sequence(first, last)))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.functions.geo import with_latlon
 from roadpulse.operators import catalog, compare, movement, trips
 from roadpulse.operators.robust import bounds_from_counts
+from roadpulse.session import settle
 from roadpulse.sinks import files as out
 from roadpulse.sources import files as src
 
@@ -18,21 +19,37 @@ def train(positions: DataFrame, edges: DataFrame, single_precision: bool = False
 
 
 def train_model(spark: SparkSession, histories: str, road_map: str, model: str,
-                rejects: str | None = None, single_precision: bool = False) -> None:
-    """Histories (JSON lines) and the road map (XML) -> model (CSV)."""
+                rejects: str | None = None, single_precision: bool = False,
+                inspect: bool = False) -> None:
+    """Histories (JSON lines) and the road map (XML) -> model (CSV).
+
+    `inspect` prints the number of positions and the first rows of each step.
+    """
     points = movement.flatten_histories(src.read_histories(spark, histories))
     good, bad = movement.clean_positions(points)
-    out.write_model(train(good, src.read_links(spark, road_map), single_precision), model)
+    edges = src.read_links(spark, road_map)
+    if inspect:
+        good, edges = settle(good, "positions"), settle(edges, "links")
+        good.show()
+        print(good.count())
+        movement.edge_speeds(good, edges).show(truncate=False)
+    out.write_model(train(good, edges, single_precision), model)
+    if inspect:
+        src.read_model(spark, model).show()
     if rejects:
         bad.write.mode("overwrite").json(rejects)
 
 
-def split_trip_file(spark: SparkSession, path: str, begin: int, end: int, target: str) -> None:
-    out.write_trips_xml(trips.split_trips(src.read_trips(spark, path), begin, end), target)
+def split_trip_file(spark: SparkSession, path: str, begin: int, end: int, target: str,
+                    attributes: list[str] | None = None) -> None:
+    found = src.read_trips(spark, path, attributes)
+    out.write_trips_xml(trips.split_trips(found, begin, end), target)
 
 
-def expand_trip_file(spark: SparkSession, path: str, target: str, seed: str | None = None) -> None:
-    out.write_vehicles_csv(trips.expand_trips(src.read_trips(spark, path), seed), target)
+def expand_trip_file(spark: SparkSession, path: str, target: str, seed: str | None = None,
+                     parallel: bool = False) -> None:
+    found = src.read_trips(spark, path, trips.TRIP_ATTRIBUTES if parallel else None)
+    out.write_vehicles_csv(trips.expand_trips(found, seed), target)
 
 
 def register_cars(spark: SparkSession, vehicles: str, resources: str, capabilities: str) -> None:

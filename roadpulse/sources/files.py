@@ -49,10 +49,18 @@ def read_nodes(spark: SparkSession, path: str, parallel: bool = False) -> DataFr
     return last_write_wins(nodes, ["node_id"], "_position").select("node_id", "x", "y")
 
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Every attribute of every <trip>, as text, under its own name."""
-    trips = (spark.read.format("xml").option("rowTag", "trip").option("inferSchema", False)
-             .load(path))
+def read_trips(spark: SparkSession, path: str, attributes: list[str] | None = None) -> DataFrame:
+    """Attributes of every <trip>, as text, under their own names.
+
+    Without `attributes` all that occur are found by the XML reader. Naming them
+    lets a large file be read in parallel (see `_elements`).
+    """
+    if attributes:
+        schema = ", ".join(f"`_{a}` string" for a in attributes)
+        trips = _elements(spark, path, "trip", schema, True).drop("_metadata")
+    else:
+        trips = (spark.read.format("xml").option("rowTag", "trip").option("inferSchema", False)
+                 .load(path))
     return trips.withColumnsRenamed({c: c[1:] for c in trips.columns if c.startswith("_")})
 
 

@@ -40,21 +40,28 @@ class LastTick(StatefulProcessor):
             tick = point.tick
         self._tick.update((tick,))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._tick.update((initialState.tick,))
+
     def close(self) -> None:
         pass
 
 
-def speed_stream(positions: DataFrame, edges: DataFrame) -> DataFrame:
+def speed_stream(positions: DataFrame, edges: DataFrame,
+                 last_ticks: DataFrame | None = None) -> DataFrame:
     """Streaming uuid, seq, tick, edge_id -> accepted speeds.
 
-    Needs the RocksDB state store (`roadpulse.session.DEFAULTS`).
+    `last_ticks` (uuid, tick), e.g. from `roadpulse.operators.replay`, is where
+    the first run starts from. Needs the RocksDB state store
+    (`roadpulse.session.DEFAULTS`).
     """
     # Every micro-batch reads the lengths; the road map is parsed once.
     lengths = settle(edges.select("edge_id", "length"), "lengths")
     located = positions.join(lengths, "edge_id", "left")
     return located.groupBy("uuid").transformWithState(
         statefulProcessor=LastTick(), outputStructType=SPEEDS,
-        outputMode="Append", timeMode="None")
+        outputMode="Append", timeMode="None",
+        initialState=last_ticks.groupBy("uuid") if last_ticks is not None else None)
 
 
 def speed_records(speeds: DataFrame) -> DataFrame:

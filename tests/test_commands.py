@@ -23,7 +23,7 @@ def test_from_histories_to_signs(spark, tmp_path):
         {"date": "d", "nodeID": 2.0, "tick": "0"},
         {"date": "d", "nodeID": 1.0, "tick": str(5 + i % 2)}]}} for i in range(20)]
     lines(tmp_path / "histories.json", histories)
-    run("train-model", f"{root}/histories.json", f"{root}/map.xml", f"{root}/model")
+    run("train-model", f"{root}/histories.json", f"{root}/map.xml", f"{root}/model", "--inspect")
     model = src.read_model(spark, f"{root}/model").collect()
     assert [r.edge_id for r in model] == [1]
     assert 0 < model[0].lower_threshold < 12.5 / 6

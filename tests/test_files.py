@@ -66,6 +66,16 @@ def test_trip_split_keeps_unknown_attributes(spark, tmp_path):
         "a": ("2", "0", "x"), "c": ("0", "100", None)}
 
 
+def test_named_attributes_are_read_in_parallel(spark, tmp_path):
+    (tmp_path / "trips.xml").write_text(TRIPS)
+    names = ["name", "count", "start", "extra"]
+    rows = src.read_trips(spark, f"{tmp_path}/trips.xml", names).collect()
+    assert sorted(map(tuple, rows)) == [
+        ("a", "3", "600", "x"), ("b", "2", "1300", None), ("c", "0", "700", None)]
+    jobs.expand_trip_file(spark, f"{tmp_path}/trips.xml", f"{tmp_path}/vehicles", "s", True)
+    assert spark.read.text(f"{tmp_path}/vehicles").count() == 5
+
+
 def test_expand_and_register_cars(spark, tmp_path):
     (tmp_path / "trips.xml").write_text(TRIPS)
     jobs.expand_trip_file(spark, f"{tmp_path}/trips.xml", f"{tmp_path}/vehicles", "s")

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from roadpulse.operators.replay import replay_speeds
+from roadpulse.operators.replay import last_ticks, replay_speeds
 from roadpulse.sinks.streams import to_files
 from roadpulse.sources.streams import file_messages, positions
 from roadpulse.streaming.speeds import SPEEDS, speed_records, speed_stream
@@ -17,8 +17,8 @@ EXPECTED = [("a", 1, 20, 8, 5.0), ("a", 3, 40, 8, 2.5), ("a", 6, 50, 7, 100 / 15
             ("b", 9, 9, 8, 12.5)]
 
 
-def model(points):
-    held, out = {}, []
+def model(points, held=None):
+    held, out = {} if held is None else held, []
     for uuid, seq, tick, edge in sorted(points, key=lambda p: p[1]):
         before, length = held.get(uuid), LENGTHS.get(edge)
         if before is not None and tick > before:
@@ -64,8 +64,9 @@ def write_messages(spark, points, path):
     spark.createDataFrame(rows, "key string, value string, seq bigint").write.mode("append").parquet(path)
 
 
-def run(spark, folder):
-    speeds = speed_stream(positions(file_messages(spark, f"{folder}/in")), edges(spark))
+def run(spark, folder, start=None):
+    points = positions(file_messages(spark, f"{folder}/in"))
+    speeds = speed_stream(points, edges(spark), start)
     to_files(speeds, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     return sorted(map(tuple, spark.read.schema(SPEEDS).parquet(f"{folder}/out").collect()))
 
@@ -78,6 +79,17 @@ def test_stream_equals_model_over_restarts(spark, tmp_path):
         assert run(spark, tmp_path) == model(points[:upto])
 
 
+def test_stream_goes_on_from_a_replay(spark, tmp_path):
+    points = TRACE + disordered(2, 120)[10:]
+    early, late = points[:70], points[70:]
+    held = {}
+    model(early, held)
+    start = last_ticks(arrivals(spark, early), edges(spark), 3)
+    assert {r.uuid: r.tick for r in start.collect()} == held
+    write_messages(spark, late, f"{tmp_path}/in")
+    assert run(spark, tmp_path, start) == model(late, held)
+
+
 def test_speed_records(spark):
     speeds = spark.createDataFrame([EXPECTED[0]], SPEEDS)
     assert speed_records(speeds).first().value == '{"edge_id":8,"avg_speed":5.0}'

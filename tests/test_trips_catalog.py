@@ -21,7 +21,7 @@ def test_expand(spark):
     rows = [("t1", "o", "d", "l", 3, 100, "car"), ("t1", "o", "d", "l", 2, 100, "car"),
             ("t2", "o", "d", "l", 0, 0, "car"), ("t3", "o", None, "l", -4, 0, "car"),
             ("t4", "o", None, "l", 9000, 50, "bus")]
-    got = expand(spark, rows, seed="s")
+    got = expand(spark, rows, seed="s", chunk=1000)
     count = {n: sum(r.name == n for r in got) for n in ("t1", "t2", "t3", "t4")}
     assert count == {"t1": 5, "t2": 0, "t3": 0, "t4": 9000}
     assert len({r.uuid for r in got}) == 9005
