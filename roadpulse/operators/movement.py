@@ -42,12 +42,13 @@ def moves(positions: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     points = (positions.groupBy("uuid", F.col("tick").cast("bigint").alias("tick")).agg(F.min("edge_id").alias("edge_id"))
               .withColumn("slice", F.shiftright("tick", slice_bits)))
     by_slice = Window.partitionBy("uuid").orderBy("slice")
-    # The whole last point is named, so that both uses of `points` share one shuffle.
-    last = F.max(F.struct("tick", "edge_id")).alias("last")
-    carried = (points.groupBy("uuid", "slice").agg(last)
-               .select("uuid", "slice", F.lag("last.tick").over(by_slice).alias("tick"))
-               .where(F.col("tick").isNotNull())
-               .withColumns({"edge_id": F.lit(None).cast("bigint"), "carried": F.lit(True)}))
+    # A carried row's edge is never used; naming one lets both uses of `points`
+    # share a shuffle.
+    carried = (points.groupBy("uuid", "slice")
+               .agg(F.max("tick").alias("last"), F.max("edge_id").alias("edge_id"))
+               .select("uuid", "slice", F.lag("last").over(by_slice).alias("tick"), "edge_id",
+                       F.lit(True).alias("carried"))
+               .where(F.col("tick").isNotNull()))
     rows = points.withColumn("carried", F.lit(False)).unionByName(carried)
     previous = F.lag("tick").over(Window.partitionBy("uuid", "slice").orderBy("tick"))
     return (rows.withColumn("tick_diff", F.col("tick") - previous)

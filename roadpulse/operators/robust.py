@@ -64,6 +64,8 @@ def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> DataFrame:
         .where((F.col("through") >= low) & (F.col("below") < high))
         .select(*group, "bin", "below", "total", "lo", "hi")
     )
+    # Settled, it is known to be small where it is, and the rows then need no shuffle.
+    kept = settle(kept, "middle-bins")
     return (join_on(binned.drop("total"), kept, [*group, "bin"])
             .drop("before", "bin").withColumnRenamed("below", "before"))
 
@@ -85,7 +87,7 @@ def weighted_median(counts: DataFrame, keys: list[str], largest: int | None = No
     bins = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_BINS)
     low, high = F.col("lo"), F.col("hi")
     while largest > limit:
-        rows = settle(_narrow(rows, keys, bins), "middle-bins")
+        rows = settle(_narrow(rows, keys, bins), "middle-rows")
         largest = _largest_group(rows, [*keys, "before"])
         bins = F.when(high > low, F.floor((value - low) / (high - low) * _EVEN_BINS)
                       ).otherwise(F.lit(0))
