@@ -18,7 +18,7 @@ def flatten_histories(histories: DataFrame) -> DataFrame:
     return (histories
             .select("uuid", F.explode("capabilities.current_location").alias("point"))
             .select("uuid", F.col("point.date").alias("date"),
-                    F.expr("try_cast(point.tick AS bigint)").alias("tick"),
+                    to_id(F.col("point.tick")).alias("tick"),
                     to_id(F.col("point.nodeID")).alias("edge_id")))
 
 

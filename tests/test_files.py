@@ -116,3 +116,10 @@ def test_converted_nodes(spark, road_map, tmp_path):
     rows = spark.read.format("xml").option("rowTag", "node").load(f"{tmp_path}/nodes").collect()
     node = {r["_id"]: r for r in rows}[1492963064]
     assert (node["_lat"], node["_lon"]) == pytest.approx((-23.55857329, -46.66861573), abs=1e-8)
+
+
+def test_kafka_needs_only_the_connector(spark):
+    """The connector is a package given at submit time; here it is absent."""
+    from roadpulse.sources.streams import kafka_messages
+    with pytest.raises(Exception, match="kafka"):
+        kafka_messages(spark, "broker:9092", "data_stream")

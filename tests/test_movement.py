@@ -46,7 +46,7 @@ def test_unknown_edge_keeps_row_and_precedes(spark):
 def test_flatten_and_clean(spark):
     from roadpulse.schemas import HISTORIES
     rows = [("u1", {"current_location": [
-        {"date": "d", "nodeID": 12.0, "tick": "5"}, {"date": "d", "nodeID": 13.0, "tick": "x"}]}),
+        {"date": "d", "nodeID": 12.0, "tick": "5.0"}, {"date": "d", "nodeID": 13.0, "tick": "x"}]}),
         ("u2", {"current_location": []}), ("u3", {"current_location": None})]
     points = movement.flatten_histories(spark.createDataFrame(rows, HISTORIES))
     good, bad = movement.clean_positions(points)

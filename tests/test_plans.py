@@ -58,3 +58,37 @@ def test_counts_meet_the_edges_not_the_moves(spark):
     lines = plan(counts).splitlines()
     join = next(i for i, line in enumerate(lines) if "Join" in line)
     assert any("HashAggregate(keys=[edge_id" in line for line in lines[join:])
+
+
+def test_hot_edge_is_split_in_the_join(spark):
+    """Without broadcasting, AQE divides the partition of an edge holding most moves."""
+    from pyspark.sql import functions as F
+    session = spark.newSession()
+    for key, value in {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50000",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50000",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
+        session.conf.set(key, value)
+    positions = session.range(60000, numPartitions=8).select(
+        (F.col("id") % 500).cast("string").alias("uuid"), F.col("id").alias("tick"),
+        F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 400).alias("edge_id"))
+    edges = session.range(300).select(F.col("id").alias("edge_id"), F.lit(2.0).alias("length"))
+    joined = movement.edge_speeds(positions, edges)
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == 60000 - 500
+
+
+def test_hot_cell_is_spread(spark):
+    """Points of one place go to all tasks before they meet the sites."""
+    from pyspark.sql import functions as F
+    from roadpulse.operators.spatial import within_radius
+    points = spark.range(4000, numPartitions=1).select(
+        "id", F.lit(-23.5).alias("lat"), F.lit(-46.6).alias("lon"))
+    sites = spark.range(5).select(F.col("id").alias("site"), F.lit(-23.5).alias("lat"),
+                                  (F.lit(-46.6) + F.col("id") / 1000).alias("lon"))
+    pairs = within_radius(points, sites)
+    sizes = [r["count"] for r in
+             pairs.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) == 4 and max(sizes) < 6000

@@ -36,7 +36,8 @@ def test_expand(spark):
 
 
 def test_absent_takes_each_uuid_once(spark):
-    wanted = catalog.cars(spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "uuid string"))
+    wanted = catalog.cars(spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,)],
+                                                "uuid string"))
     present = catalog.cars(spark.createDataFrame([("a",), ("a",)], "uuid string"))
     rows = catalog.absent(wanted, present).collect()
     assert sorted(r.uuid for r in rows) == ["b", "c"]
