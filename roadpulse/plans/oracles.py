@@ -39,8 +39,8 @@ def _bounds(source: str, keys: str, value: str, name: str) -> str:
   FROM {name}_dev)"""
 
 
-ROUNDED_BOUNDS = """n, round(mean, 9) AS mean, round(median, 6) AS median, round(mad, 6) AS mad,
-  round(upper_threshold, 6) AS upper_threshold, round(lower_threshold, 6) AS lower_threshold"""
+ROUNDED_BOUNDS = """n, round(mean, 9) AS mean, round(median, 9) AS median, round(mad, 9) AS mad,
+  round(upper_threshold, 9) AS upper_threshold, round(lower_threshold, 9) AS lower_threshold"""
 
 OBSERVED = """observed AS (
   SELECT event_id, event_type, user_id AS edge_id, 500 - value AS avg_speed FROM events)"""
@@ -196,28 +196,28 @@ FROM events WHERE event_type <> 'error'"""
 TRAINED = f"WITH {SPEEDS}, {_bounds('speeds', 'edge_id', 'kmh', 'model')}"
 
 ACCEPTED_ROWS = ACCEPTED + """
-SELECT uuid, seq, tick, edge_id, round(avg_speed, 6) AS avg_speed FROM accepted"""
+SELECT uuid, seq, tick, edge_id, avg_speed FROM accepted"""
 
 ORACLES: dict[str, str] = {
     "train_thresholds": f"{TRAINED} SELECT edge_id, {ROUNDED_BOUNDS} FROM model",
     "pair_speed": f"""WITH {SPEEDS}
-SELECT uuid, tick, edge_id, length, tick_diff, round(kmh, 6) AS kmh FROM speeds""",
+SELECT uuid, tick, edge_id, length, tick_diff, kmh FROM speeds""",
     "flatten_histories": CLEAN,
     "rejected_positions": """SELECT CAST(user_id AS VARCHAR) AS uuid,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS edge_id, 'no tick' AS reason
 FROM events WHERE event_type = 'error'""",
     "edge_speed_deviations": f"""WITH {SPEEDS},
 mid AS (SELECT edge_id, median(kmh) AS median FROM speeds GROUP BY edge_id)
-SELECT s.uuid, s.tick, s.edge_id, round(m.median, 6) AS median,
-       round(abs(s.kmh - m.median), 6) AS deviation
+SELECT s.uuid, s.tick, s.edge_id, round(m.median, 9) AS median,
+       round(abs(s.kmh - m.median), 9) AS deviation
 FROM speeds s JOIN mid m ON m.edge_id = s.edge_id""",
     "mad_by_key": f"""WITH {_bounds('events', 'user_id', 'value', 'model')}
 SELECT user_id, {ROUNDED_BOUNDS} FROM model""",
     "mad_by_flag": f"""WITH {_bounds('lineitem', 'l_returnflag, l_linestatus',
                                      'l_extendedprice', 'model')}
-SELECT l_returnflag, l_linestatus, {ROUNDED_BOUNDS.replace('mean, 9', 'mean, 4')} FROM model""",
+SELECT l_returnflag, l_linestatus, {ROUNDED_BOUNDS.replace(', 9)', ', 6)').replace('mean, 6', 'mean, 4')} FROM model""",
     "detect_anomalies": f"""WITH {SIGNS}
-SELECT edge_id, round(avg_speed, 6) AS avg_speed,
+SELECT edge_id, round(avg_speed, 9) AS avg_speed,
        '{{"edgeId":"' || edge_id || '"}}' AS message FROM found""",
     "flag_speeds": f"""WITH {OBSERVED}, {_bounds('observed', 'event_type', 'avg_speed', 'model')}
 SELECT o.event_id, o.event_type, o.avg_speed < m.lower_threshold AS is_anomaly
@@ -228,8 +228,7 @@ FROM observed o JOIN model m ON m.event_type = o.event_type""",
   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_number FROM events""",
     "stateful_speed": ACCEPTED_ROWS,
     "speed_message_round_trip": ACCEPTED + """
-SELECT CAST(edge_id AS VARCHAR) AS edge_text, edge_id, round(avg_speed, 6) AS avg_speed
-FROM accepted""",
+SELECT CAST(edge_id AS VARCHAR) AS edge_text, edge_id, avg_speed FROM accepted""",
     "routing_filter": """SELECT event_id, event_type || '.current_location.simulated' AS routing_key
 FROM events WHERE event_type NOT IN ('view', 'error', 'click')""",
     "reproject_nodes": f"""WITH {NODES}, {_latlon('nodes', 'placed')}
@@ -244,7 +243,7 @@ ranked AS (
          row_number() OVER (PARTITION BY b.node_id
            ORDER BY pow(n.x - b.x, 2) + pow(n.y - b.y, 2), n.node_id) AS nr
   FROM board_points b, nodes n)
-SELECT board, node_id, round(distance, 6) AS distance FROM ranked WHERE nr = 1""",
+SELECT board, node_id, round(distance, 9) AS distance FROM ranked WHERE nr = 1""",
     "sign_messages": f"{SIGN_ROWS} SELECT edge_id, routing_key, body FROM signs",
     "rejected_anomalies": """WITH sent AS (
   SELECT CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN 'no json'
@@ -280,14 +279,14 @@ FROM compared GROUP BY last_link""",
 paired AS (
   SELECT vec_id, CAST(i - 1 AS INT) AS pos, CAST(v AS DOUBLE) AS first,
          CAST(lead(v) OVER (PARTITION BY vec_id ORDER BY i) AS DOUBLE) AS second FROM points)
-SELECT vec_id, pos, round(first, 6) AS first, round(second, 6) AS second
+SELECT vec_id, pos, round(first, 9) AS first, round(second, 9) AS second
 FROM paired WHERE second IS NOT NULL""",
     "array_deviations": """WITH points AS (
   SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v,
          generate_subscripts(embedding, 1) AS i FROM embeddings),
 mid AS (SELECT vec_id, median(v) AS median FROM points GROUP BY vec_id)
-SELECT p.vec_id, round(m.median, 6) AS median, CAST(p.i - 1 AS INT) AS pos,
-       round(abs(p.v - m.median), 6) AS deviation
+SELECT p.vec_id, round(m.median, 9) AS median, CAST(p.i - 1 AS INT) AS pos,
+       round(abs(p.v - m.median), 9) AS deviation
 FROM points p JOIN mid m ON m.vec_id = p.vec_id""",
     "last_write_wins": """SELECT l_partkey, l_orderkey, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC,
@@ -298,8 +297,8 @@ SELECT o_orderkey AS edge_id, o_custkey AS from_node, o_custkey + 1 AS to_node,
 FROM orders JOIN nodes n ON n.node_id = o_custkey""",
     "trips_xml": f"SELECT *, 'kept' AS note FROM ({SPLIT})",
     "vehicles_csv": f"{VEHICLES} SELECT uuid, name, start FROM expanded",
-    "model_csv": f"""{TRAINED} SELECT edge_id, round(mad, 6) AS mad,
-  round(upper_threshold, 6) AS upper_threshold, round(lower_threshold, 6) AS lower_threshold
+    "model_csv": f"""{TRAINED} SELECT edge_id, round(mad, 9) AS mad,
+  round(upper_threshold, 9) AS upper_threshold, round(lower_threshold, 9) AS lower_threshold
 FROM model""",
     "trip_log_csv": COMPARED,
     "histories_json": CLEAN,

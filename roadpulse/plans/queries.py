@@ -27,15 +27,15 @@ EXPANSION_SEED = "seed"
 LABELS = {1: 3, 2: 4}
 
 
-def _rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+def _rounded(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
     return df.withColumns({n: F.round(F.col(n), digits) for n in names})
 
 
 BOUNDS = ("median", "mad", "upper_threshold", "lower_threshold")
 
 
-def _rounded_bounds(df: DataFrame, mean_digits: int = 9) -> DataFrame:
-    return _rounded(_rounded(df, *BOUNDS), "mean", digits=mean_digits)
+def _rounded_bounds(df: DataFrame, mean_digits: int = 9, digits: int = 9) -> DataFrame:
+    return _rounded(_rounded(df, *BOUNDS, digits=digits), "mean", digits=mean_digits)
 
 
 # --- training ---------------------------------------------------------------
@@ -45,8 +45,7 @@ def train_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(movement.edge_speeds(T.positions(spark, sf_dir), T.lengths(spark, sf_dir)),
-                    "kmh")
+    return movement.edge_speeds(T.positions(spark, sf_dir), T.lengths(spark, sf_dir))
 
 
 def flatten_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +75,7 @@ def mad_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = T.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus",
                                                       "l_extendedprice")
     return _rounded_bounds(robust.mad_bounds(lines, ["l_returnflag", "l_linestatus"],
-                                             "l_extendedprice"), mean_digits=4)
+                                             "l_extendedprice"), 4, 6)
 
 
 # --- detection --------------------------------------------------------------
@@ -114,13 +113,12 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- position stream --------------------------------------------------------
 
 def stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(replay_speeds(T.arrivals(spark, sf_dir), T.lengths(spark, sf_dir)),
-                    "avg_speed")
+    return replay_speeds(T.arrivals(spark, sf_dir), T.lengths(spark, sf_dir))
 
 
 def speed_message_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     speeds = replay_speeds(T.arrivals(spark, sf_dir), T.lengths(spark, sf_dir))
-    return _rounded(detect.parse_speeds(speed_records(speeds)), "avg_speed")
+    return detect.parse_speeds(speed_records(speeds))
 
 
 def _routing_key():
@@ -223,7 +221,7 @@ def boards_by_capability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_first_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(compare.with_first_tick(T.trip_log(spark, sf_dir))
-                    .select("last_tick", "duration", "first_tick"), "first_tick")
+                    .select("last_tick", "duration", "first_tick"), "first_tick", digits=6)
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,12 +230,12 @@ def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_compared(spark, sf_dir), "distance", "duration")
+    return _rounded(_compared(spark, sf_dir), "distance", "duration", digits=6)
 
 
 def overlay_destinations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(compare.overlay(_compared(spark, sf_dir)), "distance_baseline",
-                    "distance_events", "duration_baseline", "duration_events")
+                    "distance_events", "duration_baseline", "duration_events", digits=6)
 
 
 # --- arrays and key-value tables --------------------------------------------
@@ -317,7 +315,7 @@ def trip_log_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
          .write.option("sep", ";").csv(paths[flag]))
     compared = compare.compare(src.read_trip_log(spark, paths[False]),
                                src.read_trip_log(spark, paths[True]), LABELS)
-    return _rounded(compared, "distance", "duration")
+    return _rounded(compared, "distance", "duration", digits=6)
 
 
 def histories_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,7 +368,7 @@ def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages_at = _landed(sent, "positions")
     points = stream_src.positions(stream_src.file_messages(session, messages_at))
     speeds_at = _drain(speed_stream(points, T.lengths(session, sf_dir)), "speeds")
-    return _rounded(spark.read.schema(SPEEDS).parquet(speeds_at), "avg_speed")
+    return spark.read.schema(SPEEDS).parquet(speeds_at)
 
 
 def stream_signs(spark: SparkSession, sf_dir: str) -> DataFrame:

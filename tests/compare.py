@@ -60,7 +60,7 @@ if __name__ == "__main__":
     sf_dir, chosen = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = build_session(master="local[8]", settings={
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": "12g"})
+        "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     for name in chosen:
