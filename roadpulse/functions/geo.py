@@ -114,7 +114,8 @@ def great_circle(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     return F.expr(f"""
         2 * {EARTH_RADIUS}D * asin(sqrt(least(1D,
           pow(sin(radians({lat2} - {lat1}) / 2), 2)
-          + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))
+          + cos(radians({lat1})) * cos(radians({lat2}))
+            * pow(sin(radians({lon2} - {lon1}) / 2), 2))))
     """)
 
 

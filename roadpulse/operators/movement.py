@@ -39,7 +39,8 @@ def moves(positions: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
     tick, so they combine to one row beforehand. A vehicle's history is cut into
     slices; the last tick of a slice is carried into the vehicle's next one.
     """
-    points = (positions.groupBy("uuid", F.col("tick").cast("bigint").alias("tick")).agg(F.min("edge_id").alias("edge_id"))
+    points = (positions.groupBy("uuid", F.col("tick").cast("bigint").alias("tick"))
+              .agg(F.min("edge_id").alias("edge_id"))
               .withColumn("slice", F.shiftright("tick", slice_bits)))
     by_slice = Window.partitionBy("uuid").orderBy("slice")
     # A carried row's edge is never used; naming one lets both uses of `points`

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators.lookup import join_on
-from roadpulse.session import settle
+from roadpulse.session import settle, settle_and_measure
 
 # Fixed value: makes the MAD of a normal distribution equal its standard deviation.
 MAD_SCALE = 1.4826
@@ -42,8 +42,9 @@ def _middle_ranks(total: Column) -> tuple[Column, Column]:
     return F.floor((total + 1) / 2), F.floor(total / 2) + 1
 
 
-def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> DataFrame:
-    """The rows of the bins that hold a middle rank, with the bin's range lo..hi.
+def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> tuple[DataFrame, int]:
+    """The rows of the bins that hold a middle rank, with the bin's range lo..hi,
+    and the number of rows in the largest of these bins.
 
     `before` counts the values of the key below the bin and, being different
     for each, tells the one or two bins kept per key apart.
@@ -51,8 +52,8 @@ def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> DataFrame:
     group = [*keys, "before"]
     binned = rows.withColumn("bin", bins).drop("lo", "hi")
     sizes = binned.groupBy(*group, "bin").agg(
-        F.sum("n").alias("size"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.min("total").alias("total"))
+        F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.min("total").alias("total"))
     whole = Window.partitionBy(*group)
     running = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     low, high = _middle_ranks(F.col("total"))
@@ -62,12 +63,13 @@ def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> DataFrame:
         .withColumn("through", F.col("before") + F.sum("size").over(running))
         .withColumn("below", F.col("through") - F.col("size"))
         .where((F.col("through") >= low) & (F.col("below") < high))
-        .select(*group, "bin", "below", "total", "lo", "hi")
+        .select(*group, "bin", "below", "total", "lo", "hi", "rows")
     )
     # Settled, it is known to be small where it is, and the rows then need no shuffle.
-    kept = settle(kept, "middle-bins")
-    return (join_on(binned.drop("total"), kept, [*group, "bin"])
-            .drop("before", "bin").withColumnRenamed("below", "before"))
+    kept, largest = settle_and_measure(kept, "middle-bins", F.max("rows"))
+    narrowed = (join_on(binned.drop("total"), kept, [*group, "bin"])
+                .drop("before", "bin", "rows").withColumnRenamed("below", "before"))
+    return settle(narrowed, "middle-rows"), largest or 0
 
 
 def weighted_median(counts: DataFrame, keys: list[str], largest: int | None = None,
@@ -87,8 +89,7 @@ def weighted_median(counts: DataFrame, keys: list[str], largest: int | None = No
     bins = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_BINS)
     low, high = F.col("lo"), F.col("hi")
     while largest > limit:
-        rows = settle(_narrow(rows, keys, bins), "middle-rows")
-        largest = _largest_group(rows, [*keys, "before"])
+        rows, largest = _narrow(rows, keys, bins)
         bins = F.when(high > low, F.floor((value - low) / (high - low) * _EVEN_BINS)
                       ).otherwise(F.lit(0))
 
@@ -122,12 +123,12 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
     rounded = (lambda c: c.cast("float").cast("double")) if single_precision else (lambda c: c)
     value, n = F.col("value"), F.col("n")
     counts = settle(counts, "value-counts")
-    totals = settle(counts.groupBy(*keys).agg(
+    totals, largest = settle_and_measure(counts.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("n"),
         F.try_divide(F.sum(value * n), F.sum(F.when(value.isNotNull(), n))).alias("mean"),
         F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"),
-        F.count(F.lit(1)).alias("_distinct")), "totals")
-    largest = totals.agg(F.max("_distinct")).first()[0] or 0
+        F.count(F.lit(1)).alias("_distinct")), "totals", F.max("_distinct"))
+    largest = largest or 0
     medians = settle(weighted_median(counts, keys, largest, limit)
                      .withColumn("median", rounded(F.col("median"))), "medians")
     off = deviation_counts(counts, medians, keys)

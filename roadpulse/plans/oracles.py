@@ -215,7 +215,9 @@ FROM speeds s JOIN mid m ON m.edge_id = s.edge_id""",
 SELECT user_id, {ROUNDED_BOUNDS} FROM model""",
     "mad_by_flag": f"""WITH {_bounds('lineitem', 'l_returnflag, l_linestatus',
                                      'l_extendedprice', 'model')}
-SELECT l_returnflag, l_linestatus, {ROUNDED_BOUNDS.replace(', 9)', ', 6)').replace('mean, 6', 'mean, 4')} FROM model""",
+SELECT l_returnflag, l_linestatus, n, round(mean, 4) AS mean, round(median, 6) AS median,
+  round(mad, 6) AS mad, round(upper_threshold, 6) AS upper_threshold,
+  round(lower_threshold, 6) AS lower_threshold FROM model""",
     "detect_anomalies": f"""WITH {SIGNS}
 SELECT edge_id, round(avg_speed, 9) AS avg_speed,
        '{{"edgeId":"' || edge_id || '"}}' AS message FROM found""",

@@ -374,7 +374,8 @@ def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed messages -> anomalies -> sign messages, as two chained streams."""
     session = _streaming_session(spark)
-    record = [F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq")]
+    record = [F.lit(None).cast("string").alias("key"), "value",
+              F.lit(0).cast("bigint").alias("seq")]
     speeds_at = _landed(_speed_messages(session, sf_dir).select(*record), "speed-messages")
     found = alerts.detect(stream_src.file_messages(session, speeds_at),
                           _user_model(session, sf_dir))

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # AQE turns small shuffled joins into broadcast joins by their measured size
 # and splits the partitions of a hot key; the operators give no join hints.
@@ -65,3 +65,13 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_and_measure(df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, object]:
+    """Settle a frame and, in the same pass, compute an aggregate over its rows.
+
+    The measure must not mind rows seen twice, as when a task is repeated.
+    """
+    seen = Observation()
+    settled = settle(df.observe(seen, measure.alias("measure")), name)
+    return settled, seen.get.get("measure")

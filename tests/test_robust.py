@@ -66,3 +66,10 @@ def test_deviations_keep_every_row(spark):
     assert sorted((r.id, r.data, r.deviation) for r in rows if r.id == "a") == [
         ("a", 1.0, 1.0), ("a", 2.0, 0.0), ("a", 6.0, 4.0)]
     assert [r.deviation for r in rows if r.id == "b"] == [None]
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], "id string, data double")
+    assert robust.mad_bounds(empty, ["id"], "data").collect() == []
+    assert robust.mad_bounds(empty.where("id = 'a'"), ["id"], "data", limit=1).collect() == []
+    assert robust.weighted_median(robust.value_counts(empty, ["id"], "data"), ["id"]).count() == 0
