@@ -119,6 +119,9 @@ def nearest_node(points: DataFrame, nodes: DataFrame, leaf: float = 8.0) -> Data
                       F.min("y").alias("y0"), F.max("y").alias("y1"),
                       F.min(F.struct("x", "y")).alias("some"))
                  .withColumns({"cx": F.shiftright("kx", 3), "cy": F.shiftright("ky", 3)}))
+        if level <= 2:
+            # At most 64 and 4096 cells, which all points would otherwise be sent to.
+            cells = F.broadcast(cells)
         gap_x = F.greatest(F.col("x0") - px, px - F.col("x1"), F.lit(0.0))
         gap_y = F.greatest(F.col("y0") - py, py - F.col("y1"), F.lit(0.0))
         reached = _square(F.col("some.x") - px) + _square(F.col("some.y") - py)
