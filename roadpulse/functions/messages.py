@@ -11,14 +11,27 @@ def json_fields(names: list[str], value: str = "value") -> list[Column]:
     return [F.get_json_object(F.col(value), f"$.{name}").alias(name) for name in names]
 
 
+def once(*columns: Column | str) -> Column:
+    """The given columns, computed once per row.
+
+    A filter on a parsed field would otherwise be moved before the parsing and
+    repeat it. Filters do not pass a generator, which this is.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def to_id(text: Column) -> Column:
-    """Integer id from text such as '12' or '12.0'; NULL if it is no number."""
-    text = text.cast("string")
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    """Integer id from text such as '12' or '12.0'; NULL if it is no number.
+
+    The form is looked at first: a failing cast costs far more than a match.
+    """
+    text = F.trim(text)
+    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(
+        text.try_cast("double").try_cast("bigint"))
 
 
 def to_number(text: Column) -> Column:
-    return text.cast("string").try_cast("double")
+    return text.try_cast("double")
 
 
 def anomaly_message(edge_id: Column) -> Column:

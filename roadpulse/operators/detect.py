@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.messages import anomaly_message, json_fields, to_id, to_number
+from roadpulse.functions.messages import anomaly_message, json_fields, once, to_id, to_number
 
 
 def parse_speeds(messages: DataFrame, value: str = "value") -> DataFrame:
     """Speed messages -> edge_text (as sent), edge_id, avg_speed; NULLs where malformed."""
-    return (messages.select(*json_fields(["edge_id", "avg_speed"], value))
+    return (messages.select(once(*json_fields(["edge_id", "avg_speed"], value)))
             .select(F.col("edge_id").alias("edge_text"), to_id(F.col("edge_id")).alias("edge_id"),
                     to_number(F.col("avg_speed")).alias("avg_speed")))
 

@@ -19,7 +19,7 @@ def flatten_histories(histories: DataFrame) -> DataFrame:
             .select("uuid", F.explode("capabilities.current_location").alias("point"))
             .select("uuid", F.col("point.date").alias("date"),
                     to_id(F.col("point.tick")).alias("tick"),
-                    to_id(F.col("point.nodeID")).alias("edge_id")))
+                    F.col("point.nodeID").try_cast("bigint").alias("edge_id")))
 
 
 def clean_positions(points: DataFrame) -> tuple[DataFrame, DataFrame]:

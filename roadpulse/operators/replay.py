@@ -35,8 +35,8 @@ def _with_state(df: DataFrame, keys: list[str], order: str) -> DataFrame:
             .drop("_run"))
 
 
-def _slices(arrivals: DataFrame, edges: DataFrame,
-            slice_bits: int) -> tuple[DataFrame, DataFrame]:
+def _slices(arrivals: DataFrame, edges: DataFrame, slice_bits: int,
+            held: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """(arrivals by vehicle and slice; per slice its `state`, the tick it starts
     with, and `state_after`)."""
     unset = F.lit(None).cast("bigint")
@@ -53,19 +53,24 @@ def _slices(arrivals: DataFrame, edges: DataFrame,
     summaries = (_with_state(rows.withColumn("start", unset), keys, "seq")
                  .groupBy(*keys).agg(F.max("known").alias("known"), last.alias("last"))
                  .select(*keys, "known", F.col("last.state_after").alias("tick")))
-    return rows, _with_state(summaries.withColumn("start", unset), ["uuid"], "slice")
+    if held is None:
+        summaries = summaries.withColumn("start", unset)
+    else:
+        summaries = summaries.join(held.select("uuid", F.col("tick").alias("start")),
+                                   "uuid", "left")
+    return rows, _with_state(summaries, ["uuid"], "slice")
 
 
-def replay_speeds(arrivals: DataFrame, edges: DataFrame,
-                  slice_bits: int = SLICE_BITS) -> DataFrame:
+def replay_speeds(arrivals: DataFrame, edges: DataFrame, slice_bits: int = SLICE_BITS,
+                  held: DataFrame | None = None) -> DataFrame:
     """uuid, seq, tick, edge_id, avg_speed of every accepted point.
 
     `arrivals` holds uuid, seq (arrival order, unique per vehicle), tick and
-    edge_id. Each slice of arrivals is first summarised alone; the summaries,
+    edge_id; `held` (uuid, tick) is the state before them, if any. Each slice of arrivals is first summarised alone; the summaries,
     which obey the same rule, give the state each slice starts with. Both
     passes share one shuffle of the arrivals by vehicle and slice.
     """
-    rows, slices = _slices(arrivals, edges, slice_bits)
+    rows, slices = _slices(arrivals, edges, slice_bits, held)
     keys = ["uuid", "slice"]
     starts = slices.select(*keys, F.col("state").alias("start"))
     return (_with_state(rows.join(starts, keys), keys, "seq")
@@ -74,7 +79,13 @@ def replay_speeds(arrivals: DataFrame, edges: DataFrame,
                     (F.col("length") / (F.col("tick") - F.col("state"))).alias("avg_speed")))
 
 
-def last_ticks(arrivals: DataFrame, edges: DataFrame, slice_bits: int = SLICE_BITS) -> DataFrame:
+def last_ticks(arrivals: DataFrame, edges: DataFrame, slice_bits: int = SLICE_BITS,
+               held: DataFrame | None = None) -> DataFrame:
     """uuid, tick: the state the arrivals leave each vehicle in."""
-    _, slices = _slices(arrivals, edges, slice_bits)
-    return slices.groupBy("uuid").agg(F.max_by("state_after", "slice").alias("tick"))
+    _, slices = _slices(arrivals, edges, slice_bits, held)
+    after = slices.groupBy("uuid").agg(F.max_by("state_after", "slice").alias("tick"))
+    if held is None:
+        return after
+    before = held.select("uuid", F.col("tick").alias("held"))
+    return (after.join(before, "uuid", "full")
+            .select("uuid", F.coalesce("tick", "held").alias("tick")))

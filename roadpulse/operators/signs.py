@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.geo import with_latlon
-from roadpulse.functions.messages import json_fields, sign_text, to_id
+from roadpulse.functions.messages import json_fields, once, sign_text, to_id
 from roadpulse.operators.spatial import within_radius
 
 RADIUS_METRES = 1000.0
@@ -16,8 +16,9 @@ SIGN_ROUTING_KEY = "#"
 
 def parse_anomalies(messages: DataFrame, value: str = "value") -> DataFrame:
     """Anomaly messages -> value, edge_id (NULL where malformed)."""
-    text = json_fields(["edgeId"], value)[0]
-    return messages.select(F.col(value).alias("value"), to_id(text).alias("edge_id"))
+    fields = json_fields(["edgeId"], value)
+    return (messages.select(F.col(value).alias("value"), once(*fields))
+            .select("value", to_id(F.col("edgeId")).alias("edge_id")))
 
 
 def locate_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:

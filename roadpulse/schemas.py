@@ -28,9 +28,6 @@ TRIPS_CSV = ("name string, origin string, destination string, link_origin string
 TRIP_LOG = ("hour int, minute int, last_tick bigint, type string, car_id string, "
             "last_link bigint, duration double, distance double")
 
-# Message bodies.
-POSITION = "uuid string, tick bigint, nodeID double"
-
 # Resource catalog.
 CATALOG = ("uuid string, description string, capabilities array<string>, status string, "
            "lat double, lon double")

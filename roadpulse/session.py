@@ -55,8 +55,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and go on from there.
+def settle(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
+    """Write a frame to the shared folder and go on from there, in `session` if given.
 
     For results that several later steps read, or that must not change when a
     task is repeated. The lineage ends here, so a lost executor costs no
@@ -64,7 +64,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def settle_and_measure(df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, object]:

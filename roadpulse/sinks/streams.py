@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def _trigger(writer, every: str | None):
+def with_trigger(writer, every: str | None):
     """`every` is an interval such as '1 seconds'; None drains what is there and stops."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
@@ -18,14 +18,14 @@ def to_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str,
     writer = (messages.writeStream.format("kafka").outputMode("append")
               .option("kafka.bootstrap.servers", servers).option("topic", topic)
               .option("checkpointLocation", checkpoint))
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def to_files(messages: DataFrame, path: str, checkpoint: str, file_format: str = "parquet",
              every: str | None = None) -> StreamingQuery:
     writer = (messages.writeStream.format(file_format).outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def to_console(rows: DataFrame, checkpoint: str | None = None,
@@ -33,7 +33,7 @@ def to_console(rows: DataFrame, checkpoint: str | None = None,
     writer = rows.writeStream.format("console").outputMode("append").option("truncate", False)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    return with_trigger(writer, every).start()
 
 
 def sign_records(signs: DataFrame) -> DataFrame:

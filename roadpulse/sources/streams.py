@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse import schemas
-from roadpulse.functions.messages import routing_matches, to_id
+from roadpulse.functions.messages import once, routing_matches, to_id
 
 MESSAGE_FILE = "key string, value string, seq bigint"
 # Topics, and the pattern position messages are routed under.
@@ -44,11 +43,14 @@ def positions(messages: DataFrame, pattern: str = POSITION_PATTERN) -> DataFrame
     """uuid, seq, tick, edge_id of the messages whose key matches the routing pattern.
 
     Messages without a vehicle, tick or edge cannot move a vehicle's state and
-    are left out.
+    are left out. A message without its place in the order is an error.
     """
-    body = F.from_json("value", schemas.POSITION)
+    # One parse for all fields; of a repeated field the last one counts.
+    fields = F.json_tuple("value", "uuid", "tick", "nodeID").alias("uuid", "tick", "nodeID")
+    seq = F.coalesce("seq", F.raise_error(F.lit("position message without seq")).cast("bigint"))
     return (messages.where(routing_matches(F.col("key"), pattern))
-            .select("seq", body.alias("body"))
-            .select("body.uuid", "seq", "body.tick", to_id(F.col("body.nodeID")).alias("edge_id"))
+            .select(seq.alias("seq"), fields)
+            .select(once("uuid", "seq", to_id(F.col("tick")).alias("tick"),
+                         to_id(F.col("nodeID")).alias("edge_id")))
             .where(F.col("uuid").isNotNull() & F.col("tick").isNotNull()
                    & F.col("edge_id").isNotNull()))

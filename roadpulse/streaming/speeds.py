@@ -27,8 +27,8 @@ class LastTick(StatefulProcessor):
         self._tick = handle.getValueState("tick", "tick bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self._tick.get() if self._tick.exists() else None
-        tick = held[0] if held else None
+        held = self._tick.get()
+        tick = before = held[0] if held else None
         # The shuffle keeps no order; a trigger's size bounds what is sorted.
         for point in sorted(rows, key=lambda r: r.seq):
             advances = tick is not None and point.tick > tick
@@ -38,7 +38,8 @@ class LastTick(StatefulProcessor):
                 yield Row(uuid=key[0], seq=point.seq, tick=point.tick, edge_id=point.edge_id,
                           avg_speed=point.length / (point.tick - tick))
             tick = point.tick
-        self._tick.update((tick,))
+        if tick != before:
+            self._tick.update((tick,))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self._tick.update((initialState.tick,))

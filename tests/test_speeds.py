@@ -79,6 +79,48 @@ def test_stream_equals_model_over_restarts(spark, tmp_path):
         assert run(spark, tmp_path) == model(points[:upto])
 
 
+def test_bulk_stream_equals_model_over_restarts(spark, tmp_path):
+    from roadpulse.streaming.bulk import start_bulk_speeds
+    points = TRACE + [(u + "x", s + 100, t, e) for u, s, t, e in disordered(3, 150)]
+    for upto, since in ((4, 0), (60, 4), (110, 60), (len(points), 110)):
+        write_messages(spark, points[since:upto], f"{tmp_path}/in")
+        query = start_bulk_speeds(
+            positions(file_messages(spark, f"{tmp_path}/in")), edges(spark), f"{tmp_path}/state",
+            lambda df, i: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={i}"),
+            f"{tmp_path}/checkpoint")
+        query.awaitTermination()
+        assert query.exception() is None
+        got = spark.read.schema(SPEEDS).parquet(f"{tmp_path}/out").drop("batch").collect()
+        assert sorted(map(tuple, got)) == model(points[:upto])
+
+
+def test_repeated_bulk_batch_starts_from_the_same_state(spark, tmp_path):
+    """The state before a batch survives a failure between its two writes."""
+    from roadpulse.streaming.bulk import start_bulk_speeds
+    points = disordered(4, 90)
+    failures = []
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={batch_id}")
+        if batch_id == 1 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("lost")
+
+    for upto, since in ((40, 0), (90, 40), (90, 90)):
+        if upto > since:
+            write_messages(spark, points[since:upto], f"{tmp_path}/in")
+        query = start_bulk_speeds(
+            positions(file_messages(spark, f"{tmp_path}/in")), edges(spark),
+            f"{tmp_path}/state", write, f"{tmp_path}/checkpoint")
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            assert "lost" in str(error)
+    assert failures == [1]
+    got = spark.read.schema(SPEEDS).parquet(f"{tmp_path}/out").drop("batch").collect()
+    assert sorted(map(tuple, got)) == model(points)
+
+
 def test_stream_goes_on_from_a_replay(spark, tmp_path):
     points = TRACE + disordered(2, 120)[10:]
     early, late = points[:70], points[70:]
@@ -86,10 +128,23 @@ def test_stream_goes_on_from_a_replay(spark, tmp_path):
     model(early, held)
     start = last_ticks(arrivals(spark, early), edges(spark), 3)
     assert {r.uuid: r.tick for r in start.collect()} == held
+    replayed = replay_speeds(arrivals(spark, late), edges(spark), 3, start).collect()
+    assert sorted(map(tuple, replayed)) == model(late, dict(held))
+    after = dict(held)
+    model(late, after)
+    end = last_ticks(arrivals(spark, late), edges(spark), 3, start).collect()
+    assert {r.uuid: r.tick for r in end} == after
     write_messages(spark, late, f"{tmp_path}/in")
     assert run(spark, tmp_path, start) == model(late, held)
 
 
+def test_positions_need_their_order(spark):
+    rows = [("car.current_location.simulated", '{"uuid": "a", "tick": 1, "nodeID": 7.0}', None)]
+    messages = spark.createDataFrame(rows, "key string, value string, seq bigint")
+    with pytest.raises(Exception, match="without seq"):
+        positions(messages).collect()
+
+
 def test_speed_records(spark):
     speeds = spark.createDataFrame([EXPECTED[0]], SPEEDS)
     assert speed_records(speeds).first().value == '{"edge_id":8,"avg_speed":5.0}'
