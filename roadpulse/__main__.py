@@ -12,7 +12,7 @@ from roadpulse.session import build_session
 from roadpulse.sinks import streams as stream_out
 from roadpulse.sources import files as src
 from roadpulse.sources import streams as stream_src
-from roadpulse.streaming import alerts, health, speeds
+from roadpulse.streaming import alerts, bulk, health, speeds
 
 
 def _messages(spark: SparkSession, args, topic: str) -> DataFrame:
@@ -37,7 +37,16 @@ def train_model(spark, args):
 
 def derive_speeds(spark, args):
     points = stream_src.positions(_messages(spark, args, args.position_topic))
-    rows = speeds.speed_stream(points, src.read_links(spark, args.map))
+    edges = src.read_links(spark, args.map)
+    if args.bulk:
+        def write(rows: DataFrame, batch_id: int) -> None:
+            stream_out.batch_to(speeds.speed_records(rows), args.servers, stream_src.SPEED_TOPIC,
+                                args.output, batch_id)
+
+        bulk.start_bulk_speeds(points, edges, f"{args.checkpoint}/vehicles", write,
+                               f"{args.checkpoint}/query", args.every).awaitTermination()
+        return
+    rows = speeds.speed_stream(points, edges)
     _send(args, stream_src.SPEED_TOPIC)(speeds.speed_records(rows),
                                         args.checkpoint).awaitTermination()
 
@@ -116,6 +125,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--inspect", action="store_true", help="print the first rows of each step")
     sub = command(derive_speeds, "map")
     sub.add_argument("--position-topic", default="positions")
+    sub.add_argument("--bulk", action="store_true",
+                     help="for large triggers and hot vehicles: replay each micro-batch")
     streaming(sub)
     streaming(command(detect_anomalies, "model"))
     sub = command(publish_signs, "map", "resources")

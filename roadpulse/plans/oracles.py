@@ -307,5 +307,6 @@ FROM model""",
     "catalog_table": f"""SELECT CAST(c_custkey AS VARCHAR) AS uuid, {CAR}
 FROM customer WHERE c_acctbal > 0 UNION ALL ({NEW_CARS})""",
     "stream_stateful_speed": ACCEPTED_ROWS,
+    "stream_bulk_speed": ACCEPTED_ROWS,
     "stream_signs": f"{SIGN_ROWS} SELECT routing_key AS key, body AS value FROM signs",
 }

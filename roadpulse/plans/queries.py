@@ -20,6 +20,7 @@ from roadpulse.sinks import streams as stream_out
 from roadpulse.sources import files as src
 from roadpulse.sources import streams as stream_src
 from roadpulse.streaming import alerts
+from roadpulse.streaming.bulk import start_bulk_speeds
 from roadpulse.streaming.speeds import SPEEDS, speed_records, speed_stream
 
 SPLIT_BEGIN, SPLIT_END = 600, 1200
@@ -360,17 +361,31 @@ def _drain(stream: DataFrame, name: str) -> str:
     return path
 
 
-def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session = _streaming_session(spark)
+def _position_messages(session: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrivals as a stream of position messages."""
     body = F.to_json(F.struct("uuid", "tick", F.col("edge_id").cast("double").alias("nodeID")))
     sent = T.arrivals(session, sf_dir).select(
         F.lit("car.current_location.simulated").alias("key"), body.alias("value"), "seq")
-    messages_at = _landed(sent, "positions")
-    points = stream_src.positions(stream_src.file_messages(session, messages_at))
+    return stream_src.positions(stream_src.file_messages(session, _landed(sent, "positions")))
+
+
+def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    session = _streaming_session(spark)
+    points = _position_messages(session, sf_dir)
     speeds_at = _drain(speed_stream(points, T.lengths(session, sf_dir)), "speeds")
     return spark.read.schema(SPEEDS).parquet(speeds_at)
 
 
+def stream_bulk_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    speeds_at, checkpoint = fresh_path(spark, "speeds"), fresh_path(spark, "speeds-checkpoint")
+    query = start_bulk_speeds(
+        _position_messages(spark, sf_dir), T.lengths(spark, sf_dir), f"{checkpoint}/vehicles",
+        lambda rows, i: rows.write.mode("overwrite").parquet(f"{speeds_at}/batch={i}"),
+        f"{checkpoint}/query")
+    query.awaitTermination()
+    return spark.read.schema(SPEEDS).parquet(speeds_at).drop("batch")
+
+
 def stream_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed messages -> anomalies -> sign messages, as two chained streams."""
     session = _streaming_session(spark)
@@ -398,6 +413,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trip_first_ticks, compare_destinations, overlay_destinations,
         consecutive_pairs_array, array_deviations, last_write_wins,
         road_map_xml, trips_xml, vehicles_csv, model_csv, trip_log_csv, histories_json,
-        catalog_table, stream_stateful_speed, stream_signs,
+        catalog_table, stream_stateful_speed, stream_bulk_speed, stream_signs,
     )
 }

@@ -28,6 +28,16 @@ def to_files(messages: DataFrame, path: str, checkpoint: str, file_format: str =
     return with_trigger(writer, every).start()
 
 
+def batch_to(messages: DataFrame, servers: str | None, topic: str, path: str | None,
+             batch_id: int) -> None:
+    """Write one micro-batch to a topic, or to its own folder below `path`."""
+    if servers:
+        (messages.write.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).save())
+    else:
+        messages.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
 def to_console(rows: DataFrame, checkpoint: str | None = None,
                every: str | None = "1 seconds") -> StreamingQuery:
     writer = rows.writeStream.format("console").outputMode("append").option("truncate", False)

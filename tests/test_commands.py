@@ -37,6 +37,10 @@ def test_from_histories_to_signs(spark, tmp_path):
         .write.parquet(f"{root}/positions")
     run("derive-speeds", f"{root}/map.xml", "--input", f"{root}/positions",
         "--output", f"{root}/speeds", "--checkpoint", f"{root}/c1")
+    run("derive-speeds", f"{root}/map.xml", "--bulk", "--input", f"{root}/positions",
+        "--output", f"{root}/bulk-speeds", "--checkpoint", f"{root}/c4")
+    assert spark.read.parquet(f"{root}/bulk-speeds").select("value").exceptAll(
+        spark.read.parquet(f"{root}/speeds").select("value")).count() == 0
     run("detect-anomalies", f"{root}/model", "--input", f"{root}/speeds",
         "--output", f"{root}/anomalies", "--checkpoint", f"{root}/c2")
     run("publish-signs", f"{root}/map.xml", f"{root}/resources", "--input", f"{root}/anomalies",

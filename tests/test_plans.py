@@ -7,7 +7,7 @@ from roadpulse.plans import tables as T
 from roadpulse.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = {"stream_stateful_speed", "stream_signs"}
+STREAMS = {"stream_stateful_speed", "stream_bulk_speed", "stream_signs"}
 
 
 def plan(df):
