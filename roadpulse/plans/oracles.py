@@ -172,7 +172,7 @@ expanded AS (
   FROM numbered)"""
 
 CAR = ("'Car' AS description, 'current_location' AS capabilities, 'active' AS status, "
-       "-23.0 AS lat, -46.0 AS lon")
+       "CAST(-23 AS DOUBLE) AS lat, CAST(-46 AS DOUBLE) AS lon")
 NEW_CARS = f"""SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS uuid, {CAR} FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)"""
 
