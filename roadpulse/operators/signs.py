@@ -63,7 +63,11 @@ def sign_rows(found: DataFrame, located: DataFrame, near: DataFrame,
     else:
         judged = judged.where(F.col("reason").isNull())
         near = near.where(F.col("board").isNotNull())
-    return (judged.join(near, "from_node")
+    # The outer join and `once` see to it that every anomaly is judged, even
+    # where no board is near.
+    return (judged.join(near, "from_node", "left")
+            .select(once("edge_id", "from_node", "to_node", "board"))
+            .where(F.col("board").isNotNull())
             .select("edge_id", F.lit(SIGN_ROUTING_KEY).alias("routing_key"),
                     sign_text(F.col("board"), F.col("from_node"), F.col("to_node")).alias("body")))
 

@@ -62,6 +62,8 @@ def test_unusable_anomalies(spark, edge, reason):
         signs.sign_messages(found, edges, nodes, boards).collect()
     assert sign_bodies(signs.sign_messages(found, edges, nodes, boards, strict=False)) == [
         "931131905.931131905.28149752"]
+    with pytest.raises(Exception, match=reason):
+        signs.sign_messages(found, edges, nodes, boards.where("status = 'gone'")).collect()
     rejected = signs.rejected_anomalies(found, edges, nodes).collect()
     assert [(r.edge_id, r.reason) for r in rejected] == [(edge, reason)]
 
