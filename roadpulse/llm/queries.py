@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat
+from roadpulse.llm import chat, packing, rans
+from roadpulse.session import fresh_path
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written as rANS blocks and read back."""
+    folder = fresh_path(spark, "rans")
+    rans.write_ids(_table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), 2)
+    return rans.digest(rans.read_ids(spark, folder))
+
+
+def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces, packed into sequences of 1024."""
+    pieces = packing.cut_texts(_table(spark, sf_dir, "documents"),
+                               tokenizer_path("byte_bpe_50k.json"), 2, 1024, keep_ids=False)
+    return packing.pack(pieces.drop("ids"), 1024)
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts hold control strings, read back from their format."""
     text = F.lit("</s>[INST] ok [/INST]")
@@ -23,6 +43,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_rans_files": op1_rans_files,
+    "op3_best_two_fit": op3_best_two_fit,
     "op9_chat_format": op9_chat_format,
 }
 
