@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, packing, rans
+from roadpulse.llm import chat, language, packing, rans
 from roadpulse.session import fresh_path
 
 
@@ -42,10 +42,21 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(probe)))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from the labelled ones outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4
+    model = language.fit(docs.where(fold != 2).select("text", "lang"))
+    held_out = F.coalesce(fold == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score",
+                                                "entropy", "n_symbols")
+
+
 QUERIES = {
     "op1_rans_files": op1_rans_files,
     "op3_best_two_fit": op3_best_two_fit,
     "op9_chat_format": op9_chat_format,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
