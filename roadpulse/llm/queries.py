@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, language, packing, rans
+from roadpulse.llm import chat, language, packing, passages, rans, simhash
 from roadpulse.session import fresh_path
 
 
@@ -32,6 +32,16 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.drop("ids"), 1024)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of edited copies, and how near those and the next ones are."""
+    return simhash.compare_edited(_table(spark, sf_dir, "documents"))
+
+
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 50 words and more that earlier ones have."""
+    return passages.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts hold control strings, read back from their format."""
     text = F.lit("</s>[INST] ok [/INST]")
@@ -55,6 +65,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_rans_files": op1_rans_files,
     "op3_best_two_fit": op3_best_two_fit,
+    "op5_simhash": op5_simhash,
+    "op7_repeated_passages": op7_repeated_passages,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
 }
