@@ -1,13 +1,14 @@
 """Shuffling very many (64-bit key, owner) pairs as a few packed rows.
 
 Each row holds the keys of one bucket from one slice of the input, sorted by
-owner, so that a pair costs little more than the eight bytes of its key.
+owner, so that a pair costs little more than the eight bytes of its key. Tasks that
+receive rows hold their share of all pairs at once, which
+`spark.sql.shuffle.partitions` sets; senders let a key through only a few times
+per slice, however many owners it has there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import binaries
 
-PACKED = "bucket int, owners binary, sizes binary, keys binary"
-_NAMES = ["bucket", "owners", "sizes", "keys"]
+PACKED = "bucket int, owners binary, sizes binary, keys binary, counts binary"
+_NAMES = ["bucket", "owners", "sizes", "keys", "counts"]
 
 
 def partitions(spark: SparkSession) -> int:
@@ -28,8 +29,9 @@ def bucket_count(spark: SparkSession) -> int:
     return 8 * partitions(spark)
 
 
-def pack(keys: np.ndarray, owners: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of `PACKED`; pairs of one owner must stand together."""
+def pack(keys: np.ndarray, owners: np.ndarray, buckets: int,
+         counts: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of `PACKED`; pairs of one owner must stand together. Counts, if any, go with the keys."""
     bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     keys, owners, bucket = keys[order], owners[order], bucket[order]
@@ -42,7 +44,9 @@ def pack(keys: np.ndarray, owners: np.ndarray, buckets: int) -> pa.RecordBatch:
     run_ends = np.searchsorted(runs, ends)
     return pa.RecordBatch.from_arrays([
         pa.array(names), binaries(owners[runs].astype("<i8"), run_ends * 8),
-        binaries(sizes, run_ends * 4), binaries(keys.astype("<u8"), ends * 8)], names=_NAMES)
+        binaries(sizes, run_ends * 4), binaries(keys.astype("<u8"), ends * 8),
+        pa.nulls(len(names), pa.binary()) if counts is None
+        else binaries(counts[order].astype("<u4"), ends * 4)], names=_NAMES)
 
 
 def flat(column: pa.Array, kind: str) -> np.ndarray:
@@ -65,21 +69,6 @@ def unpack(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.repeat(owners, sizes)
 
 
-def by_key(packed: DataFrame, work: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]],
-           schema: str) -> DataFrame:
-    """Run `work` on the (keys, owners) of every task, each key's pairs being in one task.
-
-    A task gets its share of all pairs, so `spark.sql.shuffle.partitions` sets
-    its memory. Callers send a key of many owners only a few times per slice.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from work(*unpack(held))
-
-    return packed.repartition(partitions(packed.sparkSession), "bucket").mapInArrow(run, schema)
-
-
 def marked(ids: DataFrame, column: str, bits: int = 23) -> np.ndarray:
     """A fixed 2^bits bitmap holding the hashes of all ids: a filter that never misses one.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, language, packing, passages, rans, simhash
+from roadpulse.llm import chat, language, ngram_join, packing, passages, rans, simhash
 from roadpulse.session import fresh_path
 
 
@@ -32,6 +32,11 @@ def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.drop("ids"), 1024)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the component they belong to by 5-word shingles."""
+    return ngram_join.join_texts(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents, of edited copies, and how near those and the next ones are."""
     return simhash.compare_edited(_table(spark, sf_dir, "documents"))
@@ -65,6 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_rans_files": op1_rans_files,
     "op3_best_two_fit": op3_best_two_fit,
+    "op4_ngram_join": op4_ngram_join,
     "op5_simhash": op5_simhash,
     "op7_repeated_passages": op7_repeated_passages,
     "op9_chat_format": op9_chat_format,
