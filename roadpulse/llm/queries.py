@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, language, ngram_join, packing, passages, rans, simhash
+from roadpulse.llm import chat, decontaminate, language, ngram_join, packing, passages, rans, simhash
 from roadpulse.session import fresh_path
 
 
@@ -42,6 +42,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_edited(_table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a benchmark item, edited ones included."""
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages of 50 words and more that earlier ones have."""
     return passages.remove_repeats(_table(spark, sf_dir, "documents"))
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_best_two_fit": op3_best_two_fit,
     "op4_ngram_join": op4_ngram_join,
     "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op7_repeated_passages": op7_repeated_passages,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,

@@ -45,17 +45,25 @@ def _run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(found + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
 
 
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_PLAIN = np.array([b if b >= 128 or chr(b).isalnum() else 32 for b in _LOWER.tolist()], np.uint8)
+
+
 class Words:
     """The words of a batch of texts.
 
     ``hashes``: one per word, in order; ``counts``: words per text; ``starts`` and
-    ``ends``: their byte positions in ``data``, the bytes of all texts.
+    ``ends``: their byte positions in ``data``, the bytes of all texts. `lower`
+    lower-cases A-Z; `plain` also takes all other ASCII than letters and digits
+    for blanks.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, plain: bool = False):
         data, offsets = text_bytes(column)
-        if lower:
-            data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
+        if plain:
+            data = _PLAIN[data]
+        elif lower:
+            data = _LOWER[data]
         self.data, self.offsets = data, offsets
         blank = (data == 32) | ((data >= 9) & (data <= 13))
         word = ~blank
