@@ -69,13 +69,13 @@ def unpack(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.repeat(owners, sizes)
 
 
-def marked(ids: DataFrame, column: str, bits: int = 23) -> np.ndarray:
+def marked(ids: DataFrame, column: str, bits: int = 23, hashed: bool = True) -> np.ndarray:
     """A fixed 2^bits bitmap holding the hashes of all ids: a filter that never misses one.
 
     Its size does not depend on the number of ids; too many ids only make it
-    let more rows through.
+    let more rows through. Ids that are hashes already need no other (`hashed`).
     """
-    place = F.pmod(F.xxhash64(column), F.lit(1 << bits))
+    place = F.pmod(F.xxhash64(column) if hashed else F.col(column), F.lit(1 << bits))
     words = (ids.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(p & 31 as int)))").alias("bits")).toPandas())
     out = np.zeros(1 << (bits - 5), np.uint32)
@@ -84,6 +84,6 @@ def marked(ids: DataFrame, column: str, bits: int = 23) -> np.ndarray:
 
 
 def is_marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether ids with these xxhash64 values may be in the bitmap."""
+    """Whether ids with these hashes may be in the bitmap."""
     place = np.mod(hashes, len(bitmap) * 32)
     return (bitmap[place >> 5] >> (place & 31).astype(np.uint32)) & np.uint32(1) != 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, decontaminate, language, ngram_join, packing, passages, rans, simhash
+from roadpulse.llm import chat, decontaminate, language, lines, ngram_join, packing, passages, rans, simhash
 from roadpulse.session import fresh_path
 
 
@@ -52,6 +52,11 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of all documents with the first line of their class."""
+    return lines.classify(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts hold control strings, read back from their format."""
     text = F.lit("</s>[INST] ok [/INST]")
@@ -79,6 +84,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_repeated_passages": op7_repeated_passages,
+    "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
 }
