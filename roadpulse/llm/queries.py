@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, decontaminate, language, lines, ngram_join, packing, passages, rans, simhash
+from roadpulse.llm import chat, decontaminate, language, lines, ngram_join, packing, passages, rans, simhash, site_style
 from roadpulse.session import fresh_path
 
 
@@ -25,6 +25,11 @@ def op1_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.digest(rans.read_ids(spark, folder))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return site_style.extract(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces, packed into sequences of 1024."""
     pieces = packing.cut_texts(_table(spark, sf_dir, "documents"),
@@ -79,6 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_rans_files": op1_rans_files,
+    "op2_main_text": op2_main_text,
     "op3_best_two_fit": op3_best_two_fit,
     "op4_ngram_join": op4_ngram_join,
     "op5_simhash": op5_simhash,
