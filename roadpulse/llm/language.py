@@ -183,7 +183,7 @@ def fit(labelled: DataFrame) -> Model:
         discounts = grams_.groupBy("lang").agg(
             F.sum((F.col("n") == 1).cast("int")).alias("once"),
             F.sum((F.col("n") == 2).cast("int")).alias("twice")).select("lang", F.greatest(
-                F.lit(0.1), F.coalesce(F.col("once") / (F.col("once") + 2 * F.col("twice")), F.lit(0.1)))
+                F.lit(0.1), F.coalesce(F.try_divide("once", F.col("once") + 2 * F.col("twice")), F.lit(0.1)))
             .alias("d"))
         head = F.shiftrightunsigned("code", 16) if order > 1 else F.lit(0).cast("long")
         contexts = (grams_.groupBy("lang", head.alias("head"))
