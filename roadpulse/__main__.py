@@ -6,9 +6,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadpulse.operators import catalog
+from roadpulse.operators import catalog, detect, signs
 from roadpulse.plans import jobs
-from roadpulse.session import build_session
+from roadpulse.session import build_session, scratch
 from roadpulse.sinks import streams as stream_out
 from roadpulse.sources import files as src
 from roadpulse.sources import streams as stream_src
@@ -17,8 +17,8 @@ from roadpulse.streaming import alerts, bulk, health, speeds
 
 def _messages(spark: SparkSession, args, topic: str) -> DataFrame:
     if args.servers:
-        return stream_src.kafka_messages(spark, args.servers, topic)
-    return stream_src.file_messages(spark, args.input)
+        return stream_src.kafka_messages(spark, args.servers, topic, args.starting, args.per_trigger)
+    return stream_src.file_messages(spark, args.input, per_trigger=args.per_trigger)
 
 
 def _send(args, topic: str):
@@ -30,42 +30,61 @@ def _send(args, topic: str):
         frame, args.output, checkpoint, every=args.every)
 
 
+def _rejects(args, frame: DataFrame) -> list:
+    """The query that writes rejected rows, if a folder for them is given."""
+    if not args.rejects:
+        return []
+    return [stream_out.to_files(frame, args.rejects, f"{args.checkpoint}-rejects", "json", args.every)]
+
+
+def _await(queries: list) -> None:
+    for query in queries:
+        query.awaitTermination()
+
+
 def train_model(spark, args):
-    jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32,
-                     args.inspect)
+    with scratch(spark):
+        jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32,
+                         args.inspect)
 
 
 def derive_speeds(spark, args):
-    points = stream_src.positions(_messages(spark, args, args.position_topic))
-    edges = src.read_links(spark, args.map)
-    if args.bulk:
+    messages = _messages(spark, args, args.position_topic)
+    points, edges = stream_src.positions(messages), src.read_links(spark, args.map)
+    start = spark.read.schema(bulk.STATE).parquet(args.start) if args.start else None
+    queries = _rejects(args, stream_src.rejected_positions(messages))
+    if args.keyed_state:
+        rows = speeds.speed_stream(points, edges, start)
+        queries.append(_send(args, stream_src.SPEED_TOPIC)(speeds.speed_records(rows), args.checkpoint))
+    else:
         def write(rows: DataFrame, batch_id: int) -> None:
             stream_out.batch_to(speeds.speed_records(rows), args.servers, stream_src.SPEED_TOPIC,
                                 args.output, batch_id)
 
-        bulk.start_bulk_speeds(points, edges, f"{args.checkpoint}/vehicles", write,
-                               f"{args.checkpoint}/query", args.every).awaitTermination()
-        return
-    rows = speeds.speed_stream(points, edges)
-    _send(args, stream_src.SPEED_TOPIC)(speeds.speed_records(rows),
-                                        args.checkpoint).awaitTermination()
+        queries.append(bulk.start_bulk_speeds(
+            points, edges, f"{args.checkpoint}/vehicles", write, f"{args.checkpoint}/query",
+            args.every, start))
+    _await(queries)
 
 
 def detect_anomalies(spark, args):
+    messages = _messages(spark, args, stream_src.SPEED_TOPIC)
     started = alerts.start_alerts(
-        _messages(spark, args, stream_src.SPEED_TOPIC), src.read_model(spark, args.model),
-        _send(args, stream_src.ANOMALY_TOPIC), args.checkpoint,
-        "1 seconds" if args.every else None)
-    for query in started:
-        query.awaitTermination()
+        messages, src.read_model(spark, args.model), _send(args, stream_src.ANOMALY_TOPIC),
+        args.checkpoint, "1 seconds" if args.every else None)
+    _await([*started, *_rejects(args, detect.rejected_speeds(messages))])
 
 
 def publish_signs(spark, args):
     boards = catalog.having(src.read_catalog(spark, args.resources), catalog.BOARD)
-    signs = alerts.signs(_messages(spark, args, stream_src.ANOMALY_TOPIC),
-                         src.read_links(spark, args.map), src.read_nodes(spark, args.map),
-                         boards, args.radius, not args.lenient)
-    _send(args, stream_src.SIGN_TOPIC)(signs, args.checkpoint).awaitTermination()
+    messages = _messages(spark, args, stream_src.ANOMALY_TOPIC)
+    edges, nodes = src.read_links(spark, args.map), src.read_nodes(spark, args.map)
+    sent = alerts.signs(messages, edges, nodes, boards, args.radius, not args.lenient)
+    queries = [_send(args, stream_src.SIGN_TOPIC)(sent, args.checkpoint)]
+    if args.lenient and args.rejects:
+        queries += _rejects(args, alerts.rejected_signs(messages, edges, nodes))
+        signs.rejected_boards(boards).write.mode("overwrite").json(f"{args.rejects}-boards")
+    _await(queries)
 
 
 def health_check(spark, args):
@@ -74,20 +93,23 @@ def health_check(spark, args):
 
 
 def split_trips(spark, args):
-    names = args.attributes.split(",") if args.attributes else None
-    jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target, names)
+    with scratch(spark):
+        jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target)
 
 
 def expand_trips(spark, args):
-    jobs.expand_trip_file(spark, args.trips, args.target, args.seed, args.parallel)
+    with scratch(spark):
+        jobs.expand_trip_file(spark, args.trips, args.target, args.seed)
 
 
 def register_cars(spark, args):
-    jobs.register_cars(spark, args.vehicles, args.resources, args.capabilities)
+    with scratch(spark):
+        jobs.register_cars(spark, args.vehicles, args.resources, args.capabilities)
 
 
 def publish_board(spark, args):
-    jobs.publish_board(spark, args.node_id, args.x, args.y, args.resources, args.capabilities)
+    with scratch(spark):
+        jobs.publish_board(spark, args.node_id, args.x, args.y, args.resources, args.capabilities)
 
 
 def convert_nodes(spark, args):
@@ -95,8 +117,8 @@ def convert_nodes(spark, args):
 
 
 def compare_trips(spark, args):
-    jobs.compare_trip_logs(spark, args.baseline, args.events).orderBy("last_link").show(
-        args.rows, truncate=False)
+    with scratch(spark):
+        jobs.compare_trip_logs(spark, args.baseline, args.events, args.target)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -115,9 +137,14 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--input", help="folder of message files")
         sub.add_argument("--every", default=None,
                          help="trigger interval; without it, drain what is there and stop")
+        sub.add_argument("--starting", help="where a first run begins in a topic: earliest "
+                         "(the default), latest, or offsets as JSON")
+        sub.add_argument("--per-trigger", type=int,
+                         help="most messages of a topic, or files, in a micro-batch")
         if sink:
             sub.add_argument("--output", help="folder for messages")
             sub.add_argument("--checkpoint", required=True)
+            sub.add_argument("--rejects", help="folder for unusable messages, with reasons")
 
     sub = command(train_model, "histories", "map", "model")
     sub.add_argument("--rejects")
@@ -125,8 +152,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--inspect", action="store_true", help="print the first rows of each step")
     sub = command(derive_speeds, "map")
     sub.add_argument("--position-topic", default="positions")
-    sub.add_argument("--bulk", action="store_true",
-                     help="for large triggers and hot vehicles: replay each micro-batch")
+    sub.add_argument("--start", help="folder of last ticks (uuid, tick) to start from")
+    sub.add_argument("--keyed-state", action="store_true",
+                     help="walk through each vehicle with Spark's keyed state")
     streaming(sub)
     streaming(command(detect_anomalies, "model"))
     sub = command(publish_signs, "map", "resources")
@@ -138,10 +166,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("begin", type=int)
     sub.add_argument("end", type=int)
     sub.add_argument("target")
-    sub.add_argument("--attributes", help="comma-separated; read a large file in parallel")
     sub = command(expand_trips, "trips", "target")
     sub.add_argument("--seed")
-    sub.add_argument("--parallel", action="store_true", help="read a large file in parallel")
     command(register_cars, "vehicles", "resources", "capabilities")
     sub = command(publish_board, "node_id")
     sub.add_argument("x", type=float)
@@ -149,7 +175,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("resources")
     sub.add_argument("capabilities")
     command(convert_nodes, "map", "target")
-    command(compare_trips, "baseline", "events").add_argument("--rows", type=int, default=1000)
+    command(compare_trips, "baseline", "events", "target")
     return top
 
 

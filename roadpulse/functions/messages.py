@@ -6,28 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_fields(names: list[str], value: str = "value") -> list[Column]:
-    """One text column per top-level JSON field; NULL where absent or not JSON."""
-    return [F.get_json_object(F.col(value), f"$.{name}").alias(name) for name in names]
+def json_fields(names: list[str], value: str = "value") -> Column:
+    """One text column per top-level JSON field, parsed together; NULL where absent or not JSON.
 
+    This is a generator: one per select, and filters on the fields stay behind
+    it, so a message is parsed once. Of a repeated field the last one counts.
+    """
+    return F.json_tuple(value, *names).alias(*names)
 
-def once(*columns: Column | str) -> Column:
-    """The given columns, computed once per row.
 
-    A filter on a parsed field would otherwise be moved before the parsing and
-    repeat it. Filters do not pass a generator, which this is.
-    """
+def once(*columns: Column | str) -> Column:
+    """The given columns, computed once per row and before any filter on them."""
     return F.inline(F.array(F.struct(*columns)))
 
 
 def to_id(text: Column) -> Column:
-    """Integer id from text such as '12' or '12.0'; NULL if it is no number.
+    """Integer id from text such as '12' or '12.0'; NULL if it is no whole number.
 
     The form is looked at first: a failing cast costs far more than a match.
     """
     text = F.trim(text)
+    number = text.try_cast("double")
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint")).otherwise(
-        text.try_cast("double").try_cast("bigint"))
+        F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def to_number(text: Column) -> Column:

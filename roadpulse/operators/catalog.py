@@ -42,4 +42,4 @@ def having(catalog: DataFrame, capability: str) -> DataFrame:
 def absent(wanted: DataFrame, catalog: DataFrame, key: str = "uuid") -> DataFrame:
     """Rows of `wanted` whose key the catalog lacks, one per key."""
     return (wanted.where(F.col(key).isNotNull()).dropDuplicates([key])
-            .join(catalog.select(key).distinct(), key, "left_anti"))
+            .join(catalog.select(key), key, "left_anti"))

@@ -1,11 +1,11 @@
 """Exact medians and median-absolute-deviation bounds of any group size.
 
 `F.median` gathers a whole group in one task, which a hot key does not allow.
-Here rows are first combined to (key, value, n) and written once. If every key
-then has few distinct values, a running count per key finds the middle.
-Otherwise the middle is closed in on: a histogram tells which bin of each key
-holds it, only that bin's rows go on, and they are divided again until no group
-exceeds the limit. Bin sizes combine map-side, so no step gathers a hot key.
+Here rows are first combined to (key, value, n), put in order of key and value
+over all tasks, and written once together with the number of the task, the
+slice. Counts per key and slice tell which slices of a key hold its middle; only
+those rows are ranked. A hot key has many slices, of which two are looked at.
+There is one plan for keys of all sizes and nothing is read on the driver.
 """
 
 from __future__ import annotations
@@ -14,17 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators.lookup import join_on
-from roadpulse.session import settle, settle_and_measure
+from roadpulse.session import settle
 
 # Fixed value: makes the MAD of a normal distribution equal its standard deviation.
 MAD_SCALE = 1.4826
 
-# Most distinct values one task may order for one key.
-GROUP_LIMIT = 1_000_000
-# First bins, per unit of log(1 + |value|); a double spans at most 2 * 710 units.
-_LOG_BINS = 4096
-# Equal-width bins of any later division.
-_EVEN_BINS = 4096
+_SLICE = "_slice"
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -33,75 +28,43 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _largest_group(rows: DataFrame, group: list[str]) -> int:
-    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("size"))
-    return sizes.agg(F.max("size")).first()[0] or 0
+def sliced(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The counts in order of key and value over all tasks, with the task as `_slice`, settled.
+
+    Rows of a key are cut by value; equal sizes of the slices are up to Spark's sampling.
+    """
+    return settle(counts.repartitionByRange(*keys, "value")
+                  .withColumn(_SLICE, F.spark_partition_id()), "value-counts")
 
 
 def _middle_ranks(total: Column) -> tuple[Column, Column]:
     return F.floor((total + 1) / 2), F.floor(total / 2) + 1
 
 
-def _narrow(rows: DataFrame, keys: list[str], bins: Column) -> tuple[DataFrame, int]:
-    """The rows of the bins that hold a middle rank, with the bin's range lo..hi,
-    and the number of rows in the largest of these bins.
-
-    `before` counts the values of the key below the bin and, being different
-    for each, tells the one or two bins kept per key apart.
-    """
-    group = [*keys, "before"]
-    binned = rows.withColumn("bin", bins).drop("lo", "hi")
-    sizes = binned.groupBy(*group, "bin").agg(
-        F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows"),
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.min("total").alias("total"))
-    whole = Window.partitionBy(*group)
-    running = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    low, high = _middle_ranks(F.col("total"))
-    kept = (
-        sizes
-        .withColumn("total", F.coalesce("total", F.sum("size").over(whole)))
-        .withColumn("through", F.col("before") + F.sum("size").over(running))
-        .withColumn("below", F.col("through") - F.col("size"))
-        .where((F.col("through") >= low) & (F.col("below") < high))
-        .select(*group, "bin", "below", "total", "lo", "hi", "rows")
-    )
-    # Settled, it is known to be small where it is, and the rows then need no shuffle.
-    kept, largest = settle_and_measure(kept, "middle-bins", F.max("rows"))
-    narrowed = (join_on(binned.drop("total"), kept, [*group, "bin"])
-                .drop("before", "bin", "rows").withColumnRenamed("below", "before"))
-    return settle(narrowed, "middle-rows"), largest or 0
-
-
-def weighted_median(counts: DataFrame, keys: list[str], largest: int | None = None,
-                    limit: int = GROUP_LIMIT) -> DataFrame:
-    """keys, median: the exact median of `value` with multiplicity `n`.
+def weighted_median(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, median: the exact median of `value` with multiplicity `n`, from `sliced` counts.
 
     NULL and NaN values are ignored; a key with no other value is absent.
-    `largest`, if known, bounds the rows of any key. `counts` is read several
-    times, so it should be settled.
     """
     value = F.col("value")
-    rows = (counts.where(value.isNotNull() & ~F.isnan(value))
-            .select(*keys, "value", "n", F.lit(0).cast("bigint").alias("before"),
-                    F.lit(None).cast("bigint").alias("total")))
-    if largest is None:
-        largest = _largest_group(rows, keys)
-    bins = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_BINS)
-    low, high = F.col("lo"), F.col("hi")
-    while largest > limit:
-        rows, largest = _narrow(rows, keys, bins)
-        bins = F.when(high > low, F.floor((value - low) / (high - low) * _EVEN_BINS)
-                      ).otherwise(F.lit(0))
-
-    # `before` is one value per key unless bins were kept.
+    rows = counts.where(value.isNotNull() & ~F.isnan(value))
     whole = Window.partitionBy(*keys)
-    running = (whole.orderBy("before", "value")
+    low, high = _middle_ranks(F.col("total"))
+    middle = (
+        rows.groupBy(*keys, _SLICE).agg(F.sum("n").alias("size"))
+        .withColumn("total", F.sum("size").over(whole))
+        .withColumn("through", F.sum("size").over(
+            whole.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("before", F.col("through") - F.col("size"))
+        .where((F.col("through") >= low) & (F.col("before") < high))
+        .select(*keys, _SLICE, "before", "total"))
+    running = (Window.partitionBy(*keys, _SLICE).orderBy("value")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (rows.withColumn("total", F.coalesce("total", F.sum("n").over(whole)))
-              .withColumn("through", F.min("before").over(whole) + F.sum("n").over(running)))
-    middle = [F.max(F.when((F.col("through") - F.col("n") < rank) & (F.col("through") >= rank),
-                           value)) for rank in _middle_ranks(F.col("total"))]
-    return ranked.groupBy(*keys).agg(((middle[0] + middle[1]) / 2).alias("median"))
+    ranked = (join_on(rows, middle, [*keys, _SLICE])
+              .withColumn("through", F.col("before") + F.sum("n").over(running)))
+    found = [F.max(F.when((F.col("through") - F.col("n") < rank) & (F.col("through") >= rank),
+                          value)) for rank in (low, high)]
+    return ranked.groupBy(*keys).agg(((found[0] + found[1]) / 2).alias("median"))
 
 
 def deviation_counts(counts: DataFrame, medians: DataFrame, keys: list[str]) -> DataFrame:
@@ -112,8 +75,7 @@ def deviation_counts(counts: DataFrame, medians: DataFrame, keys: list[str]) ->
 
 
 def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
-                       scale: float = MAD_SCALE, single_precision: bool = False,
-                       limit: int = GROUP_LIMIT) -> DataFrame:
+                       scale: float = MAD_SCALE, single_precision: bool = False) -> DataFrame:
     """keys, n, mean, median, mad, upper_threshold, lower_threshold.
 
     A key whose values are all NULL keeps its row, with NULL bounds; so does a
@@ -122,24 +84,18 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
     """
     rounded = (lambda c: c.cast("float").cast("double")) if single_precision else (lambda c: c)
     value, n = F.col("value"), F.col("n")
-    counts = settle(counts, "value-counts")
-    totals, largest = settle_and_measure(counts.groupBy(*keys).agg(
+    counts = sliced(counts, keys)
+    totals = counts.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("n"),
         F.try_divide(F.sum(value * n), F.sum(F.when(value.isNotNull(), n))).alias("mean"),
-        F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"),
-        F.count(F.lit(1)).alias("_distinct")), "totals", F.max("_distinct"))
-    largest = largest or 0
-    medians = settle(weighted_median(counts, keys, largest, limit)
+        F.max(F.coalesce(F.isnan(value), F.lit(False))).alias("_nan"))
+    medians = settle(join_on(totals, weighted_median(counts, keys), keys, "left")
                      .withColumn("median", rounded(F.col("median"))), "medians")
-    off = deviation_counts(counts, medians, keys)
-    if largest > limit:
-        off = settle(off, "deviation-counts")
-    # Deviations merge values and never split them: `largest` bounds them too.
-    deviations = (weighted_median(off, keys, largest, limit)
+    off = sliced(deviation_counts(counts, medians, keys), keys)
+    deviations = (weighted_median(off, keys)
                   .withColumn("mad", rounded(F.col("median")) * scale).drop("median"))
     known = lambda c: F.when(~F.col("_nan"), c)
-    joined = join_on(join_on(totals, medians, keys, "left"), deviations, keys, "left")
-    return joined.select(
+    return join_on(medians, deviations, keys, "left").select(
         *keys, "n", "mean",
         known(F.col("median")).alias("median"),
         known(F.col("mad")).alias("mad"),
@@ -148,11 +104,9 @@ def bounds_from_counts(counts: DataFrame, keys: list[str], k: float = 3.0,
 
 
 def mad_bounds(df: DataFrame, keys: list[str], value: str, k: float = 3.0,
-               scale: float = MAD_SCALE, single_precision: bool = False,
-               limit: int = GROUP_LIMIT) -> DataFrame:
+               scale: float = MAD_SCALE, single_precision: bool = False) -> DataFrame:
     """Outlier bounds, median -/+ k * MAD, of one numeric column per key."""
-    return bounds_from_counts(value_counts(df, keys, value), keys, k, scale, single_precision,
-                              limit)
+    return bounds_from_counts(value_counts(df, keys, value), keys, k, scale, single_precision)
 
 
 def deviations(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -161,6 +115,6 @@ def deviations(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     The rows themselves take the place of an array of values per key, which
     would have to fit in one task.
     """
-    counts = settle(value_counts(df, keys, value), "value-counts")
+    counts = sliced(value_counts(df, keys, value), keys)
     return (join_on(df, weighted_median(counts, keys), keys, "left")
             .withColumn("deviation", F.abs(F.col(value) - F.col("median"))))

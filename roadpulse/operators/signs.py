@@ -16,16 +16,14 @@ SIGN_ROUTING_KEY = "#"
 
 def parse_anomalies(messages: DataFrame, value: str = "value") -> DataFrame:
     """Anomaly messages -> value, edge_id (NULL where malformed)."""
-    fields = json_fields(["edgeId"], value)
-    return (messages.select(F.col(value).alias("value"), once(*fields))
+    return (messages.select(F.col(value).alias("value"), json_fields(["edgeId"], value))
             .select("value", to_id(F.col("edgeId")).alias("edge_id")))
 
 
 def locate_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edge_id, from_node, to_node, node_known (NULL if the map lacks the from node)."""
+    """edge_id, from_node, to_node, node_known (NULL if the map lacks the from node); node ids are unique."""
     known = nodes.select(F.col("node_id").alias("from_node"), F.lit(True).alias("node_known"))
-    return (edges.select("edge_id", "from_node", "to_node")
-            .join(known.distinct(), "from_node", "left"))
+    return edges.select("edge_id", "from_node", "to_node").join(known, "from_node", "left")
 
 
 def boards_near(edges: DataFrame, nodes: DataFrame, boards: DataFrame,
@@ -80,10 +78,19 @@ def sign_messages(found: DataFrame, edges: DataFrame, nodes: DataFrame, boards:
     and node and on a board without a description; otherwise such rows are left
     out here and `rejected_anomalies` lists them.
     """
+    edges = edges.join(found.select("edge_id"), "edge_id", "left_semi")
     return sign_rows(found, locate_edges(edges, nodes),
                      boards_near(edges, nodes, boards, radius), strict)
 
 
+def rejected_boards(boards: DataFrame) -> DataFrame:
+    """The boards that no sign message can name or place, with the reason."""
+    reason = (F.when(F.col("description").isNull(), "board without description")
+              .when(F.col("lat").isNull() | F.col("lon").isNull(), "board without place"))
+    return (boards.select(once(*boards.columns)).withColumn("reason", reason)
+            .where(F.col("reason").isNotNull()))
+
+
 def rejected_anomalies(found: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """The columns of unusable anomalies, with the reason."""
     return (_with_reason(found, locate_edges(edges, nodes)).where(F.col("reason").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import ceil, log2, sin
+from math import sin
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,11 +57,9 @@ def within_radius(points: DataFrame, sites: DataFrame, radius: float = 1000.0) -
         .withColumn("_cell", F.expr(f"explode(array_distinct(array({neighbours})))"))
         .drop("_cells", "_own")
     )
-    # A point may meet many sites: spread the points over all tasks beforehand.
-    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The points of a hot cell are one skewed partition, which AQE splits.
     placed = (
-        points.repartition(tasks, *points.columns)
-        .withColumn("_band", F.expr(f"coalesce({_band('lat', radius)}, {_NO_POINT}L)"))
+        points.withColumn("_band", F.expr(f"coalesce({_band('lat', radius)}, {_NO_POINT}L)"))
         .withColumn("_cells", F.expr(_cells_around("_band", radius)))
         .withColumn("_cell", F.expr(f"coalesce(pmod({_cell('lon')}, _cells), -2L)"))
         .drop("_cells")
@@ -76,14 +74,20 @@ def _square(c: Column) -> Column:
     return c * c
 
 
-def nearest_node(points: DataFrame, nodes: DataFrame, leaf: float = 8.0) -> DataFrame:
+# Nodes per cell up to which it is not divided further, and the levels, each of
+# eight by eight parts, that a cell can be divided by.
+LEAF_NODES, LEVELS = 16, 10
+
+
+def nearest_node(points: DataFrame, nodes: DataFrame, leaf: int = LEAF_NODES) -> DataFrame:
     """Each point (x, y, ...) with node_id and distance of its nearest node.
 
     Ties go to the smaller id. The nodes' extent is divided by eight along each
-    axis, level by level, down to cells of `leaf` units. Every point descends
-    from the single top cell; at each level it keeps the cells whose nearest
-    possible node is no farther than the nearest node known so far, which is
-    exact and leaves a few cells per point however the nodes are clustered.
+    axis, level by level, as long as a cell holds more than `leaf` nodes, so
+    dense places are divided further than others. Every point descends from the
+    single top cell; at each level it keeps the cells whose nearest possible node
+    is no farther than the nearest node known so far, which is exact and leaves a
+    few cells per point however the nodes are clustered.
     """
     nodes = settle(nodes.where(F.col("x").isNotNull() & F.col("y").isNotNull())
                    .groupBy("x", "y").agg(F.min("node_id").alias("node_id")), "places")
@@ -93,45 +97,56 @@ def nearest_node(points: DataFrame, nodes: DataFrame, leaf: float = 8.0) -> Data
                                    "distance": F.lit(None).cast("double")})
     left, right, bottom, top = extent
     side = max(right - left, top - bottom) or 1.0
-    levels = max(1, ceil(log2(max(side / leaf, 2.0)) / 3))
-    parts = 8 ** levels
+    parts = 8 ** LEVELS
 
     def index(value: Column, origin: float) -> Column:
-        return F.least(F.greatest(F.floor((value - origin) / side * parts), F.lit(0)),
-                       F.lit(parts - 1))
-
-    def cell(value: Column, origin: float, level: int) -> Column:
-        return F.shiftright(index(value, origin), 3 * (levels - level))
+        return F.least(F.floor((value - origin) / side * parts), F.lit(parts - 1))
+
+    def by_level(level: Column) -> DataFrame:
+        return nodes.withColumn("level", F.explode(level)).withColumns({
+            "cx": F.expr("shiftright(ix, 3 * (%d - level))" % LEVELS),
+            "cy": F.expr("shiftright(iy, 3 * (%d - level))" % LEVELS)}).drop("ix", "iy")
+
+    nodes = nodes.withColumns({"ix": index(F.col("x"), left), "iy": index(F.col("y"), bottom)})
+    tree = settle(
+        by_level(F.sequence(F.lit(1), F.lit(LEVELS))).groupBy("level", "cx", "cy")
+        .agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
+             F.min("y").alias("y0"), F.max("y").alias("y1"),
+             F.min(F.struct("x", "y")).alias("some")), "cells")
+    # One number: the last level at which a cell is divided.
+    depth = min(LEVELS, (tree.where(F.col("n") > leaf).agg(F.max("level")).first()[0] or 0) + 1)
 
-    # The top level is one cell; at the last, cells are no wider than `leaf`.
-    located = nodes.withColumns({"cx": cell(F.col("x"), left, levels),
-                                 "cy": cell(F.col("y"), bottom, levels)})
     px, py = F.col("px"), F.col("py")
     per_point = Window.partitionBy("px", "py")
+    zero = F.lit(0).cast("bigint")
     frontier = (points.select(F.col("x").alias("px"), F.col("y").alias("py"))
                 .where(F.col("x").isNotNull() & F.col("y").isNotNull()).distinct()
-                .withColumns({"cx": cell(px, left, 0), "cy": cell(py, bottom, 0)}))
-    for level in range(1, levels + 1):
-        cells = (nodes
-                 .groupBy(cell(F.col("x"), left, level).alias("kx"),
-                          cell(F.col("y"), bottom, level).alias("ky"))
-                 .agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
-                      F.min("y").alias("y0"), F.max("y").alias("y1"),
-                      F.min(F.struct("x", "y")).alias("some"))
-                 .withColumns({"cx": F.shiftright("kx", 3), "cy": F.shiftright("ky", 3)}))
+                .withColumns({"px_cell": zero, "py_cell": zero, "known": F.lit(float("inf"))}))
+    ends = []
+    for level in range(1, depth + 1):
+        cells = (tree.where(F.col("level") == level)
+                 .withColumns({"px_cell": F.shiftright("cx", 3), "py_cell": F.shiftright("cy", 3)}))
         if level <= 2:
             # At most 64 and 4096 cells, which all points would otherwise be sent to.
             cells = F.broadcast(cells)
         gap_x = F.greatest(F.col("x0") - px, px - F.col("x1"), F.lit(0.0))
         gap_y = F.greatest(F.col("y0") - py, py - F.col("y1"), F.lit(0.0))
         reached = _square(F.col("some.x") - px) + _square(F.col("some.y") - py)
-        frontier = (frontier.join(cells, ["cx", "cy"])
-                    .withColumns({"near": _square(gap_x) + _square(gap_y), "reached": reached})
-                    .withColumn("best", F.min("reached").over(per_point))
-                    .where(F.col("near") <= F.col("best"))
-                    .select("px", "py", F.col("kx").alias("cx"), F.col("ky").alias("cy")))
+        kept = (frontier.join(cells, ["px_cell", "py_cell"])
+                .withColumns({"near": _square(gap_x) + _square(gap_y), "reached": reached})
+                .withColumn("known", F.least("known", F.min("reached").over(per_point)))
+                .where(F.col("near") <= F.col("known"))
+                .select("px", "py", "cx", "cy", "n", "known"))
+        kept = settle(kept, "frontier")
+        end = kept if level == depth else kept.where(F.col("n") <= leaf)
+        ends.append(end.select("px", "py", F.lit(level).alias("level"), "cx", "cy"))
+        frontier = kept.where(F.col("n") > leaf).select(
+            "px", "py", F.col("cx").alias("px_cell"), F.col("cy").alias("py_cell"), "known")
+    reached_cells = ends[0]
+    for end in ends[1:]:
+        reached_cells = reached_cells.union(end)
     distance = _square(F.col("x") - px) + _square(F.col("y") - py)
-    found = (frontier.join(located, ["cx", "cy"])
+    found = (reached_cells.join(by_level(F.sequence(F.lit(1), F.lit(depth))), ["level", "cx", "cy"])
              .groupBy("px", "py")
              .agg(F.min(F.struct(distance.alias("d"), F.col("node_id"))).alias("hit"))
              .select("px", "py", F.col("hit.node_id").alias("node_id"),

@@ -40,16 +40,12 @@ def train_model(spark: SparkSession, histories: str, road_map: str, model: str,
         bad.write.mode("overwrite").json(rejects)
 
 
-def split_trip_file(spark: SparkSession, path: str, begin: int, end: int, target: str,
-                    attributes: list[str] | None = None) -> None:
-    found = src.read_trips(spark, path, attributes)
-    out.write_trips_xml(trips.split_trips(found, begin, end), target)
+def split_trip_file(spark: SparkSession, path: str, begin: int, end: int, target: str) -> None:
+    out.write_trips_xml(trips.split_trips(src.read_trips(spark, path), begin, end), target)
 
 
-def expand_trip_file(spark: SparkSession, path: str, target: str, seed: str | None = None,
-                     parallel: bool = False) -> None:
-    found = src.read_trips(spark, path, trips.TRIP_ATTRIBUTES if parallel else None)
-    out.write_vehicles_csv(trips.expand_trips(found, seed), target)
+def expand_trip_file(spark: SparkSession, path: str, target: str, seed: str | None = None) -> None:
+    out.write_vehicles_csv(trips.expand_trips(src.read_trips(spark, path), seed), target)
 
 
 def register_cars(spark: SparkSession, vehicles: str, resources: str, capabilities: str) -> None:
@@ -76,6 +72,7 @@ def convert_nodes(spark: SparkSession, road_map: str, target: str) -> None:
     out.write_nodes_xml(with_latlon(src.read_nodes(spark, road_map)), target)
 
 
-def compare_trip_logs(spark: SparkSession, baseline: str, events: str) -> DataFrame:
-    return compare.overlay(compare.compare(src.read_trip_log(spark, baseline),
-                                           src.read_trip_log(spark, events)))
+def compare_trip_logs(spark: SparkSession, baseline: str, events: str, target: str) -> None:
+    """Every destination of two trip logs, side by side, as CSV in a folder."""
+    out.write_comparison(compare.overlay(compare.compare(src.read_trip_log(spark, baseline),
+                                                         src.read_trip_log(spark, events))), target)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from roadpulse.functions import geo
-
 POSITIONS = """positions AS (
   SELECT CAST(user_id AS VARCHAR) AS uuid, CAST(floor(epoch(ts)) AS BIGINT) AS tick,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS edge_id
@@ -66,38 +64,53 @@ accepted AS (
   SELECT uuid, seq, tick, edge_id, length / (tick - held) AS avg_speed
   FROM walk WHERE tick > held AND length IS NOT NULL)"""
 
-NODES = """nodes AS (
-  SELECT c_custkey AS node_id, CAST(2817000 + (c_custkey * 37) % 3000 AS DOUBLE) AS x,
-         CAST(7206500 + (c_custkey * 91) % 2000 AS DOUBLE) AS y FROM customer)"""
 
-BOARD_POINTS = """board_points AS (
-  SELECT s_suppkey AS node_id, CAST(2817000 + (s_suppkey * 53) % 3000 AS DOUBLE) AS x,
-         CAST(7206500 + (s_suppkey * 71) % 2000 AS DOUBLE) AS y FROM supplier)"""
 
-_GRID = geo.SCALE_ON_MERIDIAN * geo._RECTIFYING_RADIUS
+def _placed(source: str, key: str, name: str, per_tile: int, east: int, north: int) -> str:
+    return f"""{name} AS (
+  SELECT {key} AS node_id,
+         CAST(2817000 + 12000 * (({key} // {per_tile}) % 16) + ({key} * {east}) % 12000 AS DOUBLE) AS x,
+         CAST(7206500 + 8000 * (({key} // {per_tile}) // 16) + ({key} * {north}) % 8000 AS DOUBLE) AS y
+  FROM {source})"""
+
+
+NODES = _placed("customer", "c_custkey", "nodes", 1500, 4973, 3571)
+BOARD_POINTS = _placed("supplier", "s_suppkey", "board_points", 100, 7919, 6151)
 
+# Fixed values of the ellipsoid WGS84 and its transverse Mercator series: rectifying
+# radius times the scale on the meridian, first eccentricity, and the coefficients by
+# order of grid to conformal, conformal to grid, and conformal to geodetic latitude.
+GRID_RADIUS = 0.9996 * 6367449.145823415
+ECCENTRICITY = 0.08181919084262149
+TO_SPHERE = (8.377321640579486e-04, 5.905870152220203e-08, 1.6734826652839968e-10,
+             2.1647980400627059e-13, 3.7879780461686053e-16, 7.2487488906941545e-19)
+TO_GRID = (8.377318206244698e-04, 7.608527773572307e-07, 1.1976455033294527e-09,
+           2.4291706072013587e-12, 5.711757677865804e-15, 1.4911177312583895e-17)
+TO_LATITUDE = (3.356551469132832e-03, 6.5718731986284435e-06, 1.7646404113085805e-08,
+               5.3877537842559224e-11, 1.764007472632213e-13, 6.056073876794177e-16)
 
-def _sum(rows, template: str) -> str:
+
+def _sum(coefficients, template: str) -> str:
     return " + ".join(f"({c!r}) * " + template.format(k=2 * order)
-                      for order, c in enumerate(geo.series(rows), start=1))
+                      for order, c in enumerate(coefficients, start=1))
 
 
 def _latlon(source: str, name: str) -> str:
     """CTE `name`: node_id, lat, lon of a source with x, y in UTM zone 19 south."""
     return f"""{name}_a AS (
-  SELECT node_id, (y - 10000000.0) / {_GRID!r} AS xi, (x - 500000.0) / {_GRID!r} AS eta
+  SELECT node_id, (y - 10000000.0) / {GRID_RADIUS!r} AS xi, (x - 500000.0) / {GRID_RADIUS!r} AS eta
   FROM {source}),
 {name}_b AS (
   SELECT node_id,
-    xi - ({_sum(geo.GRID_TO_GEODETIC, 'sin({k} * xi) * cosh({k} * eta)')}) AS u,
-    eta - ({_sum(geo.GRID_TO_GEODETIC, 'cos({k} * xi) * sinh({k} * eta)')}) AS v
+    xi - ({_sum(TO_SPHERE, 'sin({k} * xi) * cosh({k} * eta)')}) AS u,
+    eta - ({_sum(TO_SPHERE, 'cos({k} * xi) * sinh({k} * eta)')}) AS v
   FROM {name}_a),
 {name}_c AS (
   SELECT node_id, asin(sin(u) / cosh(v)) AS chi,
          -69.0 + degrees(atan2(sinh(v), cos(u))) AS lon FROM {name}_b),
 {name} AS (
   SELECT node_id, lon,
-    degrees(chi + {_sum(geo.CONFORMAL_TO_LATITUDE, 'sin({k} * chi)')}) AS lat
+    degrees(chi + {_sum(TO_LATITUDE, 'sin({k} * chi)')}) AS lat
   FROM {name}_c)"""
 
 
@@ -131,16 +144,16 @@ _east = "radians(-46.0 - (c_custkey % 991) / 1000.0 + 69.0)"
 GRID = f"""WITH a AS (
   SELECT c_custkey, {_phi} AS phi, {_east} AS east FROM customer),
 b AS (
-  SELECT c_custkey, east, sinh(atanh(sin(phi)) - {geo._ECCENTRICITY!r}
-         * atanh({geo._ECCENTRICITY!r} * sin(phi))) AS t FROM a),
+  SELECT c_custkey, east, sinh(atanh(sin(phi)) - {ECCENTRICITY!r}
+         * atanh({ECCENTRICITY!r} * sin(phi))) AS t FROM a),
 c AS (
   SELECT c_custkey, atan2(t, cos(east)) AS u,
          asinh(sin(east) / sqrt(t * t + cos(east) * cos(east))) AS v FROM b)
 SELECT c_custkey, -23.0 - (c_custkey % 997) / 1000.0 AS lat,
   -46.0 - (c_custkey % 991) / 1000.0 AS lon,
-  round(500000.0 + {_GRID!r} * (v + {_sum(geo.GEODETIC_TO_GRID,
+  round(500000.0 + {GRID_RADIUS!r} * (v + {_sum(TO_GRID,
                                           'cos({k} * u) * sinh({k} * v)')}), 3) AS x,
-  round(10000000.0 + {_GRID!r} * (u + {_sum(geo.GEODETIC_TO_GRID,
+  round(10000000.0 + {GRID_RADIUS!r} * (u + {_sum(TO_GRID,
                                             'sin({k} * u) * cosh({k} * v)')}), 3) AS y
 FROM c"""
 
@@ -189,9 +202,28 @@ COMPARED = f"""WITH {MEANS}
 SELECT last_link, has_event, round(distance, 6) AS distance, round(duration, 6) AS duration
 FROM compared"""
 
-CLEAN = """SELECT CAST(user_id AS VARCHAR) AS uuid, CAST(floor(epoch(ts)) AS BIGINT) AS tick,
-       CAST(json_extract_string(props, '$.k') AS BIGINT) AS edge_id
-FROM events WHERE event_type <> 'error'"""
+HISTORIES = """points AS (
+  SELECT CASE WHEN user_id % 29 <> 0 THEN CAST(user_id AS VARCHAR) END AS uuid,
+         CASE WHEN event_type <> 'error' THEN CAST(floor(epoch(ts)) AS BIGINT) END AS tick,
+         CASE WHEN event_id % 11 <> 0
+              THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS edge_id
+  FROM events)"""
+CLEAN = f"""WITH {HISTORIES}
+SELECT uuid, tick, edge_id FROM points
+WHERE uuid IS NOT NULL AND tick IS NOT NULL AND edge_id IS NOT NULL"""
+
+
+def _nearest(divisor: int, digits: int) -> str:
+    return f"""WITH {NODES}, {BOARD_POINTS},
+ranked AS (
+  SELECT b.node_id AS board, n.node_id,
+         sqrt(pow(n.x / {divisor} - b.x / {divisor}, 2) + pow(n.y / {divisor} - b.y / {divisor}, 2))
+           AS distance,
+         row_number() OVER (PARTITION BY b.node_id
+           ORDER BY pow(n.x - b.x, 2) + pow(n.y - b.y, 2), n.node_id) AS nr
+  FROM board_points b, nodes n)
+SELECT board, node_id, round(distance, {digits}) AS distance FROM ranked WHERE nr = 1"""
+
 
 TRAINED = f"WITH {SPEEDS}, {_bounds('speeds', 'edge_id', 'kmh', 'model')}"
 
@@ -203,9 +235,10 @@ ORACLES: dict[str, str] = {
     "pair_speed": f"""WITH {SPEEDS}
 SELECT uuid, tick, edge_id, length, tick_diff, kmh FROM speeds""",
     "flatten_histories": CLEAN,
-    "rejected_positions": """SELECT CAST(user_id AS VARCHAR) AS uuid,
-  CAST(json_extract_string(props, '$.k') AS BIGINT) AS edge_id, 'no tick' AS reason
-FROM events WHERE event_type = 'error'""",
+    "rejected_positions": f"""WITH {HISTORIES}
+SELECT uuid, edge_id, CASE WHEN uuid IS NULL THEN 'no uuid' WHEN tick IS NULL THEN 'no tick'
+                           ELSE 'no edge' END AS reason
+FROM points WHERE uuid IS NULL OR tick IS NULL OR edge_id IS NULL""",
     "edge_speed_deviations": f"""WITH {SPEEDS},
 mid AS (SELECT edge_id, median(kmh) AS median FROM speeds GROUP BY edge_id)
 SELECT s.uuid, s.tick, s.edge_id, round(m.median, 9) AS median,
@@ -224,6 +257,15 @@ SELECT edge_id, round(avg_speed, 9) AS avg_speed,
     "flag_speeds": f"""WITH {OBSERVED}, {_bounds('observed', 'event_type', 'avg_speed', 'model')}
 SELECT o.event_id, o.event_type, o.avg_speed < m.lower_threshold AS is_anomaly
 FROM observed o JOIN model m ON m.event_type = o.event_type""",
+    "flag_unusable_bounds": f"""WITH {OBSERVED}
+SELECT event_id, event_type, event_type NOT IN ('click', 'view', 'error') AND avg_speed < 490
+  AS is_anomaly FROM observed""",
+    "rejected_speeds": """WITH sent AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) || CASE event_id % 3 WHEN 0 THEN '.0' WHEN 1 THEN '.7' ELSE '' END
+         AS edge, event_id % 5 <> 0 AS known FROM events)
+SELECT '{"edge_id":"' || edge || CASE WHEN known THEN '","avg_speed":"' || event_id || '"}' ELSE '"}' END AS value,
+  CASE WHEN event_id % 3 = 1 THEN 'no edge id' ELSE 'no speed' END AS reason
+FROM sent WHERE event_id % 3 = 1 OR NOT known""",
     "json_extract": """SELECT event_id, json_extract_string(props, '$.k') AS k,
   json_extract_string(props, '$.missing') AS missing,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS k_id,
@@ -239,13 +281,14 @@ FROM nodes n JOIN placed p ON p.node_id = n.node_id""",
     "project_to_grid": GRID,
     "boards_in_radius": f"""WITH {NEAR}
 SELECT node_id, board, round(distance, 3) AS distance FROM near""",
-    "nearest_node": f"""WITH {NODES}, {BOARD_POINTS},
-ranked AS (
-  SELECT b.node_id AS board, n.node_id, sqrt(pow(n.x - b.x, 2) + pow(n.y - b.y, 2)) AS distance,
-         row_number() OVER (PARTITION BY b.node_id
-           ORDER BY pow(n.x - b.x, 2) + pow(n.y - b.y, 2), n.node_id) AS nr
-  FROM board_points b, nodes n)
-SELECT board, node_id, round(distance, 9) AS distance FROM ranked WHERE nr = 1""",
+    "nearest_node": _nearest(1, 9),
+    "nearest_node_dense": _nearest(1048576, 12),
+    "rejected_boards": """SELECT 'board-' || s_suppkey AS uuid,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'board without description' ELSE 'board without place' END AS reason
+FROM supplier WHERE s_suppkey % 3 = 0 OR s_suppkey % 5 = 0""",
+    "rejected_position_messages": """SELECT event_id AS seq,
+  CASE WHEN event_id % 13 = 0 THEN 'no uuid' WHEN event_id % 7 = 0 THEN 'no tick' ELSE 'no edge' END AS reason
+FROM events WHERE event_id % 13 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0""",
     "sign_messages": f"{SIGN_ROWS} SELECT edge_id, routing_key, body FROM signs",
     "rejected_anomalies": """WITH sent AS (
   SELECT CASE event_type WHEN 'error' THEN props WHEN 'signup' THEN 'no json'
@@ -283,6 +326,12 @@ paired AS (
          CAST(lead(v) OVER (PARTITION BY vec_id ORDER BY i) AS DOUBLE) AS second FROM points)
 SELECT vec_id, pos, round(first, 9) AS first, round(second, 9) AS second
 FROM paired WHERE second IS NOT NULL""",
+    "short_arrays": """SELECT vec_id,
+  CASE WHEN vec_id % 3 > 0 THEN 0 END AS pos,
+  CASE WHEN vec_id % 3 > 0 THEN round(CAST(embedding[1] AS DOUBLE), 9) END AS first,
+  CASE vec_id % 3 WHEN 1 THEN round(CAST(embedding[1] AS DOUBLE), 9)
+                  WHEN 2 THEN round(CAST(embedding[2] AS DOUBLE), 9) END AS second
+FROM embeddings""",
     "array_deviations": """WITH points AS (
   SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v,
          generate_subscripts(embedding, 1) AS i FROM embeddings),
@@ -297,6 +346,12 @@ FROM points p JOIN mid m ON m.vec_id = p.vec_id""",
 SELECT o_orderkey AS edge_id, o_custkey AS from_node, o_custkey + 1 AS to_node,
        o_totalprice AS length, n.x, n.y
 FROM orders JOIN nodes n ON n.node_id = o_custkey""",
+    "repeated_ids_xml": """SELECT c_custkey % 97 AS edge_id, max(c_custkey) AS from_node,
+  max(c_custkey) + 1 AS to_node, max(c_custkey) + 0.5::DOUBLE AS length
+FROM customer GROUP BY c_custkey % 97""",
+    "nodes_xml": f"""WITH {NODES}, {_latlon('nodes', 'placed')}
+SELECT n.node_id, n.x, n.y, round(p.lat, 7) AS lat, round(p.lon, 7) AS lon
+FROM nodes n JOIN placed p ON p.node_id = n.node_id""",
     "trips_xml": f"SELECT *, 'kept' AS note FROM ({SPLIT})",
     "vehicles_csv": f"{VEHICLES} SELECT uuid, name, start FROM expanded",
     "model_csv": f"""{TRAINED} SELECT edge_id, round(mad, 9) AS mad,
@@ -308,5 +363,11 @@ FROM model""",
 FROM customer WHERE c_acctbal > 0 UNION ALL ({NEW_CARS})""",
     "stream_stateful_speed": ACCEPTED_ROWS,
     "stream_bulk_speed": ACCEPTED_ROWS,
+    "stream_restart": """SELECT CASE event_type WHEN 'view' THEN 'north.car.current_location.simulated'
+  WHEN 'error' THEN 'car.current_location.real' WHEN 'click' THEN 'car_current_location.simulated'
+  ELSE event_type || '.current_location.simulated' END AS key, event_type AS value, event_id AS seq
+FROM events""",
+    "stream_two_sinks": f"""WITH {OBSERVED}
+SELECT '{{"edgeId":"' || edge_id || '"}}' AS value FROM observed WHERE avg_speed < 480""",
     "stream_signs": f"{SIGN_ROWS} SELECT routing_key AS key, body AS value FROM signs",
 }

@@ -104,9 +104,30 @@ def flag_speeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.flag(seen, model, "event_type").select("event_id", "event_type", "is_anomaly")
 
 
+def flag_unusable_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model with a NaN and a NULL bound and without some keys."""
+    seen = T.observed(spark, sf_dir)
+    lower = (F.when(F.col("event_type") == "click", F.lit(float("nan")))
+             .when(F.col("event_type") != "view", F.lit(490.0)))
+    model = (seen.where("event_type <> 'error'").select("event_type").distinct()
+             .withColumn("lower_threshold", lower))
+    return detect.flag(seen, model, "event_type").select("event_id", "event_type", "is_anomaly")
+
+
+def rejected_speeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speed messages without a whole edge id or without a speed."""
+    edge = (F.when(F.col("event_id") % 3 == 0, F.concat(F.col("edge_id").cast("string"), F.lit(".0")))
+            .when(F.col("event_id") % 3 == 1, F.concat(F.col("edge_id").cast("string"), F.lit(".7")))
+            .otherwise(F.col("edge_id").cast("string")))
+    speed = F.when(F.col("event_id") % 5 != 0, F.col("event_id").cast("string"))
+    sent = T.observed(spark, sf_dir).select(
+        F.to_json(F.struct(edge.alias("edge_id"), speed.alias("avg_speed"))).alias("value"))
+    return detect.rejected_speeds(sent)
+
+
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = T.table(spark, sf_dir, "events")
-    return (events.select("event_id", *messages.json_fields(["k", "missing"], "props"))
+    return (events.select("event_id", messages.json_fields(["k", "missing"], "props"))
             .withColumn("k_id", messages.to_id(F.col("k")))
             .withColumn("k_number", messages.to_number(F.col("k"))))
 
@@ -163,6 +184,25 @@ def nearest_node(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .select("board", "node_id", "distance"), "distance")
 
 
+def nearest_node_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same within a few centimetres, as in degrees: depth follows density, not extent."""
+    def small(places: DataFrame) -> DataFrame:
+        return places.withColumns({"x": F.col("x") / 1048576, "y": F.col("y") / 1048576})
+
+    points = small(T.board_points(spark, sf_dir)).withColumnRenamed("node_id", "board")
+    return _rounded(spatial.nearest_node(points, small(T.nodes(spark, sf_dir)))
+                    .select("board", "node_id", "distance"), "distance", digits=12)
+
+
+def rejected_boards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boards without a description or a place."""
+    key = F.col("description").cast("bigint")
+    boards = T.boards(spark, sf_dir).withColumns({
+        "description": F.when(key % 3 != 0, F.col("description")),
+        "lat": F.when(key % 5 != 0, F.col("lat"))})
+    return signs.rejected_boards(boards).select("uuid", "reason")
+
+
 def sign_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = detect.anomalies(T.observed(spark, sf_dir), _user_model(spark, sf_dir))
     return signs.sign_messages(found.select("edge_id"), T.links(spark, sf_dir),
@@ -246,6 +286,14 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", F.col("embedding").cast("array<double>").alias("points"))
 
 
+def short_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of arrays of no, one and two elements."""
+    short = F.slice("points", F.lit(1), (F.col("vec_id") % 3).cast("int"))
+    pairs = _vectors(spark, sf_dir).select(
+        "vec_id", F.posexplode_outer(arrays.consecutive_pairs(short)))
+    return _rounded(pairs.select("vec_id", "pos", "col.first", "col.second"), "first", "second")
+
+
 def consecutive_pairs_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = arrays.consecutive_pairs(F.col("points"))
     return _rounded(_vectors(spark, sf_dir).select("vec_id", F.posexplode(pairs))
@@ -276,11 +324,30 @@ def road_map_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     out.write_nodes_xml(with_latlon(T.nodes(spark, sf_dir)), nodes_at)
     out.write_links_xml(T.links(spark, sf_dir), links_at)
     nodes = src.read_nodes(spark, nodes_at)
-    links = src.read_links(spark, links_at, parallel=True)
+    links = src.read_links(spark, links_at)
     return links.join(nodes, links.from_node == nodes.node_id).select(
         "edge_id", "from_node", "to_node", "length", "x", "y")
 
 
+def repeated_ids_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A road map whose ids repeat in one file, and comments that hold elements: the last one counts."""
+    path = fresh_path(spark, "links")
+    customers = T.table(spark, sf_dir, "customer").coalesce(1).sortWithinPartitions("c_custkey")
+    link = F.format_string('<link id="%s" from="%s" to="%s" length="%s.5"/>', F.col("c_custkey") % 97,
+                           "c_custkey", F.col("c_custkey") + 1, "c_custkey")
+    customers.select(F.when(F.col("c_custkey") % 2 == 0, F.concat(
+        link, F.lit("<!-- "), F.replace(link, F.lit(".5"), F.lit(".9")), F.lit(" -->")))
+        .otherwise(link)).write.text(path)
+    return src.read_links(spark, path)
+
+
+def nodes_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes written with latitude and longitude and read back."""
+    path = fresh_path(spark, "nodes")
+    out.write_nodes_xml(with_latlon(T.nodes(spark, sf_dir)), path)
+    return _rounded(src.read_nodes(spark, path, latlon=True), "lat", "lon", digits=7)
+
+
 def trips_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips written, read back, cut and written again; extra attributes stay."""
     first, second = fresh_path(spark, "trips"), fresh_path(spark, "trips-splitted")
@@ -361,12 +428,31 @@ def _drain(stream: DataFrame, name: str) -> str:
     return path
 
 
-def _position_messages(session: SparkSession, sf_dir: str) -> DataFrame:
-    """The arrivals as a stream of position messages."""
+def _position_messages(session: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The arrivals as a stream of position messages, in order over several micro-batches."""
     body = F.to_json(F.struct("uuid", "tick", F.col("edge_id").cast("double").alias("nodeID")))
     sent = T.arrivals(session, sf_dir).select(
         F.lit("car.current_location.simulated").alias("key"), body.alias("value"), "seq")
-    return stream_src.positions(stream_src.file_messages(session, _landed(sent, "positions")))
+    part = F.least(F.floor(F.col("seq") / F.lit((101 << 40) // files)), F.lit(files - 1))
+    path = fresh_path(session, "positions")
+    for k in range(files):  # a stream takes the oldest files first
+        sent.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return stream_src.positions(stream_src.file_messages(session, path, per_trigger=1))
+
+
+def rejected_position_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a position stream leaves out: no vehicle, tick or edge, or no whole number for one."""
+    tick = F.when(F.col("event_id") % 7 == 0, F.lit("12.7")).otherwise(
+        F.unix_timestamp("ts").cast("string"))
+    edge = F.when(F.col("event_id") % 11 != 0, F.lit("12.0"))
+    uuid = F.when(F.col("event_id") % 13 != 0, F.col("user_id").cast("string"))
+    body = F.to_json(F.struct(uuid.alias("uuid"), tick.alias("tick"), edge.alias("nodeID")))
+    sent = T.table(spark, sf_dir, "events").select(
+        F.lit("car.current_location.simulated").alias("key"), body.alias("value"),
+        F.col("event_id").alias("seq"))
+    stream = stream_src.rejected_positions(stream_src.file_messages(spark, _landed(sent, "positions")))
+    return (spark.read.schema("value string, seq bigint, reason string")
+            .parquet(_drain(stream, "rejects")).select("seq", "reason"))
 
 
 def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,6 +472,34 @@ def stream_bulk_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SPEEDS).parquet(speeds_at).drop("batch")
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream stopped after the first half of its files and started again on all of them."""
+    sent = T.table(spark, sf_dir, "events").select(
+        _routing_key().alias("key"), "event_type", F.col("event_id").alias("seq"))
+    sent = sent.select("key", F.col("event_type").alias("value"), "seq")
+    source, target, checkpoint = (fresh_path(spark, n) for n in ("in", "out", "checkpoint"))
+    for half in (0, 1):
+        sent.where(F.col("seq") % 2 == half).write.mode("append").parquet(source)
+        stream = stream_src.file_messages(spark, source)
+        stream_out.to_files(stream, target, checkpoint).awaitTermination()
+    return spark.read.schema(stream_src.MESSAGE_FILE).parquet(target)
+
+
+def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One detection with two sinks: the anomaly messages of the first."""
+    session = _streaming_session(spark)
+    speeds_at = _landed(_speed_messages(session, sf_dir).select(
+        F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq")), "speeds")
+    target, checkpoint = fresh_path(spark, "anomalies"), fresh_path(spark, "checkpoint")
+    lower = F.lit(480.0).alias("lower_threshold")
+    model = T.observed(session, sf_dir).select("edge_id").distinct().select("edge_id", lower)
+    for query in alerts.start_alerts(stream_src.file_messages(session, speeds_at), model,
+                                     lambda frame, at: stream_out.to_files(frame, target, at),
+                                     checkpoint, show_every=None):
+        query.awaitTermination()
+    return spark.read.schema("value string").parquet(target)
+
+
 def stream_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed messages -> anomalies -> sign messages, as two chained streams."""
     session = _streaming_session(spark)
@@ -405,14 +519,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         train_thresholds, pair_speed, flatten_histories, rejected_positions,
         edge_speed_deviations, mad_by_key, mad_by_flag,
-        detect_anomalies, flag_speeds, json_extract,
+        detect_anomalies, flag_speeds, flag_unusable_bounds, rejected_speeds, json_extract,
         stateful_speed, speed_message_round_trip, routing_filter,
-        reproject_nodes, project_to_grid, boards_in_radius, nearest_node, sign_messages,
-        rejected_anomalies,
+        reproject_nodes, project_to_grid, boards_in_radius, nearest_node, nearest_node_dense,
+        sign_messages, rejected_anomalies, rejected_boards, rejected_position_messages,
         split_trips, expand_trips, register_absent, boards_by_capability,
         trip_first_ticks, compare_destinations, overlay_destinations,
-        consecutive_pairs_array, array_deviations, last_write_wins,
-        road_map_xml, trips_xml, vehicles_csv, model_csv, trip_log_csv, histories_json,
-        catalog_table, stream_stateful_speed, stream_bulk_speed, stream_signs,
+        consecutive_pairs_array, short_arrays, array_deviations, last_write_wins,
+        road_map_xml, repeated_ids_xml, nodes_xml, trips_xml, vehicles_csv, model_csv, trip_log_csv, histories_json,
+        catalog_table, stream_stateful_speed, stream_bulk_speed, stream_signs, stream_restart,
+        stream_two_sinks,
     )
 }

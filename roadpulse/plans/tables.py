@@ -46,20 +46,27 @@ def observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (500 - F.col("value")).alias("avg_speed"))
 
 
+def _placed(rows: DataFrame, key: str, per_tile: int, east: int, north: int) -> DataFrame:
+    """node_id, x, y in UTM metres: tiles of 12 by 8 km, sixteen in a row, with so many keys each.
+
+    The area grows with the table, so the density stays.
+    """
+    k = F.col(key)
+    tile = F.floor(k / per_tile)
+    return rows.select(
+        k.alias("node_id"),
+        (2817000 + 12000 * (tile % 16) + (k * east) % 12000).cast("double").alias("x"),
+        (7206500 + 8000 * F.floor(tile / 16) + (k * north) % 8000).cast("double").alias("y"))
+
+
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, x, y in UTM metres."""
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        key.alias("node_id"), (2817000 + (key * 37) % 3000).cast("double").alias("x"),
-        (7206500 + (key * 91) % 2000).cast("double").alias("y"))
+    return _placed(table(spark, sf_dir, "customer"), "c_custkey", 1500, 4973, 3571)
 
 
 def board_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """node_id, x, y of the boards."""
-    key = F.col("s_suppkey")
-    return table(spark, sf_dir, "supplier").select(
-        key.alias("node_id"), (2817000 + (key * 53) % 3000).cast("double").alias("x"),
-        (7206500 + (key * 71) % 2000).cast("double").alias("y"))
+    return _placed(table(spark, sf_dir, "supplier"), "s_suppkey", 100, 7919, 6151)
 
 
 def boards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,11 +103,15 @@ def trip_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested histories, one point each; the ticks of error events are no numbers."""
+    """Nested histories, a user's points of a day each, with every reason to reject a point:
+    error events have no number for a tick, every eleventh event has no edge, and every
+    29th user no uuid."""
     tick = F.when(F.col("event_type") == "error", F.lit("bad")).otherwise(
         F.unix_timestamp("ts").cast("string"))
-    point = F.struct(F.col("ts").cast("string").alias("date"),
-                     _edge_of_event().cast("double").alias("nodeID"), tick.alias("tick"))
-    return table(spark, sf_dir, "events").select(
-        F.col("user_id").cast("string").alias("uuid"),
-        F.struct(F.array(point).alias("current_location")).alias("capabilities"))
+    edge = F.when(F.col("event_id") % 11 != 0, _edge_of_event().cast("double"))
+    point = F.struct(F.col("ts").cast("string").alias("date"), edge.alias("nodeID"),
+                     tick.alias("tick"))
+    return (table(spark, sf_dir, "events")
+            .groupBy("user_id", F.to_date("ts").alias("day")).agg(F.collect_list(point).alias("points"))
+            .select(F.when(F.col("user_id") % 29 != 0, F.col("user_id").cast("string")).alias("uuid"),
+                    F.struct(F.col("points").alias("current_location")).alias("capabilities")))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-# Vehicle histories: one row per vehicle, its points nested.
+# Fixed names and types: vehicle histories, one row per vehicle, its points nested.
 HISTORIES = T.StructType([
     T.StructField("uuid", T.StringType(), False),
     T.StructField("capabilities", T.StructType([

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE turns small shuffled joins into broadcast joins by their measured size
 # and splits the partitions of a hot key; the operators give no join hints.
@@ -19,6 +21,9 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Paths settled within each `scratch` that is open, the innermost last.
+_open_scratch: list[list[str]] = []
+
 
 def build_session(app: str = "roadpulse", master: str | None = None,
                   settings: dict[str, str] | None = None) -> SparkSession:
@@ -63,15 +68,26 @@ def settle(df: DataFrame, name: str, session: SparkSession | None = None) -> Dat
     recomputation of what lies before.
     """
     path = fresh_path(df.sparkSession, name)
+    if _open_scratch:
+        _open_scratch[-1].append(path)
     df.write.parquet(path)
     return (session or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
-def settle_and_measure(df: DataFrame, name: str, measure: Column) -> tuple[DataFrame, object]:
-    """Settle a frame and, in the same pass, compute an aggregate over its rows.
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever store it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    The measure must not mind rows seen twice, as when a task is repeated.
-    """
-    seen = Observation()
-    settled = settle(df.observe(seen, measure.alias("measure")), name)
-    return settled, seen.get.get("measure")
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, what was settled within; for jobs that have written their result by then."""
+    paths: list[str] = []
+    _open_scratch.append(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.remove(paths)
+        for path in paths:
+            delete(spark, path)

@@ -44,6 +44,10 @@ def write_vehicles_csv(vehicles: DataFrame, path: str) -> None:
     vehicles.write.mode("overwrite").option("sep", ";").csv(path)
 
 
+def write_comparison(compared: DataFrame, path: str) -> None:
+    compared.write.mode("overwrite").option("header", True).csv(path)
+
+
 def register(wanted: DataFrame, path: str, key: str = "uuid") -> None:
     """Append the rows whose key the table at `path` lacks; a second run adds nothing.
 

@@ -2,66 +2,85 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse import schemas
 from roadpulse.operators.lookup import last_write_wins
 
 
-def _elements(spark: SparkSession, path: str, tag: str, schema: str, parallel: bool) -> DataFrame:
-    """One row per XML element `tag` at any depth, its attributes prefixed with `_`.
+# The name of an attribute and its value as written.
+_ATTRIBUTE = r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*')"""
 
-    The XML reader takes one task per file. `parallel` splits a large file at
-    every "<" instead, which inside attributes is always escaped; it suits
-    documents whose comments hold no such elements.
+
+def _tags(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """`element`, one XML element `tag` without what it holds, and its `position` in the documents.
+
+    The files are cut at every "<", which is always escaped elsewhere but in
+    comments, so large files are read by many tasks. Comments that hold elements
+    are left out: pieces of one split are put in order, and whether a split
+    begins inside a comment follows from the marks of the splits before it.
     """
-    if not parallel:
-        return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
-    pieces = spark.read.option("lineSep", "<").text(path)
+    value, place = F.col("value"), F.col("place")
+    split = ["path", "block"]
+    opens = value.startswith("!--") & ~value.contains("-->")
+    # Pieces that neither begin such an element nor a comment nor end one do not matter.
+    pieces = (spark.read.option("lineSep", "<").text(path)
+              .where(value.rlike(rf"^({tag}[\s/>]|!--)|-->"))
+              .select("value", F.col("_metadata.file_path").alias("path"),
+                      F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("place"))
+              .withColumn("mark", F.when(opens, True).when(value.contains("-->"), False)))
+    ahead = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    states = (pieces.groupBy(*split)
+              .agg(F.max_by("mark", F.when(F.col("mark").isNotNull(), place)).alias("mark"))
+              .withColumn("begins", F.coalesce(F.last("mark", True).over(ahead), F.lit(False)))
+              .drop("mark"))
+    before = Window.partitionBy(*split).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     element = F.concat(F.lit("<"), F.regexp_replace("value", r"/?>[^>]*$", "/>"))
-    return (pieces.where(F.col("value").rlike(rf"^{tag}[\s/>]"))
-            .select(F.from_xml(element, schema).alias("element"), "_metadata")
-            .select("element.*", "_metadata"))
+    return (pieces.join(states, split)
+            .withColumn("inside", F.coalesce(F.last("mark", True).over(before), F.col("begins")))
+            .where(~F.col("inside") & value.rlike(rf"^{tag}[\s/>]"))
+            .select(element.alias("element"), F.struct("path", "block", "place").alias("position")))
 
 
-def _document_order() -> Column:
-    """Sorts rows of a scan by file, block and place in the block."""
-    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
-                    F.monotonically_increasing_id())
+def _elements(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """The attributes of each element, prefixed with `_`, and its `position`."""
+    return (_tags(spark, path, tag).select(F.from_xml("element", schema).alias("read"), "position")
+            .select("read.*", "position"))
 
 
-def read_links(spark: SparkSession, path: str, parallel: bool = False) -> DataFrame:
+def read_links(spark: SparkSession, path: str) -> DataFrame:
     """edge_id, from_node, to_node, length; of a repeated id the last one counts."""
-    links = (_elements(spark, path, "link", schemas.LINKS, parallel)
+    links = (_elements(spark, path, "link", schemas.LINKS)
              .select(F.col("_id").alias("edge_id"), F.col("_from").alias("from_node"),
-                     F.col("_to").alias("to_node"), F.col("_length").alias("length"),
-                     _document_order().alias("_position")))
-    return (last_write_wins(links, ["edge_id"], "_position")
+                     F.col("_to").alias("to_node"), F.col("_length").alias("length"), "position"))
+    return (last_write_wins(links, ["edge_id"], "position")
             .select("edge_id", "from_node", "to_node", "length"))
 
 
-def read_nodes(spark: SparkSession, path: str, parallel: bool = False) -> DataFrame:
-    """node_id, x, y; of a repeated id the last one counts."""
-    nodes = (_elements(spark, path, "node", schemas.NODES, parallel)
-             .select(F.col("_id").alias("node_id"), F.col("_x").alias("x"), F.col("_y").alias("y"),
-                     _document_order().alias("_position")))
-    return last_write_wins(nodes, ["node_id"], "_position").select("node_id", "x", "y")
+def read_nodes(spark: SparkSession, path: str, latlon: bool = False) -> DataFrame:
+    """node_id, x, y, and with `latlon` lat, lon; of a repeated id the last one counts."""
+    more = ["lat", "lon"] if latlon else []
+    schema = schemas.NODES + "".join(f", _{c} double" for c in more)
+    names = ["x", "y", *more]
+    nodes = (_elements(spark, path, "node", schema)
+             .select(F.col("_id").alias("node_id"), *(F.col(f"_{c}").alias(c) for c in names),
+                     "position"))
+    return last_write_wins(nodes, ["node_id"], "position").select("node_id", *names)
 
 
-def read_trips(spark: SparkSession, path: str, attributes: list[str] | None = None) -> DataFrame:
-    """Attributes of every <trip>, as text, under their own names.
+def read_trips(spark: SparkSession, path: str) -> DataFrame:
+    """All attributes of every <trip>, as text, under their own names.
 
-    Without `attributes` all that occur are found by the XML reader. Naming them
-    lets a large file be read in parallel (see `_elements`).
+    The names are gathered first; there are as many as the result has columns.
     """
-    if attributes:
-        schema = ", ".join(f"`_{a}` string" for a in attributes)
-        trips = _elements(spark, path, "trip", schema, True).drop("_metadata")
-    else:
-        trips = (spark.read.format("xml").option("rowTag", "trip").option("inferSchema", False)
-                 .load(path))
-    return trips.withColumnsRenamed({c: c[1:] for c in trips.columns if c.startswith("_")})
+    tags = _tags(spark, path, "trip")
+    names = [r[0] for r in tags.select(F.explode(F.regexp_extract_all(
+        "element", F.lit(_ATTRIBUTE), F.lit(1))).alias("name")).distinct().orderBy("name").collect()]
+    schema = ", ".join(f"`_{n}` string" for n in names) or "_name string"
+    trips = tags.select(F.from_xml("element", schema).alias("read")).select("read.*")
+    return trips.withColumnsRenamed({c: c[1:] for c in trips.columns})
 
 
 def read_histories(spark: SparkSession, path: str) -> DataFrame:

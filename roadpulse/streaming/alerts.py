@@ -11,6 +11,7 @@ from roadpulse.operators.signs import (
     boards_near,
     locate_edges,
     parse_anomalies,
+    rejected_anomalies,
     sign_rows,
 )
 from roadpulse.session import settle
@@ -43,3 +44,11 @@ def signs(messages: DataFrame, edges: DataFrame, nodes: DataFrame, boards: DataF
     located = settle(locate_edges(edges, nodes), "located-edges")
     near = settle(boards_near(edges, nodes, boards, radius), "boards-near")
     return sign_records(sign_rows(parse_anomalies(messages), located, near, strict))
+
+
+def rejected_signs(messages: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Anomaly messages -> value, edge_id, reason of those that lenient signs leave out."""
+    map_edges = settle(edges.select("edge_id", "from_node", "to_node"), "edges")
+    map_nodes = settle(nodes.select("node_id"), "nodes")
+    return rejected_anomalies(parse_anomalies(messages), map_edges, map_nodes).select(
+        "value", "edge_id", "reason")

@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from roadpulse.__main__ import main
 from roadpulse.sources import files as src
 from tests.test_files import MAP
@@ -33,18 +35,32 @@ def test_from_histories_to_signs(spark, tmp_path):
     positions = [("car.current_location.simulated",
                   json.dumps({"uuid": "v", "tick": t, "nodeID": e}), i)
                  for i, (t, e) in enumerate([(0, 2), (50, 1), (55, 1)])]
+    positions.append(("car.current_location.simulated", '{"uuid": "v", "tick": 60, "nodeID": 1.7}', 9))
     spark.createDataFrame(positions, "key string, value string, seq bigint") \
         .write.parquet(f"{root}/positions")
     run("derive-speeds", f"{root}/map.xml", "--input", f"{root}/positions",
-        "--output", f"{root}/speeds", "--checkpoint", f"{root}/c1")
-    run("derive-speeds", f"{root}/map.xml", "--bulk", "--input", f"{root}/positions",
-        "--output", f"{root}/bulk-speeds", "--checkpoint", f"{root}/c4")
-    assert spark.read.parquet(f"{root}/bulk-speeds").select("value").exceptAll(
+        "--output", f"{root}/speeds", "--checkpoint", f"{root}/c1", "--rejects", f"{root}/bad-points")
+    assert [(r.seq, r.reason) for r in spark.read.json(f"{root}/bad-points").collect()] == [(9, "no edge")]
+    run("derive-speeds", f"{root}/map.xml", "--keyed-state", "--input", f"{root}/positions",
+        "--output", f"{root}/keyed-speeds", "--checkpoint", f"{root}/c4")
+    assert spark.read.parquet(f"{root}/keyed-speeds").select("value").exceptAll(
         spark.read.parquet(f"{root}/speeds").select("value")).count() == 0
-    run("detect-anomalies", f"{root}/model", "--input", f"{root}/speeds",
-        "--output", f"{root}/anomalies", "--checkpoint", f"{root}/c2")
-    run("publish-signs", f"{root}/map.xml", f"{root}/resources", "--input", f"{root}/anomalies",
-        "--output", f"{root}/signs", "--checkpoint", f"{root}/c3")
+    speeds = spark.read.parquet(f"{root}/speeds").select(
+        F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq"))
+    bad = spark.createDataFrame([(None, '{"edge_id": "1.5", "avg_speed": 3}', 0)], speeds.schema)
+    speeds.union(bad).write.parquet(f"{root}/sent")
+    run("detect-anomalies", f"{root}/model", "--input", f"{root}/sent",
+        "--output", f"{root}/anomalies", "--checkpoint", f"{root}/c2", "--rejects", f"{root}/bad-speeds")
+    assert [r.reason for r in spark.read.json(f"{root}/bad-speeds").collect()] == ["no edge id"]
+    # Lenient signs list the anomaly of an edge that the map lacks.
+    found = spark.read.parquet(f"{root}/anomalies").select(
+        F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq"))
+    found.union(spark.createDataFrame([(None, '{"edgeId": "99"}', 0)], found.schema)) \
+        .write.parquet(f"{root}/found")
+    run("publish-signs", f"{root}/map.xml", f"{root}/resources", "--input", f"{root}/found",
+        "--output", f"{root}/signs", "--checkpoint", f"{root}/c3", "--lenient",
+        "--rejects", f"{root}/bad-signs")
+    assert [r.reason for r in spark.read.json(f"{root}/bad-signs").collect()] == ["unknown edge"]
     assert [r.value for r in spark.read.parquet(f"{root}/speeds").orderBy("value").collect()] == [
         '{"edge_id":1,"avg_speed":0.25}', '{"edge_id":1,"avg_speed":2.5}']
     assert [r.value for r in spark.read.parquet(f"{root}/anomalies").collect()] == [

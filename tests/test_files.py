@@ -33,11 +33,10 @@ def road_map(tmp_path):
     return f"{tmp_path}/map.xml"
 
 
-@pytest.mark.parametrize("parallel", [False, True])
-def test_road_map(spark, road_map, parallel):
-    links = {r.edge_id: tuple(r)[1:] for r in src.read_links(spark, road_map, parallel).collect()}
+def test_road_map(spark, road_map):
+    links = {r.edge_id: tuple(r)[1:] for r in src.read_links(spark, road_map).collect()}
     assert links == {1: (1492963064, 28149752, 12.5), 2: (28149752, 5, 9.0)}
-    nodes = {r.node_id: tuple(r)[1:] for r in src.read_nodes(spark, road_map, parallel).collect()}
+    nodes = {r.node_id: tuple(r)[1:] for r in src.read_nodes(spark, road_map).collect()}
     assert nodes == {1492963064: (2819047.8169967565, 7207524.748861773),
                      28149752: (2819667.100838852, 7207723.5201618755), 5: (3.0, 4.5)}
 
@@ -51,13 +50,25 @@ def test_parallel_scan_splits_one_file(spark, tmp_path):
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     text = session.read.option("lineSep", "<").text(f"{tmp_path}/big.xml")
     assert text.rdd.getNumPartitions() > 5
-    whole = src.read_links(session, f"{tmp_path}/big.xml")
-    split = src.read_links(session, f"{tmp_path}/big.xml", parallel=True)
     expected = {i % 900: float(i) for i in range(1000)}
-    assert {r.edge_id: r.length for r in whole.collect()} == expected
+    split = src.read_links(session, f"{tmp_path}/big.xml")
     assert {r.edge_id: r.length for r in split.collect()} == expected
 
 
+def test_comments_over_several_splits(spark, tmp_path):
+    """Elements inside comments do not count, wherever the splits of the file lie."""
+    link = '<link id="{0}" from="1" to="2" length="{0}"/>\n'.format
+    parts = [link(i) for i in range(100)]
+    parts += ["<!-- gone: <b> > ", *map(link, range(100, 300)), link(7).replace('th="7"', 'th="1"'), "-->\n"]
+    parts += [*map(link, range(300, 320)), "<!--", link(400), "--><!-- x -->", link(401), "<!---->", link(402)]
+    (tmp_path / "map.xml").write_text(f"<links>{''.join(parts)}</links>")
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    links = {r.edge_id: r.length for r in src.read_links(session, f"{tmp_path}/map.xml").collect()}
+    assert links == {i: float(i) for i in [*range(100), *range(300, 320), 401, 402]}
+
+
 def test_trip_split_keeps_unknown_attributes(spark, tmp_path):
     (tmp_path / "trips.xml").write_text(TRIPS)
     jobs.split_trip_file(spark, f"{tmp_path}/trips.xml", 600, 1200, f"{tmp_path}/cut")
@@ -66,14 +77,13 @@ def test_trip_split_keeps_unknown_attributes(spark, tmp_path):
         "a": ("2", "0", "x"), "c": ("0", "100", None)}
 
 
-def test_named_attributes_are_read_in_parallel(spark, tmp_path):
+def test_all_attributes_are_read(spark, tmp_path):
     (tmp_path / "trips.xml").write_text(TRIPS)
-    names = ["name", "count", "start", "extra"]
-    rows = src.read_trips(spark, f"{tmp_path}/trips.xml", names).collect()
-    assert sorted(map(tuple, rows)) == [
+    found = src.read_trips(spark, f"{tmp_path}/trips.xml")
+    assert sorted(found.columns) == sorted(
+        ["name", "origin", "destination", "link_origin", "count", "start", "mode", "extra"])
+    assert sorted(map(tuple, found.select("name", "count", "start", "extra").collect())) == [
         ("a", "3", "600", "x"), ("b", "2", "1300", None), ("c", "0", "700", None)]
-    jobs.expand_trip_file(spark, f"{tmp_path}/trips.xml", f"{tmp_path}/vehicles", "s", True)
-    assert spark.read.text(f"{tmp_path}/vehicles").count() == 5
 
 
 def test_expand_and_register_cars(spark, tmp_path):
@@ -106,9 +116,19 @@ def test_model_file(spark, tmp_path):
 def test_trip_logs(spark, tmp_path):
     (tmp_path / "base.csv").write_text("7;0;100;car;c1;16;40;10\n7;1;110;car;c2;9;30;20\n")
     (tmp_path / "events.csv").write_text("7;0;120;car;c1;16;60;12\n")
-    rows = jobs.compare_trip_logs(spark, f"{tmp_path}/base.csv", f"{tmp_path}/events.csv").collect()
+    jobs.compare_trip_logs(spark, f"{tmp_path}/base.csv", f"{tmp_path}/events.csv", f"{tmp_path}/out")
+    rows = spark.read.option("header", True).csv(f"{tmp_path}/out").collect()
     assert {r.last_link: tuple(r)[1:] for r in rows} == {
-        3: (10.0, 12.0, 40.0, 60.0), 9: (20.0, None, 30.0, None)}
+        "3": ("10.0", "12.0", "40.0", "60.0"), "9": ("20.0", None, "30.0", None)}
+
+
+def test_every_destination_is_compared(spark, tmp_path):
+    (tmp_path / "log.csv").write_text("".join(f"7;0;100;car;c;{k};40;10\n" for k in range(2500)))
+    from roadpulse.__main__ import main
+    main(["compare-trips", f"{tmp_path}/log.csv", f"{tmp_path}/log.csv", f"{tmp_path}/out"], spark)
+    rows = spark.read.option("header", True).csv(f"{tmp_path}/out")
+    # Two destinations have the label of another one.
+    assert rows.count() == rows.select("last_link").distinct().count() >= 2490
 
 
 def test_converted_nodes(spark, road_map, tmp_path):
