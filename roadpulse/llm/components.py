@@ -48,6 +48,15 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(some, pa.int64()), pa.array([sets.find(x) for x in some], pa.int64())], names=["a", "b"])
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every left end has one edge only and no right end is a left one."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("left")).union(
+        edges.select("b", F.lit(0)))
+    nodes = ends.groupBy("x").agg(F.sum("left").alias("left"), F.min("left").alias("least"))
+    bad = nodes.where("left > 1 OR (left = 1 AND least = 0)")
+    return bad.agg(F.count("*")).first()[0] == 0
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(item, component) of every node of edges (a, b): component is the smallest node reachable.
 
@@ -57,12 +66,7 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     stars = settle(edges.select("a", "b").where("a <> b").mapInArrow(_forest, EDGE)
                    .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = None
-    while True:
-        now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == state:
-            break
-        state = now
+    while not _are_stars(stars):
         both = stars.union(stars.select("b", "a"))
         lowest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
         large = (both.where("b > a").join(lowest, "a").where("b <> low")
@@ -76,18 +80,49 @@ def connected(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("a").alias("item"), F.col("b").alias("component")).union(roots)
 
 
-def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio: float) -> DataFrame:
-    """Components of items under a similarity that only items with a common group can have.
+#: Rounds in which leftover members of a group are compared with one of its main component.
+ROUNDS = 3
+#: 64-bit words of a sketch.
+WORDS = 8
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Of each of 64 * WORDS bits, whether an odd number of hashes falls on it.
+
+    The sketches of two sets differ in at most as many bits as the sets in members.
+    """
+    odd = np.bincount((hashes >> np.uint64(20)) % np.uint64(64 * WORDS), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (item, c) after further links (a, b) between their items or new ones."""
+    of = {c: found.select(F.col("item").alias(c), F.col("c").alias(f"c_{c}")) for c in "ab"}
+    between = links.join(of["a"], "a", "left").join(of["b"], "b", "left").select(
+        F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    joined = settle(connected(between).select(F.col("item").alias("c"), "component"), "joined")
+    inside = found.join(joined, "c", "left").select("item", F.coalesce("component", "c").alias("c"))
+    # Items that have no link but the new ones.
+    alone = joined.join(found.select(F.col("item").alias("c")), "c", "left_anti")
+    return settle(inside.union(alone.select("c", "component")), "components")
+
+
+def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio: float,
+            sketches: DataFrame | None = None) -> DataFrame:
+    """Components (item, component) of items under a similarity that only items with a common
+    group can have. Items without a link may be missing.
 
     `groups` holds (group, item, n, first): distinct members of every group with
-    their sizes, of which similar ones differ by less than `ratio`. `links_of`
-    turns candidate pairs (a, b), a < b, into the similar ones. Items without a
-    link may be missing from the result.
+    their sizes, of which similar ones differ by no more than `ratio`. `links_of`
+    turns candidate pairs (a, b), a < b, into the similar ones. `sketches` (item,
+    bits) are `sketch`es of sets that are similar from a Jaccard similarity of
+    0.75 on, and may differ in a seventh of their members.
 
     Each group of the `first` kind is compared with its smallest member, which
     joins most copies without looking at all their pairs. A group that lies in
-    one component is then done; in the others, members of different components
-    are compared with each other. So no link between components is missed.
+    one component is then done. In the others, `ROUNDS` times, members outside
+    the group's main component are compared with one of that; then those left
+    with all members of other components. So no link between components is missed.
     """
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     sized = F.least("n", "other_n") >= ratio * F.greatest("n", "other_n")
@@ -96,14 +131,38 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     stars = first.join(hubs.where("members > 1"), "group").select(
         F.col("item").alias("a"), F.col("hub.item").alias("b"), "n", F.col("hub.n").alias("other_n"))
     pairs = settle(stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered).distinct(), "pairs")
-    links = settle(links_of(pairs), "links")
-    found = connected(links).withColumnRenamed("component", "c")
-    placed = settle(groups.select("group", "item", "n").join(found, "item", "left").withColumn(
-        "c", F.coalesce("c", "item")), "placed")
-    mixed = placed.groupBy("group").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    mixed = placed.join(mixed.select("group"), "group")
-    left = mixed.select("group", F.col("item").alias("a"), "n", "c")
-    right = mixed.select("group", F.col("item").alias("b"), F.col("n").alias("other_n"), F.col("c").alias("other_c"))
-    more = left.join(right, "group").where(sized & (F.col("a") < F.col("b")) & (F.col("c") != F.col("other_c")))
-    more = more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    return connected(links.union(links_of(settle(more, "pairs"))))
+    found = settle(connected(settle(links_of(pairs), "links")).withColumnRenamed("component", "c"), "components")
+    tested, mixed = pairs, groups.select("group", "item", "n")
+    if sketches is not None:
+        mixed = settle(mixed.join(sketches, "item"), "sketched")
+    for round_ in range(ROUNDS + 1):
+        mixed = settle(_mixed(mixed.drop("c", "main"), found), "mixed")
+        left = mixed.where("c <> main").withColumnRenamed("item", "a")
+        right = mixed
+        if round_ < ROUNDS:
+            order = F.xxhash64("item", "group", F.lit(round_))
+            one = F.min_by(F.struct(*(x for x in mixed.columns if x != "group")), order)
+            right = mixed.where("c = main").groupBy("group").agg(one.alias("one")).select("group", "one.*")
+        right = right.select("group", F.col("item").alias("b"), F.col("n").alias("other_n"),
+                             F.col("c").alias("other_c"), *([F.col("bits").alias("other_bits")] if sketches is not None else []))
+        # Of two members outside the main component, the pair is taken once.
+        near = sized & (F.col("c") != F.col("other_c")) & (
+            (F.col("other_c") == F.col("main")) | (F.col("a") < F.col("b")))
+        if sketches is not None:
+            differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in range(1, WORDS)),
+                         F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("other_bits")[0])))
+            near = near & (7 * differ <= F.col("n") + F.col("other_n"))
+        new = left.join(right, "group").where(near).select(*ordered).distinct()
+        new = settle(new.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = _merge(found, settle(links_of(new), "links"))
+        tested = tested.union(new)
+    return found.withColumnRenamed("c", "component")
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of groups of several components, with their component `c` and the one that
+    most members of their group have, `main`."""
+    placed = settle(members.join(found, "item", "left").withColumn("c", F.coalesce("c", "item")), "placed")
+    sizes = placed.groupBy("group", "c").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("group").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("parts"))
+    return placed.join(main.where("parts > 1").select("group", "main"), "group")

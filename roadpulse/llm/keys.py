@@ -26,7 +26,7 @@ def partitions(spark: SparkSession) -> int:
 
 def bucket_count(spark: SparkSession) -> int:
     """Buckets that keys are dealt into: several per task, so that tasks get even shares."""
-    return 8 * partitions(spark)
+    return 4 * partitions(spark)
 
 
 def pack(keys: np.ndarray, owners: np.ndarray, buckets: int,

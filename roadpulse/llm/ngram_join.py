@@ -34,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import binaries, slices
-from roadpulse.llm.components import EDGE, similar
+from roadpulse.llm.components import EDGE, similar, sketch
 from roadpulse.llm.keys import PACKED, bucket_count, flat, is_marked, marked, pack, partitions, unpack
+from roadpulse.llm.rows import keyed
 from roadpulse.llm.words import Words, _run_hashes
 from roadpulse.session import settle
 
 SHINGLE = 5
-_SLICE = 4_000_000
+#: Bytes of texts, and of sets of shingles, worked on at once; they bound memory only.
+_SLICE, _SET_BYTES = 1_500_000, 8_000_000
 _EVEN = ~np.uint64(1)
 
 
@@ -90,7 +92,7 @@ def _send(buckets: int):
             for rows in slices(batch, "text", _SLICE):
                 hashes, sizes, items = shingle_sets(rows.column("text"))
                 n = rows.num_rows
-                spread = pa.array((items % np.uint64(buckets)).astype(np.int32))
+                spread = pa.array((rows.column("row").to_numpy() % buckets).astype(np.int32))
                 empty = pa.nulls(n, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [spread, empty, empty, empty, *_rows(rows, sizes, items, _TEXT)],
@@ -175,7 +177,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets put together to slices of bounded size, each a row."""
     task, number = TaskContext.get().partitionId(), 0
     for batch in batches:
-        for rows in slices(batch, "shingles", _SLICE):
+        for rows in slices(batch, "shingles", _SET_BYTES):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task << 32 | number], pa.int64()),
                  pa.array([rows.column("item").to_numpy().tobytes()], pa.binary()),
@@ -217,7 +219,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
          binaries(frequency[keep].astype("<u4"), ends * 4)], names=["slice", "keys", "counts"])
 
 
-_ORDERED = "item long, n long, ordered binary, groups array<long>, frequent array<boolean>"
+_ORDERED = "item long, n long, ordered binary, groups array<long>, frequent array<boolean>, bits array<long>"
 #: Of a set's rarest shared shingles, so many of the most frequent serve to find copies first.
 _FIRST = 3
 
@@ -245,13 +247,14 @@ def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shared = shared[np.lexsort((own[shared], f[shared]))]
                 groups = own[shared[:rare]].view(np.int64)
                 rows.append((item, n, own[shared[::-1]].tobytes(), groups,
-                             np.arange(len(groups)) >= len(groups) - _FIRST))
+                             np.arange(len(groups)) >= len(groups) - _FIRST, sketch(own)))
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
                      pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.list_(pa.int64())),
-                     pa.array(columns[4], pa.list_(pa.bool_()))], names=_names(_ORDERED))
+                     pa.array(columns[4], pa.list_(pa.bool_())),
+                     pa.array(columns[5], pa.list_(pa.int64()))], names=_names(_ORDERED))
 
 
 def linked(probe: np.ndarray, n: int, others: list[np.ndarray], ns: list[int]) -> list[int]:
@@ -340,7 +343,8 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                      .mapInArrow(_order, _ORDERED), "ordered")
     groups = ordered.select("item", "n", F.explode(F.arrays_zip("groups", "frequent")).alias("g")).select(
         F.col("g.groups").alias("group"), "item", "n", F.col("g.frequent").alias("first"))
-    return texts, similar(groups, _links_of(ordered.select("item", "n", "ordered")), 0.75)
+    return texts, similar(groups, _links_of(ordered.select("item", "n", "ordered")), 0.75,
+                          ordered.select("item", "bits"))
 
 
 def join_texts(docs: DataFrame) -> DataFrame:
@@ -352,3 +356,25 @@ def join_texts(docs: DataFrame) -> DataFrame:
     smallest = placed.where("n_shingles > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     some = placed.where("n_shingles > 0").join(smallest, "c").select("doc_id", "n_shingles", "component_id")
     return some.union(placed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of docs without those of a component that has an earlier one.
+
+    The first of a component is the one of the smallest doc_id (NULL comes last),
+    then of the smallest hash of its text; of repeated rows one stays. Texts
+    without words all stay. All columns are kept.
+    """
+    texts, components = text_sets(docs)
+    placed = settle(texts.where("n_shingles > 0").join(components, "item", "left").select(
+        "doc_id", "row", F.coalesce("component", "item").alias("c")), "placed")
+    order = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "row")
+    first = placed.groupBy("c").agg(F.min(order).alias("first"))
+    rows = placed.join(first, "c").groupBy(F.col("row").alias("_row")).agg(
+        F.max(F.col("first.row") == F.col("row")).alias("_first"), F.count("*").alias("_copies"))
+    # Most rows are single and stay; only the others have to be looked up.
+    marks = settle(rows.where("NOT _first OR _copies > 1"), "marks")
+    found = keyed(docs)
+    single = found.join(marks, "_row", "left_anti")
+    repeated = found.join(marks.where("_first").select("_row"), "_row", "left_semi").dropDuplicates(["_row"])
+    return single.union(repeated).select("doc.*")

@@ -17,32 +17,43 @@ from roadpulse.llm.batches import text_bytes
 _BASE, _UNDO = 0x5DEECE66D1CE4E5B, pow(0x5DEECE66D1CE4E5B, -1, 1 << 64)
 
 
-@cache
+#: Powers kept between calls; longer texts compute their own.
+_KEPT = 1 << 21
+
+
 def _powers(base: int, size: int) -> np.ndarray:
     out = np.full(size, base, np.uint64)
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    return np.cumprod(out, dtype=np.uint64, out=out)
+
+
+_kept_powers = cache(_powers)
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    return _powers(base, 1 << max(n - 1, 1).bit_length())[:n]
+    return _kept_powers(base, _KEPT)[:n] if n <= _KEPT else _powers(base, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of 64 over all others (the finaliser of a common hash)."""
     x = x ^ (x >> np.uint64(33))
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
     x ^= x >> np.uint64(33)
-    x = x * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    return x
 
 
 def _run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Of each run [start, end) of values, a hash that does not depend on where it lies."""
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * _power(_BASE, len(values)), out=sums[1:])
-    found = (sums[ends] - sums[starts]) * _power(_UNDO, len(values) + 1)[starts]
-    return mix(found + (ends - starts).astype(np.uint64) * np.uint64(_BASE))
+    np.multiply(values, _power(_BASE, len(values)), out=sums[1:], dtype=np.uint64)
+    np.cumsum(sums, out=sums)
+    found = sums[ends]
+    found -= sums[starts]
+    found *= _power(_UNDO, len(values) + 1)[starts]
+    found += (ends - starts).astype(np.uint64) * np.uint64(_BASE)
+    return mix(found)
 
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
