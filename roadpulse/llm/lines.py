@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from roadpulse.llm.batches import slices
 from roadpulse.llm.components import EDGE, similar
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
+from roadpulse.llm.rows import keyed, row_key
 from roadpulse.llm.words import _run_hashes, mix
 from roadpulse.session import settle
 
 SHINGLE, BINS, ROWS = 8, 64, 4
-_SLICE = 4_000_000
+_SLICE = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFF)
 
 
@@ -212,8 +213,7 @@ def _links_of(texts: DataFrame):
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
-        "row", F.xxhash64("doc_id", "text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("row"))
 
 
 def classify(docs: DataFrame) -> DataFrame:
@@ -255,13 +255,14 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs with the lines to remove taken out of `text`; rows that lose all
     their lines but blank ones are dropped. `n_chars`, if there, counts the new text."""
-    removed = classify(docs).where("NOT kept").groupBy("row").agg(F.collect_set("line").alias("_gone"))
-    removed = settle(removed.withColumnRenamed("row", "_row"), "removed")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("long"), "text"))
-    changed = settle(keyed.select("_row", F.col("text").alias("_text")).join(removed, "_row")
+    removed = classify(docs).where("NOT kept").groupBy(F.col("row").alias("_row")).agg(
+        F.collect_set("line").alias("_gone"))
+    removed = settle(removed, "removed")
+    changed = settle(docs.select(row_key().alias("_row"), F.col("text").alias("_text")).join(removed, "_row")
                      .dropDuplicates(["_row"]).mapInArrow(_without, "_row long, _left string"), "changed")
-    out = keyed.join(changed, "_row", "left").where(
-        r"_left IS NULL OR _left RLIKE '[^ \\t-\\r]'").withColumn("text", F.coalesce("_left", "text"))
+    out = keyed(docs).join(changed, "_row", "left").where(r"_left IS NULL OR _left RLIKE '[^ \\t-\\r]'")
+    new = {"text": F.coalesce("_left", "doc.text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("_left").isNull(), F.col("doc.n_chars")).otherwise(
+            F.length("_left")).cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
