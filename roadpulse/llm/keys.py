@@ -29,10 +29,13 @@ def bucket_count(spark: SparkSession) -> int:
     return 4 * partitions(spark)
 
 
-def pack(keys: np.ndarray, owners: np.ndarray, buckets: int,
-         counts: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows of `PACKED`; pairs of one owner must stand together. Counts, if any, go with the keys."""
-    bucket = ((keys >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+def pack(keys: np.ndarray, owners: np.ndarray, buckets: int, counts: np.ndarray | None = None,
+         places: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of `PACKED`; pairs of one owner must stand together. Counts, if any, go with the keys.
+
+    `places`, equal for equal keys, deal out the keys; by default they do so themselves.
+    """
+    bucket = (((keys if places is None else places) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     keys, owners, bucket = keys[order], owners[order], bucket[order]
     change = np.ones(len(keys), bool)
@@ -77,9 +80,9 @@ def marked(ids: DataFrame, column: str, bits: int = 23, hashed: bool = True) ->
     """
     place = F.pmod(F.xxhash64(column) if hashed else F.col(column), F.lit(1 << bits))
     words = (ids.select(place.alias("p")).groupBy(F.shiftright("p", 5).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(p & 31 as int)))").alias("bits")).toPandas())
+             .agg(F.expr("bit_or(shiftleft(1L, cast(p & 31 as int)))").alias("bits")).toArrow())
     out = np.zeros(1 << (bits - 5), np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.uint32)
     return out
 
 

@@ -35,19 +35,34 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import binaries, slices
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
-from roadpulse.llm.words import Words
+from roadpulse.llm.words import Words, _run_hashes
 from roadpulse.session import settle
 
 SIZE, BLOCK = 50, 25
 #: Words compiled into one automaton and bytes of text streamed through one copy of it, about.
 SHARD_WORDS, PART_BYTES = 200_000, 8_000_000
-_SLICE = 6_000_000
+_SLICE = 1_500_000
 
 _SENT = "bucket int, owners binary, sizes binary, keys binary, links binary"
 _FOUND = "doc_id long, first long, keys binary"
 _KEPT = "n_words long, n_removed long, kept_sha256 string"
 
 
+def _anchors(words: Words, first: np.ndarray, size: int) -> np.ndarray:
+    """Of each window, the lowest hash of the runs of four words in it (of its words, if short).
+
+    Windows that follow each other mostly share it, so they are dealt to one task.
+    """
+    run = 4 if size > 4 else 1
+    hashes = np.append(_run_hashes(words.hashes, np.arange(max(len(words.hashes) - run + 1, 0)),
+                                   np.arange(run, len(words.hashes) + 1)), np.zeros(run - 1, np.uint64))
+    width, reach = size - run + 1, 1
+    while 2 * reach <= width:
+        hashes[:len(hashes) - reach] = np.minimum(hashes[:len(hashes) - reach], hashes[reach:])
+        reach *= 2
+    return np.minimum(hashes[first], hashes[first + width - reach])
+
+
 def _shared_pairs(keys: np.ndarray, owners: np.ndarray):
     """Keys of several owners: (key, first owner) once each, and distinct (owner, first owner) links."""
     order = np.lexsort((owners, keys))
@@ -60,7 +75,7 @@ def _shared_pairs(keys: np.ndarray, owners: np.ndarray):
     several = first != last
     later = several[run] & (owners != first[run])
     links = np.unique(np.stack([owners[later], first[run][later]], axis=1), axis=0)
-    return keys[start], first, last, several, links
+    return keys[start], first, last, several, links, order[start]
 
 
 def _send(size: int, buckets: int):
@@ -68,16 +83,18 @@ def _send(size: int, buckets: int):
         for batch in batches:
             for rows in slices(batch, "text", _SLICE):
                 words = Words(rows.column("text"))
-                keys, _, counts = words.windows(size)
+                keys, at, counts = words.windows(size)
                 if not len(keys):
                     continue
+                anchors = _anchors(words, at, size)
                 owners = np.repeat(rows.column("doc_id").to_numpy(zero_copy_only=False), counts)
-                keys, first, last, several, links = _shared_pairs(keys, owners)
+                keys, first, last, several, links, one = _shared_pairs(keys, owners)
                 # A key goes out with its first and last document here: no more, however frequent.
                 keys = np.concatenate([keys, keys[several]])
                 owners = np.concatenate([first, last[several]])
+                places = np.concatenate([anchors[one], anchors[one[several]]])
                 order = np.argsort(owners, kind="stable")
-                sent = pack(keys[order], owners[order], buckets)
+                sent = pack(keys[order], owners[order], buckets, places=places[order])
                 names = [*sent.schema.names[:4], "links"]
                 yield pa.RecordBatch.from_arrays(
                     [*sent.columns[:4], pa.nulls(sent.num_rows, pa.binary())], names=names)
@@ -105,7 +122,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, owners = unpack(held)
     if not len(keys):
         return
-    keys, first, _, several, links = _shared_pairs(keys, owners)
+    keys, first, _, several, links, _ = _shared_pairs(keys, owners)
     if len(links):
         yield _link_batch(links)
     keys, first = keys[several], first[several]
@@ -157,24 +174,29 @@ def _passages(size: int):
     """Runs of consecutive shared windows of their first document, as word hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                words = Words(batch.column("text").slice(k, 1))
-                keys, _, _ = words.windows(size)
-                own = flat(batch.column("keys").slice(k, 1).values, "<u8")
-                shared = np.concatenate([[False], np.isin(keys, own), [False]])
-                edges = np.flatnonzero(shared[1:] != shared[:-1])
-                runs = [words.hashes[a:b + size - 1].astype("<u8").tobytes()
-                        for a, b in zip(edges[::2], edges[1::2])]
-                n = len(runs)
-                if n:
-                    doc = batch.column("doc_id")[k].as_py()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([doc] * n, pa.int64()), pa.array(runs, pa.binary()),
-                         pa.array([len(r) // 8 for r in runs], pa.int64())],
-                        names=["first", "words", "n_words"])
+            for rows in slices(batch, "text", _SLICE):
+                words = Words(rows.column("text"))
+                keys, _, counts = words.windows(size)
+                found = []
+                for k, (doc, n, at, word) in enumerate(zip(
+                        rows.column("doc_id").to_pylist(), counts.tolist(), (np.cumsum(counts) - counts).tolist(),
+                        (np.cumsum(words.counts) - words.counts).tolist())):
+                    own = flat(rows.column("keys").slice(k, 1).flatten(), "<u8")
+                    found += [(doc, words.hashes[word + a:word + b + size - 1].astype("<u8").tobytes())
+                              for a, b in _runs(np.isin(keys[at:at + n], own))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d for d, _ in found], pa.int64()), pa.array([r for _, r in found], pa.binary()),
+                     pa.array([len(r) // 8 for _, r in found], pa.int64())],
+                    names=["first", "words", "n_words"])
     return run
 
 
+def _runs(marked_: np.ndarray) -> list[tuple[int, int]]:
+    """(start, end) of the runs of True."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], marked_, [False]]).astype(np.int8)))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
 class Automaton:
     """All passages of a shard; finds the runs of a document that occur in earlier ones."""
 
@@ -191,13 +213,23 @@ class Automaton:
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for number, block in enumerate(places):
             self.automaton.add_word(block, number)
-        self.automaton.make_automaton()
-
-    def runs(self, doc_id: int, words: np.ndarray) -> list[tuple[int, int]]:
-        """(start, end) of every run of at least `size` words that an earlier passage holds."""
-        found, done = [], {}
+        if places:
+            self.automaton.make_automaton()
+
+    def covered(self, doc_id: int, words: np.ndarray) -> np.ndarray:
+        """Which words lie in a run of at least `size` words that an earlier passage holds.
+
+        A hit whose surroundings, a block to both sides, are covered is passed over:
+        where its run goes on, the run holds a further block, which is hit too.
+        """
+        covered, done = np.zeros(len(words), bool), {}
+        if not self.places:
+            return covered
         for last, number in self.automaton.iter(tuple((words & np.uint64(0xFFFFFFFF)).tolist())):
             at = last - self.block + 1
+            around = covered[max(0, at - self.block):last + 1 + self.block]
+            if around.all():
+                continue
             for passage, place in self.places[number]:
                 if self.firsts[passage] >= doc_id or at < done.get((passage, at - place), 0):
                     continue
@@ -213,8 +245,10 @@ class Automaton:
                 end = low + hit + (int(right[0]) if len(right) else len(same) - hit)
                 done[passage, shift] = end
                 if end - start >= self.size:
-                    found.append((start, end))
-        return found
+                    covered[start:end] = True
+                    if around.all():
+                        break
+        return covered
 
 
 def _stream(size: int):
@@ -222,10 +256,13 @@ def _stream(size: int):
         automaton = Automaton(passages["first"].to_pylist(),
                               [np.frombuffer(w, "<u8") for w in passages["words"].to_pylist()], size)
         out = []
-        texts = docs["text"].combine_chunks()
-        for doc, text_hash, k in zip(docs["doc_id"].to_pylist(), docs["_text"].to_pylist(), range(len(docs))):
-            for start, end in automaton.runs(doc, Words(texts.slice(k, 1)).hashes):
-                out.append((doc, text_hash, start, end))
+        for batch in docs.to_batches():
+            for rows in slices(batch, "text", _SLICE):
+                words = Words(rows.column("text"))
+                at = np.append(0, np.cumsum(words.counts)).tolist()
+                for k, (doc, text) in enumerate(zip(rows.column("doc_id").to_pylist(), rows.column("_text").to_pylist())):
+                    found = automaton.covered(doc, words.hashes[at[k]:at[k + 1]])
+                    out += [(doc, text, start, end) for start, end in _runs(found)]
         columns = list(zip(*out)) or [[]] * 4
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "_text", "start", "end"])
     return run
