@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import binaries, slices
-from roadpulse.llm.tokens import encoder
+from roadpulse.llm.tokens import SLICE_CHARS, encoder
 from roadpulse.session import settle
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary"
@@ -38,7 +38,7 @@ def _cut_texts(path: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", SLICE_CHARS):
                 ids, counts = code.encode_ended([t or "" for t in rows.column("text").to_pylist()], end_id)
                 parts = -(-counts // capacity)
                 row = np.repeat(np.arange(len(counts)), parts)

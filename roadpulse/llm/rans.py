@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import binaries, ragged, slices
-from roadpulse.llm.tokens import encoder
+from roadpulse.llm.tokens import SLICE_CHARS, encoder
 from roadpulse.session import fresh_path
 
 LANES, EVERY, BLOCK_IDS = 128, 512, 262_144
@@ -182,7 +182,7 @@ def _encode_texts(path: str, end_id: int):
         shard, start = TaskContext.get().partitionId(), 0
         seen = np.zeros(max(code.vocabulary, end_id + 1), np.int64)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", SLICE_CHARS):
                 ids, counts = code.encode_ended([t or "" for t in rows.column("text").to_pylist()], end_id)
                 seen += np.bincount(ids, minlength=len(seen))
                 ends = np.concatenate([[0], np.cumsum(counts)])

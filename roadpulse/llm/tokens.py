@@ -16,7 +16,15 @@ _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \t-\r]").search
 #: Distinct pieces a task remembers from slice to slice, and the longest of
 #: them; both bound memory only.
-REMEMBERED, LONGEST = 800_000, 64
+REMEMBERED, LONGEST = 400_000, 64
+#: Bytes of text encoded at once; bounds memory only.
+SLICE_CHARS = 2_000_000
+#: A blank or none, Latin letters, and ASCII marks or none: no rule joins letters and marks after them.
+_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmatch
+# Byte-level models name a byte by the character of its number if that is printable,
+# and else by the next free one from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class _Numbers(dict):
@@ -44,6 +52,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self._word = self._plain_words()
         self.numbers = _Numbers()
         self.odd: set[int] = set()
         # Ids of piece n: flat[starts[n]:starts[n + 1]].
@@ -53,11 +62,38 @@ class Encoder:
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def _plain_words(self):
+        """How the model names a plain word, if in a way known here: with the blank or without, in lower case."""
+        def named(text: str) -> str:
+            return text if text.isascii() and " " not in text else text.encode().decode("latin-1").translate(_BYTES)
+
+        for word in (lambda blank, letters: named(blank + letters), lambda blank, letters: named(letters.lower())):
+            try:
+                if all(self._plain_ids(word, p) == self.tokenizer.encode(p, add_special_tokens=False).ids
+                       for p in (" Ab", "xyzzy", " Thequickest.", "a,", " QQ?***", "I!", " Ñandúes;", "Zß:", "ÀÖ")):
+                    return word
+            except Exception:  # the model has no such symbol
+                continue
+        return None
+
+    def _plain_ids(self, word, piece: str) -> list[int] | None:
+        plain = _PLAIN(piece)
+        if not plain:
+            return None
+        tokens = self.tokenizer.model.tokenize(word(plain[1], plain[2]))
+        if plain[3]:
+            tokens = tokens + self.tokenizer.model.tokenize(plain[3])
+        return [t.id for t in tokens]
+
     def _learn(self) -> None:
         fresh, first = self.numbers.fresh, len(self.starts) - 1
         gc.disable()  # nothing here is cyclic; collecting would walk all pieces
         try:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
+            lists = [self._plain_ids(self._word, p) for p in fresh] if self._word else [None] * len(fresh)
+            rest = [k for k, ids in enumerate(lists) if ids is None]
+            found = self.tokenizer.encode_batch_fast([fresh[k] for k in rest], add_special_tokens=False)
+            for k, e in zip(rest, found):
+                lists[k] = e.ids
         finally:
             gc.enable()
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
