@@ -10,9 +10,9 @@ more than orders x 2^BITS x languages numbers, whatever the corpus: it is the on
 thing sent to all tasks. A text gets the language of the lowest cross-entropy per
 symbol; equal ones go to the first in alphabetical order.
 
-Rejection is calibrated: per language, the mean and deviation of the
-cross-entropies that its own labelled texts get, and a text is rejected if it
-lies `DEVIATIONS` deviations above the mean.
+Rejection is calibrated: per language, by the mean and deviation of the
+cross-entropies that its own labelled texts get; the few symbols of a short text
+are allowed more.
 
 Defined results: NULL text and texts without a letter are `und` with score 0 and
 NULL cross-entropy, as is every text when nothing was labelled; rows with NULL
@@ -37,9 +37,12 @@ from roadpulse.llm.batches import slices
 from roadpulse.session import settle
 
 UNKNOWN = "und"
+#: Bytes of text scored at once; bounds memory only.
+_SLICE = 1_000_000
 ORDER, BITS = 4, 22
-#: Deviations above a language's mean cross-entropy from which a text is rejected.
-DEVIATIONS = 8.0
+#: A text is rejected beyond so many deviations above its language's mean
+#: cross-entropy, plus an allowance, over the root of its length, for chance.
+DEVIATIONS, CHANCE = 8.0, 4.0
 _SYMBOL = np.uint64((1 << 16) - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,20 +85,25 @@ def _slot(codes: np.ndarray) -> np.ndarray:
 
 
 class _Index:
-    """Row numbers of sorted hashes; a direct index of them is made where it is first used."""
+    """Row numbers of sorted hashes. Tasks make a direct index of a table that every symbol asks."""
 
-    def __init__(self, slots: np.ndarray):
-        self.slots = slots
+    def __init__(self, slots: np.ndarray, direct: bool = False):
+        self.slots, self.direct, self.table = slots, direct, None
 
     def __getstate__(self):
-        return {"slots": self.slots}
+        return {"slots": self.slots, "direct": self.direct, "table": None}
 
     def rows(self, slots: np.ndarray) -> np.ndarray:
         """Row of each hash, -1 where it is not held."""
-        if "direct" not in self.__dict__:
-            self.direct = np.full(1 << BITS, -1, np.int32)
-            self.direct[self.slots] = np.arange(len(self.slots), dtype=np.int32)
-        return self.direct[slots]
+        if not len(self.slots):
+            return np.full(len(slots), -1, np.int32)
+        if not self.direct:
+            place = np.minimum(np.searchsorted(self.slots, slots), len(self.slots) - 1)
+            return np.where(self.slots[place] == slots, place, -1)
+        if self.table is None:
+            self.table = np.full(1 << BITS, -1, np.int32)
+            self.table[self.slots] = np.arange(len(self.slots), dtype=np.int32)
+        return self.table[slots]
 
 
 @dataclass
@@ -135,7 +143,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", _SLICE):
             languages = rows.column("lang")
             for language in pc.unique(languages).to_pylist():
                 own = rows.column("text").filter(pc.equal(languages, language)).to_pylist()
@@ -152,15 +160,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(n[at:at + 100_000])], names=["lang", "code", "n"])
 
 
-def _bounded(df: DataFrame, value: str) -> list:
-    """(hash, code, language, value) of a table by code: one row per hash and language."""
+def _bounded(df: DataFrame, value: str) -> pa.Table:
+    """(slot, lang, code, value) of a table by code: one row per hash and language."""
     @F.pandas_udf("int")
     def slot(codes):
         import pandas as pd
         return pd.Series(_slot(codes.to_numpy().view(np.uint64)).astype(np.int32))
 
     return (df.withColumn("slot", slot("code")).groupBy("slot", "lang")
-            .agg(F.min("code").alias("code"), F.max(value).alias("value")).toPandas())
+            .agg(F.min("code").alias("code"), F.max(value).alias("value")).toArrow())
 
 
 def fit(labelled: DataFrame) -> Model:
@@ -205,34 +213,36 @@ def fit(labelled: DataFrame) -> Model:
     return model
 
 
-def _matrix(model: Model, place: dict, rows) -> tuple[_Index, np.ndarray, np.ndarray]:
-    slots, at = np.unique(rows["slot"].to_numpy(np.int64), return_inverse=True)
+def _matrix(model: Model, place: dict, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    slots, at = np.unique(rows["slot"].to_numpy().astype(np.int64), return_inverse=True)
+    languages = rows["lang"].combine_chunks().dictionary_encode()
+    column = np.array([place[x] for x in languages.dictionary.to_pylist()], np.int64)
     values = np.full((len(slots) + 1, len(model.languages)), np.nan)
-    values[at, rows["lang"].map(place).to_numpy(np.int64)] = np.log(rows["value"].to_numpy(float))
+    values[at, column[languages.indices.to_numpy()]] = np.log(rows["value"].to_numpy())
     codes = np.zeros(len(slots), np.uint64)
-    codes[at] = rows["code"].to_numpy(np.int64).view(np.uint64)
-    return _Index(slots), values, codes
+    codes[at] = rows["code"].to_numpy().view(np.uint64)
+    return slots, values, codes
 
 
-def _add(model: Model, place: dict, contexts, grams_) -> None:
-    index, rest, _ = _matrix(model, place, contexts)
-    model.context.append(index)
+def _add(model: Model, place: dict, contexts: pa.Table, grams_: pa.Table) -> None:
+    slots, rest, _ = _matrix(model, place, contexts)
+    model.context.append(_Index(slots))
     model.log_rest.append(np.nan_to_num(rest, nan=0.0))
-    index, values, codes = _matrix(model, place, grams_)
+    slots, values, codes = _matrix(model, place, grams_)
     # A language without the gram falls back to its lower order.
     order = len(model.index) + 1
     fallback = model.below(codes, order) if len(codes) else values[:0]
     held = values[:-1]
     held[np.isnan(held)] = fallback[np.isnan(held)]
-    model.index.append(index)
+    model.index.append(_Index(slots, order == ORDER))
     model.log_p.append(np.nan_to_num(values, nan=0.0).astype(np.float32))
 
 
-def _score(model: Model):
+def _score(model: Model, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN], object)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", _SLICE):
                 codes, counts = grams([t or "" for t in rows.column("text").to_pylist()])
                 entropy = np.full((len(counts), max(len(model.languages), 1)), np.nan)
                 used = np.flatnonzero(counts) if model.languages else np.zeros(0, int)
@@ -248,20 +258,24 @@ def _score(model: Model):
                 apart = (entropy[used] - lowest[used, None]) * np.sqrt(counts[used, None])
                 score[used] = 1 / np.exp(-apart).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([
-                    rows.column("doc_id"), pa.array(names[best], pa.string()), pa.array(score),
+                    *(rows.column(c) for c in keep), pa.array(names[best], pa.string()), pa.array(score),
                     pa.array(lowest, from_pandas=True), pa.array(counts.astype(np.int64))],
-                    names=["doc_id", "lang_pred", "score", "entropy", "n_symbols"])
+                    names=[*keep, "lang_pred", "score", "entropy", "n_symbols"])
     return run
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score (0 to 1), entropy (nats per symbol), n_symbols of every row."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _score(model), "doc_id long, lang_pred string, score double, entropy double, n_symbols long")
+def predict(docs: DataFrame, model: Model, *more: str) -> DataFrame:
+    """doc_id and the columns `more`, lang_pred, score (0 to 1), entropy (nats per symbol) and
+    n_symbols of every row."""
+    keep = ["doc_id", *more]
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, "text")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name in keep)
+    return own.mapInArrow(
+        _score(model, keep), f"{types}, lang_pred string, score double, entropy double, n_symbols long")
 
 
 def limits(predicted: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
-    """Per language, the highest cross-entropy accepted: rows (lang_pred, highest).
+    """Per language, the highest cross-entropy of long texts accepted: rows (lang_pred, highest).
 
     `predicted` holds predictions and, in `lang`, the labels of those learnt from.
     """
@@ -270,7 +284,8 @@ def limits(predicted: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
         (F.avg("entropy") + deviations * F.coalesce(F.stddev_pop("entropy"), F.lit(0.0))).alias("highest"))
 
 
-def accepted(predicted: DataFrame, highest: DataFrame) -> DataFrame:
-    """Predictions that are neither `und` nor above their language's limit."""
-    return predicted.where(F.col("lang_pred") != UNKNOWN).join(highest, "lang_pred", "left").where(
-        "highest IS NULL OR entropy <= highest").drop("highest")
+def rejected(predicted: DataFrame, highest: DataFrame) -> DataFrame:
+    """Predictions that are `und` or above their language's limit."""
+    return predicted.join(highest, "lang_pred", "left").where(
+        (F.col("lang_pred") == UNKNOWN)
+        | (F.col("entropy") > F.col("highest") + CHANCE / F.sqrt("n_symbols"))).drop("highest")
