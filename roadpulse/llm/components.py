@@ -81,7 +81,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 #: Rounds in which leftover members of a group are compared with one of its main component.
-ROUNDS = 3
+ROUNDS = 2
 #: 64-bit words of a sketch.
 WORDS = 8
 
@@ -137,6 +137,8 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
         mixed = settle(mixed.join(sketches, "item"), "sketched")
     for round_ in range(ROUNDS + 1):
         mixed = settle(_mixed(mixed.drop("c", "main"), found), "mixed")
+        if mixed.isEmpty():
+            break
         left = mixed.where("c <> main").withColumnRenamed("item", "a")
         right = mixed
         if round_ < ROUNDS:
@@ -154,6 +156,8 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
             near = near & (7 * differ <= F.col("n") + F.col("other_n"))
         new = left.join(right, "group").where(near).select(*ordered).distinct()
         new = settle(new.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if new.isEmpty():
+            continue
         found = _merge(found, settle(links_of(new), "links"))
         tested = tested.union(new)
     return found.withColumnRenamed("c", "component")

@@ -231,8 +231,8 @@ def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = flat(batch.column("items").slice(k, 1), "<i8")
             ns = flat(batch.column("ns").slice(k, 1), "<i8")
             shingles = flat(batch.column("shingles").slice(k, 1), "<u8")
-            known = flat(batch.column("keys").slice(k, 1).values, "<u8")
-            often = flat(batch.column("counts").slice(k, 1).values, "<u4")
+            known = flat(batch.column("keys").slice(k, 1).flatten(), "<u8")
+            often = flat(batch.column("counts").slice(k, 1).flatten(), "<u4")
             order = np.argsort(known)
             known, often = known[order], often[order]
             place = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
