@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import chat, decontaminate, language, lines, ngram_join, packing, passages, rans, simhash, site_style
+from roadpulse.llm.ship import ship
 from roadpulse.session import fresh_path
 
 
@@ -15,6 +16,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

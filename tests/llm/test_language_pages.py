@@ -70,7 +70,7 @@ def test_entropy_equals_the_formulas(spark):
     rows = sentences(1, 12)
     model = language.fit(spark.createDataFrame([*rows, (None, "aa"), ("x", None)], "text string, lang string"))
     assert model.languages == sorted(WORDS)
-    symbols = len({c for t, _ in rows for c in t.lower() if c.isalpha()}) + 1
+    symbols = len({c for t, _ in rows for c in t.lower() if c.isalpha()}) + 2  # the blank, and any other
     own = [Plain([t for t, g in rows if g == lang], language.ORDER, symbols) for lang in model.languages]
     texts = ["The river, the stone!", "unter  der Brücke 12 мост", "qqq zzz", "a", "Мост и река;", "\n\n the"]
     codes, counts = language.grams(texts)
@@ -94,6 +94,11 @@ def test_held_out_languages(spark, texts):
     assert by_id[None].lang_pred == "aa"
     assert sorted(r.lang_pred for r in got if r.doc_id == 903) == ["aa", "bb"]
     assert language.predict(texts([]), model).collect() == []
+    # Calibrated rejection: learnt texts and short ones stay, letters without a language go.
+    learnt = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate(sentences(1, 60))] + [
+        (1000, "qzxj " * 80, None), (1001, "the", None), (1002, "1", None)], "doc_id long, text string, lang string")
+    seen = language.predict(learnt, model, "lang")
+    assert sorted(r.doc_id for r in language.rejected(seen, language.limits(seen)).collect()) == [1000, 1002]
 
 
 def test_without_labels_all_is_unknown(spark, texts):
