@@ -42,7 +42,7 @@ _SLICE = 1_000_000
 ORDER, BITS = 4, 22
 #: A text is rejected beyond so many deviations above its language's mean
 #: cross-entropy, plus an allowance, over the root of its length, for chance.
-DEVIATIONS, CHANCE = 8.0, 4.0
+DEVIATIONS, CHANCE = 16.0, 4.0
 _SYMBOL = np.uint64((1 << 16) - 1)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
