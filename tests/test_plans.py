@@ -95,11 +95,12 @@ def test_hot_cell_is_split_in_the_join(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}.items():
         session.conf.set(key, value)
-    points = session.range(20000, numPartitions=8).select(
-        "id", F.lit(-23.5).alias("lat"), F.lit(-46.6).alias("lon"))
+    points = session.range(60000, numPartitions=8).select(
+        "id", F.when(F.col("id") % 3 > 0, -23.5).otherwise(-23.5 - F.col("id") % 400 / 20).alias("lat"),
+        (-46.6 + F.col("id") % 7 / 1e6).alias("lon"))
     sites = session.range(5).select(F.col("id").alias("site"), F.lit(-23.5).alias("lat"),
                                     (F.lit(-46.6) + F.col("id") / 1000).alias("lon"))
     pairs = within_radius(points, sites)
     text = final_plan(pairs)
     assert "skew=true" in text and text.count("REPARTITION") == 0
-    assert pairs.count() == 100000
+    assert pairs.count() == 5 * points.where("lat = -23.5").count()
