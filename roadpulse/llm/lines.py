@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import slices
-from roadpulse.llm.components import EDGE, similar
+from roadpulse.llm.components import EDGE, similar, sketch
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
 from roadpulse.llm.rows import keyed, row_key
 from roadpulse.llm.words import _run_hashes, mix
@@ -188,6 +188,14 @@ def _shingle_set(text: str) -> np.ndarray:
     return np.unique(_run_hashes(points, first, np.minimum(first + SHINGLE, len(points))))
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [_shingle_set(text) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item"), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))], names=["item", "n", "bits"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = []
@@ -227,8 +235,9 @@ def classify(docs: DataFrame) -> DataFrame:
     lines = settle(own.mapInArrow(_list(marked(candidates, "place", hashed=False)), _LINE), "lines")
     texts = lines.where("text IS NOT NULL").groupBy("item").agg(F.first("text").alias("text"))
     texts = settle(texts.join(groups.select("item").distinct(), "item", "left_semi"), "texts")
-    components = similar(groups.select("group", "item", F.lit(1).alias("n"), F.lit(True).alias("first")),
-                         _links_of(texts), 0.75)
+    sets = settle(texts.mapInArrow(_sketches, "item long, n long, bits array<long>"), "sets")
+    members = groups.join(sets.select("item", "n"), "item").select("group", "item", "n", F.lit(True).alias("first"))
+    components = similar(members, _links_of(texts), 0.75, sets.select("item", "bits"))
     solid = lines.where("NOT blank").drop("text", "blank").join(components, "item", "left").select(
         "doc_id", "row", "line", F.coalesce("component", "item").alias("c"))
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "line", "row", "doc_id")
