@@ -1,12 +1,14 @@
-"""Copies of benchmark items in texts: rare n-gram seeds, then Smith-Waterman alignment.
+"""Copies of benchmark items in texts: n-gram seeds, rarest first, then Smith-Waterman alignment.
 
 Words are lower-cased runs of letters and digits. Seeds are the items' runs of
-`SEED` words; in how many documents each occurs is counted over all documents. A
-seed is rare if it occurs in at most `RARE` of the documents or is among the rarer
-half of its item's (so items copied very often keep seeds). Where a document holds
-rare seeds of an item, the stretch around them is aligned with the whole item
-(match 2, mismatch and gap -1). The score, divided by that of an exact copy, has to
-reach `SCORE`.
+`SEED` words; in how many documents each occurs is counted over all documents.
+Wherever a document holds seeds of an item, however common, the stretch around them
+is aligned with the whole item (match 2, mismatch and gap -1). The score, divided by
+that of an exact copy, has to reach `SCORE`.
+
+Rarity gives the order only: a document's stretch with the rarest seed of an item is
+aligned first. Stretches that cannot reach `SCORE`, or the first one's score, by the
+item's words they lack are spared the alignment; no result is lost by that.
 
 The items are the query set: they are taken in blocks of at most `BLOCK_WORDS`
 words, each of which all documents are read against.
@@ -29,9 +31,10 @@ from pyspark.sql import functions as F
 from roadpulse.llm.batches import slices
 from roadpulse.llm.words import Words
 
-SEED, RARE, SCORE = 3, 0.001, 0.5
+SEED, SCORE = 3, 0.5
 BLOCK_WORDS = 500_000
 _SLICE = 1_000_000
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 MATCHES = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
@@ -47,14 +50,12 @@ class Items:
         order = np.argsort(hashes, kind="stable")
         #: Per occurrence of a seed in an item, by hash.
         self.hash, self.item, self.place = hashes[order], item[order], (at - self.first[item])[order]
-        self.use(np.ones(len(order), bool))
-
-    def use(self, keep: np.ndarray) -> None:
-        self.hash, self.item, self.place = self.hash[keep], self.item[keep], self.place[keep]
         self.seeds, self.start = np.unique(self.hash, return_index=True)
         self.size = np.diff(np.append(self.start, len(self.hash)))
         self.sieve = np.zeros(1 << 22, bool)
         self.sieve[(self.seeds >> np.uint64(42)).astype(np.int64)] = True
+        #: Documents that hold each seed.
+        self.frequency = np.zeros(len(self.seeds), np.int64)
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions that hold a seed, and the numbers of the seeds."""
@@ -102,16 +103,32 @@ def align(regions: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarra
     return points, start, end
 
 
+def limit(regions: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
+    """The most points that `align` can give each pair: an item's word adds 2 if the region
+    has it anywhere and costs 1 otherwise."""
+    n, lengths = len(items), np.array([len(i) for i in items])
+    spread = np.arange(n, dtype=np.uint64) * _SPREAD
+    # Words of different pairs that clash only raise a limit.
+    there = np.isin(np.concatenate(items) + np.repeat(spread, lengths),
+                    np.concatenate(regions) + np.repeat(spread, [len(r) for r in regions]))
+    sums = np.full((n, lengths.max() + 1), -1, np.int64)
+    sums[:, 0] = 0
+    sums[:, 1:][np.arange(lengths.max()) < lengths[:, None]] = np.where(there, 2, -1)
+    np.cumsum(sums, axis=1, out=sums)
+    return (sums - np.minimum.accumulate(sums, axis=1)).max(axis=1)
+
+
 def _stretches(items: Items, at: np.ndarray, seed: np.ndarray, text: np.ndarray,
                text_first: np.ndarray, text_words: np.ndarray):
-    """(text, item, first word, past-last word) of the stretches that hold an item's seeds."""
+    """(text, item, first word, past-last word, frequency of the rarest seed) of the stretches
+    that hold an item's seeds."""
     repeat = items.size[seed]
     row = np.repeat(np.arange(len(at)), repeat)
     entry = np.arange(len(row)) - np.repeat(np.cumsum(repeat) - repeat, repeat) + items.start[seed[row]]
     item, doc = items.item[entry], text[row]
     begin = at[row] - text_first[doc] - items.place[entry]  # where the item would begin
     order = np.lexsort((begin, item, doc))
-    item, doc, begin = item[order], doc[order], begin[order]
+    item, doc, begin, frequency = item[order], doc[order], begin[order], items.frequency[seed[row]][order]
     slack = items.lengths[item] // 2 + 2
     opens = np.ones(len(item), bool)
     opens[1:] = (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] - begin[:-1] > slack[1:])
@@ -120,12 +137,12 @@ def _stretches(items: Items, at: np.ndarray, seed: np.ndarray, text: np.ndarray,
     item, doc = item[first], doc[first]
     low = np.maximum(begin[first] - slack[first], 0)
     high = np.minimum(begin[last] + items.lengths[item] + slack[first], text_words[doc])
-    return doc, item, low, high
+    return doc, item, low, high, np.minimum.reduceat(frequency, first)
 
 
 def _count(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows_seen = np.zeros(len(items.seeds), np.int64), 0
+        seen = np.zeros(len(items.seeds), np.int64)
         for batch in batches:
             for rows in slices(batch, "text", _SLICE):
                 hashes, _, counts = Words(rows.column("text"), plain=True).windows(SEED)
@@ -133,10 +150,9 @@ def _count(items: Items):
                 text = np.searchsorted(np.cumsum(counts), at, "right")
                 pairs = np.unique(text * len(items.seeds) + seed)
                 seen += np.bincount(pairs % len(items.seeds), minlength=len(seen))
-                rows_seen += rows.num_rows
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(used, -1)), pa.array(np.append(seen[used], rows_seen))], names=["seed", "n"])
+            [pa.array(used), pa.array(seen[used])], names=["seed", "n"])
     return run
 
 
@@ -151,21 +167,44 @@ def _match(items: Items, least: float):
                     continue
                 text_first = np.cumsum(words.counts) - words.counts
                 text = np.searchsorted(np.cumsum(counts), at, "right")
-                found = _stretches(items, first[at], seed, text, text_first, words.counts)
+                doc, item, low, high, frequency = _stretches(
+                    items, first[at], seed, text, text_first, words.counts)
+                length = items.lengths[item]
+
+                def parts(which: np.ndarray) -> Iterator[tuple]:
+                    """Of stretches, those of like size together: numbers, regions and items."""
+                    order = which[np.argsort(length[which] * 10_000 + (high - low)[which], kind="stable")]
+                    size = np.cumsum((length * (high - low))[order])
+                    for part in np.split(order, np.flatnonzero(np.diff(size // 2_000_000)) + 1):
+                        if len(part):
+                            yield (part, [words.hashes[text_first[doc[k]] + low[k]:text_first[doc[k]] + high[k]]
+                                          for k in part],
+                                   [items.words[items.first[i]:items.first[i] + items.lengths[i]] for i in item[part]])
+
+                most = np.zeros(len(doc), np.int64)
+                for part, regions, own in parts(np.arange(len(doc))):
+                    most[part] = limit(regions, own)
+                hopeful = np.flatnonzero(most / (2 * length) >= least)
+                # A document's stretch with the rarest seed of an item first, then those that can score as much.
+                hopeful = hopeful[np.lexsort((low[hopeful], frequency[hopeful], item[hopeful], doc[hopeful]))]
+                leads = np.ones(len(hopeful), bool)
+                leads[1:] = (np.diff(doc[hopeful]) != 0) | (np.diff(item[hopeful]) != 0)
                 best: dict[tuple[int, int], tuple] = {}
-                # Stretches of like size are aligned together.
-                order = np.argsort(items.lengths[found[1]] * 10_000 + found[3] - found[2], kind="stable")
-                size = items.lengths[found[1]] * (found[3] - found[2])
-                for part in np.split(order, np.flatnonzero(np.diff(np.cumsum(size[order]) // 2_000_000)) + 1):
-                    doc, item, low, high = (x[part] for x in found)
-                    points, start, end = align(
-                        [words.hashes[text_first[d] + a:text_first[d] + b] for d, a, b in zip(doc, low, high)],
-                        [items.words[items.first[i]:items.first[i] + items.lengths[i]] for i in item])
-                    score = points / (2 * items.lengths[item])
-                    for k in np.flatnonzero(score >= least).tolist():
-                        key = int(doc[k]), int(item[k])
-                        new = -float(score[k]), int(low[k] + start[k]), int(low[k] + end[k])
-                        best[key] = min(best.get(key, new), new)
+                reached = np.zeros(len(hopeful), np.int64)  # by the first stretch of each document and item
+                place = np.empty(len(doc), np.int64)
+                place[hopeful] = np.arange(len(hopeful))
+                for turn in (0, 1):
+                    if turn:
+                        reached = reached[np.maximum.accumulate(np.where(leads, np.arange(len(leads)), 0))]
+                    which = leads if not turn else ~leads & (most[hopeful] >= reached)
+                    for part, regions, own in parts(hopeful[which]):
+                        points, start, end = align(regions, own)
+                        reached[place[part]] = points
+                        score = points / (2 * length[part])
+                        for k in np.flatnonzero(score >= least).tolist():
+                            key = int(doc[part[k]]), int(item[part[k]])
+                            new = (-float(score[k]), int(low[part[k]] + start[k]), int(low[part[k]] + end[k]))
+                            best[key] = min(best.get(key, new), new)
                 if best:
                     ids = rows.column("doc_id")
                     yield pa.RecordBatch.from_arrays([
@@ -197,16 +236,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, least: float = SCORE) -> Data
     for items in _blocks(benchmark):
         if not len(items.seeds):
             continue
-        # One row per seed of the block, and the number of documents.
+        # One row per seed of the block.
         counted = own.mapInArrow(_count(items), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
         counts = {r["seed"]: r["n"] for r in counted.collect()}
-        total = counts.pop(-1, 0)
-        frequency = np.array([counts.get(k, 0) for k in range(len(items.seeds))])
-        own_frequency = np.repeat(frequency, items.size)
-        order = np.lexsort((items.hash, own_frequency, items.item))
-        rank = np.empty(len(order), np.int64)
-        per_item = np.bincount(items.item, minlength=len(items.lengths))
-        rank[order] = np.arange(len(order)) - (np.cumsum(per_item) - per_item)[items.item[order]]
-        items.use((own_frequency <= RARE * total) | (2 * rank < per_item[items.item]))
+        items.frequency = np.array([counts.get(k, 0) for k in range(len(items.seeds))])
         found = found.union(own.mapInArrow(_match(items, least), MATCHES))
     return found

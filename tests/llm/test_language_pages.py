@@ -216,6 +216,30 @@ def test_copies_and_edited_copies_are_found(spark, texts):
     assert all(0.5 <= r.score <= 1 and r.end_word > r.start_word for r in found)
 
 
+@pytest.mark.parametrize("total, copies", [(200, 1), (200, 150), (1002, 2), (1002, 700)])
+def test_equal_edited_copies_are_all_found(spark, texts, total, copies):
+    """However often the same edited copy occurs, and in however few documents."""
+    rnd = random.Random(5)
+    item = [f"i{k}" for k in range(50)]
+    edited = [f"x{k}" if k % 5 == 4 else w for k, w in enumerate(item)]
+    docs = [(i, " ".join([f"w{rnd.randrange(500)}" for _ in range(30)] + (edited if i < copies else item[:6])))
+            for i in range(total)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontaminate.matches(texts(docs).repartition(3), benchmark).collect()
+    # The copy's last word is a changed one.
+    assert sorted((r.doc_id, r.score, r.start_word, r.end_word) for r in found) == [
+        (i, pytest.approx((40 * 2 - 9) / 100), 30, 79) for i in range(copies)]
+
+
+def test_limit_is_never_below_the_alignment():
+    rnd = random.Random(4)
+    items = [[rnd.randrange(9) for _ in range(rnd.randrange(1, 14))] for _ in range(300)]
+    regions = [[rnd.randrange(9) for _ in range(rnd.randrange(1, 22))] for _ in range(300)]
+    most = decontaminate.limit(*([np.array(x, np.uint64) for x in y] for y in (regions, items)))
+    assert all(m >= brute(r, i) for m, r, i in zip(most, regions, items))
+    assert decontaminate.limit([np.array([1, 2, 9], np.uint64)], [np.array([1, 5, 2, 6, 6], np.uint64)]).tolist() == [3]
+
+
 def test_items_in_blocks_and_hot_items(spark, texts, monkeypatch):
     """An item that most documents hold keeps seeds; blocks of items give what one block gives."""
     items = [(1, "one two three four five six seven"), (2, None), (3, "a b"), (4, ""), (5, "red green blue cyan"),
