@@ -12,7 +12,11 @@ the mean of its children and own texts, l being the number of child sequences.
 Branches of which no part reaches `THRESHOLD` go. Nodes seen on fewer than
 `PAGES` pages of a host take the values of the tree of all hosts. Elements that are
 not part of an article by their meaning (scripts, forms, menus, footers, comments,
-...) have no importance at all, and where a page marks its article, only that counts.
+...) have no importance at all, and where a page marks its article, only that counts;
+if no part of a marked article reaches `THRESHOLD` it stays whole.
+
+Pages that are equal but for such elements count once on a host, and once among all
+hosts, however many copies there are.
 
 Counting is grouping by host, node and text, with partial sums: no host is gathered.
 
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -171,10 +176,10 @@ class Page:
 
 
 _PARSED = ("page_id long, url string, host string, parents array<int>, paths array<long>, "
-           "styles array<long>, noise array<boolean>, main array<boolean>, "
-           "block_nodes array<int>, block_hashes array<long>, block_texts array<string>")
-_TYPES = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()),
-          pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.string())]
+           "noise array<boolean>, main array<boolean>, block_nodes array<int>, block_texts array<string>, "
+           "content long, feature_paths array<long>, features array<long>, feature_styles array<long>")
+_TYPES = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()),
+          pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64(), *[pa.list_(pa.int64())] * 3]
 
 
 def _host(url: str | None) -> str:
@@ -190,11 +195,18 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parsed = []
             for source in rows.column("html").to_pylist():
                 page = Page(source or "")
-                styles = [_hash(" ".join(page.names[c] for c in below)) for below in page.children()]
+                styles = [_hash(" ".join(page.names[c] for c in below if not page.noise[c]))
+                          for below in page.children()]
+                paths = [_hash(p) for p in page.paths()]
+                # What is counted of a page, each once; equal for its copies.
+                counted = dict.fromkeys((p, x, 1) for p, x, n in zip(paths, styles, page.noise) if not n)
+                counted |= dict.fromkeys((paths[n], _hash(t), 0) for n, t in page.blocks if not page.noise[n])
+                features = [array("q", c) for c in zip(*counted)] or [array("q")] * 3
+                content = xxhash.xxh64_intdigest(b"".join(c.tobytes() for c in features)) - (1 << 63)
                 # Texts are only needed again where they may be kept.
                 texts = [None if page.noise[node] else text for node, text in page.blocks]
-                parsed.append((page.parents, [_hash(p) for p in page.paths()], styles, page.noise, page.main,
-                               [n for n, _ in page.blocks], [_hash(t) for _, t in page.blocks], texts))
+                parsed.append((page.parents, paths, page.noise, page.main,
+                               [n for n, _ in page.blocks], texts, content, *features))
             columns = list(zip(*parsed))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("page_id"), rows.column("url"),
@@ -205,19 +217,19 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def style_trees(parsed: DataFrame) -> DataFrame:
     """Rows (host, path, styles, presentation, content) of every host's tree; nodes on too few
     pages of a host have the values of the tree of all hosts, or NULL if rare there too."""
-    nodes = parsed.select("host", F.explode(F.array_distinct(F.arrays_zip(
-        F.col("paths").alias("path"), F.col("styles").alias("feature")))).alias("n")).select(
-        "host", "n.path", F.lit(True).alias("style"), "n.feature")
-    texts = parsed.select("host", F.explode(F.array_distinct(F.transform(
-        F.arrays_zip(F.col("block_nodes").alias("node"), F.col("block_hashes").alias("feature")),
-        lambda b: F.struct(F.get("paths", b["node"]).alias("path"), b["feature"].alias("feature"))))).alias("n")) \
-        .select("host", "n.path", F.lit(False).alias("style"), "n.feature")
-    counted = nodes.union(texts).groupBy("host", "path", "style", "feature").agg(F.count("*").alias("k"))
-    counted = settle(counted, "features")
-
-    def importance(features: DataFrame, *tree: str) -> DataFrame:
+    needed = parsed.select("host", "content", F.arrays_zip(
+        F.col("feature_paths").alias("path"), F.col("features").alias("feature"),
+        F.col("feature_styles").alias("style")).alias("counted"))
+
+    def counted(*tree: str) -> DataFrame:
+        pages = needed.dropDuplicates([*tree, "content"])
+        return (pages.select(*tree, F.explode("counted").alias("n"))
+                .groupBy(*tree, "n.path", "n.feature", (F.col("n.style") == 1).alias("style"))
+                .agg(F.count("*").alias("k")))
+
+    def importance(*tree: str) -> DataFrame:
         k = F.col("k")
-        sums = features.groupBy(*tree, "path").agg(
+        sums = counted(*tree).groupBy(*tree, "path").agg(
             F.sum(F.when(F.col("style"), k)).alias("pages"),
             F.sum(F.when(F.col("style"), 1)).alias("styles"),
             F.sum(F.when(F.col("style"), k * F.log(k))).alias("style_log"),
@@ -228,12 +240,13 @@ def style_trees(parsed: DataFrame) -> DataFrame:
             ((m - F.col("style_log") / F.col("pages")) / m).alias("presentation"),
             (1 - F.least(F.lit(1.0), F.col("text_log") / m)).alias("content"))
 
-    own = importance(counted, "host")
-    every = importance(counted.groupBy("path", "style", "feature").agg(F.sum("k").alias("k")))
+    own = importance("host")
+    every = importance()
     values = ("styles", "presentation", "content")
     every = every.select("path", *(F.col(v).alias(f"every_{v}") for v in values))
+    nodes = parsed.select("host", F.explode("paths").alias("path")).distinct()
     seen = F.col("styles").isNotNull()
-    return (counted.where("style").select("host", "path").distinct()
+    return (nodes
             .join(own, ["host", "path"], "left").join(every, "path", "left")
             .select("host", "path", *(F.when(seen, F.col(v)).otherwise(F.col(f"every_{v}")).alias(v)
                                       for v in values)).where("styles IS NOT NULL"))
@@ -273,7 +286,10 @@ def _keep(parents, paths, noise, main, block_nodes, tree) -> list[bool]:
     alive = [False] * size
     for node in range(size):
         alive[node] = kept[node] and not noise[node] and (node == 0 or alive[parents[node]])
-    return [alive[n] and (main[n] or not marked) for n in block_nodes]
+    kept = [alive[n] and (main[n] or not marked) for n in block_nodes]
+    if marked and not any(kept):
+        return [main[n] and not noise[n] for n in block_nodes]
+    return kept
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

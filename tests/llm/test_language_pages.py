@@ -158,6 +158,24 @@ def test_repeated_branches_go_by_their_importance(spark):
         assert len(blocks) == 3 and blocks[0] == f"title {r.page_id}" and blocks[2] == pool[0]
 
 
+def test_copies_of_a_page_count_once(spark):
+    """Copies are no boilerplate, whatever the noise around them; marked articles are never left out."""
+    rnd = random.Random(2)
+
+    def body(k, tag="div"):
+        return page(f"<div class='ad'>advert {rnd.random()}</div>"
+                    f"<{tag}><h2>title {k}</h2><p>story {k}</p><p>more of {k}</p></{tag}>")
+
+    rows = [("https://equal.example/a", body(1))] * 1000
+    rows += [(f"https://ten.example/{k}", body(f"t{k % 30}")) for k in range(300)]
+    rows += [("https://near.example/a", body("n", "article").replace("</article>", f"</article><p>{k}</p>"))
+             for k in range(150)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in site_style.extract(df.repartition(3)).collect()}
+    names = ["1"] * 1000 + [f"t{k % 30}" for k in range(300)] + ["n"] * 150
+    assert got == {i: f"title {k}\n\nstory {k}\n\nmore of {k}" for i, k in enumerate(names)}
+
+
 def test_pages_of_defined_cases(spark):
     schema = "page_id long, url string, html string"
     long = page("<article>" + "<p>word</p>" * 20_000 + "</article>")
