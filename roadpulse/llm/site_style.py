@@ -9,8 +9,12 @@ and classes). Every node of the merged tree gets two importances between 0 and 1
 
 A page's branch is worth `1 - DECAY^l` of its node's presentation and `DECAY^l` of
 the mean of its children and own texts, l being the number of child sequences.
-Branches of which no part reaches `THRESHOLD` go. Nodes seen on fewer than
-`PAGES` pages of a host take the values of the tree of all hosts. Elements that are
+Branches of which no part reaches `THRESHOLD` go.
+
+A host's own tree counts from two pages on, and passes smoothly into the tree of all
+hosts the fewer they are: what repeats (1 less an importance) on n pages counts
+1 - 1/n of it, and in the tree of all hosts also only `SHRINK / (SHRINK + n - 1)`, n
+being the node's pages on the host; the larger of both holds. Elements that are
 not part of an article by their meaning (scripts, forms, menus, footers, comments,
 ...) have no importance at all, and where a page marks its article, only that counts;
 if no part of a marked article reaches `THRESHOLD` it stays whole.
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import settle
 
-THRESHOLD, DECAY, PAGES = 0.6, 0.9, 100
+THRESHOLD, DECAY, SHRINK = 0.6, 0.9, 10
 
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li
@@ -215,8 +219,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_trees(parsed: DataFrame) -> DataFrame:
-    """Rows (host, path, styles, presentation, content) of every host's tree; nodes on too few
-    pages of a host have the values of the tree of all hosts, or NULL if rare there too."""
+    """Rows (host, path, share, presentation, content) of every host's tree, drawn towards the tree
+    of all hosts; `share` is what the parts below count. Nodes on one page of all have none."""
     needed = parsed.select("host", "content", F.arrays_zip(
         F.col("feature_paths").alias("path"), F.col("features").alias("feature"),
         F.col("feature_styles").alias("style")).alias("counted"))
@@ -234,25 +238,24 @@ def style_trees(parsed: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("style"), 1)).alias("styles"),
             F.sum(F.when(F.col("style"), k * F.log(k))).alias("style_log"),
             F.avg(F.when(~F.col("style"), F.log(k))).alias("text_log"))
-        m = F.log("pages")
-        return sums.where(F.col("pages") >= PAGES).select(
-            *tree, "path", F.col("styles").cast("int").alias("styles"),
-            ((m - F.col("style_log") / F.col("pages")) / m).alias("presentation"),
-            (1 - F.least(F.lit(1.0), F.col("text_log") / m)).alias("content"))
+        m, sure = F.log("pages"), 1 - 1 / F.col("pages")
+        return sums.select(
+            *tree, "path", "pages", F.pow(F.lit(DECAY), F.col("styles")).alias("share"),
+            F.when(F.col("pages") > 1, sure * F.col("style_log") / F.col("pages") / m).alias("same"),
+            F.when(F.col("pages") > 1, sure * F.least(F.lit(1.0), F.col("text_log") / m)).alias("repeated"))
 
     own = importance("host")
     every = importance()
-    values = ("styles", "presentation", "content")
-    every = every.select("path", *(F.col(v).alias(f"every_{v}") for v in values))
-    nodes = parsed.select("host", F.explode("paths").alias("path")).distinct()
-    seen = F.col("styles").isNotNull()
-    return (nodes
-            .join(own, ["host", "path"], "left").join(every, "path", "left")
-            .select("host", "path", *(F.when(seen, F.col(v)).otherwise(F.col(f"every_{v}")).alias(v)
-                                      for v in values)).where("styles IS NOT NULL"))
+    every = every.where("pages > 1").select("path", *(F.col(v).alias(f"every_{v}") for v in ("share", "same", "repeated")))
+    n = F.col("pages")
+    drawn = SHRINK / (SHRINK + n - 1)
+    return own.join(every, "path").select(
+        "host", "path", ((1 - 1 / n) * F.col("share") + F.col("every_share") / n).alias("share"),
+        (1 - F.greatest("same", drawn * F.col("every_same"))).alias("presentation"),
+        (1 - F.greatest("repeated", drawn * F.col("every_repeated"))).alias("content"))
 
 
-_TREE = "array<struct<path:long,styles:int,presentation:double,content:double>>"
+_TREE = "array<struct<path:long,share:double,presentation:double,content:double>>"
 
 
 def _keep(parents, paths, noise, main, block_nodes, tree) -> list[bool]:
@@ -275,7 +278,7 @@ def _keep(parents, paths, noise, main, block_nodes, tree) -> list[bool]:
         elif not below[node]:
             value = parts[0]
         else:
-            share = DECAY ** values["styles"]
+            share = values["share"]
             value = (1 - share) * values["presentation"] + share * sum(parts) / len(parts)
         worth[node] = value
         kept[node] = kept[node] or value >= THRESHOLD
@@ -309,7 +312,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text (blocks joined by two newlines) and n_chars of every page."""
     parsed = settle(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
                     .mapInArrow(_parse, _PARSED), "parsed")
-    nodes = F.collect_list(F.struct("path", "styles", "presentation", "content"))
+    nodes = F.collect_list(F.struct("path", "share", "presentation", "content"))
     trees = settle(style_trees(parsed).groupBy("host").agg(nodes.cast(_TREE).alias("tree")), "trees")
     return parsed.join(trees, "host", "left").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long")

@@ -176,6 +176,20 @@ def test_copies_of_a_page_count_once(spark):
     assert got == {i: f"title {k}\n\nstory {k}\n\nmore of {k}" for i, k in enumerate(names)}
 
 
+@pytest.mark.parametrize("size, others", [(2, 0), (3, 0), (20, 0), (99, 0), (3, 200)])
+def test_small_hosts_have_their_own_tree(spark, size, others):
+    """Untold menus and notices go from a few pages on, also where no other host has them."""
+    def body(k, menu):
+        return page(f"<div><ul><li>Start {menu}</li><li>About {menu}</li></ul></div><div class='x'>Notice of {menu}</div>"
+                    f"<div class='y'><h2>title {k}</h2><p>story {k}</p><p>more of {k}</p></div>")
+
+    rows = [(k, "https://one.example/a", body(k, "one")) for k in range(size)]
+    rows += [(1000 + k, f"https://h{k % 50}.example/b", body(1000 + k, f"h{k % 50}")) for k in range(others)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in site_style.extract(df.repartition(3)).collect()}
+    assert got == {k: f"title {k}\n\nstory {k}\n\nmore of {k}" for k, _, _ in rows}
+
+
 def test_pages_of_defined_cases(spark):
     schema = "page_id long, url string, html string"
     long = page("<article>" + "<p>word</p>" * 20_000 + "</article>")
