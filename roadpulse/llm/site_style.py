@@ -17,7 +17,9 @@ hosts the fewer they are: what repeats (1 less an importance) on n pages counts
 being the node's pages on the host; the larger of both holds. Elements that are
 not part of an article by their meaning (scripts, forms, menus, footers, comments,
 ...) have no importance at all, and where a page marks its article, only that counts;
-if no part of a marked article reaches `THRESHOLD` it stays whole.
+if no part of a marked article reaches `THRESHOLD` it stays whole. Words of class and
+id alone never remove what holds the page's only article or most of its text (that of
+readers' replies aside), nor do negated ones and those of a part (`no-`, `has-`, `with-`).
 
 Pages that are equal but for such elements count once on a host, and once among all
 hosts, however many copies there are.
@@ -61,6 +63,10 @@ footer gdpr header login masthead menu menus modal nav navbar navigation newslet
 notification overlay pagination pager popup promo promoted promotion related recommended replies reply
 respond search share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription
 toolbar toc topbar widget widgets""".split())
+#: Words of what readers add, which may well be most of a page's text.
+REPLY_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+#: The word after one of these tells what an element has or lacks, not what it is.
+PART_WORDS = frozenset("no not non without hide has have with".split())
 # What opening an element closes, up to the elements that bound the search.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -78,14 +84,27 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _told(given: dict[str, str]) -> set[str]:
+    """The words of class and id, but for those that tell what an element has or lacks."""
+    out = set()
+    for part in f"{given.get('class', '')} {given.get('id', '')}".split():
+        before = ""
+        for word in (w.lower() for w in _WORDS.findall(part)):
+            if before not in PART_WORDS:
+                out.add(word)
+            before = word
+    return out
+
+
 class Page:
     """The block elements of a page in order, and its texts.
 
-    Lists by node: `parents`, `names`, `noise`, `main`; `blocks`: (node, text).
+    Lists by node: `parents`, `names`, `noise`, `main`, and of the element alone `never` (noise
+    by tag, role or style) and `marks` (noise words); `blocks`: (node, text).
     """
 
     def __init__(self, source: str):
-        self.parents, self.names, self.noise, self.main = [-1], ["#"], [False], [False]
+        self.parents, self.names, self.inside, self.never, self.marks = [-1], ["#"], [False], [False], [frozenset()]
         self.blocks: list[tuple[int, str]] = []
         self._open: list[tuple[str, int]] = [("#", 0)]  # open block elements: tag and node
         self._text: list[str] = []
@@ -113,6 +132,38 @@ class Page:
             elif tag == "br":
                 self._text.append(" ")
         self._flush()
+        self._judge()
+
+    def _judge(self) -> None:
+        size, parents = len(self.parents), self.parents
+        never, reply, length, said = self.never[:], [False] * size, [0] * size, [0] * size
+        for node in range(1, size):
+            never[node] = never[node] or never[parents[node]]
+            reply[node] = reply[parents[node]] or not REPLY_WORDS.isdisjoint(self.marks[node])
+        for node, text in self.blocks:
+            length[node] += 0 if never[node] else len(text)
+            said[node] += 0 if never[node] or reply[node] else len(text)
+        for node in range(size - 1, 0, -1):
+            length[parents[node]] += length[node]
+            said[parents[node]] += said[node]
+        marked = {n for n in range(size) if self.marks[n] and not never[n]
+                  and (2 * said[n] <= said[0] or reply[n])}
+        if marked:
+            # The page's article: the longest of those below marked elements, if none lies elsewhere.
+            above: list[list[int]] = [[]] * size
+            articles = []
+            for node in range(1, size):
+                over = above[parents[node]]
+                above[node] = [*over, node] if node in marked else over
+                if self.names[node].split(".")[0] in _MAIN and not never[node] and node not in marked:
+                    articles.append(node)
+            if articles and all(above[n] for n in articles):
+                marked.difference_update(above[max(articles, key=lambda n: length[n])])
+        self.noise, self.main = [False] * size, [False] * size
+        for node in range(1, size):
+            self.noise[node] = self.noise[parents[node]] or never[node] or node in marked
+            self.main[node] = self.main[parents[node]] or (
+                self.names[node].split(".")[0] in _MAIN and not self.noise[node])
 
     def _flush(self) -> None:
         if self._text:
@@ -150,19 +201,17 @@ class Page:
         classes = sorted(given.get("class", "").lower().split())
         parent = self._open[-1][1]
         node = len(self.parents)
-        inside = self.main[parent]
+        inside = self.inside[parent]
         self.parents.append(parent)
         self.names.append(".".join([tag, *classes]))
-        words = {w.lower() for k in ("class", "id") if k in given for w in _WORDS.findall(given[k])}
-        noise = (tag in NOISE_TAGS or given.get("role", "").lower() in NOISE_ROLES
-                 or tag == "header" and not inside or given.get("aria-hidden") == "true"
-                 or re.search(r"(^|\s)hidden(\s|=|$)", attributes) is not None
-                 or "display:none" in given.get("style", "").replace(" ", ""))
-        if tag not in ("html", "body"):
-            marks = words & NOISE_WORDS
-            noise = noise or bool(marks - {"header"} if inside or tag in _MAIN else marks)
-        self.noise.append(self.noise[parent] or noise)
-        self.main.append(inside or tag in _MAIN and not self.noise[node])
+        self.inside.append(inside or tag in _MAIN)
+        self.never.append(
+            tag in NOISE_TAGS or given.get("role", "").lower() in NOISE_ROLES
+            or tag == "header" and not inside or given.get("aria-hidden") == "true"
+            or re.search(r"(^|\s)hidden(\s|=|$)", attributes) is not None
+            or "display:none" in given.get("style", "").replace(" ", ""))
+        marks = frozenset() if tag in ("html", "body") else NOISE_WORDS.intersection(_told(given))
+        self.marks.append(marks - {"header"} if inside or tag in _MAIN else marks)
         if tag not in VOID:
             self._open.append((tag, node))
 

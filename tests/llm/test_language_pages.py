@@ -140,6 +140,24 @@ def test_main_text(spark, source, expected):
     assert [(r.text, r.n_chars) for r in site_style.extract(df).collect()] == [(expected, len(expected))]
 
 
+STORY = "<p>a long enough story of the day</p>"
+
+
+@pytest.mark.parametrize("body", [
+    f"<div class='content with-sidebar'>{STORY}</div>", f"<div id='page' class='no-sidebar'>{STORY}</div>",
+    f"<article class='post has-comments'>{STORY}</article>", f"<main class='hasToc'>{STORY}</main>",
+    f"<div class='sidebar'><div class='comments'><article>{STORY}</article></div></div><p>x</p>",
+    f"<div class='widget'>{STORY}</div><div class='ad'>no</div>",
+    f"<main><div class='widget-area'>{STORY}</div><div class='comments'>{STORY * 9}</div></main>",
+    f"<article>{STORY}</article><div class='comments'><article>{STORY * 2}</article></div>",
+    f"<article>{STORY}<div class='comments'>{STORY * 9}</div></article>",
+])
+def test_words_of_a_wrapper_do_not_remove_the_article(body):
+    got = site_style.Page(page(body))
+    kept = [t for n, t in got.blocks if not got.noise[n] and (got.main[n] or not any(got.main))]
+    assert [t for t in kept if t != "x"] == ["a long enough story of the day"]
+
+
 def test_repeated_branches_go_by_their_importance(spark):
     """No tag or class tells these blocks; only that a site repeats them does."""
     rnd = random.Random(3)
