@@ -53,6 +53,8 @@ main menu nav ol p pre search section summary table tbody td tfoot th thead tr u
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math "
                 "select button object canvas audio video".split())
+#: Without an end tag, these reach to the end of the page.
+_TO_END = frozenset("script style textarea title".split())
 #: Tags, roles, and words of class and id that are no part of an article.
 NOISE_TAGS = frozenset("head nav footer aside form menu dialog search fieldset".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog "
@@ -109,6 +111,7 @@ class Page:
         self._open: list[tuple[str, int]] = [("#", 0)]  # open block elements: tag and node
         self._text: list[str] = []
         at, size, match = 0, len(source), _TAG.search
+        unclosed: set[str] = set()  # tags that are not closed from here on
         while at < size:
             found = match(source, at)
             if not found:
@@ -124,9 +127,14 @@ class Page:
             if found[1]:
                 self._end(tag)
             elif tag in RAW:
-                if not found[3].endswith("/") or tag in ("script", "style", "textarea", "title"):
+                if tag not in unclosed and (not found[3].endswith("/") or tag in _TO_END):
                     close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                    at = close.end() if close else size
+                    if close:
+                        at = close.end()
+                    elif tag in _TO_END:
+                        at = size
+                    else:  # the tag alone is passed over
+                        unclosed.add(tag)
             elif tag in BLOCK:
                 self._start(tag, found[3])
             elif tag == "br":

@@ -158,6 +158,13 @@ def test_words_of_a_wrapper_do_not_remove_the_article(body):
     assert [t for t in kept if t != "x"] == ["a long enough story of the day"]
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "object", "audio", "video", "canvas", "svg", "math", "iframe",
+                                 "noscript"])
+def test_unclosed_elements_do_not_cut_the_page(tag):
+    got = site_style.Page(page(f"<{tag}>no</{tag}><p>a</p><{tag}><p>b</p><{tag} x='y'><p>c</p><script>no"))
+    assert [t for _, t in got.blocks] == ["a", "b", "c"]
+
+
 def test_repeated_branches_go_by_their_importance(spark):
     """No tag or class tells these blocks; only that a site repeats them does."""
     rnd = random.Random(3)
