@@ -18,7 +18,7 @@ being the node's pages on the host; the larger of both holds. Elements that are
 not part of an article by their meaning (scripts, forms, menus, footers, comments,
 ...) have no importance at all, and where a page marks its article, only that counts;
 if no part of a marked article reaches `THRESHOLD` it stays whole. Words of class and
-id alone never remove what holds the page's only article or most of its text (that of
+id alone never remove what holds the page's only article or two thirds of its text (that of
 readers' replies aside), nor do negated ones and those of a part (`no-`, `has-`, `with-`).
 
 Pages that are equal but for such elements count once on a host, and once among all
@@ -155,7 +155,7 @@ class Page:
             length[parents[node]] += length[node]
             said[parents[node]] += said[node]
         marked = {n for n in range(size) if self.marks[n] and not never[n]
-                  and (2 * said[n] <= said[0] or reply[n])}
+                  and (3 * said[n] <= 2 * said[0] or reply[n])}
         if marked:
             # The page's article: the longest of those below marked elements, if none lies elsewhere.
             above: list[list[int]] = [[]] * size
