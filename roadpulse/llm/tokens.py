@@ -44,14 +44,18 @@ class Encoder:
 
     No rule of the given vocabularies looks across the blanks between two words
     but for runs that mix ASCII blanks with others; texts with such are encoded
-    whole. Strings of special tokens inside a text count as ordinary text.
+    whole, and so are texts that hold the name of an added token, in any case: the
+    library gives such a name its own id.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # A name without blanks lies within one piece.
+        self._added = re.compile("|".join(map(re.escape, names)) or r"(?!)", re.IGNORECASE).search
+        self._whole = any(not _PIECES(n) or _PIECES(n)[0] != n or n != n.strip() for n in names)
         self._word = self._plain_words()
         self.numbers = _Numbers()
         self.odd: set[int] = set()
@@ -100,7 +104,8 @@ class Encoder:
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.uint32)])
         self.odd.update(n for n, piece in enumerate(fresh, first)
-                        if not piece.isascii() and _OTHER_SPACE(piece))
+                        if self._whole or self._added(piece)
+                        or not piece.isascii() and _OTHER_SPACE(piece))
 
     def _forget(self) -> None:
         """Drop what the last slice taught beyond the bound."""
