@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import chat, decontaminate, language, lines, ngram_join, packing, passages, rans, simhash, site_style
+from roadpulse.llm import (
+    chat, decontaminate, language, lines, ngram_join, packing, passages, periodic, rans, simhash, site_style)
 from roadpulse.llm.ship import ship
 from roadpulse.session import fresh_path
 
@@ -84,6 +85,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "entropy", "n_symbols")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of all documents, a tenth of which are made to hold one."""
+    docs = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.find_runs(docs))
+
+
 QUERIES = {
     "op1_rans_files": op1_rans_files,
     "op2_main_text": op2_main_text,
@@ -95,6 +102,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {

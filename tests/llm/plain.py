@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,3 +97,44 @@ def packed(lengths, capacity):
         else:
             gaps.append(capacity - n)
     return len(gaps)
+
+
+def periodic_runs(words):
+    """(start, length, period) of the maximal stretches of smallest period q, max(6, 4q) words and more."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    ids, found = [number[w] for w in words], {}
+    for q in range(1, len(ids) // 4 + 1):
+        at = 0
+        while at + q < len(ids):
+            if ids[at] != ids[at + q]:
+                at += 1
+                continue
+            start = at
+            while at + q < len(ids) and ids[at] == ids[at + q]:
+                at += 1
+            if at + q - start >= max(6, 4 * q):
+                # A multiple of a run's period finds the same stretch again.
+                found.setdefault((start, at + q - start), q)
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def planted(doc_id, words):
+    """The words after the rule that makes a tenth of the documents periodic."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_digest(doc_id, text):
+    words = planted(doc_id, WORD.findall(text or ""))
+    runs = periodic_runs(words)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    told = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    return (doc_id, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
