@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import (
-    chat, decontaminate, language, lines, ngram_join, packing, passages, periodic, rans, simhash, site_style)
+    chat, decontaminate, language, lines, ngram_join, packing, passages, periodic, phrases, rans, simhash,
+    site_style)
 from roadpulse.llm.ship import ship
 from roadpulse.session import fresh_path
 
@@ -85,6 +86,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "entropy", "n_symbols")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best 2000 phrases of two to four words that occur 30 times and more."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of the words of all documents, a tenth of which are made to hold one."""
     docs = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -121,4 +128,38 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length(escaped) + CASE WHEN opens THEN 13 + length(role) ELSE 5 END)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id""",
+    "op11_collocations": r"""
+WITH folded AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM folded),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+phrases AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM placed, (VALUES (1), (2), (3), (4)) sizes(k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, phrase, k, count(*) AS f FROM phrases GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, k, w, unnest(range(1, k)) AS cut FROM candidates),
+judged AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * c.a // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, c.cut), ' ')
+  JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, c.cut + 1, c.k), ' ')),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nr FROM judged),
+starts AS (SELECT lang, a, w, k, unnest(range(1, k)) AS i FROM candidates WHERE k > 2),
+parts AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase, max(a) AS longer
+  FROM starts, (VALUES (2), (3)) sizes(n) WHERE n < k AND i + n - 1 <= k GROUP BY ALL),
+ranked AS (
+  SELECT j.lang, j.phrase, j.a, j.l, j.r, j.score,
+    row_number() OVER (PARTITION BY j.lang ORDER BY j.score DESC, j.a DESC, j.phrase) AS rank
+  FROM lowest j LEFT JOIN parts p ON p.lang = j.lang AND p.phrase = j.phrase
+  WHERE j.nr = 1 AND (p.longer IS NULL OR 100 * p.longer::HUGEINT < 80 * j.a::HUGEINT))
+SELECT x.lang, x.rank, x.phrase, x.a, x.l, x.r, t.n, x.score
+FROM ranked x JOIN totals t ON t.lang = x.lang WHERE x.rank <= 2000""",
 }
