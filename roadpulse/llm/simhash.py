@@ -82,30 +82,41 @@ def with_next(docs: DataFrame) -> DataFrame:
     """Rows (bucket, ahead, key, doc_id, text) dealt and sorted so that each row with `ahead`
     false is followed, within its bucket, by the next in descending order of doc_id.
 
-    Buckets are ranges of doc_id. The first rows of each are also sent to the
-    bucket before, marked `ahead`: one per bucket, unless doc_ids repeat.
+    Buckets are ranges of doc_id; a doc_id that fills several is cut by the hash of the
+    text, which orders its rows. The first rows of each bucket are also sent to the one
+    before, marked `ahead`: one per bucket, unless whole rows repeat. Texts are shuffled
+    once.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST)).alias("key"),
                         F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = partitions(spark)
-    bounds = keyed.agg(F.percentile_approx("key", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0]
-    bounds = sorted(set(bounds or []))
+    bounds = sorted(keyed.agg(F.percentile_approx("key", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or [])
     bucket = F.lit(0)
     if bounds:
-        bucket = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("key")))
-    keyed = keyed.withColumn("bucket", bucket)
-    # One row per bucket.
-    heads = sorted((r["bucket"], r["head"]) for r in
-                   keyed.groupBy("bucket").agg(F.max("key").alias("head")).collect())
-    to = [(head, heads[(k + 1) % len(heads)][0]) for k, (_, head) in enumerate(heads)]
-    ahead = spark.createDataFrame(to, "key long, target int")
-    both = keyed.join(ahead, "key", "left").select("key", "doc_id", "text", F.explode(F.filter(F.array(
-        F.struct("bucket", F.lit(False).alias("ahead")),
-        F.struct(F.col("target").alias("bucket"), F.lit(True).alias("ahead"))),
-        lambda x: x["bucket"].isNotNull())).alias("to"))
-    return (both.select("to.*", "key", "doc_id", "text").repartition(n, "bucket")
-            .sortWithinPartitions("bucket", "ahead", F.desc("key"), F.xxhash64("text"), "text"))
+        found = F.array(*map(F.lit, bounds))
+        equal = F.size(F.filter(found, lambda b: b == F.col("key")))
+        # 0 for the highest hashes, which come last among equal doc_ids, up to the number of equal bounds.
+        part = F.floor((0.5 - F.col("_hash") / F.lit(2.0 ** 64)) * (equal + 1))
+        bucket = F.size(F.filter(found, lambda b: b < F.col("key"))) + F.least(F.greatest(part, F.lit(0)), equal)
+    keyed = keyed.withColumn("_hash", F.xxhash64("text")).withColumn("bucket", bucket.cast("int"))
+    # One row per bucket, from the highest doc_id down; of that, the lowest hash.
+    first = F.max(F.struct("key", F.bitwise_not("_hash").alias("rest")))
+    heads = sorted(((r["bucket"], r["head"]["key"], ~r["head"]["rest"]) for r in
+                    keyed.groupBy("bucket").agg(first.alias("head")).collect()), reverse=True)
+    size = 1 + max((h[0] for h in heads), default=0)
+    ahead = [[None] * size for _ in range(3)]
+    for k, (own, key, text) in enumerate(heads):
+        for column, value in zip(ahead, (key, text, heads[k - 1][0])):
+            column[own] = value
+    head = [F.element_at(F.array(*(F.lit(v).cast("long") for v in column)), F.col("bucket") + 1) for column in ahead]
+    target = F.when((F.col("key") == head[0]) & (F.col("_hash") == head[1]), head[2]).cast("int")
+    to = F.array(F.struct("bucket", F.lit(False).alias("ahead")),
+                 F.struct(target.alias("bucket"), F.lit(True).alias("ahead")))
+    both = keyed.select("key", "doc_id", "text", "_hash",
+                        F.explode(F.filter(to, lambda x: x["bucket"].isNotNull())).alias("to"))
+    return (both.select("to.*", "key", "doc_id", "text", "_hash").repartition(n, "bucket")
+            .sortWithinPartitions("bucket", "ahead", F.desc("key"), "_hash", "text").drop("_hash"))
 
 
 _EDITED = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "

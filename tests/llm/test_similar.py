@@ -197,6 +197,18 @@ def test_fingerprints_in_order(spark, texts):
         assert row.near_next == simhash.likeness(prints[:1], prints[2:])[0]
 
 
+def test_hot_doc_id_is_cut_into_buckets(spark, texts):
+    rows = [(5, f"t{k}") for k in range(300)] + [(None, f"n{k}") for k in range(200)] + [(k, f"k{k}") for k in range(90)]
+    frame = texts(rows).withColumn("h", F.xxhash64("text"))
+    order = [r.text for r in frame.orderBy(F.col("doc_id").desc_nulls_last(), "h").collect()]
+    dealt = simhash.with_next(texts(rows).repartition(5)).collect()
+    assert max(sum(r.bucket == b and not r.ahead for r in dealt) for b in {r.bucket for r in dealt}) < 300
+    follows = {a.text: b.text for a, b in zip(dealt, dealt[1:]) if a.bucket == b.bucket and not a.ahead}
+    assert follows == {t: order[(k + 1) % len(order)] for k, t in enumerate(order)}
+    plan = simhash.with_next(texts(rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_fingerprints_of_defined_cases(spark, texts):
     rows = [(None, "n"), (2, None), (2, "b b b"), (2, "b b b"), (1, ""), (9, "w " * 60_000)]
     got = simhash.compare_edited(texts(rows, "bucket")).collect()
