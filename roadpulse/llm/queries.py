@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import (
     chat, decontaminate, language, lines, ngram_join, packing, passages, periodic, phrases, rans, simhash,
-    site_style)
+    site_style, suffixes)
 from roadpulse.llm.ship import ship
 from roadpulse.session import fresh_path
 
@@ -91,6 +91,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the strings of 50 bytes and more that earlier ones have."""
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of the words of all documents, a tenth of which are made to hold one."""
     docs = periodic.with_planted_runs(_table(spark, sf_dir, "documents"))
@@ -109,6 +114,7 @@ QUERIES = {
     "op9_chat_format": op9_chat_format,
     "op10_language_id": op10_language_id,
     "op11_collocations": op11_collocations,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -138,3 +138,52 @@ def periodic_digest(doc_id, text):
     kept = " ".join(w for i, w in enumerate(words) if i not in gone)
     return (doc_id, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
             hashlib.sha256(told.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def collocations(docs, least, top=2000, longest=4):
+    """(lang, rank, phrase, a, l, r, n, score) of documents (doc_id, text, lang)."""
+    count, totals = Counter(), Counter()
+    for _, text, lang in docs:
+        lang = "und" if lang is None else lang
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, longest + 1):
+                count.update((lang, tuple(words[i:i + n])) for i in range(len(words) - n + 1))
+    some = {k: a for k, a in count.items() if len(k[1]) > 1 and a >= least}
+    longer = Counter()
+    for (lang, words), a in some.items():
+        for i in range(len(words)):
+            for j in range(i + 2, len(words) + 1):
+                if j - i < len(words):
+                    longer[lang, words[i:j]] = max(longer[lang, words[i:j]], a)
+    rows = defaultdict(list)
+    for (lang, words), a in some.items():
+        if 100 * longer[lang, words] < 80 * a:
+            cuts = [(count[lang, words[:k]], count[lang, words[k:]]) for k in range(1, len(words))]
+            score, _, l, r = min((2000000 * a // (l + r), k, l, r) for k, (l, r) in enumerate(cuts))
+            rows[lang].append((-score, -a, " ".join(words).encode(), l, r))
+    return sorted((lang, nr, phrase.decode(), -a, l, r, totals[lang], -score) for lang, own in rows.items()
+                  for nr, (score, a, phrase, l, r) in enumerate(sorted(own)[:top], 1))
+
+
+def without_repeated_bytes(docs, size=50):
+    """(doc_id, bytes, removed bytes, spans, hash of the rest); rows of equal doc_id do not see each other."""
+    data = [(i, (t or "").encode()) for i, t in docs]
+    first = {}
+    for i, b in data:
+        if i is not None:
+            for k in range(len(b) - size + 1):
+                key = b[k:k + size]
+                first[key] = min(first.get(key, i), i)
+    out = []
+    for i, b in data:
+        gone = bytearray(len(b))
+        for k in range(len(b) - size + 1 if i is not None else 0):
+            if first[b[k:k + size]] < i:
+                gone[k:k + size] = b"\1" * size
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
