@@ -44,13 +44,17 @@ def _await(queries: list) -> None:
 
 def train_model(spark, args):
     with scratch(spark):
-        jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32,
-                         args.inspect)
+        numbers = jobs.train_model(spark, args.histories, args.map, args.model, args.rejects, args.float32,
+                                   args.inspect)
+    if args.metrics:
+        rows = spark.createDataFrame(list(numbers.items()), "metric string, number bigint")
+        rows.write.mode("overwrite").json(args.metrics)
 
 
 def derive_speeds(spark, args):
     messages = _messages(spark, args, args.position_topic)
-    points, edges = stream_src.positions(messages), src.read_links(spark, args.map)
+    points = stream_src.positions(messages)
+    edges = jobs.usable(src.scan_links(spark, args.map), args.rejects, "elements")
     start = spark.read.schema(bulk.STATE).parquet(args.start) if args.start else None
     queries = _rejects(args, stream_src.rejected_positions(messages))
     if args.keyed_state:
@@ -70,7 +74,7 @@ def derive_speeds(spark, args):
 def detect_anomalies(spark, args):
     messages = _messages(spark, args, stream_src.SPEED_TOPIC)
     started = alerts.start_alerts(
-        messages, src.read_model(spark, args.model), _send(args, stream_src.ANOMALY_TOPIC),
+        messages, jobs.usable(src.scan_model(spark, args.model), args.rejects, "model"), _send(args, stream_src.ANOMALY_TOPIC),
         args.checkpoint, "1 seconds" if args.every else None)
     _await([*started, *_rejects(args, detect.rejected_speeds(messages))])
 
@@ -78,7 +82,8 @@ def detect_anomalies(spark, args):
 def publish_signs(spark, args):
     boards = catalog.having(src.read_catalog(spark, args.resources), catalog.BOARD)
     messages = _messages(spark, args, stream_src.ANOMALY_TOPIC)
-    edges, nodes = src.read_links(spark, args.map), src.read_nodes(spark, args.map)
+    edges = jobs.usable(src.scan_links(spark, args.map), args.rejects, "links")
+    nodes = jobs.usable(src.scan_nodes(spark, args.map), args.rejects, "nodes")
     sent = alerts.signs(messages, edges, nodes, boards, args.radius, not args.lenient)
     queries = [_send(args, stream_src.SIGN_TOPIC)(sent, args.checkpoint)]
     if args.lenient and args.rejects:
@@ -94,17 +99,17 @@ def health_check(spark, args):
 
 def split_trips(spark, args):
     with scratch(spark):
-        jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target)
+        jobs.split_trip_file(spark, args.trips, args.begin, args.end, args.target, args.rejects)
 
 
 def expand_trips(spark, args):
     with scratch(spark):
-        jobs.expand_trip_file(spark, args.trips, args.target, args.seed)
+        jobs.expand_trip_file(spark, args.trips, args.target, args.seed, args.rejects)
 
 
 def register_cars(spark, args):
     with scratch(spark):
-        jobs.register_cars(spark, args.vehicles, args.resources, args.capabilities)
+        jobs.register_cars(spark, args.vehicles, args.resources, args.capabilities, args.rejects)
 
 
 def publish_board(spark, args):
@@ -113,12 +118,13 @@ def publish_board(spark, args):
 
 
 def convert_nodes(spark, args):
-    jobs.convert_nodes(spark, args.map, args.target)
+    with scratch(spark):
+        jobs.convert_nodes(spark, args.map, args.target, args.rejects)
 
 
 def compare_trips(spark, args):
     with scratch(spark):
-        jobs.compare_trip_logs(spark, args.baseline, args.events, args.target)
+        jobs.compare_trip_logs(spark, args.baseline, args.events, args.target, args.rejects)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -146,8 +152,13 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--rejects", help="folder for unusable messages, with reasons")
 
-    sub = command(train_model, "histories", "map", "model")
-    sub.add_argument("--rejects")
+    def rejecting(sub):
+        sub.add_argument("--rejects", help="folder for unusable rows, with reasons; those of the files "
+                         "read go next to it. Without it, an unusable line of a file is an error")
+        return sub
+
+    sub = rejecting(command(train_model, "histories", "map", "model"))
+    sub.add_argument("--metrics", help="folder for the numbers of points, rejects and moves")
     sub.add_argument("--float32", action="store_true", help="round medians to 32-bit floats")
     sub.add_argument("--inspect", action="store_true", help="print the first rows of each step")
     sub = command(derive_speeds, "map")
@@ -162,20 +173,20 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--lenient", action="store_true", help="skip unusable anomalies")
     streaming(sub)
     streaming(command(health_check), sink=False)
-    sub = command(split_trips, "trips")
+    sub = rejecting(command(split_trips, "trips"))
     sub.add_argument("begin", type=int)
     sub.add_argument("end", type=int)
     sub.add_argument("target")
-    sub = command(expand_trips, "trips", "target")
+    sub = rejecting(command(expand_trips, "trips", "target"))
     sub.add_argument("--seed")
-    command(register_cars, "vehicles", "resources", "capabilities")
+    rejecting(command(register_cars, "vehicles", "resources", "capabilities"))
     sub = command(publish_board, "node_id")
     sub.add_argument("x", type=float)
     sub.add_argument("y", type=float)
     sub.add_argument("resources")
     sub.add_argument("capabilities")
-    command(convert_nodes, "map", "target")
-    command(compare_trips, "baseline", "events", "target")
+    rejecting(command(convert_nodes, "map", "target"))
+    rejecting(command(compare_trips, "baseline", "events", "target"))
     return top
 
 

@@ -22,12 +22,25 @@ def flatten_histories(histories: DataFrame) -> DataFrame:
                     F.col("point.nodeID").try_cast("bigint").alias("edge_id")))
 
 
+#: Why a point may be unusable, by the column it lacks; the first that applies counts.
+REJECTED = {"uuid": "no uuid", "tick": "no tick", "edge_id": "no edge"}
+
+
+def _reason():
+    out = F
+    for column, reason in REJECTED.items():
+        out = out.when(F.col(column).isNull(), reason)
+    return out
+
+
+def judged_positions(points: DataFrame) -> DataFrame:
+    """The points with the `reason` to reject them, if any."""
+    return points.withColumn("reason", _reason())
+
+
 def clean_positions(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(uuid, tick, edge_id rows usable for speeds, rejected rows with a reason)."""
-    reason = (F.when(F.col("uuid").isNull(), "no uuid")
-              .when(F.col("tick").isNull(), "no tick")
-              .when(F.col("edge_id").isNull(), "no edge"))
-    good, bad = split_rejects(points, reason)
+    good, bad = split_rejects(points, _reason())
     return good.select("uuid", "tick", "edge_id"), bad
 
 

@@ -7,15 +7,33 @@ import secrets
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.functions.messages import to_id
+from roadpulse.operators.lookup import split_rejects
+
 TRIP_ATTRIBUTES = ["name", "origin", "destination", "link_origin", "count", "start", "mode"]
 JITTER_TICKS = 25
 # Vehicles one row generates at a time; larger trips are spread over tasks.
 CHUNK = 1 << 18
 
 
+def _whole(name: str) -> Column:
+    """A number from an attribute, as text or not; NULL if it is no whole number of 32 bits."""
+    return to_id(F.col(name).cast("string")).try_cast("int")
+
+
+def is_usable() -> Column:
+    return _whole("start").isNotNull() & _whole("count").isNotNull()
+
+
+def usable_trips(trips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(trips with a start and a count, the others with a reason)."""
+    reason = F.when(_whole("start").isNull(), "no start").when(_whole("count").isNull(), "no count")
+    return split_rejects(trips, reason)
+
+
 def split_trips(trips: DataFrame, begin: int, end: int) -> DataFrame:
     """Trips with begin <= start <= end, rebased to begin, their count halved upwards."""
-    start, count = F.col("start").cast("int"), F.col("count").cast("int")
+    start, count = _whole("start"), _whole("count")
     return trips.where(start.between(begin, end)).withColumns({
         "start": start - begin, "count": F.ceil(count / 2).cast("int")})
 
@@ -46,7 +64,7 @@ def expand_trips(trips: DataFrame, seed: str | None = None, tasks: int | None =
     seed = secrets.token_hex(8) if seed is None else seed
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     attributes = [a for a in TRIP_ATTRIBUTES if a != "count"]
-    count = F.greatest(F.col("count").cast("bigint"), F.lit(0))
+    count = F.greatest(_whole("count").cast("bigint"), F.lit(0))
     merged = trips.groupBy(*attributes).agg(F.sum(count).alias("vehicles"))
     # A fixed number of partitions: the rows grow manyfold after this exchange.
     chunks = (merged.where(F.col("vehicles") > 0)
@@ -62,5 +80,5 @@ def expand_trips(trips: DataFrame, seed: str | None = None, tasks: int | None =
             .withColumn("delay", F.conv(F.substring(digest, 1, 6), 16, 10).cast("int")
                         % (JITTER_TICKS + 1))
             .select("name", "origin", "destination", "link_origin", F.lit(1).alias("count"),
-                    (F.col("start").cast("int") + F.col("delay")).alias("start"), "mode",
+                    (_whole("start") + F.col("delay")).alias("start"), "mode",
                     _as_uuid(digest).alias("uuid")))

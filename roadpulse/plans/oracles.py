@@ -230,7 +230,67 @@ TRAINED = f"WITH {SPEEDS}, {_bounds('speeds', 'edge_id', 'kmh', 'model')}"
 ACCEPTED_ROWS = ACCEPTED + """
 SELECT uuid, seq, tick, edge_id, avg_speed FROM accepted"""
 
+HISTORY_LINES = """broken AS (
+  SELECT CASE event_id % 17 WHEN 0 THEN '{"uuid":"' || user_id || '","capabilities":'
+    WHEN 1 THEN 'lost ' || event_id
+    WHEN 2 THEN '{"uuid":"' || user_id || '","capabilities":{"current_location":[{"date":"d","nodeID":"x'
+                || event_id || '","tick":"1"}]}}' END AS line
+  FROM events WHERE event_id % 17 < 3)"""
+
+MODEL_LINES = """model_rows AS (
+  SELECT CASE p_partkey % 7 WHEN 0 THEN 'x3.0,1.5,0.5,' || p_partkey WHEN 1 THEN p_size || '.5,1.5,0.5'
+    WHEN 2 THEN p_size || '.5,1.5,0.5,' END AS line,
+    CASE WHEN p_partkey % 7 < 2 THEN 'unreadable' ELSE 'no edge id' END AS reason
+  FROM part WHERE p_partkey % 7 < 3)"""
+
+MOVES = f"""{HISTORIES}, {LENGTHS},
+clean AS (SELECT * FROM points WHERE uuid IS NOT NULL AND tick IS NOT NULL AND edge_id IS NOT NULL),
+paired AS (
+  SELECT edge_id, tick - lag(tick) OVER (PARTITION BY uuid ORDER BY tick, edge_id) AS tick_diff FROM clean),
+moved AS (
+  SELECT count(*) AS moves, count(*) FILTER (l.edge_id IS NULL) AS unknown
+  FROM paired p LEFT JOIN lengths l ON l.edge_id = p.edge_id WHERE tick_diff > 0)"""
+
+
+def _link(key: str, length: str, from_node: str = "'\"' || o_custkey || '\"'", more: str = "true") -> str:
+    tail = f"""|| ' length="' || {length} || '" note="a > b"/>'""" if more == "true" else "|| '/>'"
+    return f"""'<link id="' || {key} || '" from=' || {from_node} || ' to="1"' {tail}"""
+
+
 ORACLES: dict[str, str] = {
+    "rejected_history_lines": f"WITH {HISTORY_LINES} SELECT line, 'unreadable' AS reason FROM broken",
+    "rejected_model_rows": f"WITH {MODEL_LINES} SELECT line, reason FROM model_rows",
+    "source_line_counts": f"""WITH {HISTORY_LINES},
+users AS (SELECT count(*) AS n FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events))
+SELECT 'histories' AS source, (SELECT n FROM users) + count(*) AS lines, (SELECT n FROM users) AS usable,
+  count(*) AS rejected FROM broken
+UNION ALL SELECT 'model', count(*), count(*) FILTER (p_partkey % 7 > 2), count(*) FILTER (p_partkey % 7 < 3) FROM part
+UNION ALL SELECT 'trip log', count(*), count(*) FILTER (l_orderkey % 19 <> 0), count(*) FILTER (l_orderkey % 19 = 0)
+FROM lineitem
+UNION ALL SELECT 'vehicles', count(*), count(*) FILTER (o_orderkey % 13 > 2), count(*) FILTER (o_orderkey % 13 < 3)
+FROM orders""",
+    "rejected_links": f"""SELECT CASE o_orderkey % 11 WHEN 0 THEN {_link("'x' || o_orderkey", "'1'")}
+  WHEN 1 THEN {_link("o_orderkey", "'long'")} ELSE {_link("o_orderkey", "''", "o_custkey", "")} END AS line,
+  CASE o_orderkey % 11 WHEN 0 THEN 'no id' WHEN 1 THEN 'length is no number' ELSE 'unreadable' END AS reason
+FROM orders WHERE o_orderkey % 11 IN (0, 1, 6)""",
+    "links_outside_sections": """SELECT o_orderkey AS edge_id, o_custkey AS from_node, 1 AS to_node,
+  o_totalprice AS length FROM orders WHERE o_orderkey % 11 NOT IN (0, 1, 6)""",
+    "rejected_trips": """SELECT CAST(o_orderkey AS VARCHAR) AS name,
+  o_orderkey % 3600 || CASE o_orderkey % 5 WHEN 0 THEN '.5' WHEN 1 THEN '.0' ELSE '' END AS start,
+  CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 6 AS VARCHAR) END AS count,
+  CASE WHEN o_orderkey % 5 = 0 THEN 'no start' ELSE 'no count' END AS reason
+FROM orders WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0""",
+    "training_metrics": f"""WITH {MOVES}
+SELECT 'points' AS metric, count(*) AS number FROM points
+UNION ALL SELECT 'points with no uuid', count(*) FROM points WHERE uuid IS NULL
+UNION ALL SELECT 'points with no tick', count(*) FROM points WHERE uuid IS NOT NULL AND tick IS NULL
+UNION ALL SELECT 'points with no edge', count(*) FROM points
+WHERE uuid IS NOT NULL AND tick IS NOT NULL AND edge_id IS NULL
+UNION ALL SELECT 'moves', moves FROM moved
+UNION ALL SELECT 'moves on unknown edges', unknown FROM moved""",
+    "sketched_bounds": f"""WITH {SPEEDS}
+SELECT edge_id, count(kmh) AS n, true AS median_within, true AS mad_within
+FROM speeds GROUP BY edge_id HAVING count(kmh) > 0""",
     "train_thresholds": f"{TRAINED} SELECT edge_id, {ROUNDED_BOUNDS} FROM model",
     "pair_speed": f"""WITH {SPEEDS}
 SELECT uuid, tick, edge_id, length, tick_diff, kmh FROM speeds""",

@@ -12,6 +12,7 @@ from roadpulse.functions.geo import with_grid, with_latlon
 from roadpulse.operators import catalog, compare, detect, lookup, movement, robust, signs, spatial
 from roadpulse.operators import trips as trip_ops
 from roadpulse.operators.replay import replay_speeds
+from roadpulse.plans import intake
 from roadpulse.plans import tables as T
 from roadpulse.plans.jobs import train
 from roadpulse.session import fresh_path
@@ -530,4 +531,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         catalog_table, stream_stateful_speed, stream_bulk_speed, stream_signs, stream_restart,
         stream_two_sinks,
     )
-}
+} | intake.QUERIES

@@ -14,12 +14,9 @@ HISTORIES = T.StructType([
     ])),
 ])
 
-# Road map. Ids exceed 32 bits.
-LINKS = "_id bigint, _from bigint, _to bigint, _length double"
-NODES = "_id bigint, _x double, _y double"
-
 # Thresholds, in file order.
 MODEL = "mad double, upper_threshold double, lower_threshold double, edgeId bigint"
+MODEL_HEADER = "mad,upper_threshold,lower_threshold,edgeId"
 
 # One row per vehicle after expansion; the uuid comes last.
 TRIPS_CSV = ("name string, origin string, destination string, link_origin string, "

@@ -69,4 +69,4 @@ if __name__ == "__main__":
             problem = difference(spark, con, sf_dir, QUERIES[name], ORACLES[name])
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:600]}"
-        print(f"{name:28s} {time.time() - start:6.1f}s {problem or 'ok'}", flush=True)
+        print(f"{name:28s} {time.time() - start:6.1f}s {str(problem or "ok")[:700]}", flush=True)
