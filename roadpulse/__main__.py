@@ -56,8 +56,10 @@ def derive_speeds(spark, args):
     points = stream_src.positions(messages)
     edges = jobs.usable(src.scan_links(spark, args.map), args.rejects, "elements")
     start = spark.read.schema(bulk.STATE).parquet(args.start) if args.start else None
+    if args.take_over:
+        start = speeds.held_ticks(spark, args.take_over)
     queries = _rejects(args, stream_src.rejected_positions(messages))
-    if args.keyed_state:
+    if not args.replay:
         rows = speeds.speed_stream(points, edges, start)
         queries.append(_send(args, stream_src.SPEED_TOPIC)(speeds.speed_records(rows), args.checkpoint))
     else:
@@ -73,9 +75,15 @@ def derive_speeds(spark, args):
 
 def detect_anomalies(spark, args):
     messages = _messages(spark, args, stream_src.SPEED_TOPIC)
-    started = alerts.start_alerts(
-        messages, jobs.usable(src.scan_model(spark, args.model), args.rejects, "model"), _send(args, stream_src.ANOMALY_TOPIC),
-        args.checkpoint, "1 seconds" if args.every else None)
+    model = jobs.usable(src.scan_model(spark, args.model), args.rejects, "model")
+    if args.fan_out:
+        started = [alerts.start_fan_out(messages, model, [
+            lambda found, i: stream_out.batch_to(detect.anomaly_messages(found), args.servers,
+                                                 stream_src.ANOMALY_TOPIC, args.output, i),
+            lambda found, i: found.show(truncate=False)], args.checkpoint, args.every)]
+    else:
+        started = alerts.start_alerts(messages, model, _send(args, stream_src.ANOMALY_TOPIC),
+                                      args.checkpoint, "1 seconds" if args.every else None)
     _await([*started, *_rejects(args, detect.rejected_speeds(messages))])
 
 
@@ -164,10 +172,13 @@ def parser() -> argparse.ArgumentParser:
     sub = command(derive_speeds, "map")
     sub.add_argument("--position-topic", default="positions")
     sub.add_argument("--start", help="folder of last ticks (uuid, tick) to start from")
-    sub.add_argument("--keyed-state", action="store_true",
-                     help="walk through each vehicle with Spark's keyed state")
+    sub.add_argument("--take-over", help="checkpoint of a speed stream whose state to start from")
+    sub.add_argument("--replay", action="store_true",
+                     help="replay each micro-batch as a batch, for backfills")
+    streaming(sub)
+    sub = command(detect_anomalies, "model")
+    sub.add_argument("--fan-out", action="store_true", help="one query, which reads each message once, for both sinks")
     streaming(sub)
-    streaming(command(detect_anomalies, "model"))
     sub = command(publish_signs, "map", "resources")
     sub.add_argument("--radius", type=float, default=1000.0)
     sub.add_argument("--lenient", action="store_true", help="skip unusable anomalies")

@@ -15,6 +15,8 @@ CAPABILITY_ROWS = [
     (LOCATION, "current location", "sensor"),
     (BOARD, None, "sensor"),
 ]
+# The catalog is a table in folders by a hash of the key.
+BUCKET, BUCKETS = "bucket", 64
 CAPABILITIES = "name string, description string, capability_type string"
 
 
@@ -39,6 +41,11 @@ def having(catalog: DataFrame, capability: str) -> DataFrame:
     return catalog.where(F.array_contains("capabilities", capability))
 
 
+def with_bucket(rows: DataFrame, key: str = "uuid", buckets: int = BUCKETS) -> DataFrame:
+    """The rows with the partition of a catalog that their key belongs to."""
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+
+
 def absent(wanted: DataFrame, catalog: DataFrame, key: str = "uuid") -> DataFrame:
     """Rows of `wanted` whose key the catalog lacks, one per key."""
     return (wanted.where(F.col(key).isNotNull()).dropDuplicates([key])

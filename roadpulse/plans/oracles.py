@@ -429,5 +429,16 @@ FROM customer WHERE c_acctbal > 0 UNION ALL ({NEW_CARS})""",
 FROM events""",
     "stream_two_sinks": f"""WITH {OBSERVED}
 SELECT '{{"edgeId":"' || edge_id || '"}}' AS value FROM observed WHERE avg_speed < 480""",
+    "stream_state_handover": ACCEPTED_ROWS,
+    "stream_recovery": f"""WITH {OBSERVED}
+SELECT edge_id, round(avg_speed, 9) AS avg_speed FROM observed WHERE event_id % 9 > 1 AND avg_speed < 480""",
+    "stream_fan_out": f"""WITH {OBSERVED},
+found AS (SELECT edge_id, round(avg_speed, 6) AS speed FROM observed WHERE event_id % 9 > 1 AND avg_speed < 480)
+SELECT 'messages' AS sink, '{{"edgeId":"' || edge_id || '"}}' AS value FROM found
+UNION ALL SELECT 'rows', '{{"edge_id":' || edge_id || ',"avg_speed":' || speed || '}}' FROM found""",
+    "stream_metrics": """SELECT 'messages' AS metric, count(*) AS number FROM events
+UNION ALL SELECT 'messages with no edge id', count(*) FROM events WHERE event_id % 9 = 0
+UNION ALL SELECT 'messages with no speed', count(*) FROM events WHERE event_id % 9 = 1
+UNION ALL SELECT 'input rows', count(*) FROM events""",
     "stream_signs": f"{SIGN_ROWS} SELECT routing_key AS key, body AS value FROM signs",
 }

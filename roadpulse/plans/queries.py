@@ -12,8 +12,9 @@ from roadpulse.functions.geo import with_grid, with_latlon
 from roadpulse.operators import catalog, compare, detect, lookup, movement, robust, signs, spatial
 from roadpulse.operators import trips as trip_ops
 from roadpulse.operators.replay import replay_speeds
-from roadpulse.plans import intake
+from roadpulse.plans import handover, intake
 from roadpulse.plans import tables as T
+from roadpulse.plans.handover import position_stream, streaming_session
 from roadpulse.plans.jobs import train
 from roadpulse.session import fresh_path
 from roadpulse.sinks import files as out
@@ -252,8 +253,12 @@ def _flat_catalog(rows: DataFrame) -> DataFrame:
 
 
 def register_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_catalog(catalog.absent(_wanted_cars(spark, sf_dir),
-                                        _registered_cars(spark, sf_dir)))
+    """The cars that a catalog lacks, of which only the partitions of the wanted cars are read."""
+    path = fresh_path(spark, "catalog")
+    registered, wanted = _registered_cars(spark, sf_dir), catalog.with_bucket(_wanted_cars(spark, sf_dir))
+    out.register(registered, path)
+    present = src.in_buckets(spark, path, registered.schema, wanted)
+    return _flat_catalog(catalog.absent(wanted, present).drop(catalog.BUCKET))
 
 
 def boards_by_capability(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,7 +338,8 @@ def road_map_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_ids_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A road map whose ids repeat in one file, and comments that hold elements: the last one counts."""
     path = fresh_path(spark, "links")
-    customers = T.table(spark, sf_dir, "customer").coalesce(1).sortWithinPartitions("c_custkey")
+    # Many files, in order of their names.
+    customers = T.table(spark, sf_dir, "customer").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey")
     link = F.format_string('<link id="%s" from="%s" to="%s" length="%s.5"/>', F.col("c_custkey") % 97,
                            "c_custkey", F.col("c_custkey") + 1, "c_custkey")
     customers.select(F.when(F.col("c_custkey") % 2 == 0, F.concat(
@@ -397,7 +403,7 @@ def histories_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cars registered twice over; the second run adds nothing."""
     path = fresh_path(spark, "catalog")
-    _registered_cars(spark, sf_dir).write.parquet(path)
+    out.register(_registered_cars(spark, sf_dir), path)
     for _ in range(2):
         out.register(_wanted_cars(spark, sf_dir), path)
     return _flat_catalog(src.read_catalog(spark, path))
@@ -405,16 +411,6 @@ def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- through streaming queries ----------------------------------------------
 
-def _streaming_session(spark: SparkSession) -> SparkSession:
-    """Same application, own settings: the state store."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.shuffle.partitions",
-                     spark.conf.get("spark.sql.shuffle.partitions"))
-    session.conf.set("spark.sql.streaming.stateStore.providerClass",
-                     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return session
-
-
 def _landed(frame: DataFrame, name: str) -> str:
     path = fresh_path(frame.sparkSession, name)
     frame.write.parquet(path)
@@ -429,18 +425,6 @@ def _drain(stream: DataFrame, name: str) -> str:
     return path
 
 
-def _position_messages(session: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """The arrivals as a stream of position messages, in order over several micro-batches."""
-    body = F.to_json(F.struct("uuid", "tick", F.col("edge_id").cast("double").alias("nodeID")))
-    sent = T.arrivals(session, sf_dir).select(
-        F.lit("car.current_location.simulated").alias("key"), body.alias("value"), "seq")
-    part = F.least(F.floor(F.col("seq") / F.lit((101 << 40) // files)), F.lit(files - 1))
-    path = fresh_path(session, "positions")
-    for k in range(files):  # a stream takes the oldest files first
-        sent.where(part == k).coalesce(1).write.mode("append").parquet(path)
-    return stream_src.positions(stream_src.file_messages(session, path, per_trigger=1))
-
-
 def rejected_position_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a position stream leaves out: no vehicle, tick or edge, or no whole number for one."""
     tick = F.when(F.col("event_id") % 7 == 0, F.lit("12.7")).otherwise(
@@ -457,8 +441,8 @@ def rejected_position_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session = _streaming_session(spark)
-    points = _position_messages(session, sf_dir)
+    session = streaming_session(spark)
+    points = position_stream(session, sf_dir)
     speeds_at = _drain(speed_stream(points, T.lengths(session, sf_dir)), "speeds")
     return spark.read.schema(SPEEDS).parquet(speeds_at)
 
@@ -466,7 +450,7 @@ def stream_stateful_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_bulk_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     speeds_at, checkpoint = fresh_path(spark, "speeds"), fresh_path(spark, "speeds-checkpoint")
     query = start_bulk_speeds(
-        _position_messages(spark, sf_dir), T.lengths(spark, sf_dir), f"{checkpoint}/vehicles",
+        position_stream(spark, sf_dir), T.lengths(spark, sf_dir), f"{checkpoint}/vehicles",
         lambda rows, i: rows.write.mode("overwrite").parquet(f"{speeds_at}/batch={i}"),
         f"{checkpoint}/query")
     query.awaitTermination()
@@ -488,7 +472,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One detection with two sinks: the anomaly messages of the first."""
-    session = _streaming_session(spark)
+    session = streaming_session(spark)
     speeds_at = _landed(_speed_messages(session, sf_dir).select(
         F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq")), "speeds")
     target, checkpoint = fresh_path(spark, "anomalies"), fresh_path(spark, "checkpoint")
@@ -503,7 +487,7 @@ def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speed messages -> anomalies -> sign messages, as two chained streams."""
-    session = _streaming_session(spark)
+    session = streaming_session(spark)
     record = [F.lit(None).cast("string").alias("key"), "value",
               F.lit(0).cast("bigint").alias("seq")]
     speeds_at = _landed(_speed_messages(session, sf_dir).select(*record), "speed-messages")
@@ -531,4 +515,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         catalog_table, stream_stateful_speed, stream_bulk_speed, stream_signs, stream_restart,
         stream_two_sinks,
     )
-} | intake.QUERIES
+} | intake.QUERIES | handover.QUERIES

@@ -74,6 +74,12 @@ def settle(df: DataFrame, name: str, session: SparkSession | None = None) -> Dat
     return (session or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in whatever store."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder from whatever store it lies in."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

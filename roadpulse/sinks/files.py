@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.operators.catalog import absent
+from roadpulse.operators.catalog import BUCKET, BUCKETS, absent, with_bucket
 from roadpulse.session import settle
+from roadpulse.sources.files import in_buckets
 
 # Fixed value: root element of trip files.
 TRIPS_ROOT = "scsimulator_matrix"
@@ -48,12 +49,20 @@ def write_comparison(compared: DataFrame, path: str) -> None:
     compared.write.mode("overwrite").option("header", True).csv(path)
 
 
-def register(wanted: DataFrame, path: str, key: str = "uuid") -> None:
-    """Append the rows whose key the table at `path` lacks; a second run adds nothing.
+def register(wanted: DataFrame, path: str, key: str = "uuid", buckets: int = BUCKETS) -> None:
+    """Add the rows whose key the table at `path` lacks.
 
-    The new rows depend on the folder they go to, so they are settled first: a
-    task repeated after an executor loss must not see rows added meanwhile.
+    The table is partitioned by a hash of the key. Only partitions that the wanted keys fall into
+    are read, and only those with something new are written, each anew with what it held. So a
+    run that is repeated after a failure at any point writes the same partitions again, and
+    no key comes in twice.
     """
-    wanted.limit(0).write.mode("ignore").parquet(path)
-    present = wanted.sparkSession.read.schema(wanted.schema).parquet(path)
-    settle(absent(wanted, present, key), "absent").write.mode("append").parquet(path)
+    spark = wanted.sparkSession
+    rows = settle(with_bucket(wanted, key, buckets).where(F.col(key).isNotNull()).dropDuplicates([key]), "wanted")
+    present = in_buckets(spark, path, wanted.schema, rows)
+    new = settle(absent(rows, present, key), "absent") if present is not None else rows
+    kept = in_buckets(spark, path, wanted.schema, new)
+    # What is overwritten depends on what was there: written elsewhere first.
+    whole = new if kept is None else settle(new.unionByName(kept), "partitions")
+    (whole.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +30,23 @@ def to_files(messages: DataFrame, path: str, checkpoint: str, file_format: str =
     return with_trigger(writer, every).start()
 
 
+def to_batches(rows: DataFrame, path: str, checkpoint: str, every: str | None = None,
+               written: Callable[[int], None] | None = None) -> StreamingQuery:
+    """Write each micro-batch to its own folder, which a repeated attempt replaces.
+
+    Spark repeats a micro-batch, with the same rows, that failed before its commit. As the
+    folder is named after the batch of this query, the rows are there once whenever it failed.
+    `written` is called after the write and before the commit.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch_to(batch, None, "", path, batch_id)
+        if written:
+            written(batch_id)
+
+    writer = rows.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return with_trigger(writer, every).start()
+
+
 def batch_to(messages: DataFrame, servers: str | None, topic: str, path: str | None,
              batch_id: int) -> None:
     """Write one micro-batch to a topic, or to its own folder below `path`."""

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from roadpulse import schemas
 from roadpulse.functions.messages import once, to_id, to_number
+from roadpulse.operators.catalog import BUCKET
 from roadpulse.operators.lookup import last_write_wins
-from roadpulse.session import settle
+from roadpulse.session import exists, settle
 
 # The name of an attribute and its value as written.
 _ATTRIBUTE = r"""([^\s=/"']+)\s*=\s*("[^"]*"|'[^']*')"""
@@ -257,4 +258,19 @@ def read_vehicles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CATALOG).parquet(path)
+    """All rows of a catalog, without the partition they lie in."""
+    names = [c.name for c in T.StructType.fromDDL(schemas.CATALOG)]
+    return spark.read.schema(f"{schemas.CATALOG}, {BUCKET} int").parquet(path).select(*names)
+
+
+def in_buckets(spark: SparkSession, path: str, schema: T.StructType, rows: DataFrame) -> DataFrame | None:
+    """Of a table in buckets, the partitions that `rows` fall into; None if there is no such table.
+
+    The numbers of the buckets, of which there are a fixed few, are read on the driver: the scan
+    then lists and opens those folders only, whatever way the join takes that follows.
+    """
+    if not exists(spark, path):
+        return None
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    table = spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(path)
+    return table.where(F.col(BUCKET).isin(touched))

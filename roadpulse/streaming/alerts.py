@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,8 +16,9 @@ from roadpulse.operators.signs import (
     rejected_anomalies,
     sign_rows,
 )
+from roadpulse.operators.observed import observe_speeds
 from roadpulse.session import settle
-from roadpulse.sinks.streams import sign_records, to_console
+from roadpulse.sinks.streams import sign_records, to_console, with_trigger
 
 
 def detect(messages: DataFrame, model: DataFrame) -> DataFrame:
@@ -37,6 +40,31 @@ def start_alerts(messages: DataFrame, model: DataFrame, send, checkpoint: str,
     return sent, shown
 
 
+def start_fan_out(messages: DataFrame, model: DataFrame, sinks: list[Callable[[DataFrame, int], None]],
+                  checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """One query over one detection for all sinks: each gets the anomalies (edge_text, edge_id,
+    avg_speed) of every micro-batch, with its number.
+
+    A micro-batch is read, parsed and joined with the model once; the anomalies are kept until
+    all sinks have them, and released then. A sink that fails fails the batch, which is
+    handed to all of them again, so they should replace what they wrote under its number. The
+    progress reports hold the numbers of messages, and of those without edge or speed.
+    """
+    usable = settle(model.select("edge_id", "lower_threshold"), "model")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        found = anomalies(parse_speeds(batch), usable).persist()
+        try:
+            for sink in sinks:
+                sink(found, batch_id)
+        finally:
+            found.unpersist()
+
+    writer = (observe_speeds(messages).writeStream.outputMode("append").foreachBatch(handle)
+              .option("checkpointLocation", checkpoint))
+    return with_trigger(writer, every).start()
+
+
 def signs(messages: DataFrame, edges: DataFrame, nodes: DataFrame, boards: DataFrame,
           radius: float = RADIUS_METRES, strict: bool = True) -> DataFrame:
     """Anomaly messages -> key, value of sign messages, one per board nearby."""

@@ -1,17 +1,16 @@
-"""The keyed speed rule on micro-batches of any size, each replayed as a batch.
+"""The keyed speed rule on large micro-batches, each replayed as a batch; for backfills.
 
-A micro-batch goes through `roadpulse.operators.replay`, which stays in the JVM
-and divides the points of a hot vehicle among tasks. The state, one tick per
-vehicle, is a table in buckets of vehicles; a micro-batch reads and rewrites only
-the buckets of its own vehicles.
+A micro-batch goes through `roadpulse.operators.replay`, which stays in the JVM and
+divides the points of a hot vehicle among tasks. The state, one tick per vehicle, is one
+table per micro-batch, joined and written anew by Spark. Running streams use Spark's keyed
+state (`roadpulse.streaming.speeds`), which touches only the vehicles that arrive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.replay import last_ticks, replay_speeds
@@ -19,55 +18,6 @@ from roadpulse.session import delete, scratch, settle
 from roadpulse.sinks.streams import with_trigger
 
 STATE = "uuid string, tick bigint"
-BUCKETS = 256
-
-
-class BucketedState:
-    """Last ticks in `folder`/batch=<id>/bucket=<n>: a bucket's latest batch is its state.
-
-    A batch writes the buckets it changes under its own id and reads those of
-    earlier ids, so a repeated batch starts from the same state.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
-        self.spark, self.folder = spark, folder
-        self.bucket = F.pmod(F.xxhash64("uuid"), F.lit(buckets)).cast("int")
-
-    def _children(self, path: str, name: str) -> list[int]:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(target):
-            return []
-        names = [s.getPath().getName() for s in system.listStatus(target)]
-        return sorted(int(n[len(name) + 1:]) for n in names if n.startswith(f"{name}="))
-
-    def versions(self, before: int) -> dict[int, list[int]]:
-        """Per bucket, the ids of earlier batches that hold it, the latest last."""
-        found: dict[int, list[int]] = {}
-        for batch in self._children(self.folder, "batch"):
-            if batch < before:
-                for bucket in self._children(f"{self.folder}/batch={batch}", "bucket"):
-                    found.setdefault(bucket, []).append(batch)
-        return found
-
-    def _path(self, batch: int, bucket: int) -> str:
-        return f"{self.folder}/batch={batch}/bucket={bucket}"
-
-    def read(self, before: int, buckets: list[int]) -> DataFrame | None:
-        """The state of some buckets before a batch; None if they hold nothing."""
-        versions = self.versions(before)
-        paths = [self._path(versions[b][-1], b) for b in buckets if b in versions]
-        return self.spark.read.schema(STATE).parquet(*paths) if paths else None
-
-    def write(self, ticks: DataFrame, batch: int) -> None:
-        (ticks.withColumn("bucket", self.bucket).repartition("bucket")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/batch={batch}"))
-
-    def forget(self, before: int) -> None:
-        """Drop what later batches have replaced, once batch `before` can only follow them."""
-        for bucket, batches in self.versions(before).items():
-            for batch in batches[:-1]:
-                delete(self.spark, self._path(batch, bucket))
 
 
 def start_bulk_speeds(positions: DataFrame, edges: DataFrame, state: str,
@@ -76,26 +26,25 @@ def start_bulk_speeds(positions: DataFrame, edges: DataFrame, state: str,
                       start: DataFrame | None = None) -> StreamingQuery:
     """Hand the accepted speeds of each micro-batch to `write(speeds, batch_id)`.
 
-    `state` is a folder for the last tick of every vehicle, which belongs to the
-    checkpoint. A repeated batch starts from the same state; `write` should
-    replace what an earlier attempt at the same batch wrote. `start` (uuid, tick)
-    is the state before the first batch, if any.
+    `state` is a folder for the last tick of every vehicle after each batch, which belongs to
+    the checkpoint; that of the batch before last goes. A repeated batch starts from the same
+    state; `write` should replace what an earlier attempt at the same batch wrote. `start`
+    (uuid, tick) is the state before the first batch, if any.
     """
     spark = edges.sparkSession
     lengths = settle(edges.select("edge_id", "length"), "lengths")
-    held_by = BucketedState(spark, state)
+
+    def after(batch_id: int) -> str:
+        return f"{state}/batch={batch_id}"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0 and start is not None:
-            held_by.write(start.select("uuid", "tick"), -1)
-        held_by.forget(batch_id)
         with scratch(spark):
             # On in the caller's session: a stream's own runs without adaptive execution.
             points = settle(batch.select("uuid", "seq", "tick", "edge_id"), "points", spark)
-            touched = [r[0] for r in points.select(held_by.bucket).distinct().collect()]
-            held = held_by.read(batch_id, touched)
+            held = start if batch_id == 0 else spark.read.schema(STATE).parquet(after(batch_id - 1))
             write(replay_speeds(points, lengths, held=held), batch_id)
-            held_by.write(last_ticks(points, lengths, held=held), batch_id)
+            last_ticks(points, lengths, held=held).write.mode("overwrite").parquet(after(batch_id))
+        delete(spark, after(batch_id - 2))
 
     writer = (positions.writeStream.outputMode("append").foreachBatch(handle)
               .option("checkpointLocation", checkpoint))

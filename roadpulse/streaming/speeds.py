@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -65,6 +65,16 @@ def speed_stream(positions: DataFrame, edges: DataFrame,
         initialState=last_ticks.groupBy("uuid") if last_ticks is not None else None)
 
 
+def held_ticks(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """uuid, tick: the state a speed stream left in its checkpoint, as Spark's state reader gives it.
+
+    Another query starts from it (`last_ticks` of `speed_stream`), e.g. one with
+    another number of partitions, another road map or another source.
+    """
+    state = spark.read.format("statestore").option("stateVarName", "tick").load(checkpoint)
+    return state.select("key.uuid", "value.tick")
+
+
 def speed_records(speeds: DataFrame) -> DataFrame:
     """Speed rows as message values."""
     return speeds.select(speed_message(F.col("edge_id"), F.col("avg_speed")).alias("value"))

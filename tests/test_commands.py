@@ -41,10 +41,16 @@ def test_from_histories_to_signs(spark, tmp_path):
     run("derive-speeds", f"{root}/map.xml", "--input", f"{root}/positions",
         "--output", f"{root}/speeds", "--checkpoint", f"{root}/c1", "--rejects", f"{root}/bad-points")
     assert [(r.seq, r.reason) for r in spark.read.json(f"{root}/bad-points").collect()] == [(9, "no edge")]
-    run("derive-speeds", f"{root}/map.xml", "--keyed-state", "--input", f"{root}/positions",
-        "--output", f"{root}/keyed-speeds", "--checkpoint", f"{root}/c4")
-    assert spark.read.parquet(f"{root}/keyed-speeds").select("value").exceptAll(
-        spark.read.parquet(f"{root}/speeds").select("value")).count() == 0
+    run("derive-speeds", f"{root}/map.xml", "--replay", "--input", f"{root}/positions",
+        "--output", f"{root}/replayed", "--checkpoint", f"{root}/c4")
+    assert sorted(r.value for r in spark.read.parquet(f"{root}/replayed").collect()) == sorted(
+        r.value for r in spark.read.parquet(f"{root}/speeds").collect())
+    # Another query goes on where the first one stopped.
+    later = [("car.current_location.simulated", json.dumps({"uuid": "v", "tick": 60, "nodeID": 1}), 10)]
+    spark.createDataFrame(later, "key string, value string, seq bigint").write.parquet(f"{root}/later")
+    run("derive-speeds", f"{root}/map.xml", "--take-over", f"{root}/c1", "--input", f"{root}/later",
+        "--output", f"{root}/later-speeds", "--checkpoint", f"{root}/c5")
+    assert [r.value for r in spark.read.parquet(f"{root}/later-speeds").collect()] == ['{"edge_id":1,"avg_speed":2.5}']
     speeds = spark.read.parquet(f"{root}/speeds").select(
         F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq"))
     bad = spark.createDataFrame([(None, '{"edge_id": "1.5", "avg_speed": 3}', 0)], speeds.schema)
@@ -52,6 +58,9 @@ def test_from_histories_to_signs(spark, tmp_path):
     run("detect-anomalies", f"{root}/model", "--input", f"{root}/sent",
         "--output", f"{root}/anomalies", "--checkpoint", f"{root}/c2", "--rejects", f"{root}/bad-speeds")
     assert [r.reason for r in spark.read.json(f"{root}/bad-speeds").collect()] == ["no edge id"]
+    run("detect-anomalies", f"{root}/model", "--fan-out", "--input", f"{root}/sent",
+        "--output", f"{root}/anomalies-too", "--checkpoint", f"{root}/c6", "--rejects", f"{root}/bad-speeds-too")
+    assert [r.value for r in spark.read.parquet(f"{root}/anomalies-too").collect()] == ['{"edgeId":"1"}']
     # Lenient signs list the anomaly of an edge that the map lacks.
     found = spark.read.parquet(f"{root}/anomalies").select(
         F.lit(None).cast("string").alias("key"), "value", F.lit(0).cast("bigint").alias("seq"))

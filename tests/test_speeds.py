@@ -138,6 +138,21 @@ def test_stream_goes_on_from_a_replay(spark, tmp_path):
     assert run(spark, tmp_path, start) == model(late, held)
 
 
+def test_state_is_handed_over(spark, tmp_path):
+    """The state in a checkpoint is that of the plain model, and starts another query."""
+    from roadpulse.streaming.speeds import held_ticks
+    points = TRACE + disordered(6, 150)[10:]
+    early, late, held = points[:90], points[90:], {}
+    write_messages(spark, early, f"{tmp_path}/a/in")
+    assert run(spark, f"{tmp_path}/a") == model(early, held)
+    ticks = held_ticks(spark, f"{tmp_path}/a/checkpoint")
+    assert {r.uuid: r.tick for r in ticks.collect()} == held
+    write_messages(spark, late, f"{tmp_path}/b/in")
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    assert run(session, f"{tmp_path}/b", held_ticks(session, f"{tmp_path}/a/checkpoint")) == model(late, held)
+
+
 def test_positions_need_their_order(spark):
     rows = [("car.current_location.simulated", '{"uuid": "a", "tick": 1, "nodeID": 7.0}', None)]
     messages = spark.createDataFrame(rows, "key string, value string, seq bigint")
