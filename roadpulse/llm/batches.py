@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,20 @@ def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iter
         yield batch.slice(start, end - start)
 
 
+def released(run: Callable) -> Callable:
+    """`run` over batches, after which the task gives what it freed back to the system.
+
+    Workers are used by one task after the other, so what they keep adds up with the rest of an executor.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return whole
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column in one buffer, and len + 1 offsets into it; NULL counts as empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
