@@ -4,11 +4,12 @@ Texts are lower-cased; every run of other characters than letters is one blank
 symbol. Per language, 4-grams of symbols are counted over all labelled texts;
 lower orders use continuation counts (in how many larger types a gram occurs),
 with one absolute discount per language and order. All of that is grouping and
-joining in Spark. The model keeps, per order, sorted hashes of the grams with a
-log probability per language. Hashes have `BITS` bits, so that a model never has
-more than orders x 2^BITS x languages numbers, whatever the corpus: it is the one
-thing sent to all tasks. A text gets the language of the lowest cross-entropy per
-symbol; equal ones go to the first in alphabetical order.
+joining in Spark. The model keeps, per order, the sorted codes of the grams with a
+log probability per language; it grows with the distinct grams of the labelled texts, and is
+the one thing sent to all tasks. Tasks look codes up through a table of their hashes, whose
+size follows the number of grams; the code itself is compared, so a gram that was not
+seen falls back to the order below. A text gets the language of the lowest cross-entropy
+per symbol; equal ones go to the first in alphabetical order.
 
 Rejection is calibrated: per language, by the mean and deviation of the
 cross-entropies that its own labelled texts get; the few symbols of a short text
@@ -33,13 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.batches import slices
+from roadpulse.llm.batches import released, slices
 from roadpulse.session import settle
 
 UNKNOWN = "und"
 #: Bytes of text scored at once; bounds memory only.
 _SLICE = 1_000_000
-ORDER, BITS = 4, 22
+ORDER = 4
 #: A text is rejected beyond so many deviations above its language's mean
 #: cross-entropy, plus an allowance, over the root of its length, for chance.
 DEVIATIONS, CHANCE = 16.0, 4.0
@@ -80,30 +81,37 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code, counts
 
 
-def _slot(codes: np.ndarray) -> np.ndarray:
-    return ((codes * _SPREAD) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
 class _Index:
-    """Row numbers of sorted hashes. Tasks make a direct index of a table that every symbol asks."""
+    """Row numbers of sorted codes. Tasks make a table by hash of one that every symbol asks."""
 
-    def __init__(self, slots: np.ndarray, direct: bool = False):
-        self.slots, self.direct, self.table = slots, direct, None
+    def __init__(self, codes: np.ndarray, direct: bool = False):
+        self.codes, self.direct, self.table = codes, direct, None
+        self.bits = max(10, (4 * len(codes)).bit_length())
 
     def __getstate__(self):
-        return {"slots": self.slots, "direct": self.direct, "table": None}
+        return {**self.__dict__, "table": None}
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes * _SPREAD) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _search(self, codes: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[place] == codes, place, -1).astype(np.int32)
 
-    def rows(self, slots: np.ndarray) -> np.ndarray:
-        """Row of each hash, -1 where it is not held."""
-        if not len(self.slots):
-            return np.full(len(slots), -1, np.int32)
+    def rows(self, codes: np.ndarray) -> np.ndarray:
+        """Row of each code, -1 where it is not held."""
+        if not len(self.codes):
+            return np.full(len(codes), -1, np.int32)
         if not self.direct:
-            place = np.minimum(np.searchsorted(self.slots, slots), len(self.slots) - 1)
-            return np.where(self.slots[place] == slots, place, -1)
+            return self._search(codes)
         if self.table is None:
-            self.table = np.full(1 << BITS, -1, np.int32)
-            self.table[self.slots] = np.arange(len(self.slots), dtype=np.int32)
-        return self.table[slots]
+            self.table = np.full(1 << self.bits, -1, np.int32)
+            self.table[self._slot(self.codes)] = np.arange(len(self.codes), dtype=np.int32)
+        out = self.table[self._slot(codes)]
+        # A used slot may be that of another code.
+        other = np.flatnonzero((out >= 0) & (self.codes[out] != codes))
+        out[other] = self._search(codes[other])
+        return out
 
 
 @dataclass
@@ -119,7 +127,7 @@ class Model:
 
     def below(self, codes: np.ndarray, order: int) -> np.ndarray:
         """Log probabilities of grams that an order does not hold, from the order below."""
-        rows = self.context[order - 1].rows(_slot(codes >> np.uint64(16)))
+        rows = self.context[order - 1].rows(codes >> np.uint64(16))
         rest = np.where(rows[:, None] >= 0, self.log_rest[order - 1][rows], 0.0)
         if order == 1:
             return rest - np.log(self.symbols)
@@ -127,7 +135,7 @@ class Model:
         return rest + self.score(codes & mask, order - 1)
 
     def score(self, codes: np.ndarray, order: int = ORDER) -> np.ndarray:
-        rows = self.index[order - 1].rows(_slot(codes))
+        rows = self.index[order - 1].rows(codes)
         out = self.log_p[order - 1][rows]
         missing = np.flatnonzero(rows < 0)
         if len(missing):
@@ -160,21 +168,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(n[at:at + 100_000])], names=["lang", "code", "n"])
 
 
-def _bounded(df: DataFrame, value: str) -> pa.Table:
-    """(slot, lang, code, value) of a table by code: one row per hash and language."""
-    @F.pandas_udf("int")
-    def slot(codes):
-        import pandas as pd
-        return pd.Series(_slot(codes.to_numpy().view(np.uint64)).astype(np.int32))
-
-    return (df.withColumn("slot", slot("code")).groupBy("slot", "lang")
-            .agg(F.min("code").alias("code"), F.max(value).alias("value")).toArrow())
-
-
 def fit(labelled: DataFrame) -> Model:
     """A model of all rows (text, lang) whose text and lang are not NULL."""
     counted = settle(labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-                     .mapInArrow(_count, "lang string, code long, n long")
+                     .mapInArrow(released(_count), "lang string, code long, n long")
                      .groupBy("lang", "code").agg(F.sum("n").alias("n")), "grams")
     model = Model([r["lang"] for r in counted.select("lang").distinct().orderBy("lang").collect()])
     types = {ORDER: counted}
@@ -208,33 +205,32 @@ def fit(labelled: DataFrame) -> Model:
                 lower.select("lang", F.col("code").alias("tail"), F.col("p").alias("tail_p")),
                 ["lang", "tail"]).select("lang", "code", (F.col("own") + F.col("rest") * F.col("tail_p")).alias("p"))
         lower = settle(p, f"order{order}")
-        _add(model, place, _bounded(contexts.select("lang", F.col("head").alias("code"), "rest"), "rest"),
-             _bounded(lower, "p"))
+        _add(model, place, contexts.select("lang", F.col("head").alias("code"), F.col("rest").alias("value")).toArrow(),
+             lower.select("lang", "code", F.col("p").alias("value")).toArrow())
     return model
 
 
-def _matrix(model: Model, place: dict, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    slots, at = np.unique(rows["slot"].to_numpy().astype(np.int64), return_inverse=True)
+def _matrix(model: Model, place: dict, rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes, and the logarithm of their values per language, with an empty last row."""
+    codes, at = np.unique(rows["code"].to_numpy().view(np.uint64), return_inverse=True)
     languages = rows["lang"].combine_chunks().dictionary_encode()
     column = np.array([place[x] for x in languages.dictionary.to_pylist()], np.int64)
-    values = np.full((len(slots) + 1, len(model.languages)), np.nan)
+    values = np.full((len(codes) + 1, len(model.languages)), np.nan)
     values[at, column[languages.indices.to_numpy()]] = np.log(rows["value"].to_numpy())
-    codes = np.zeros(len(slots), np.uint64)
-    codes[at] = rows["code"].to_numpy().view(np.uint64)
-    return slots, values, codes
+    return codes, values
 
 
 def _add(model: Model, place: dict, contexts: pa.Table, grams_: pa.Table) -> None:
-    slots, rest, _ = _matrix(model, place, contexts)
-    model.context.append(_Index(slots))
+    codes, rest = _matrix(model, place, contexts)
+    model.context.append(_Index(codes))
     model.log_rest.append(np.nan_to_num(rest, nan=0.0))
-    slots, values, codes = _matrix(model, place, grams_)
+    codes, values = _matrix(model, place, grams_)
     # A language without the gram falls back to its lower order.
     order = len(model.index) + 1
     fallback = model.below(codes, order) if len(codes) else values[:0]
     held = values[:-1]
     held[np.isnan(held)] = fallback[np.isnan(held)]
-    model.index.append(_Index(slots, order == ORDER))
+    model.index.append(_Index(codes, order == ORDER))
     model.log_p.append(np.nan_to_num(values, nan=0.0).astype(np.float32))
 
 
@@ -271,7 +267,7 @@ def predict(docs: DataFrame, model: Model, *more: str) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *more, "text")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name in keep)
     return own.mapInArrow(
-        _score(model, keep), f"{types}, lang_pred string, score double, entropy double, n_symbols long")
+        released(_score(model, keep)), f"{types}, lang_pred string, score double, entropy double, n_symbols long")
 
 
 def limits(predicted: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:

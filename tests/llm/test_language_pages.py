@@ -340,6 +340,18 @@ def test_language_stage_keeps_clean_documents(stages):
     assert len(rows[1]) >= 0.99 * len(rows[0])
 
 
+def test_language_stage_rejects_foreign_texts(spark, sf_dir):
+    """Texts in other scripts and of no language go; the given ones stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    foreign = ["Ο γρήγορος ποταμός και η πέτρινη γέφυρα κοντά στην πόλη ", "Быстрая река и каменный мост у города ",
+               "qzxj vkrt wqpf zzgh xkcd bqlm hjkw "]
+    rows = [(10**9 + k, foreign[k % 3] * (1 + k), None, "planted", 1) for k in range(30)]
+    got = corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, docs.schema)), sf_dir)
+    kept = {r.doc_id for r in got.select("doc_id").collect()}
+    assert not kept & {r[0] for r in rows}
+    assert len(kept) >= 0.99 * docs.count()
+
+
 def test_line_stage(stages):
     before, after = stages[0][1], stages[0][2]
     classes = {(i, k): kept for i, k, _, _, kept in plain.line_classes(list(zip(before.doc_id, before.text)))}
