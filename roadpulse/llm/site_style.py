@@ -19,12 +19,15 @@ not part of an article by their meaning (scripts, forms, menus, footers, comment
 ...) have no importance at all, and where a page marks its article, only that counts;
 if no part of a marked article reaches `THRESHOLD` it stays whole. Words of class and
 id alone never remove what holds the page's only article or two thirds of its text (that of
-readers' replies aside), nor do negated ones and those of a part (`no-`, `has-`, `with-`).
+readers' replies aside), nor do negated ones and those of a part (`no-`, `has-`, `with-`). Inside
+an article the tree decides about such words, but for those of replies: a branch worth `SURE` on
+`EVIDENCE` pages of its host stays, any other goes.
 
 Pages that are equal but for such elements count once on a host, and once among all
 hosts, however many copies there are.
 
-Counting is grouping by host, node and text, with partial sums: no host is gathered.
+Counting is grouping by host, node and text, with partial sums: no host is gathered. A page is
+joined with the values of its own nodes, which pages with the same set of nodes share.
 
 Defined results: NULL or empty html, and pages without a main text, give the empty
 text; a NULL url is the host ''; repeated rows and page_ids keep a row each; an
@@ -46,6 +49,8 @@ from pyspark.sql import functions as F
 from roadpulse.session import settle
 
 THRESHOLD, DECAY, SHRINK = 0.6, 0.9, 10
+#: What is named like noise inside an article stays if its branch is worth so much on so many pages of the host.
+SURE, EVIDENCE = 0.8, 10
 
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li
@@ -101,8 +106,9 @@ def _told(given: dict[str, str]) -> set[str]:
 class Page:
     """The block elements of a page in order, and its texts.
 
-    Lists by node: `parents`, `names`, `noise`, `main`, and of the element alone `never` (noise
-    by tag, role or style) and `marks` (noise words); `blocks`: (node, text).
+    Lists by node: `parents`, `names`, `noise`, `main`, `told` (named like noise, inside an
+    article), and of the element alone `never` (noise by tag, role or style) and `marks` (noise
+    words); `blocks`: (node, text).
     """
 
     def __init__(self, source: str):
@@ -158,18 +164,22 @@ class Page:
                   and (3 * said[n] <= 2 * said[0] or reply[n])}
         if marked:
             # The page's article: the longest of those below marked elements, if none lies elsewhere.
-            above: list[list[int]] = [[]] * size
+            above = [0] * size  # the nearest marked element around each
             articles = []
             for node in range(1, size):
-                over = above[parents[node]]
-                above[node] = [*over, node] if node in marked else over
+                above[node] = parents[node] if parents[node] in marked else above[parents[node]]
                 if self.names[node].split(".")[0] in _MAIN and not never[node] and node not in marked:
                     articles.append(node)
             if articles and all(above[n] for n in articles):
-                marked.difference_update(above[max(articles, key=lambda n: length[n])])
+                node = above[max(articles, key=lambda n: length[n])]
+                while node:
+                    marked.discard(node)
+                    node = above[node]
         self.noise, self.main = [False] * size, [False] * size
+        # Within an article, words of class and id are for the tree to judge.
+        self.told = [n in marked and self.inside[n] and not reply[n] for n in range(size)]
         for node in range(1, size):
-            self.noise[node] = self.noise[parents[node]] or never[node] or node in marked
+            self.noise[node] = self.noise[parents[node]] or never[node] or node in marked and not self.told[node]
             self.main[node] = self.main[parents[node]] or (
                 self.names[node].split(".")[0] in _MAIN and not self.noise[node])
 
@@ -223,10 +233,11 @@ class Page:
         if tag not in VOID:
             self._open.append((tag, node))
 
-    def paths(self) -> list[str]:
-        out = ["#"]
+    def paths(self) -> list[int]:
+        """A hash of each node's path, made from its parent's."""
+        out = [_hash("#")]
         for parent, name in zip(self.parents[1:], self.names[1:]):
-            out.append(f"{out[parent]}/{name}")
+            out.append(_hash(f"{out[parent]}/{name}"))
         return out
 
     def children(self) -> list[list[int]]:
@@ -236,10 +247,10 @@ class Page:
         return out
 
 
-_PARSED = ("page_id long, url string, host string, parents array<int>, paths array<long>, "
-           "noise array<boolean>, main array<boolean>, block_nodes array<int>, block_texts array<string>, "
+_PARSED = ("page_id long, url string, host string, shape long, parents array<int>, paths array<long>, "
+           "noise array<boolean>, main array<boolean>, told array<boolean>, block_nodes array<int>, block_texts array<string>, "
            "content long, feature_paths array<long>, features array<long>, feature_styles array<long>")
-_TYPES = [pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.bool_()),
+_TYPES = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.list_(pa.bool_())] * 3,
           pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64(), *[pa.list_(pa.int64())] * 3]
 
 
@@ -254,11 +265,12 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first in range(0, batch.num_rows, 500):
             rows = batch.slice(first, 500)
             parsed = []
-            for source in rows.column("html").to_pylist():
+            hosts = [_host(u) for u in rows.column("url").to_pylist()]
+            for source, host in zip(rows.column("html").to_pylist(), hosts):
                 page = Page(source or "")
                 styles = [_hash(" ".join(page.names[c] for c in below if not page.noise[c]))
                           for below in page.children()]
-                paths = [_hash(p) for p in page.paths()]
+                paths = page.paths()
                 # What is counted of a page, each once; equal for its copies.
                 counted = dict.fromkeys((p, x, 1) for p, x, n in zip(paths, styles, page.noise) if not n)
                 counted |= dict.fromkeys((paths[n], _hash(t), 0) for n, t in page.blocks if not page.noise[n])
@@ -266,17 +278,17 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 content = xxhash.xxh64_intdigest(b"".join(c.tobytes() for c in features)) - (1 << 63)
                 # Texts are only needed again where they may be kept.
                 texts = [None if page.noise[node] else text for node, text in page.blocks]
-                parsed.append((page.parents, paths, page.noise, page.main,
+                shape = xxhash.xxh64_intdigest(array("q", sorted(set(paths))).tobytes() + host.encode("utf-8", "surrogatepass"))
+                parsed.append((shape - (1 << 63), page.parents, paths, page.noise, page.main, page.told,
                                [n for n, _ in page.blocks], texts, content, *features))
             columns = list(zip(*parsed))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("page_id"), rows.column("url"),
-                 pa.array([_host(u) for u in rows.column("url").to_pylist()], pa.string()),
-                 *(pa.array(c, t) for c, t in zip(columns, _TYPES))], names=names)
+                 pa.array(hosts, pa.string()), *(pa.array(c, t) for c, t in zip(columns, _TYPES))], names=names)
 
 
 def style_trees(parsed: DataFrame) -> DataFrame:
-    """Rows (host, path, share, presentation, content) of every host's tree, drawn towards the tree
+    """Rows (host, path, share, presentation, content, pages) of every host's tree, drawn towards the tree
     of all hosts; `share` is what the parts below count. Nodes on one page of all have none."""
     needed = parsed.select("host", "content", F.arrays_zip(
         F.col("feature_paths").alias("path"), F.col("features").alias("feature"),
@@ -309,19 +321,19 @@ def style_trees(parsed: DataFrame) -> DataFrame:
     return own.join(every, "path").select(
         "host", "path", ((1 - 1 / n) * F.col("share") + F.col("every_share") / n).alias("share"),
         (1 - F.greatest("same", drawn * F.col("every_same"))).alias("presentation"),
-        (1 - F.greatest("repeated", drawn * F.col("every_repeated"))).alias("content"))
+        (1 - F.greatest("repeated", drawn * F.col("every_repeated"))).alias("content"), "pages")
 
 
-_TREE = "array<struct<path:long,share:double,presentation:double,content:double>>"
+_TREE = "array<struct<path:long,share:double,presentation:double,content:double,pages:long>>"
 
 
-def _keep(parents, paths, noise, main, block_nodes, tree) -> list[bool]:
+def _keep(parents, paths, noise, main, told, block_nodes, tree) -> list[bool]:
     """Of each block, whether it is main text."""
     known = {n["path"]: n for n in tree or ()}
     size = len(parents)
     below: list[list[float]] = [[] for _ in range(size)]
     has_text = set(block_nodes)
-    worth, kept = [0.0] * size, [False] * size
+    kept, dropped = [False] * size, [False] * size
     for node in range(size - 1, -1, -1):
         values = known.get(paths[node])
         parts = below[node]
@@ -337,25 +349,27 @@ def _keep(parents, paths, noise, main, block_nodes, tree) -> list[bool]:
         else:
             share = values["share"]
             value = (1 - share) * values["presentation"] + share * sum(parts) / len(parts)
-        worth[node] = value
+        if told[node] and (values is None or values["pages"] < EVIDENCE or value < SURE):
+            dropped[node], value = True, 0.0
         kept[node] = kept[node] or value >= THRESHOLD
         if node:
             below[parents[node]].append(value)
-            kept[parents[node]] = kept[parents[node]] or kept[node]
+            kept[parents[node]] = kept[parents[node]] or kept[node] and not dropped[node]
     marked = any(main)
     alive = [False] * size
     for node in range(size):
-        alive[node] = kept[node] and not noise[node] and (node == 0 or alive[parents[node]])
+        dropped[node] = dropped[node] or noise[node] or node > 0 and dropped[parents[node]]
+        alive[node] = kept[node] and not dropped[node] and (node == 0 or alive[parents[node]])
     kept = [alive[n] and (main[n] or not marked) for n in block_nodes]
     if marked and not any(kept):
-        return [main[n] and not noise[n] for n in block_nodes]
+        return [main[n] and not dropped[n] for n in block_nodes]
     return kept
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in
-                   ("parents", "paths", "noise", "main", "block_nodes", "tree", "block_texts")]
+                   ("parents", "paths", "noise", "main", "told", "block_nodes", "tree", "block_texts")]
         texts = []
         for *page, blocks in zip(*columns):
             keep = _keep(*page)
@@ -369,7 +383,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text (blocks joined by two newlines) and n_chars of every page."""
     parsed = settle(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
                     .mapInArrow(_parse, _PARSED), "parsed")
-    nodes = F.collect_list(F.struct("path", "share", "presentation", "content"))
-    trees = settle(style_trees(parsed).groupBy("host").agg(nodes.cast(_TREE).alias("tree")), "trees")
-    return parsed.join(trees, "host", "left").mapInArrow(
+    # A page needs its own nodes only, and pages of a host mostly have the same: one row per such set.
+    shapes = parsed.select("shape", "host", F.array_distinct("paths").alias("paths")).dropDuplicates(["shape"])
+    nodes = F.collect_list(F.struct("path", "share", "presentation", "content", "pages"))
+    trees = settle(shapes.select("shape", "host", F.explode("paths").alias("path"))
+                   .join(style_trees(parsed), ["host", "path"]).groupBy("shape").agg(nodes.cast(_TREE).alias("tree")), "trees")
+    return parsed.join(trees, "shape", "left").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long")
