@@ -9,13 +9,17 @@ from roadpulse.llm import decontaminate, language, lines, ngram_join, packing
 from roadpulse.llm.queries import tokenizer_path
 from roadpulse.llm.rows import row_key, without
 from roadpulse.llm.ship import ship
-from roadpulse.session import settle
+from roadpulse.session import delete, fresh_path, scratch, settle
 
 SEQUENCE, END_ID = 1024, 2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language known from the labels; texts unlike any of them go."""
+    """Documents in a language known from the labels; texts unlike any of them go.
+
+    NULL texts and texts without a letter are of no language and go; of repeated rows all stay or go;
+    without any label all go; short texts are allowed more. Columns stay as they are.
+    """
     ship(spark)
     model = language.fit(docs.select("text", "lang"))
     keyed = docs.select("doc_id", "text", "lang", row_key().alias("_row"))
@@ -25,19 +29,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that nearly repeat an earlier one."""
+    """Documents without lines that nearly repeat an earlier one.
+
+    NULL and empty texts stay; the earliest line is that of the smallest doc_id (NULL comes last), then
+    place; repeated rows lose the same lines; documents left without any line go.
+    """
     ship(spark)
     return lines.dedup(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies.
+
+    The one of the smallest doc_id stays (NULL comes last), then of the smallest hash of its text; of
+    repeated rows one; texts without words all stay.
+    """
     ship(spark)
     return ngram_join.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no copy of a benchmark item."""
+    """Documents that hold no copy of a benchmark item.
+
+    NULL and empty texts and items hold nothing and match nothing; equal rows go or stay together.
+    """
     ship(spark)
     keyed = docs.select(row_key().alias("doc_id"), "text")
     found = decontaminate.matches(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -45,7 +60,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of all documents and their places in sequences of 1024."""
+    """The token pieces of all documents and their places in sequences of 1024.
+
+    A NULL or empty text is the end token alone; every row has its own pieces, repeated ones too; which
+    of equally long pieces comes where is not defined.
+    """
     ship(spark)
     pieces = packing.cut_texts(docs, tokenizer_path("byte_bpe_50k.json"), END_ID, SEQUENCE, keep_ids=False)
     return packing.pack(pieces.drop("ids"), SEQUENCE)
@@ -65,7 +84,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages. What a stage settled on its way goes when its result is written, and that
+    result when the next one is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if last:
+            delete(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
