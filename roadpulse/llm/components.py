@@ -82,17 +82,27 @@ def connected(edges: DataFrame) -> DataFrame:
 
 #: Rounds in which leftover members of a group are compared with one of its main component.
 ROUNDS = 2
-#: 64-bit words of a sketch.
+#: 64-bit words of a sketch; larger sets need more of them to be told apart.
 WORDS = 8
+#: An item's lowest groups, by which a pair is known to meet in another group first.
+LOWEST = 16
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Of each of 64 * WORDS bits, whether an odd number of hashes falls on it.
+def sketches(hashes: np.ndarray, counts: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """(sets, words): of each of 64 * words bits, whether an odd number of a set's hashes falls on it.
 
     The sketches of two sets differ in at most as many bits as the sets in members.
     """
-    odd = np.bincount((hashes >> np.uint64(20)) % np.uint64(64 * WORDS), minlength=64 * WORDS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
+    size = 64 * words
+    cell = np.repeat(np.arange(len(counts)) * size, counts) + ((hashes >> np.uint64(20)) % np.uint64(size)).astype(np.int64)
+    odd = np.bincount(cell, minlength=len(counts) * size) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").reshape(len(counts), words)
+
+
+def lists(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix of numbers as a list column."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]),
+                                    pa.array(rows.ravel()))
 
 
 def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -108,21 +118,24 @@ def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio: float,
-            sketches: DataFrame | None = None) -> DataFrame:
+            sketched: DataFrame | None = None, words: int = WORDS) -> DataFrame:
     """Components (item, component) of items under a similarity that only items with a common
     group can have. Items without a link may be missing.
 
     `groups` holds (group, item, n, first): distinct members of every group with
     their sizes, of which similar ones differ by no more than `ratio`. `links_of`
-    turns candidate pairs (a, b), a < b, into the similar ones. `sketches` (item,
-    bits) are `sketch`es of sets that are similar from a Jaccard similarity of
-    0.75 on, and may differ in a seventh of their members.
+    turns candidate pairs (a, b), a < b, into the similar ones. `sketched` (item,
+    bits, lowest) are `sketches` of sets that are similar from a Jaccard similarity of
+    0.75 on, and may differ in a seventh of their members, and the `LOWEST` lowest
+    groups of each item in ascending order.
 
     Each group of the `first` kind is compared with its smallest member, which
     joins most copies without looking at all their pairs. A group that lies in
     one component is then done. In the others, `ROUNDS` times, members outside
     the group's main component are compared with one of that; then those left
-    with all members of other components. So no link between components is missed.
+    with all members of other components. So no link between components is missed. A pair
+    that meets in several groups is taken in the lowest of them: of both lists of
+    lowest groups, none lower than that one is in both.
     """
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     sized = F.least("n", "other_n") >= ratio * F.greatest("n", "other_n")
@@ -133,8 +146,8 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     pairs = settle(stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered).distinct(), "pairs")
     found = settle(connected(settle(links_of(pairs), "links")).withColumnRenamed("component", "c"), "components")
     tested, mixed = pairs, groups.select("group", "item", "n")
-    if sketches is not None:
-        mixed = settle(mixed.join(sketches, "item"), "sketched")
+    if sketched is not None:
+        mixed = settle(mixed.join(sketched, "item"), "sketched")
     for round_ in range(ROUNDS + 1):
         mixed = settle(_mixed(mixed.drop("c", "main"), found), "mixed")
         if mixed.isEmpty():
@@ -146,14 +159,18 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
             one = F.min_by(F.struct(*(x for x in mixed.columns if x != "group")), order)
             right = mixed.where("c = main").groupBy("group").agg(one.alias("one")).select("group", "one.*")
         right = right.select("group", F.col("item").alias("b"), F.col("n").alias("other_n"),
-                             F.col("c").alias("other_c"), *([F.col("bits").alias("other_bits")] if sketches is not None else []))
+                             F.col("c").alias("other_c"), *([F.col("bits").alias("other_bits"), F.col("lowest").alias("other_lowest")]
+                                                        if sketched is not None else []))
         # Of two members outside the main component, the pair is taken once.
         near = sized & (F.col("c") != F.col("other_c")) & (
             (F.col("other_c") == F.col("main")) | (F.col("a") < F.col("b")))
-        if sketches is not None:
-            differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in range(1, WORDS)),
+        if sketched is not None:
+            differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in range(1, words)),
                          F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("other_bits")[0])))
             near = near & (7 * differ <= F.col("n") + F.col("other_n"))
+            if round_ == ROUNDS:
+                lower = F.array_min(F.array_intersect("lowest", "other_lowest")) < F.col("group")
+                near = near & ~F.coalesce(lower, F.lit(False))
         new = left.join(right, "group").where(near).select(*ordered).distinct()
         new = settle(new.join(tested, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():

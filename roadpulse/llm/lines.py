@@ -27,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.batches import slices
-from roadpulse.llm.components import EDGE, similar, sketch
+from roadpulse.llm.batches import ragged, released, slices
+from roadpulse.llm.components import EDGE, LOWEST, lists, similar, sketches
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
 from roadpulse.llm.rows import keyed, row_key
 from roadpulse.llm.words import _run_hashes, mix
 from roadpulse.session import settle
 
 SHINGLE, BINS, ROWS = 8, 64, 4
+#: One band in so many is compared with its first member to begin with.
+_FIRST = 4
 _SLICE = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFF)
 
@@ -182,41 +184,53 @@ def _place(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(1)).astype(np.int64)
 
 
-def _shingle_set(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    first = np.arange(max(len(points) - SHINGLE + 1, 1))
-    return np.unique(_run_hashes(points, first, np.minimum(first + SHINGLE, len(points))))
+def _shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of lines, one line after the other, and how many each has."""
+    lines = Lines(pa.array(texts, pa.string()))
+    hashes, counts = lines.shingles(np.arange(len(texts)))
+    line = np.repeat(np.arange(len(texts)), counts)
+    order = np.argsort(hashes)
+    order = order[np.argsort(line[order], kind="stable")]
+    hashes, line = hashes[order], line[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
+    return hashes[new], np.bincount(line[new], minlength=len(texts))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [_shingle_set(text) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("item"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))], names=["item", "n", "bits"])
+        for rows in slices(batch, "text", _SLICE):
+            hashes, counts = _shingle_sets(rows.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("item"), pa.array(counts.astype(np.int64)), lists(sketches(hashes, counts))],
+                names=["item", "n", "bits"])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sets are similar; a batch's lines are cut into shingles once each."""
     for batch in batches:
-        pairs = []
-        order = np.argsort(batch.column("a").to_numpy(), kind="stable").tolist()
-        last, own = None, None
-        for k in order:
-            a = batch.column("a")[k].as_py()
-            if a != last:
-                last, own = a, _shingle_set(batch.column("text_a")[k].as_py())
-            other = _shingle_set(batch.column("text_b")[k].as_py())
-            place = np.minimum(np.searchsorted(own, other), len(own) - 1)
-            both = int((own[place] == other).sum())
-            if 100 * both >= 75 * (len(own) + len(other) - both):
-                pairs.append(k)
-        yield batch.select(["a", "b"]).take(pa.array(pairs, pa.int64()))
+        for rows in slices(batch, "text_b", _SLICE):
+            pair = np.stack([rows.column(c).to_numpy() for c in "ab"])
+            items, first, which = np.unique(pair, return_index=True, return_inverse=True)
+            columns = [rows.column(f"text_{c}") for c in "ab"]
+            texts = [columns[k // rows.num_rows][k % rows.num_rows].as_py() for k in first.tolist()]
+            hashes, counts = _shingle_sets(texts)
+            ends = np.cumsum(counts)
+            a, b = which.reshape(2, -1)
+            # The shingles of every b, looked up among those of its a: both marked with the line's number.
+            mark = mix(np.arange(len(items), dtype=np.uint64) + np.uint64(1))
+            known = np.sort(hashes ^ np.repeat(mark, counts))
+            asked = hashes[ragged((ends - counts)[b], counts[b])] ^ np.repeat(mark[a], counts[b])
+            place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            both = np.bincount(np.repeat(np.arange(len(b)), counts[b]), known[place] == asked, len(b)).astype(np.int64)
+            near = 100 * both >= 75 * (counts[a] + counts[b] - both)
+            yield rows.select(["a", "b"]).filter(pa.array(near))
 
 
 def _links_of(texts: DataFrame):
     def links(pairs: DataFrame) -> DataFrame:
         a, b = (texts.select(F.col("item").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-        return pairs.join(b, "b").join(a, "a").mapInArrow(_compare, EDGE)
+        return pairs.join(b, "b").join(a, "a").mapInArrow(released(_compare), EDGE)
     return links
 
 
@@ -229,15 +243,18 @@ def classify(docs: DataFrame) -> DataFrame:
     class_line (the first line of its component), and whether it is kept."""
     spark = docs.sparkSession
     own = _keyed(docs)
-    groups = settle(own.select("text").mapInArrow(_send(bucket_count(spark)), _SENT)
-                    .repartition(partitions(spark), "bucket").mapInArrow(_groups, _GROUP).distinct(), "groups")
+    groups = settle(own.select("text").mapInArrow(released(_send(bucket_count(spark))), _SENT)
+                    .repartition(partitions(spark), "bucket").mapInArrow(released(_groups), _GROUP).distinct(), "groups")
     candidates = groups.select(F.shiftrightunsigned("item", 1).alias("place"))
-    lines = settle(own.mapInArrow(_list(marked(candidates, "place", hashed=False)), _LINE), "lines")
+    lines = settle(own.mapInArrow(released(_list(marked(candidates, "place", hashed=False))), _LINE), "lines")
     texts = lines.where("text IS NOT NULL").groupBy("item").agg(F.first("text").alias("text"))
     texts = settle(texts.join(groups.select("item").distinct(), "item", "left_semi"), "texts")
-    sets = settle(texts.mapInArrow(_sketches, "item long, n long, bits array<long>"), "sets")
-    members = groups.join(sets.select("item", "n"), "item").select("group", "item", "n", F.lit(True).alias("first"))
-    components = similar(members, _links_of(texts), 0.75, sets.select("item", "bits"))
+    sets = settle(texts.mapInArrow(released(_sketches), "item long, n long, bits array<long>"), "sets")
+    # A quarter of the bands joins most copies; what they leave meets in the others.
+    first = F.pmod("group", F.lit(_FIRST)) == 0
+    members = groups.join(sets.select("item", "n"), "item").select("group", "item", "n", first.alias("first"))
+    lowest = groups.groupBy("item").agg(F.slice(F.sort_array(F.collect_set("group")), 1, LOWEST).alias("lowest"))
+    components = similar(members, _links_of(texts), 0.75, sets.select("item", "bits").join(lowest, "item"))
     solid = lines.where("NOT blank").drop("text", "blank").join(components, "item", "left").select(
         "doc_id", "row", "line", F.coalesce("component", "item").alias("c"))
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "line", "row", "doc_id")
@@ -268,7 +285,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         F.collect_set("line").alias("_gone"))
     removed = settle(removed, "removed")
     changed = settle(docs.select(row_key().alias("_row"), F.col("text").alias("_text")).join(removed, "_row")
-                     .dropDuplicates(["_row"]).mapInArrow(_without, "_row long, _left string"), "changed")
+                     .dropDuplicates(["_row"]).mapInArrow(released(_without), "_row long, _left string"), "changed")
     out = keyed(docs).join(changed, "_row", "left").where(r"_left IS NULL OR _left RLIKE '[^ \\t-\\r]'")
     new = {"text": F.coalesce("_left", "doc.text")}
     if "n_chars" in docs.columns:

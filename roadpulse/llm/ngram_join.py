@@ -33,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.batches import binaries, slices
-from roadpulse.llm.components import EDGE, similar, sketch
+from roadpulse.llm.batches import binaries, released, slices
+from roadpulse.llm.components import EDGE, LOWEST, lists, similar, sketches
 from roadpulse.llm.keys import PACKED, bucket_count, flat, is_marked, marked, pack, partitions, unpack
 from roadpulse.llm.rows import keyed
 from roadpulse.llm.words import Words, _run_hashes
@@ -219,7 +219,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
          binaries(frequency[keep].astype("<u4"), ends * 4)], names=["slice", "keys", "counts"])
 
 
-_ORDERED = "item long, n long, ordered binary, groups array<long>, frequent array<boolean>, bits array<long>"
+_ORDERED = ("item long, n long, ordered binary, groups array<long>, frequent array<boolean>, bits array<long>, "
+            "lowest array<long>")
+#: 64-bit words of a sketch: sets of up to some two thousand shingles are told apart.
+_WORDS = 32
 #: Of a set's rarest shared shingles, so many of the most frequent serve to find copies first.
 _FIRST = 3
 
@@ -247,14 +250,15 @@ def _order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shared = shared[np.lexsort((own[shared], f[shared]))]
                 groups = own[shared[:rare]].view(np.int64)
                 rows.append((item, n, own[shared[::-1]].tobytes(), groups,
-                             np.arange(len(groups)) >= len(groups) - _FIRST, sketch(own)))
+                             np.arange(len(groups)) >= len(groups) - _FIRST, sketches(own, np.array([n]), _WORDS)[0],
+                             np.sort(groups)[:LOWEST]))
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
                      pa.array(columns[2], pa.binary()), pa.array(columns[3], pa.list_(pa.int64())),
                      pa.array(columns[4], pa.list_(pa.bool_())),
-                     pa.array(columns[5], pa.list_(pa.int64()))], names=_names(_ORDERED))
+                     lists(np.stack(columns[5])), pa.array(columns[6], pa.list_(pa.int64()))], names=_names(_ORDERED))
 
 
 def linked(probe: np.ndarray, n: int, others: list[np.ndarray], ns: list[int]) -> list[int]:
@@ -312,7 +316,7 @@ def _links_of(sets: DataFrame):
     def links(pairs: DataFrame) -> DataFrame:
         side = [sets.select(F.col("item").alias(c), F.col("n").alias(f"n_{c}"),
                             F.col("ordered").alias(f"ordered_{c}")) for c in "ab"]
-        return pairs.join(side[1], "b").join(side[0], "a").mapInArrow(_compare, EDGE)
+        return pairs.join(side[1], "b").join(side[0], "a").mapInArrow(released(_compare), EDGE)
     return links
 
 
@@ -322,8 +326,8 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     own = own.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = settle(own.mapInArrow(_send(bucket_count(spark)), _SENT)
-                   .repartition(partitions(spark), "bucket").mapInArrow(_count_shared, _FOUND), "texts")
+    found = settle(own.mapInArrow(released(_send(bucket_count(spark))), _SENT)
+                   .repartition(partitions(spark), "bucket").mapInArrow(released(_count_shared), _FOUND), "texts")
     texts = found.where(F.col("kind") == _TEXT).select("doc_id", F.col("n").alias("n_shingles"), "item", "row")
     sets = texts.where("n_shingles > 0").groupBy("item").agg(
         F.first("n_shingles").alias("n"), F.min("row").alias("row"))
@@ -344,7 +348,7 @@ def text_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = ordered.select("item", "n", F.explode(F.arrays_zip("groups", "frequent")).alias("g")).select(
         F.col("g.groups").alias("group"), "item", "n", F.col("g.frequent").alias("first"))
     return texts, similar(groups, _links_of(ordered.select("item", "n", "ordered")), 0.75,
-                          ordered.select("item", "bits"))
+                          ordered.select("item", "bits", "lowest"), _WORDS)
 
 
 def join_texts(docs: DataFrame) -> DataFrame:
