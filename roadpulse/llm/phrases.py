@@ -28,13 +28,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.batches import binaries, ragged, slices, text_bytes
+from roadpulse.llm.batches import binaries, ragged, released, slices, text_bytes
 from roadpulse.llm.keys import flat, marked
 from roadpulse.llm.words import Words, _run_hashes, mix
 from roadpulse.session import delete, fresh_path, settle
@@ -73,10 +74,10 @@ def _read(column: pa.Array) -> tuple[Words, np.ndarray]:
 
 
 def _hashes(words: Words, langs: list[str]) -> np.ndarray:
-    """Hashes of words and the language of their text; never 0."""
+    """Hashes of words and the language of their text; odd, those of phrases are even."""
     seeds = {lang: _seed(lang) for lang in set(langs)}
     own = np.array([seeds[lang] for lang in langs], np.uint64)
-    return np.maximum(mix(words.hashes ^ np.repeat(own, words.counts)), np.uint64(1))
+    return mix(words.hashes ^ np.repeat(own, words.counts)) | np.uint64(1)
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +109,7 @@ def tokens(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     shard = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(shards)).cast("int")
     dealt = docs.where("text IS NOT NULL").select(
         shard.alias("shard"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    return dealt.mapInArrow(_tokenize, _TOKENS)
+    return dealt.mapInArrow(released(_tokenize), _TOKENS)
 
 
 def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -116,6 +117,10 @@ def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(5)).astype(np.int64)] >> (place & np.uint64(31)).astype(np.uint32)) & 1 != 0
 
 
+def _joined(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return _run_hashes(words, starts, ends) & ~np.uint64(1)
+
+
 def _phrases(words: np.ndarray, known: np.ndarray, longest: int, before: np.ndarray | None = None):
     """Per length from 2 on: where phrases begin whose subphrases of all lengths are known, their
     hashes, and whether that was so by the earlier filter too."""
@@ -129,7 +134,7 @@ def _phrases(words: np.ndarray, known: np.ndarray, longest: int, before: np.ndar
         # Both subphrases are known where the next one begins a word later.
         both = np.flatnonzero(at[1:] == at[:-1] + 1)
         at, early = at[both], early[both] & early[both + 1]
-        hashes = _run_hashes(words, at, at + size)
+        hashes = _joined(words, at, at + size)
         yield at, hashes, early
 
 
@@ -160,6 +165,23 @@ def _count(now: np.ndarray, before: np.ndarray | None, single: bool, longest: in
     return run
 
 
+#: Rows of packed words are large: so few are read and handed to Python at a time.
+_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "32", "spark.sql.parquet.columnarReaderBatchSize": "32"}
+
+
+@contextmanager
+def _few_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs within read a few rows at a time; a scan otherwise holds thousands of them at once."""
+    before = {k: spark.conf.get(k) for k in _ROWS}
+    for k, v in _ROWS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def _write(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = fresh_path(frame.sparkSession, name)
     frame.write.parquet(path)
@@ -176,10 +198,11 @@ def counts(dealt: DataFrame, bits: int, least: int = LEAST, longest: int = LONGE
     while stop < shards or not np.array_equal(filters[stop], filters[stop - shards]):
         before = filters[stop - shards] if stop >= shards else None
         seen = (dealt.where(F.col("shard") == stop % shards).select("words")
-                .mapInArrow(_count(filters[stop], before, stop < shards, longest), "h long, n long")
+                .mapInArrow(released(_count(filters[stop], before, stop < shards, longest)), "h long, n long")
                 .withColumn("since", F.lit(stop)))
         rows = seen if active is None else active.union(seen)
-        state, path = _write(rows.groupBy(h).agg(F.sum(n).alias("n"), F.min(since).alias("since")), "phrase-counts")
+        with _few_rows(spark):
+            state, path = _write(rows.groupBy(h).agg(F.sum(n).alias("n"), F.min(since).alias("since")), "phrase-counts")
         if used:
             delete(spark, used)
         used, reached = path, state.where(n >= least)
@@ -203,50 +226,87 @@ def counts(dealt: DataFrame, bits: int, least: int = LEAST, longest: int = LONGE
 _DESCRIBED = "h long, lang string, phrase string, lefts array<long>, rights array<long>, inner array<long>"
 
 
-def _describe(known: np.ndarray, longest: int):
-    """Text and parts of every phrase the filter knows, once a task."""
+def _spelled(words: Words, first: np.ndarray, size: int) -> pa.Array:
+    """The runs of `size` words that begin with the given ones, joined by single blanks."""
+    which = (first[:, None] + np.arange(size)).ravel()
+    starts, lengths = words.starts[which], words.ends[which] - words.starts[which]
+    ends = np.cumsum(lengths + 1)
+    out, keep = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8), np.ones(int(ends[-1]) if len(ends) else 0, bool)
+    out[ragged(ends - lengths - 1, lengths)] = words.data[ragged(starts, lengths)]
+    last = ends[size - 1::size]
+    keep[last - 1] = False
+    return binaries(out[keep], np.append(0, last - np.arange(1, len(last) + 1))).cast(pa.string())
+
+
+def _describe(known: np.ndarray, missing: np.ndarray, longest: int):
+    """Text and parts of the phrases that are missing, once a task."""
+    kinds = [pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int64())] * 3]
+    names = ["h", "lang", "phrase", "lefts", "rights", "inner"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = np.zeros(0, np.uint64)
         for batch in batches:
-            for rows in slices(batch, "text", _SLICE):
+            for rows in slices(batch, "text", _SLICE // 2):
                 words, ends = _read(rows.column("text"))
-                langs = rows.column("lang").to_pylist()
-                own = _hashes(words, langs)
-                text = np.repeat(np.arange(len(langs)), words.counts)
+                own = _hashes(words, rows.column("lang").to_pylist())
+                text = np.repeat(np.arange(rows.num_rows), words.counts)
                 # Words with a 0 behind each piece, and which word stands where.
                 places = np.arange(len(own)) + np.append(0, np.cumsum(ends))[:-1]
                 spaced = np.zeros(len(own) + int(ends.sum()), np.uint64)
                 spaced[places] = own
                 number = np.zeros(len(spaced), np.int64)
                 number[places] = np.arange(len(own))
-                out: list[list] = [[] for _ in range(6)]
                 for size, (at, found, _) in enumerate(_phrases(spaced, known, longest), 2):
-                    inside = np.flatnonzero(_in(known, found))
+                    inside = np.flatnonzero(_in(missing, found))
                     found, first = np.unique(found[inside], return_index=True)
                     new = ~np.isin(found, told)
+                    if not new.any():
+                        continue
                     told = np.concatenate([told, found[new]])
                     at = at[inside[first[new]]]
 
-                    def runs(a: int, b: int) -> np.ndarray:
-                        part = spaced[at + a] if b - a == 1 else _run_hashes(spaced, at + a, at + b)
-                        return part.view(np.int64)
+                    def runs(spans: list[tuple[int, int]]) -> pa.Array:
+                        parts = [spaced[at + a] if b - a == 1 else _joined(spaced, at + a, at + b) for a, b in spans]
+                        flat_ = np.stack(parts, 1).ravel() if parts else np.zeros(0, np.uint64)
+                        return pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(spans)), pa.array(flat_.view(np.int64)))
 
-                    out[0] += found[new].view(np.int64).tolist()
-                    out[1] += [langs[k] for k in text[number[at]].tolist()]
-                    for k in number[at].tolist():
-                        out[2].append(b" ".join(words.data[a:b].tobytes() for a, b in zip(
-                            words.starts[k:k + size].tolist(), words.ends[k:k + size].tolist())).decode())
                     cuts = range(1, size)
                     inner = [(a, b) for a in range(size) for b in range(a + 2, size + 1) if b - a < size]
-                    for column, spans in ((3, [(0, c) for c in cuts]), (4, [(c, size) for c in cuts]), (5, inner)):
-                        parts = [runs(a, b) for a, b in spans]
-                        out[column] += np.stack(parts, 1).tolist() if parts else [[]] * len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int64())] * 3))],
-                    names=["h", "lang", "phrase", "lefts", "rights", "inner"])
+                    columns = [pa.array(found[new].view(np.int64)), rows.column("lang").take(pa.array(text[number[at]])),
+                               _spelled(words, number[at], size), runs([(0, c) for c in cuts]),
+                               runs([(c, size) for c in cuts]), runs(inner)]
+                    yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(columns, kinds)], names=names)
     return run
 
 
+#: Shares of the documents, in 64ths, that are searched one after the other for the texts of phrases.
+_SEARCHED = (0, 1, 8, 64)
+
+
+def described(docs: DataFrame, known: DataFrame, bitmap: np.ndarray, bits: int, longest: int = LONGEST) -> DataFrame:
+    """(h, lang, phrase, a, lefts, rights, inner) of all known phrases of two words and more.
+
+    Frequent ones are told from a small share of the documents; the others look only for what
+    is missing then. Each document is searched once at most.
+    """
+    part = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text"), F.lit(1)), F.lit(_SEARCHED[-1]))
+    texts = docs.where("text IS NOT NULL").select(
+        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text", part.alias("part"))
+    left = known.where(F.col("h") % 2 == 0).withColumnRenamed("n", "a")
+    found, missing = None, bitmap
+    for low, high in zip(_SEARCHED, _SEARCHED[1:]):
+        rows = (texts.where(F.col("part").between(low, high - 1)).select("lang", "text")
+                .mapInArrow(released(_describe(bitmap, missing, longest)), _DESCRIBED))
+        told = settle(rows.dropDuplicates(["h"]).join(left, "h"), "candidates")
+        found = told if found is None else found.union(told)
+        left = settle(left.join(told.select("h"), "h", "left_anti"), "missing")
+        missing = marked(left, "h", bits, hashed=False)
+        if not missing.any():
+            break
+    return found
+
+
 def _looked_up(rows: DataFrame, part: str, name: str, known: DataFrame) -> DataFrame:
     """The rows with the count of one of their parts as `name`."""
     salt = F.pmod(F.col("h"), F.lit(_SALTS)).cast("int")
@@ -302,9 +362,6 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sh
     bits = min(MOST_BITS, max(FEWEST_BITS, int(8 * longest * words // least).bit_length()))
     known, bitmap = counts(dealt, bits, least, longest, shards)
     delete(spark, path)
-    texts = docs.where("text IS NOT NULL").select(
-        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    described = texts.mapInArrow(_describe(bitmap, longest), _DESCRIBED).dropDuplicates(["h"])
-    candidates = settle(described.join(known.withColumnRenamed("n", "a"), "h"), "candidates")
+    candidates = described(docs, known, bitmap, bits, longest)
     rows = best(scored(without_parts(candidates), known), top)
     return rows.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
