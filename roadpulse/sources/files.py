@@ -104,7 +104,8 @@ def _hidden(marks: DataFrame) -> DataFrame:
     The pieces that open or end sections are put in order per file; elements are not.
     """
     in_file = Window.partitionBy("path").orderBy("position")
-    behind = in_file.rowsBetween(1, Window.unboundedFollowing)
+    # In descending order: a frame that grows is added to, one that shrinks is computed anew per row.
+    behind = Window.partitionBy("path").orderBy(F.desc("position")).rowsBetween(Window.unboundedPreceding, -1)
     ahead = in_file.rowsBetween(Window.unboundedPreceding, -1)
     end = F.when(F.col("opens") == "comment", F.min(F.when(F.col("comment"), F.col("position"))).over(behind)).otherwise(
         F.min(F.when(F.col("cdata"), F.col("position"))).over(behind))
