@@ -58,8 +58,20 @@ def batch_to(messages: DataFrame, servers: str | None, topic: str, path: str | N
 
 
 def to_console(rows: DataFrame, checkpoint: str | None = None,
-               every: str | None = "1 seconds") -> StreamingQuery:
-    writer = rows.writeStream.format("console").outputMode("append").option("truncate", False)
+               every: str | None = "1 seconds", shown: int = 20) -> StreamingQuery:
+    """Print the first `shown` rows of every micro-batch.
+
+    All its rows are worked out, but only these come to the driver: Spark's own console sink
+    collects the whole micro-batch there.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        line = "-" * 43
+        print(f"{line}\nBatch: {batch_id}\n{line}")
+        place = "_place_in_batch"
+        (batch.withColumn(place, F.monotonically_increasing_id()).orderBy(place).drop(place)
+         .show(shown, truncate=False))
+
+    writer = rows.writeStream.outputMode("append").foreachBatch(handle)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
     return with_trigger(writer, every).start()

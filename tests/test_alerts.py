@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +104,35 @@ def test_stream_to_two_sinks_and_on_to_signs(spark, tmp_path):
         spark.createDataFrame([(1,), (2,)], "edge_id bigint"), *road(spark))).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, batch))
     assert len(rows) == 6 and {r.key for r in rows} == {"#"}
+
+
+def test_console_brings_only_the_rows_it_shows(tmp_path):
+    """Over a driver that takes a megabyte of results, a micro-batch of eight is worked out and shown."""
+    script = f"""
+from pyspark.sql import functions as F
+from roadpulse.session import build_session
+from roadpulse.sinks.streams import to_console
+spark = build_session("console", "local[2]", {{
+    "spark.driver.maxResultSize": "1m", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+    "spark.driver.host": "127.0.0.1", "spark.sql.warehouse.dir": "{tmp_path}/tables"}})
+seen = spark.sparkContext.accumulator(0)
+rows = spark.range(0, 8000, 1, 2).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+rows.write.parquet("{tmp_path}/rows")
+stream = spark.readStream.schema(rows.schema).parquet("{tmp_path}/rows")
+
+def count(batches):
+    for batch in batches:
+        seen.add(batch.num_rows)
+        yield batch
+
+query = to_console(stream.mapInArrow(count, rows.schema), every=None)
+query.awaitTermination()
+print("seen", seen.value)
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=os.path.dirname(os.path.dirname(__file__)),
+                          capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+    shown = [line for line in done.stdout.splitlines() if "xxx" in line]
+    ids = [int(line.split("|")[1]) for line in shown]
+    assert "Batch: 0" in done.stdout and ids == [*range(ids[0], ids[0] + 20)]
+    assert "seen 8000" in done.stdout
