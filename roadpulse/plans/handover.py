@@ -15,9 +15,6 @@ from roadpulse.streaming import alerts
 from roadpulse.streaming.metrics import Totals
 from roadpulse.streaming.speeds import SPEEDS, held_ticks, speed_stream
 
-#: Message files per part of an ordered stream; a micro-batch takes as many.
-FILES = 2
-
 
 def streaming_session(spark: SparkSession) -> SparkSession:
     """Same application, own settings: the state store."""
@@ -29,24 +26,31 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def ordered_messages(session: SparkSession, sf_dir: str, parts: int = 4) -> list[str]:
-    """The arrivals as position messages in parts that follow each other, a folder each."""
+def spread(session: SparkSession) -> int:
+    """Into how many files, or partitions of a stream's state, messages go: enough for all cores. A
+    stream keeps its number for life, and a store each, so twice the cores are the most."""
+    return min(int(session.conf.get("spark.sql.shuffle.partitions")),
+               2 * session.sparkContext.defaultParallelism)
+
+
+def ordered_messages(session: SparkSession, sf_dir: str, parts: int = 4) -> list[DataFrame]:
+    """The arrivals as position messages in parts that follow each other."""
     body = F.to_json(F.struct("uuid", "tick", F.col("edge_id").cast("double").alias("nodeID")))
     sent = T.arrivals(session, sf_dir).select(
         F.lit("car.current_location.simulated").alias("key"), body.alias("value"), "seq")
     part = F.least(F.floor(F.col("seq") / F.lit((101 << 40) // parts)), F.lit(parts - 1))
-    paths = [fresh_path(session, "positions") for _ in range(parts)]
-    for k, path in enumerate(paths):
-        sent.where(part == k).repartition(FILES, "seq").write.parquet(path)
-    return paths
+    return [sent.where(part == k).repartition(spread(session), "seq") for k in range(parts)]
 
 
 def position_stream(session: SparkSession, sf_dir: str, parts: int = 4) -> DataFrame:
     """The arrivals as a stream, a micro-batch per part: a stream takes the oldest files first."""
-    path = fresh_path(session, "positions")
-    for part in ordered_messages(session, sf_dir, parts):
-        session.read.parquet(part).write.mode("append").parquet(path)
-    return stream_src.positions(stream_src.file_messages(session, path, per_trigger=FILES))
+    path, files = fresh_path(session, "positions"), spread(session)
+    for k, part in enumerate(ordered_messages(session, sf_dir, parts), 1):
+        part.write.mode("append").parquet(path)
+        # A file for every partition, also one without rows, so that no micro-batch holds half a part.
+        for _ in range(k * files - len(session.read.schema(stream_src.MESSAGE_FILE).parquet(path).inputFiles())):
+            session.createDataFrame([], stream_src.MESSAGE_FILE).write.mode("append").parquet(path)
+    return stream_src.positions(stream_src.file_messages(session, path, per_trigger=files))
 
 
 def stream_state_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +58,11 @@ def stream_state_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     one with other partitions on the later arrivals."""
     first, second = streaming_session(spark), streaming_session(spark)
     early, late = ordered_messages(first, sf_dir, 2)
-    targets, held = [], None
-    for session, path, partitions in ((first, early, 3), (second, late, 5)):
-        session.conf.set("spark.sql.shuffle.partitions", partitions)
-        target, checkpoint = fresh_path(spark, "speeds"), fresh_path(spark, "checkpoint")
+    targets, held, partitions = [], None, spread(first)
+    for session, part, stores in ((first, early, partitions), (second, late, 2 * partitions)):
+        path, target, checkpoint = (fresh_path(spark, n) for n in ("positions", "speeds", "checkpoint"))
+        part.write.parquet(path)
+        session.conf.set("spark.sql.shuffle.partitions", stores)
         points = stream_src.positions(stream_src.file_messages(session, path))
         speeds = speed_stream(points, T.lengths(session, sf_dir), held)
         stream_out.to_files(speeds, target, checkpoint).awaitTermination()
