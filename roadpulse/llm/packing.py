@@ -27,18 +27,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.batches import binaries, slices
-from roadpulse.llm.tokens import SLICE_CHARS, encoder
+from roadpulse.llm.batches import binaries, released, slices
+from roadpulse.llm.tokens import encoder
 from roadpulse.session import settle
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary"
+#: Characters of texts cut at once; bounds memory only.
+_SLICE = 1_000_000
 
 
 def _cut_texts(path: str, end_id: int, capacity: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         for batch in batches:
-            for rows in slices(batch, "text", SLICE_CHARS):
+            for rows in slices(batch, "text", _SLICE):
                 ids, counts = code.encode_ended([t or "" for t in rows.column("text").to_pylist()], end_id)
                 parts = -(-counts // capacity)
                 row = np.repeat(np.arange(len(counts)), parts)
@@ -63,7 +65,7 @@ def cut_texts(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
               keep_ids: bool = True) -> DataFrame:
     """Token pieces of all texts, each text with its end id: the columns of `PIECES`."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _cut_texts(tokenizer, end_id, capacity, keep_ids), PIECES)
+        released(_cut_texts(tokenizer, end_id, capacity, keep_ids)), PIECES)
 
 
 class _Lengths:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,3 +162,18 @@ def test_packing_of_a_hot_length(spark):
     # 700 pieces of 14 and more take a sequence each; so do 300 of 11 to 13, with one piece of
     # 7 to 10 at most; the other 1100 of those go two by two.
     assert got.sequence_id.nunique() == 1550
+
+
+def test_texts_are_cut_in_small_slices(monkeypatch):
+    sizes, code = [], encoder(queries.tokenizer_path(FILES[1]))
+
+    class Noted:
+        def encode_ended(self, texts, end_id):
+            sizes.append(sum(map(len, texts)))
+            return code.encode_ended(texts, end_id)
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Noted())
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(30)]), pa.array(["word " * 20_000] * 30)], ["doc_id", "text"])
+    pieces = pa.Table.from_batches(packing._cut_texts("", 2, 1024, False)([batch]))
+    assert sum(sizes) == 3_000_000 and max(sizes) <= 1_100_000
+    assert pieces["length"].to_pylist() and set(pieces["doc_id"].to_pylist()) == set(range(30))
