@@ -66,8 +66,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     of equally long pieces comes where is not defined.
     """
     ship(spark)
-    pieces = packing.cut_texts(docs, tokenizer_path("byte_bpe_50k.json"), END_ID, SEQUENCE, keep_ids=False)
-    return packing.pack(pieces.drop("ids"), SEQUENCE)
+    return packing.pack_texts(docs, tokenizer_path("byte_bpe_50k.json"), END_ID, SEQUENCE)
 
 
 #: The stages in order: name, function of (spark, docs, sf_dir).

@@ -65,7 +65,7 @@ def cut_texts(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
               keep_ids: bool = True) -> DataFrame:
     """Token pieces of all texts, each text with its end id: the columns of `PIECES`."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        released(_cut_texts(tokenizer, end_id, capacity, keep_ids)), PIECES)
+        released(_cut_texts(tokenizer, end_id, capacity, keep_ids), keeps=True), PIECES)
 
 
 class _Lengths:
@@ -178,10 +178,12 @@ def _place(slots: dict[int, tuple]):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Adds sequence_id and offset to pieces whose int column `length` is 1 to `capacity`."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    numbered = settle(pieces.mapInArrow(_rank, fields + ", _task int, _rank long"), "pieces")
+_NUMBERED = "_task int, _rank long"
+
+
+def _deal(numbered: DataFrame, capacity: int) -> DataFrame:
+    """Numbered pieces with their sequence and offset."""
+    own = numbered.drop("_task", "_rank")
     per_task = numbered.groupBy("_task", "length").agg(F.count("*").alias("_n"))
     # Numbers of a length run through the tasks one after the other.
     ahead = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
@@ -189,10 +191,32 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     counts = {r["length"]: r["n"] for r in  # at most `capacity` rows
               base.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
     placed = numbered.join(base, ["_task", "length"]).select(
-        *pieces.columns, (F.col("_rank") + F.col("_base")).alias("_number"))
+        *own.columns, (F.col("_rank") + F.col("_base")).alias("_number"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
     return placed.mapInArrow(_place(_slots(counts, capacity)), fields + ", sequence_id long, offset long")
 
 
+def pack(pieces: DataFrame, capacity: int) -> DataFrame:
+    """Adds sequence_id and offset to pieces whose int column `length` is 1 to `capacity`."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    return _deal(settle(pieces.mapInArrow(_rank, f"{fields}, {_NUMBERED}"), "pieces"), capacity)
+
+
+def pack_texts(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+    """`pack` of the pieces of `cut_texts`, without their ids.
+
+    Pieces are cut and numbered by one worker: with one each, both would come to hold an encoder.
+    """
+    cut, names = _cut_texts(tokenizer, end_id, capacity, keep_ids=False), [c.split()[0] for c in PIECES.split(", ")][:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _rank(pieces.select(names) for pieces in cut(batches))
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    numbered = own.mapInArrow(released(run, keeps=True), f"{PIECES.rsplit(', ', 1)[0]}, {_NUMBERED}")
+    return _deal(settle(numbered, "pieces"), capacity)
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The ids of each sequence as one binary, and its pieces in order; a sequence is at most `capacity` ids."""
     ordered = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))

@@ -10,7 +10,7 @@ from itertools import chain
 
 import numpy as np
 
-from roadpulse.llm.batches import ragged
+from roadpulse.llm.batches import CACHES, ragged
 
 _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \t-\r]").search
@@ -160,5 +160,8 @@ class Encoder:
 
 @cache
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker, which its tasks share."""
+    """One encoder per Python worker, which its tasks share until one of another kind comes."""
     return Encoder(path)
+
+
+CACHES.append(encoder.cache_clear)

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roadpulse.llm import packing, queries, rans
+from roadpulse.llm.batches import released
 from roadpulse.llm.tokens import encoder
 from tests.llm.plain import packed
 
@@ -177,3 +178,30 @@ def test_texts_are_cut_in_small_slices(monkeypatch):
     pieces = pa.Table.from_batches(packing._cut_texts("", 2, 1024, False)([batch]))
     assert sum(sizes) == 3_000_000 and max(sizes) <= 1_100_000
     assert pieces["length"].to_pylist() and set(pieces["doc_id"].to_pylist()) == set(range(30))
+
+
+def test_one_worker_cuts_and_numbers_texts(spark, texts, monkeypatch):
+    path, plans, settle = queries.tokenizer_path(FILES[1]), {}, packing.settle
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return settle(df, name)
+
+    monkeypatch.setattr(packing, "settle", noted)
+    rows = [(1, "a word " * 1500), (2, None), (None, ""), (3, "one"), (3, "one")]
+    got = packing.pack_texts(texts(rows), path, 2, 1024)
+    assert plans["pieces"].count("MapInArrow") == 1
+    same = packing.pack(packing.cut_texts(texts(rows), path, 2, 1024, keep_ids=False).drop("ids"), 1024)
+    assert got.schema == same.schema
+    check_places(got.toPandas(), 1024)
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(str, got.select(key).collect())) == sorted(map(str, same.select(key).collect()))
+
+
+def test_other_tasks_drop_the_encoder():
+    path = queries.tokenizer_path(FILES[1])
+    kept = encoder(path)
+    list(released(iter, keeps=True)([]))
+    assert encoder(path) is kept
+    list(released(iter)([]))
+    assert encoder(path) is not kept
