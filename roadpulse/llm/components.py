@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.session import settle
@@ -117,6 +118,11 @@ def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
     return settle(inside.union(alone.select("c", "component")), "components")
 
 
+def _differ(bits: str, other: str, words: int) -> Column:
+    """In how many bits two sketches differ."""
+    return reduce(Column.__add__, (F.bit_count(F.col(bits)[k].bitwiseXOR(F.col(other)[k])) for k in range(words)))
+
+
 def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio: float,
             sketched: DataFrame | None = None, words: int = WORDS) -> DataFrame:
     """Components (item, component) of items under a similarity that only items with a common
@@ -129,6 +135,7 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     0.75 on, and may differ in a seventh of their members, and the `LOWEST` lowest
     groups of each item in ascending order.
 
+    Only pairs whose sketches allow it are compared, which never miss a similar one.
     Each group of the `first` kind is compared with its smallest member, which
     joins most copies without looking at all their pairs. A group that lies in
     one component is then done. In the others, `ROUNDS` times, members outside
@@ -143,13 +150,19 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     hubs = first.groupBy("group").agg(F.min(F.struct("item", "n")).alias("hub"), F.count("*").alias("members"))
     stars = first.join(hubs.where("members > 1"), "group").select(
         F.col("item").alias("a"), F.col("hub.item").alias("b"), "n", F.col("hub.n").alias("other_n"))
-    pairs = settle(stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered).distinct(), "pairs")
+    pairs = stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered, (F.col("n") + F.col("other_n")).alias("both")).distinct()
+    if sketched is not None:
+        of = {c: sketched.select(F.col("item").alias(c), F.col("bits").alias(f"{c}_bits")) for c in "ab"}
+        pairs = pairs.join(of["a"], "a").join(of["b"], "b").where(7 * _differ("a_bits", "b_bits", words) <= F.col("both"))
+    pairs = settle(pairs.select("a", "b"), "pairs")
     found = settle(connected(settle(links_of(pairs), "links")).withColumnRenamed("component", "c"), "components")
     tested, mixed = pairs, groups.select("group", "item", "n")
-    if sketched is not None:
-        mixed = settle(mixed.join(sketched, "item"), "sketched")
     for round_ in range(ROUNDS + 1):
-        mixed = settle(_mixed(mixed.drop("c", "main"), found), "mixed")
+        mixed = _mixed(mixed.drop("c", "main"), found)
+        if sketched is not None and not round_:
+            # Most groups are done by now.
+            mixed = mixed.join(sketched, "item")
+        mixed = settle(mixed, "mixed")
         if mixed.isEmpty():
             break
         left = mixed.where("c <> main").withColumnRenamed("item", "a")
@@ -165,9 +178,7 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
         near = sized & (F.col("c") != F.col("other_c")) & (
             (F.col("other_c") == F.col("main")) | (F.col("a") < F.col("b")))
         if sketched is not None:
-            differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in range(1, words)),
-                         F.bit_count(F.col("bits")[0].bitwiseXOR(F.col("other_bits")[0])))
-            near = near & (7 * differ <= F.col("n") + F.col("other_n"))
+            near = near & (7 * _differ("bits", "other_bits", words) <= F.col("n") + F.col("other_n"))
             if round_ == ROUNDS:
                 lower = F.array_min(F.array_intersect("lowest", "other_lowest")) < F.col("group")
                 near = near & ~F.coalesce(lower, F.lit(False))

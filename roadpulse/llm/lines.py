@@ -38,6 +38,10 @@ SHINGLE, BINS, ROWS = 8, 64, 4
 #: One band in so many is compared with its first member to begin with.
 _FIRST = 4
 _SLICE = 1_000_000
+#: The same where slices share nothing, so that they stay in a core's cache.
+_SMALL = 250_000
+#: Shingles looked up at once when pairs are compared; bounds memory only.
+_ASKED = 100_000
 _EMPTY = np.uint64(0xFFFFFFFF)
 
 
@@ -68,16 +72,12 @@ class Lines:
 
 def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """(lines, BINS) lowest values; each line has at least one shingle."""
-    line = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
-    places = np.uint64(BINS.bit_length() - 1)
-    keyed = np.sort((((line << places) | (hashes >> (np.uint64(64) - places))) << np.uint64(32))
-                    | (hashes & np.uint64(0xFFFFFFFF)))
-    cell = keyed >> np.uint64(32)
-    first = np.append(True, cell[1:] != cell[:-1])[:len(cell)]
-    out = np.full(len(counts) * BINS, _EMPTY, np.uint64)
-    filled = np.zeros(len(counts) * BINS, bool)
-    at = cell[first].astype(np.int64)
-    out[at], filled[at] = keyed[first] & np.uint64(0xFFFFFFFF), True
+    bits = BINS.bit_length() - 1
+    cell = np.repeat(np.arange(len(counts)) << bits, counts) | (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    out = np.full(len(counts) * BINS, ~np.uint64(0))
+    np.minimum.at(out, cell, hashes & np.uint64(0xFFFFFFFF))
+    filled = out != ~np.uint64(0)
+    out[~filled] = _EMPTY
     out, filled = out.reshape(-1, BINS), filled.reshape(-1, BINS)
     some = np.flatnonzero(~filled.all(axis=1))
     # An empty bin takes the next filled one, marked with the distance.
@@ -116,7 +116,7 @@ def _send(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _SENT.split(", ")]
         for batch in batches:
-            for rows in slices(batch, "text", _SLICE):
+            for rows in slices(batch, "text", _SMALL):
                 lines = Lines(rows.column("text"))
                 used = np.flatnonzero(~lines.blank)
                 if not len(used):
@@ -189,23 +189,63 @@ def _shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     lines = Lines(pa.array(texts, pa.string()))
     hashes, counts = lines.shingles(np.arange(len(texts)))
     line = np.repeat(np.arange(len(texts)), counts)
-    order = np.argsort(hashes)
-    order = order[np.argsort(line[order], kind="stable")]
-    hashes, line = hashes[order], line[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
-    return hashes[new], np.bincount(line[new], minlength=len(texts))
+    # Few shingles come twice in their line: those and some others have marks that do.
+    marks = hashes ^ mix(np.arange(1, len(texts) + 1, dtype=np.uint64))[line]
+    twice = np.sort(marks)
+    twice = twice[1:][twice[1:] == twice[:-1]]
+    if len(twice):
+        some = np.flatnonzero(_Known(twice).holds(marks))
+        some = some[np.lexsort((hashes[some], line[some]))]
+        again = some[1:][(hashes[some][1:] == hashes[some][:-1]) & (line[some][1:] == line[some][:-1])]
+        hashes, line = np.delete(hashes, again), np.delete(line, again)
+    return hashes, np.bincount(line, minlength=len(texts))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, "text", _SLICE):
+        for rows in slices(batch, "text", _SMALL):
             hashes, counts = _shingle_sets(rows.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [rows.column("item"), pa.array(counts.astype(np.int64)), lists(sketches(hashes, counts))],
                 names=["item", "n", "bits"])
 
 
+class _Known:
+    """A set of well mixed numbers, as a table by their highest bits and a sorted rest."""
+
+    def __init__(self, numbers: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (2 * len(numbers)).bit_length()))
+        # No slot is empty: of the two numbers that fill them none has its place there.
+        self.table = np.full(1 << (64 - int(self.shift)), ~np.uint64(0))
+        self.table[-1] = 0
+        slots = self._slots(numbers)
+        self.table[slots] = numbers
+        out = self.table[slots] != numbers
+        self.rest = np.sort(numbers[out])
+        self.full = np.zeros(len(self.table), bool)
+        self.full[slots[out]] = True
+
+    def _slots(self, numbers: np.ndarray) -> np.ndarray:
+        return (numbers >> self.shift).astype(np.int64)
+
+    def holds(self, asked: np.ndarray) -> np.ndarray:
+        slots = self._slots(asked)
+        out = self.table[slots] == asked
+        left = np.flatnonzero(self.full[slots] & ~out)
+        if len(left):
+            place = np.minimum(np.searchsorted(self.rest, asked[left]), len(self.rest) - 1)
+            out[left] = self.rest[place] == asked[left]
+        return out
+
+
+def _cut_pairs(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of pairs that ask for some `_ASKED` shingles each."""
+    piece = (np.cumsum(sizes) - sizes) // _ASKED
+    cuts = np.flatnonzero(np.diff(piece)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(sizes)]):
+        yield slice(start, end)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sets are similar; a batch's lines are cut into shingles once each."""
     for batch in batches:
@@ -219,10 +259,13 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = which.reshape(2, -1)
             # The shingles of every b, looked up among those of its a: both marked with the line's number.
             mark = mix(np.arange(len(items), dtype=np.uint64) + np.uint64(1))
-            known = np.sort(hashes ^ np.repeat(mark, counts))
-            asked = hashes[ragged((ends - counts)[b], counts[b])] ^ np.repeat(mark[a], counts[b])
-            place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-            both = np.bincount(np.repeat(np.arange(len(b)), counts[b]), known[place] == asked, len(b)).astype(np.int64)
+            known = _Known(hashes ^ np.repeat(mark, counts))
+            both = np.zeros(len(b), np.int64)
+            for some in _cut_pairs(counts[b]):
+                asked = hashes[ragged((ends - counts)[b[some]], counts[b[some]])] ^ np.repeat(mark[a[some]], counts[b[some]])
+                found = np.append(0, np.cumsum(known.holds(asked)))
+                upto = np.cumsum(counts[b[some]])
+                both[some] = found[upto] - found[upto - counts[b[some]]]
             near = 100 * both >= 75 * (counts[a] + counts[b] - both)
             yield rows.select(["a", "b"]).filter(pa.array(near))
 
@@ -254,7 +297,8 @@ def classify(docs: DataFrame) -> DataFrame:
     first = F.pmod("group", F.lit(_FIRST)) == 0
     members = groups.join(sets.select("item", "n"), "item").select("group", "item", "n", first.alias("first"))
     lowest = groups.groupBy("item").agg(F.slice(F.sort_array(F.collect_set("group")), 1, LOWEST).alias("lowest"))
-    components = similar(members, _links_of(texts), 0.75, sets.select("item", "bits").join(lowest, "item"))
+    sketched = settle(sets.select("item", "bits").join(lowest, "item"), "sketched")
+    components = similar(members, _links_of(texts), 0.75, sketched)
     solid = lines.where("NOT blank").drop("text", "blank").join(components, "item", "left").select(
         "doc_id", "row", "line", F.coalesce("component", "item").alias("c"))
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "line", "row", "doc_id")

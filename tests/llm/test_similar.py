@@ -241,3 +241,51 @@ def test_search_within_a_radius(spark):
         distance = np.bitwise_count(every[:, None] ^ every[None]).sum(axis=2)
         assert got == {(names[i], names[j], int(distance[i, j])) for i in range(len(names)) if names[i] < "8"
                        for j in range(len(names)) if distance[i, j] <= radius}
+
+
+def test_known_numbers_are_told_exactly():
+    rnd = np.random.default_rng(5)
+    ends = np.array([0, 1, (1 << 64) - 1, (1 << 64) - 2], np.uint64)
+    near = rnd.integers(0, 50, 3000).astype(np.uint64)  # many of one slot
+    for numbers in (np.zeros(0, np.uint64), ends[:1], ends[2:3], ends, near, rnd.integers(0, 1 << 63, 3000).astype(np.uint64)):
+        asked = np.concatenate([numbers, ends, near, rnd.integers(0, 1 << 63, 1000).astype(np.uint64)])
+        assert lines._Known(numbers).holds(asked).tolist() == np.isin(asked, numbers).tolist()
+
+
+def test_shingles_are_taken_once_in_each_line():
+    texts = ["a" * 30, "", "abcabcabcabcabcabc", "a" * 30, "another line of words, another line of words", "short", "é" * 12]
+    hashes, counts = lines._shingle_sets(texts)
+    own = np.split(hashes, np.cumsum(counts)[:-1])
+    for text, got in zip(texts, own):
+        distinct = {text[k:k + 8] for k in range(max(1, len(text) - 7))}
+        assert len(set(got.tolist())) == len(got) == len(distinct)
+    assert own[0].tolist() == own[3].tolist()
+
+
+def test_signatures_take_the_lowest_of_each_bin(monkeypatch):
+    monkeypatch.setattr(np, "sort", None)  # shingles are not sorted for it
+    hashes = np.random.default_rng(6).integers(0, 1 << 63, 400).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    got = lines.signatures(hashes, np.array([399, 1]))
+    for k in range(lines.BINS):
+        own = [h & 0xFFFFFFFF for h in hashes[:399].tolist() if h >> 58 == k]
+        assert not own or got[0, k] == min(own)
+    assert len({x & 0xFFFFFFFF for x in got[1].tolist()}) == 1
+
+
+def test_first_pairs_pass_the_sketches(spark):
+    """Items of one group whose sketches differ too much are not compared."""
+    sets = {1: range(100), 2: range(5, 105), 3: range(500, 600), 4: range(90, 190)}
+    rows = [(7, k, len(s), True) for k, s in sets.items()]
+    hashes = np.concatenate([lines.mix(np.array(s, np.uint64)) for s in sets.values()])
+    bits = components.sketches(hashes, np.array([len(s) for s in sets.values()])).tolist()
+    sketched = spark.createDataFrame([(k, b, [7]) for k, b in zip(sets, bits)], "item long, bits array<long>, lowest array<long>")
+    seen = []
+
+    def links_of(pairs):
+        seen.extend((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a = 1 AND b = 2")
+
+    groups = spark.createDataFrame(rows, "group long, item long, n long, first boolean")
+    found = components.similar(groups, links_of, 0.75, sketched)
+    assert {(r.item, r.component) for r in found.collect()} == {(1, 1), (2, 1)}
+    assert seen == [(1, 2)]
