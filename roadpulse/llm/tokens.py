@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import re
-from functools import cache
+from functools import cache, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -16,7 +16,9 @@ _PIECES = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
 _OTHER_SPACE = re.compile(r"[^\S \t-\r]").search
 #: Distinct pieces a task remembers from slice to slice, and the longest of
 #: them; both bound memory only.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 800_000, 64
+#: Runs of marks whose ids a task remembers; bounds memory only.
+_MARKS = 1_000
 #: Bytes of text encoded at once; bounds memory only.
 SLICE_CHARS = 2_000_000
 #: A blank or none, Latin letters, and ASCII marks or none: no rule joins letters and marks after them.
@@ -25,6 +27,9 @@ _PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)").fullmat
 # and else by the next free one from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_BLANK = {"": "", " ": chr(_BYTES[32])}
+#: The Latin letters of `_PLAIN` beyond ASCII, by the names of their bytes.
+_LETTERS = {c: chr(c).encode().decode("latin-1").translate(_BYTES) for c in range(192, 256)}
 
 
 class _Numbers(dict):
@@ -56,6 +61,9 @@ class Encoder:
         # A name without blanks lies within one piece.
         self._added = re.compile("|".join(map(re.escape, names)) or r"(?!)", re.IGNORECASE).search
         self._whole = any(not _PIECES(n) or _PIECES(n)[0] != n or n != n.strip() for n in names)
+        # Marks are few and come again; a model's own object costs a call each time it is asked for.
+        self._tokenize = self.tokenizer.model.tokenize
+        self._marks = lru_cache(_MARKS)(lambda marks: [t.id for t in self._tokenize(marks)])
         self._word = self._plain_words()
         self.numbers = _Numbers()
         self.odd: set[int] = set()
@@ -68,10 +76,10 @@ class Encoder:
 
     def _plain_words(self):
         """How the model names a plain word, if in a way known here: with the blank or without, in lower case."""
-        def named(text: str) -> str:
-            return text if text.isascii() and " " not in text else text.encode().decode("latin-1").translate(_BYTES)
+        def named(letters: str) -> str:
+            return letters if letters.isascii() else letters.translate(_LETTERS)
 
-        for word in (lambda blank, letters: named(blank + letters), lambda blank, letters: named(letters.lower())):
+        for word in (lambda blank, letters: _BLANK[blank] + named(letters), lambda blank, letters: named(letters.lower())):
             try:
                 if all(self._plain_ids(word, p) == self.tokenizer.encode(p, add_special_tokens=False).ids
                        for p in (" Ab", "xyzzy", " Thequickest.", "a,", " QQ?***", "I!", " Ñandúes;", "Zß:", "ÀÖ")):
@@ -84,10 +92,11 @@ class Encoder:
         plain = _PLAIN(piece)
         if not plain:
             return None
-        tokens = self.tokenizer.model.tokenize(word(plain[1], plain[2]))
-        if plain[3]:
-            tokens = tokens + self.tokenizer.model.tokenize(plain[3])
-        return [t.id for t in tokens]
+        blank, letters, marks = plain.groups()
+        ids = [t.id for t in self._tokenize(word(blank, letters))]
+        if marks:
+            ids += self._marks(marks)
+        return ids
 
     def _learn(self) -> None:
         fresh, first = self.numbers.fresh, len(self.starts) - 1
@@ -103,9 +112,12 @@ class Encoder:
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(lists), np.uint32)])
-        self.odd.update(n for n, piece in enumerate(fresh, first)
-                        if self._whole or self._added(piece)
-                        or not piece.isascii() and _OTHER_SPACE(piece))
+        # A name without blanks and other space stay within a piece, so a search of all pieces at once finds them.
+        joined = "\n".join(fresh)
+        if self._whole or self._added(joined) or not joined.isascii() and _OTHER_SPACE(joined):
+            self.odd.update(n for n, piece in enumerate(fresh, first)
+                            if self._whole or self._added(piece)
+                            or not piece.isascii() and _OTHER_SPACE(piece))
 
     def _forget(self) -> None:
         """Drop what the last slice taught beyond the bound."""

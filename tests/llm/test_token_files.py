@@ -55,6 +55,23 @@ def test_memory_of_pieces_is_bounded(monkeypatch):
         assert len(code.numbers) <= 50 and len(code.starts) == len(code.numbers) + 1
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_new_pieces_are_searched_together_and_marks_told_apart_once(name):
+    from roadpulse.llm import tokens
+    code, own, searched = tokens.Encoder(queries.tokenizer_path(name)), library(name), []
+    search = code._added
+    code._added = lambda text: searched.append(text) or search(text)
+    texts = [" ".join(f"Wörd{chr(97 + k % 26)}{chr(97 + k // 26)}y{m}" for k in range(300)) for m in ("", "!?", ".", "!?")]
+    texts += ["".join(map(chr, range(192, 256))), " " + " ".join(map(chr, range(192, 256)))]
+    ids, counts = code.encode(texts)
+    assert len(searched) == 1
+    assert code._marks.cache_info().hits >= 590
+    for ids, text in zip(np.split(ids, np.cumsum(counts)[:-1]), texts):
+        assert ids.tolist() == own.encode(text, add_special_tokens=False).ids
+    text = "new a<|endoftext|>b pieces"
+    assert code.encode([text])[0].tolist() == own.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 300), max_size=700), min_size=1, max_size=6))
 def test_blocks_come_back(blocks):
