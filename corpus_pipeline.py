@@ -9,7 +9,7 @@ from roadpulse.llm import decontaminate, language, lines, ngram_join, packing
 from roadpulse.llm.queries import tokenizer_path
 from roadpulse.llm.rows import row_key, without
 from roadpulse.llm.ship import ship
-from roadpulse.session import delete, fresh_path, scratch, settle
+from roadpulse.session import delete, fresh_path, scratch, settle, write
 
 SEQUENCE, END_ID = 1024, 2
 
@@ -90,7 +90,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = fresh_path(spark, name)
         with scratch(spark):
             kept = stage(spark, docs, sf_dir)
-            kept.write.parquet(path)
+            write(kept, path)
         docs = spark.read.schema(kept.schema).parquet(path)
         if last:
             delete(spark, last)

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.batches import ragged, released, slices
@@ -32,7 +32,7 @@ from roadpulse.llm.components import EDGE, LOWEST, lists, similar, sketches
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
 from roadpulse.llm.rows import keyed, row_key
 from roadpulse.llm.words import _run_hashes, mix
-from roadpulse.session import settle
+from roadpulse.session import settle, settle_alone
 
 SHINGLE, BINS, ROWS = 8, 64, 4
 #: One band in so many is compared with its first member to begin with.
@@ -312,25 +312,23 @@ def classify(docs: DataFrame) -> DataFrame:
     return found.union(blank)
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, gone in zip(batch.column("_text").to_pylist(), batch.column("_gone").to_pylist()):
-            gone = set(gone)
-            texts.append("\n".join(t for k, t in enumerate(text.split("\n")) if k not in gone))
-        yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())],
-                                         names=["_row", "_left"])
+def _marks(gone: Column) -> Column:
+    """Of each line up to the last of the ascending numbers `gone`, whether it stays."""
+    before = F.concat(F.array(F.lit(-1)), F.slice(gone, 1, F.size(gone) - 1))
+    return F.flatten(F.zip_with(gone, before, lambda k, last: F.concat(
+        F.array_repeat(F.lit(True), k - last - 1), F.array(F.lit(False)))))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of docs with the lines to remove taken out of `text`; rows that lose all
     their lines but blank ones are dropped. `n_chars`, if there, counts the new text."""
-    removed = classify(docs).where("NOT kept").groupBy(F.col("row").alias("_row")).agg(
-        F.collect_set("line").alias("_gone"))
-    removed = settle(removed, "removed")
-    changed = settle(docs.select(row_key().alias("_row"), F.col("text").alias("_text")).join(removed, "_row")
-                     .dropDuplicates(["_row"]).mapInArrow(released(_without), "_row long, _left string"), "changed")
-    out = keyed(docs).join(changed, "_row", "left").where(r"_left IS NULL OR _left RLIKE '[^ \\t-\\r]'")
+    removed = settle_alone(docs.sparkSession, lambda: classify(docs).where("NOT kept").groupBy(
+        F.col("row").alias("_row")).agg(_marks(F.array_sort(F.collect_set("line"))).alias("_stays")), "removed")
+    # A text's lines beside their marks; a line without one stays, what is NULL is not joined.
+    lines = F.zip_with(F.split("doc.text", "\n", -1), "_stays", lambda line, stays: F.when(F.coalesce(stays, F.lit(True)), line))
+    out = keyed(docs).join(removed, "_row", "left").select(
+        "doc", F.when(F.col("_stays").isNotNull(), F.array_join(lines, "\n")).alias("_left"))
+    out = out.where(r"_left IS NULL OR _left RLIKE '[^ \\t-\\r]'")
     new = {"text": F.coalesce("_left", "doc.text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_left").isNull(), F.col("doc.n_chars")).otherwise(

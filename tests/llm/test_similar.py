@@ -166,6 +166,31 @@ def test_lines_of_defined_cases(spark, texts):
     assert lines.classify(texts([])).collect() == [] == lines.dedup(texts([])).collect()
 
 
+def test_removing_lines_leaves_one_table_and_no_shuffle_files(spark, texts):
+    """Nor are texts written or shuffled a second time for their lines that stay."""
+    import os
+
+    from roadpulse import session
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, folder = spark.conf.get(setting), session.shared_folder(spark).removeprefix("file:")
+    there = set(os.listdir(folder))
+    rows = [(k, f"{hashlib.md5(b'%d' % k).hexdigest()}\nthe same in all texts\n\n{hashlib.sha1(b'%d' % k).hexdigest()}")
+            for k in range(12)]
+    left = lines.dedup(texts(rows))
+    assert [x.split("-")[0] for x in set(os.listdir(folder)) - there] == ["removed"]
+    assert spark.conf.get(setting) == before
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("Join") == 1
+    kept = {r.doc_id: r.text for r in left.collect()}
+    assert kept[0].split("\n")[1] == "the same in all texts" and kept[7].count("\n") == 2
+
+
+def test_marks_of_lines_that_stay(spark):
+    gone = spark.createDataFrame([([0],), ([2, 3, 5],), ([0, 1, 2],)], "gone array<int>")
+    got = [r[0] for r in gone.select(lines._marks(F.col("gone"))).collect()]
+    assert got == [[False], [True, True, False, False, True, False], [False] * 3]
+
+
 def test_bands_find_similar_lines():
     """Of lines with a similarity of 0.75 to 0.85, banding meets at least 97 %."""
     rng = np.random.default_rng(2)
