@@ -31,7 +31,7 @@ from roadpulse.llm.batches import ragged, released, slices
 from roadpulse.llm.components import EDGE, LOWEST, lists, similar, sketches
 from roadpulse.llm.keys import bucket_count, flat, is_marked, marked, pack, partitions, unpack
 from roadpulse.llm.rows import keyed, row_key
-from roadpulse.llm.words import _run_hashes, mix
+from roadpulse.llm.words import _run_hashes, _window_hashes, mix
 from roadpulse.session import settle, settle_alone
 
 SHINGLE, BINS, ROWS = 8, 64, 4
@@ -64,10 +64,19 @@ class Lines:
 
     def shingles(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the shingles of some lines, and how many each has."""
-        counts = np.maximum(self.ends[rows] - self.starts[rows] - SHINGLE + 1, 1)
-        first = np.repeat(self.starts[rows] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
-        last = np.minimum(first + SHINGLE, np.repeat(self.ends[rows], counts))
-        return _run_hashes(self.points, first, last), counts
+        starts, ends = self.starts[rows], self.ends[rows]
+        counts = np.maximum(ends - starts - SHINGLE + 1, 1)
+        short = np.flatnonzero(ends - starts < SHINGLE)
+        first = ragged(starts, counts)
+        if len(self.points) < SHINGLE:
+            return _run_hashes(self.points, starts, ends), counts
+        found = _window_hashes(self.points, SHINGLE)
+        # What a line shorter than a shingle takes here is replaced.
+        at = (np.cumsum(counts) - counts)[short]
+        first[at] = 0
+        hashes = found[first]
+        hashes[at] = _run_hashes(self.points, starts[short], ends[short]) if len(short) else 0
+        return hashes, counts
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:

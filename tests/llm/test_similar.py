@@ -191,6 +191,20 @@ def test_marks_of_lines_that_stay(spark):
     assert got == [[False], [True, True, False, False, True, False], [False] * 3]
 
 
+def test_shingles_are_runs_of_their_line():
+    from roadpulse.llm.words import _run_hashes
+    cut = lines.Lines(pa.array(["abcdefgh\n\nabc\nabcdefghi", None, "", "é𝄞" * 7 + "\nbcdefghi"], pa.string()))
+    rows = np.array([0, 2, 3, 5, 6])
+    hashes, counts = cut.shingles(rows)
+    assert counts.tolist() == [1, 1, 2, 7, 1]
+    firsts = np.concatenate([s + np.arange(c) for s, c in zip(cut.starts[rows], counts)])
+    lasts = np.minimum(firsts + lines.SHINGLE, np.repeat(cut.ends[rows], counts))
+    assert (hashes == _run_hashes(cut.points, firsts, lasts)).all()
+    assert hashes[0] == hashes[2] and hashes[3] == hashes[-1]
+    short = lines.Lines(pa.array(["ab\nc"], pa.string()))
+    assert (short.shingles(np.arange(2))[0] == _run_hashes(short.points, short.starts, short.ends)).all()
+
+
 def test_bands_find_similar_lines():
     """Of lines with a similarity of 0.75 to 0.85, banding meets at least 97 %."""
     rng = np.random.default_rng(2)
