@@ -50,37 +50,42 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _are_stars(edges: DataFrame) -> bool:
-    """Whether every left end has one edge only and no right end is a left one."""
-    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("left")).union(
-        edges.select("b", F.lit(0)))
-    nodes = ends.groupBy("x").agg(F.sum("left").alias("left"), F.min("left").alias("least"))
-    bad = nodes.where("left > 1 OR (left = 1 AND least = 0)")
-    return bad.agg(F.count("*")).first()[0] == 0
+    """Whether every left end has one right end only and no right end is a left one."""
+    ends = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(
+        edges.select("b", F.lit(None).cast("long")))
+    nodes = ends.groupBy("x").agg(F.min("y").alias("low"), F.max("y").alias("high"),
+                                  F.bool_or(F.col("y").isNull()).alias("right"))
+    return nodes.where("low < high OR low IS NOT NULL AND right").agg(F.count("*")).first()[0] == 0
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """(item, component) of every node of edges (a, b): component is the smallest node reachable.
+def _stars(edges: DataFrame) -> DataFrame:
+    """Distinct (a, b) for every node of edges (a, b) but the smallest of its component, which is b.
 
-    Each task first joins its own edges by union-find. Then nodes are hung under
-    the smallest neighbour, alternately of the larger and of the smaller side,
-    until every node hangs directly under the smallest of its component.
+    Each task joins its own edges by union-find. What it leaves is dealt out by the larger end, of
+    which no task has more than one edge, and joined again. Then every node is hung under what its
+    smaller neighbour hangs under, and edges are dealt out and joined again, until all hang directly
+    under the smallest of their component. A node with many larger neighbours meets them in a join only.
     """
-    stars = settle(edges.select("a", "b").where("a <> b").mapInArrow(_forest, EDGE)
-                   .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not _are_stars(stars):
-        both = stars.union(stars.select("b", "a"))
-        lowest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = (both.where("b > a").join(lowest, "a").where("b <> low")
-                 .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
-        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(lowest, "a").select(
-            F.explode(F.array(F.struct("a", F.col("low").alias("b")),
-                              F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("e"))
-        stars = settle(small.select("e.*").where("a <> b").distinct(), "edges")
+    edges = edges.select("a", "b").where("a <> b").mapInArrow(_forest, EDGE)
+    while True:
+        stars = settle(edges.repartition("a").mapInArrow(_forest, EDGE), "edges")
+        if _are_stars(stars):
+            return settle(stars.distinct(), "stars")
+        above = stars.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("low"))
+        edges = stars.join(above, "b", "left").select("a", F.coalesce("low", "b").alias("b"))
+
+
+def _rooted(stars: DataFrame) -> DataFrame:
+    """Every node of stars (a, b) with its component, the smallest nodes too."""
     roots = stars.select(F.col("b").alias("item"), F.col("b").alias("component")).distinct()
     return stars.select(F.col("a").alias("item"), F.col("b").alias("component")).union(roots)
 
 
+def connected(edges: DataFrame) -> DataFrame:
+    """(item, component) of every node of edges (a, b): component is the smallest node reachable."""
+    return _rooted(_stars(edges))
+
+
 #: Rounds in which leftover members of a group are compared with one of its main component.
 ROUNDS = 2
 #: 64-bit words of a sketch; larger sets need more of them to be told apart.
@@ -107,15 +112,14 @@ def lists(rows: np.ndarray) -> pa.Array:
 
 
 def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
-    """Components (item, c) after further links (a, b) between their items or new ones."""
+    """Stars (item, c) after further links (a, b) between their items or new ones."""
     of = {c: found.select(F.col("item").alias(c), F.col("c").alias(f"c_{c}")) for c in "ab"}
     between = links.join(of["a"], "a", "left").join(of["b"], "b", "left").select(
         F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
-    joined = settle(connected(between).select(F.col("item").alias("c"), "component"), "joined")
+    joined = _stars(between).select(F.col("a").alias("c"), F.col("b").alias("component"))
     inside = found.join(joined, "c", "left").select("item", F.coalesce("component", "c").alias("c"))
-    # Items that have no link but the new ones.
-    alone = joined.join(found.select(F.col("item").alias("c")), "c", "left_anti")
-    return settle(inside.union(alone.select("c", "component")), "components")
+    # What was a component's smallest item, or had no link, is no item of `found`.
+    return settle(inside.union(joined.select("c", "component")), "components")
 
 
 def _differ(bits: str, other: str, words: int) -> Column:
@@ -155,7 +159,8 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
         of = {c: sketched.select(F.col("item").alias(c), F.col("bits").alias(f"{c}_bits")) for c in "ab"}
         pairs = pairs.join(of["a"], "a").join(of["b"], "b").where(7 * _differ("a_bits", "b_bits", words) <= F.col("both"))
     pairs = settle(pairs.select("a", "b"), "pairs")
-    found = settle(connected(settle(links_of(pairs), "links")).withColumnRenamed("component", "c"), "components")
+    # A component's smallest item, like one without a link, is not listed: it is its own component.
+    found = _stars(links_of(pairs)).select(F.col("a").alias("item"), F.col("b").alias("c"))
     tested, mixed = pairs, groups.select("group", "item", "n")
     for round_ in range(ROUNDS + 1):
         mixed = _mixed(mixed.drop("c", "main"), found)
@@ -183,12 +188,15 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
                 lower = F.array_min(F.array_intersect("lowest", "other_lowest")) < F.col("group")
                 near = near & ~F.coalesce(lower, F.lit(False))
         new = left.join(right, "group").where(near).select(*ordered).distinct()
-        new = settle(new.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if round_ == ROUNDS:
+            # One of the main component is seldom met twice; now all pairs that are left come.
+            new = new.join(tested, ["a", "b"], "left_anti")
+        new = settle(new, "pairs")
         if new.isEmpty():
             continue
-        found = _merge(found, settle(links_of(new), "links"))
+        found = _merge(found, links_of(new))
         tested = tested.union(new)
-    return found.withColumnRenamed("c", "component")
+    return _rooted(found.select(F.col("item").alias("a"), F.col("c").alias("b")))
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:

@@ -64,6 +64,22 @@ def test_connected(spark, seed):
     assert components.connected(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_components_of_a_chain_take_few_stages(spark):
+    """Stages, not rows, cost the time of small tables dealt out over many tasks."""
+    nodes = list(range(1500))
+    random.Random(3).shuffle(nodes)
+    edges = spark.createDataFrame(list(zip(nodes, nodes[1:])), "a long, b long").repartition(40)
+    sc, tracker, group = spark.sparkContext, spark.sparkContext.statusTracker(), "chain"
+    sc.setJobGroup(group, "components of a chain")
+    try:
+        got = components.connected(edges).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, got)) == [(k, 0) for k in range(1500)]
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    assert 0 < len(stages) <= 40
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_ngram_join(spark, texts, seed):
     docs = documents(seed, 150)
