@@ -124,9 +124,20 @@ def _merge(found: DataFrame, links: DataFrame) -> DataFrame:
 
 def _differ(bits: str, other: str, words: int) -> Column:
     """In how many bits two sketches differ."""
+    if words > WORDS:
+        # A sum of so many terms is more than the JVM compiles.
+        each = F.zip_with(bits, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.aggregate(each, F.lit(0), lambda total, x: total + x)
     return reduce(Column.__add__, (F.bit_count(F.col(bits)[k].bitwiseXOR(F.col(other)[k])) for k in range(words)))
 
 
+def _allowed(pairs: DataFrame, sketched: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b, both) whose sketches allow a similarity, `both` being the sum of their sizes."""
+    of = {c: sketched.select(F.col("item").alias(c), F.col("bits").alias(f"{c}_bits")) for c in "ab"}
+    return pairs.join(of["a"], "a").join(of["b"], "b").where(
+        7 * _differ("a_bits", "b_bits", words) <= F.col("both")).select("a", "b")
+
+
 def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio: float,
             sketched: DataFrame | None = None, words: int = WORDS) -> DataFrame:
     """Components (item, component) of items under a similarity that only items with a common
@@ -139,6 +150,12 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     0.75 on, and may differ in a seventh of their members, and the `LOWEST` lowest
     groups of each item in ascending order.
 
+    Where groups are members of the sets, put into one order, `groups` also holds how many of
+    the item's own come `before` the group; `lowest` is not needed then. Similar sets meet in
+    the first member they have in common, and hold all others behind it: both have to be long
+    enough from there on. Items that no other of their group is small enough for leave it, and
+    of the pairs left in the end only those are looked at that the group may be the first of.
+
     Only pairs whose sketches allow it are compared, which never miss a similar one.
     Each group of the `first` kind is compared with its smallest member, which
     joins most copies without looking at all their pairs. A group that lies in
@@ -149,22 +166,23 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     lowest groups, none lower than that one is in both.
     """
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    both = (F.col("n") + F.col("other_n")).alias("both")
     sized = F.least("n", "other_n") >= ratio * F.greatest("n", "other_n")
+    placed = "before" in groups.columns
     first = groups.where("first")
-    hubs = first.groupBy("group").agg(F.min(F.struct("item", "n")).alias("hub"), F.count("*").alias("members"))
+    # The item with the fewest members that few others have is the likeliest to be what the others are copies of.
+    hub = F.min_by(F.struct("item", "n"), F.struct(F.col("before") / F.col("n"), "item")) if placed else F.min(F.struct("item", "n"))
+    hubs = first.groupBy("group").agg(hub.alias("hub"), F.count("*").alias("members"))
     stars = first.join(hubs.where("members > 1"), "group").select(
         F.col("item").alias("a"), F.col("hub.item").alias("b"), "n", F.col("hub.n").alias("other_n"))
-    pairs = stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered, (F.col("n") + F.col("other_n")).alias("both")).distinct()
-    if sketched is not None:
-        of = {c: sketched.select(F.col("item").alias(c), F.col("bits").alias(f"{c}_bits")) for c in "ab"}
-        pairs = pairs.join(of["a"], "a").join(of["b"], "b").where(7 * _differ("a_bits", "b_bits", words) <= F.col("both"))
-    pairs = settle(pairs.select("a", "b"), "pairs")
+    pairs = stars.where(sized & (F.col("a") != F.col("b"))).select(*ordered, both).distinct()
+    pairs = settle(pairs.select("a", "b") if sketched is None else _allowed(pairs, sketched, words), "pairs")
     # A component's smallest item, like one without a link, is not listed: it is its own component.
     found = _stars(links_of(pairs)).select(F.col("a").alias("item"), F.col("b").alias("c"))
-    tested, mixed = pairs, groups.select("group", "item", "n")
+    tested, mixed = pairs, groups.drop("first")
     for round_ in range(ROUNDS + 1):
         mixed = _mixed(mixed.drop("c", "main"), found)
-        if sketched is not None and not round_:
+        if sketched is not None and round_ == (ROUNDS if placed else 0):
             # Most groups are done by now.
             mixed = mixed.join(sketched, "item")
         mixed = settle(mixed, "mixed")
@@ -176,18 +194,24 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
             order = F.xxhash64("item", "group", F.lit(round_))
             one = F.min_by(F.struct(*(x for x in mixed.columns if x != "group")), order)
             right = mixed.where("c = main").groupBy("group").agg(one.alias("one")).select("group", "one.*")
-        right = right.select("group", F.col("item").alias("b"), F.col("n").alias("other_n"),
-                             F.col("c").alias("other_c"), *([F.col("bits").alias("other_bits"), F.col("lowest").alias("other_lowest")]
-                                                        if sketched is not None else []))
+        others = {"item": "b", "n": "other_n", "c": "other_c", "before": "other_before", "bits": "other_bits", "lowest": "other_lowest"}
+        right = right.select("group", *(F.col(x).alias(y) for x, y in others.items() if x in right.columns))
         # Of two members outside the main component, the pair is taken once.
         near = sized & (F.col("c") != F.col("other_c")) & (
             (F.col("other_c") == F.col("main")) | (F.col("a") < F.col("b")))
-        if sketched is not None:
+        if placed and round_ == ROUNDS:
+            near = near & _long_enough("n", "before", "other_n") & _long_enough("other_n", "other_before", "n")
+        if "bits" in mixed.columns:
             near = near & (7 * _differ("bits", "other_bits", words) <= F.col("n") + F.col("other_n"))
-            if round_ == ROUNDS:
+            if round_ == ROUNDS and not placed:
                 lower = F.array_min(F.array_intersect("lowest", "other_lowest")) < F.col("group")
                 near = near & ~F.coalesce(lower, F.lit(False))
-        new = left.join(right, "group").where(near).select(*ordered).distinct()
+        new = left.join(right, "group").where(near)
+        if sketched is not None and "bits" not in mixed.columns:
+            # A pair meets in many groups, its sketches once.
+            new = _allowed(new.select(*ordered, both).distinct(), sketched, words)
+        else:
+            new = new.select(*ordered).distinct()
         if round_ == ROUNDS:
             # One of the main component is seldom met twice; now all pairs that are left come.
             new = new.join(tested, ["a", "b"], "left_anti")
@@ -199,10 +223,21 @@ def similar(groups: DataFrame, links_of: Callable[[DataFrame], DataFrame], ratio
     return _rooted(found.select(F.col("item").alias("a"), F.col("c").alias("b")))
 
 
+def _long_enough(n: str, before: str, other_n: str) -> Column:
+    """Whether a set of n members holds as many from the one after its first `before` on as it would share with a similar set."""
+    return 3 * (F.col(n) + F.col(other_n)) <= 7 * (F.col(n) - F.col(before))
+
+
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
     """The members of groups of several components, with their component `c` and the one that
-    most members of their group have, `main`."""
+    most members of their group have, `main`. Where groups have a place in their items' order,
+    members leave a group whose smallest items are too large for them."""
     placed = settle(members.join(found, "item", "left").withColumn("c", F.coalesce("c", "item")), "placed")
-    sizes = placed.groupBy("group", "c").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("group").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("parts"))
-    return placed.join(main.where("parts > 1").select("group", "main"), "group")
+    # Of two similar sets the smaller one meets the other in the first seventh of its members.
+    ordered = "before" in members.columns
+    least = [F.min(F.when(_long_enough("n", "before", "n"), F.col("n"))).alias("least")] if ordered else []
+    sizes = placed.groupBy("group", "c").agg(F.count("*").alias("size"), *least)
+    main = sizes.groupBy("group").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("parts"),
+                                      *[F.min("least").alias("least")] * ordered)
+    mixed = placed.join(main.where("parts > 1").drop("parts"), "group")
+    return mixed.where(_long_enough("n", "before", "least")).drop("least") if ordered else mixed

@@ -344,3 +344,65 @@ def test_first_pairs_pass_the_sketches(spark):
     found = components.similar(groups, links_of, 0.75, sketched)
     assert {(r.item, r.component) for r in found.collect()} == {(1, 1), (2, 1)}
     assert seen == [(1, 2)]
+
+
+def copies_of_one(seed, n, most, size=100):
+    """Texts with up to `most` words of one text replaced, and some cut at an end."""
+    rnd = random.Random(seed)
+    words, docs = [f"x{k}" for k in range(size)], []
+    for i in range(n):
+        own = list(words)
+        for k, at in enumerate(rnd.sample(range(size), rnd.randrange(most + 1))):
+            own[at] = f"y{i}.{k}"
+        docs.append((i, " ".join(own[rnd.choice([0, 0, 0, 4, 12]):size - rnd.choice([0, 0, 0, 5, 10])])))
+    return docs
+
+
+@pytest.mark.parametrize(("seed", "most", "size"), [(1, 7, 100), (2, 4, 100), (3, 3, 30), (4, 2, 12)])
+def test_copies_at_all_distances(spark, texts, seed, most, size):
+    docs = copies_of_one(seed, 120, most, size)
+    got = rows_of(ngram_join.join_texts(texts(docs, "item").repartition(5)))
+    assert got == sorted(plain.components(docs), key=repr)
+    assert len({r[2] for r in got}) < 100
+
+
+def test_copies_too_far_apart_leave_their_groups(spark, texts, monkeypatch):
+    """Copies of one text that have more than a seventh of their shingles alone link with none of their size."""
+    docs, rows = [], {"mixed": 0, "pairs": 0}
+    for i in range(40):
+        words = [f"x{k}" for k in range(104)]
+        for k in range(4):
+            words[5 + 25 * k + i % 20] = f"y{i}.{k}"
+        docs.append((i, " ".join(words)))
+    settle = components.settle
+
+    def counted(df, name, *more):
+        out = settle(df, name, *more)
+        if name in rows:
+            rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(components, "settle", counted)
+    got = rows_of(ngram_join.join_texts(texts(docs)))
+    assert got == sorted(plain.components(docs), key=repr) == sorted(((i, 100, i) for i in range(40)), key=repr)
+    assert rows == {"mixed": 0, "pairs": 0}
+
+
+def test_last_pairs_are_those_of_their_first_common_member(spark):
+    """Of a group of copies none of which link, no pair is left whose other members are too few."""
+    n, far = 70, 60
+    # Item k has 10 + k % 5 members before the group's, items of `far` less than a seventh.
+    rows = [(1, k, n, 10 + k % 5 if k < far else 4, k >= far) for k in range(80)]
+    groups = spark.createDataFrame(rows, "group long, item long, n long, before long, first boolean")
+    seen = []
+
+    def links_of(pairs):
+        seen.append({(r.a, r.b) for r in pairs.collect()})
+        return pairs.where("a < 0")
+
+    assert components.similar(groups, links_of, 0.75).collect() == []
+    near = {k for k in range(80) if 7 * rows[k][3] <= n}
+    assert len(near) == 32
+    met = set().union(*seen)
+    assert {(a, b) for a in near for b in near if a < b} <= met
+    assert all(a in near and b in near for a, b in met)
